@@ -82,13 +82,16 @@ def restrict_to_top_plan(pm: DataFrame, priority: Sequence[str] = PLAN_PRIORITY)
             .drop("_rank", "_best", "_multi"))
 
 
-def month_picks(history: DataFrame, meta: DataFrame, as_of, priority: Sequence[str] = PLAN_PRIORITY) -> DataFrame:
+def month_picks(history: DataFrame, meta: DataFrame, as_of, priority: Sequence[str] = PLAN_PRIORITY,
+                meta_as_of=None) -> DataFrame:
     """(tenant_global_id, record_date, is_highwatermark): the day each tenant is billed on (H1-H9).
 
     Peak tenants: the day of max seats (earliest on ties). Others: the run date.
+    ``meta_as_of`` picks the meta snapshot when it differs from the run date
+    (fixed-period backfills price with the current meta, H15).
     """
     end = as_date(as_of)
-    rows = restrict_to_top_plan(profile_metrics(history, snapshot(meta, as_of), as_of), priority)
+    rows = restrict_to_top_plan(profile_metrics(history, snapshot(meta, meta_as_of or as_of), as_of), priority)
     w = Window.partitionBy("tenant_global_id")
     # one pass: peak tenants order by seats, the others by date; first row wins
     ordered = rows.withColumn("_rn", F.row_number().over(w.orderBy(
@@ -141,10 +144,9 @@ def recent_plan_picks(history: DataFrame, meta: DataFrame, as_of) -> DataFrame:
     peak_rows = select.peak(rows.filter(F.col("is_highwatermark")), ["tenant_global_id"], "profile_count",
                             "record_date")
     cur_rows = select.latest(rows.filter(~F.col("is_highwatermark")), ["tenant_global_id"], "record_date")
-    out = peak_rows.select("tenant_global_id", "record_date", "is_highwatermark", "plan_name", "profile_count") \
+    return peak_rows.select("tenant_global_id", "record_date", "is_highwatermark", "plan_name") \
         .unionByName(cur_rows.select("tenant_global_id", F.lit(as_date(as_of)).alias("record_date"),
-                                     "is_highwatermark", "plan_name", "profile_count"))
-    return out
+                                     "is_highwatermark", "plan_name"))
 
 
 def month_peak_max_by(history: DataFrame, meta: DataFrame, month_start, month_end) -> DataFrame:

@@ -153,3 +153,236 @@ def q_free_allowance(spark, sf):
 @query("itemized_bill", with_ctes(["itemized"], "SELECT * FROM itemized"))
 def q_itemized_bill(spark, sf):
     return B.itemized(domain(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# More peak-selection variants
+# ---------------------------------------------------------------------------
+from .oracle_bill import RANK, register_picks  # noqa: E402
+from ..functions.dates import as_date  # noqa: E402
+from ..operators import select  # noqa: E402
+from ..sources import adapters as A  # noqa: E402
+import datetime as _dt  # noqa: E402
+
+BACKFILL_AS_OF = _dt.date(2024, 1, 1)     # a day-1 run: settles the previous month
+register_picks("_b", BACKFILL_AS_OF)
+
+
+@query("latest_per_key", with_ctes(["live"], """
+    SELECT tenant_global_id, root AS resolved_root FROM live
+    QUALIFY row_number() OVER (PARTITION BY tenant_global_id ORDER BY record_date DESC) = 1"""))
+def q_latest_per_key(spark, sf):
+    d = domain(spark, sf)
+    return select.latest(hwm.billable_rows(d.history, d.as_of), ["tenant_global_id"], "record_date") \
+        .select("tenant_global_id", F.col("root").alias("resolved_root"))
+
+
+def _pm(d):
+    return hwm.profile_metrics(d.history, d.meta, d.as_of)
+
+
+@query("priority_pick", with_ctes(["pm"], f"""
+    SELECT tenant_global_id, is_highwatermark, plan_name FROM (
+      SELECT *, count(DISTINCT plan_name) OVER (PARTITION BY tenant_global_id, is_highwatermark) AS n_plans FROM pm)
+    WHERE n_plans > 1
+    QUALIFY row_number() OVER (PARTITION BY tenant_global_id, is_highwatermark ORDER BY {RANK}, plan_name) = 1"""))
+def q_priority_pick(spark, sf):
+    from pyspark.sql import Window
+    pm = _pm(domain(spark, sf))
+    w = Window.partitionBy("tenant_global_id", "is_highwatermark")
+    multi = pm.withColumn("_multi", F.min("plan_name").over(w) != F.max("plan_name").over(w)).filter("_multi")
+    return select.pick_by_priority(multi, ["tenant_global_id", "is_highwatermark"], "plan_name",
+                                   hwm.PLAN_PRIORITY).select("tenant_global_id", "is_highwatermark", "plan_name")
+
+
+@query("peak_pick", with_ctes(["pmf"], """
+    SELECT tenant_global_id, record_date, profile_count FROM pmf WHERE is_highwatermark
+    QUALIFY row_number() OVER (PARTITION BY tenant_global_id ORDER BY profile_count DESC, record_date) = 1"""))
+def q_peak_pick(spark, sf):
+    rows = hwm.restrict_to_top_plan(_pm(domain(spark, sf)))
+    return select.peak(rows.filter("is_highwatermark"), ["tenant_global_id"], "profile_count", "record_date") \
+        .select("tenant_global_id", "record_date", "profile_count")
+
+
+@query("backfill_period", with_ctes(["picks_b"], "SELECT * FROM picks_b"))
+def q_backfill_period(spark, sf):
+    d = domain(spark, sf)
+    return hwm.month_picks(d.history, d.meta_all, BACKFILL_AS_OF, meta_as_of=d.as_of)
+
+
+_W0, _W1 = (f"DATE '{x.isoformat()}'" for x in hwm.billing_window(A.AS_OF))
+_PC = """CASE m.profile_type WHEN 'active' THEN coalesce(h.active_profiles, 0)
+                WHEN 'license' THEN coalesce(h.licensed_profiles, 0)
+                WHEN 'shared' THEN coalesce(h.active_profiles - coalesce(h.shared_profiles, 0), 0) END"""
+
+
+@query("recent_plan_hwm", with_ctes(["history", "meta_all"], f"""
+    WITH r AS (
+      SELECT h.record_date, h.tenant_global_id, m.is_highwatermark, h.plan_name, {_PC} AS profile_count
+      FROM history h JOIN meta_all m ON h.root = m.tenant_global_id
+      WHERE m.snapshot_date = DATE '{A.AS_OF.isoformat()}' AND h.record_date BETWEEN {_W0} AND {_W1}
+        AND h.approved AND h.billing_status IN ('Active', 'Active-POC')),
+    f AS (SELECT * FROM (SELECT *, first_value(plan_name) OVER (PARTITION BY tenant_global_id
+                                      ORDER BY record_date DESC) AS recent FROM r) x WHERE plan_name = recent)
+    SELECT tenant_global_id, record_date, is_highwatermark, plan_name FROM f WHERE is_highwatermark
+    QUALIFY row_number() OVER (PARTITION BY tenant_global_id ORDER BY profile_count DESC, record_date) = 1
+    UNION ALL
+    SELECT tenant_global_id, DATE '{A.AS_OF.isoformat()}', is_highwatermark, plan_name FROM f
+    WHERE NOT is_highwatermark
+    QUALIFY row_number() OVER (PARTITION BY tenant_global_id ORDER BY record_date DESC) = 1"""))
+def q_recent_plan_hwm(spark, sf):
+    d = domain(spark, sf)
+    return hwm.recent_plan_picks(d.history, d.meta_all, d.as_of)
+
+
+@query("hwm_max_by", with_ctes(["history", "meta_all"], f"""
+    WITH r AS (
+      SELECT h.record_date, h.tenant_global_id, m.is_highwatermark, h.plan_name, {_PC} AS profile_count
+      FROM history h JOIN meta_all m ON h.root = m.tenant_global_id
+      WHERE m.snapshot_date = DATE '{A.AS_OF.isoformat()}'
+        AND h.record_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'
+        AND h.approved AND h.billing_status IN ('Active', 'Active-POC')),
+    pk AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY tenant_global_id, is_highwatermark
+                                                      ORDER BY profile_count DESC, record_date) = 1),
+    lt AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY tenant_global_id, is_highwatermark
+                                                      ORDER BY record_date DESC) = 1)
+    SELECT pk.tenant_global_id, pk.is_highwatermark,
+           CASE WHEN pk.is_highwatermark THEN pk.record_date ELSE lt.record_date END AS record_date,
+           CASE WHEN pk.is_highwatermark THEN pk.plan_name ELSE lt.plan_name END AS plan_name,
+           CASE WHEN pk.is_highwatermark THEN pk.profile_count ELSE lt.profile_count END AS profile_count
+    FROM pk JOIN lt ON pk.tenant_global_id = lt.tenant_global_id AND pk.is_highwatermark = lt.is_highwatermark"""))
+def q_hwm_max_by(spark, sf):
+    d = domain(spark, sf)
+    meta = hwm.snapshot(d.meta_all, d.as_of, tracked_only=False)
+    return hwm.month_peak_max_by(d.history, meta, _dt.date(2024, 1, 1), _dt.date(2024, 1, 31))
+
+
+@query("point_in_time", with_ctes(["history", "meta"], f"""
+    SELECT DATE '{A.AS_OF.isoformat()}' AS date_recorded, h.* EXCLUDE (record_date), h.record_date AS hwm_date
+    FROM history h WHERE h.record_date = DATE '{A.AS_OF.isoformat()}' AND h.approved
+      AND h.billing_status IN ('Active', 'Active-POC') AND h.root IN (SELECT tenant_global_id FROM meta)"""))
+def q_point_in_time(spark, sf):
+    d = domain(spark, sf)
+    return hwm.point_in_time(d.history, d.meta_all, d.as_of)
+
+
+# ---------------------------------------------------------------------------
+# Layers (T11-T14)
+# ---------------------------------------------------------------------------
+from ..functions import paths  # noqa: E402
+from ..operators import tree as tree_ops  # noqa: E402
+
+_LAYER_SQL = ", ".join(
+    f"coalesce(left(root, 2) || '-' || regexp_extract_all(tree_key, '[0-9]+')[{i}], '') AS {n}_layer_id"
+    for i, n in enumerate(["first", "second", "third", "fourth", "fifth"], 1))
+_LAYERS = [f"{n}_layer_id" for n in ["first", "second", "third", "fourth", "fifth"]]
+
+
+def _layered(d):
+    rows = B.peak_rows(d)
+    meta = d.meta.select(F.col("tenant_global_id").alias("root"), F.lit("ltp").alias("is_ltp"))
+    rows = rows.join(F.broadcast(meta), "root", "left").withColumn("is_ltp", F.coalesce("is_ltp", F.lit("not_ltp")))
+    return tree_ops.with_layers(rows)
+
+
+@query("layer_columns", with_ctes(["hwm_rows", "meta"], f"""
+    SELECT h.tenant_global_id, h.root, h.tree_key,
+           CASE WHEN m.tenant_global_id IS NULL THEN 'not_ltp' ELSE 'ltp' END AS is_ltp, {_LAYER_SQL}
+    FROM (SELECT *, {_LAYER_SQL.replace('root', 'x.root').replace('tree_key', 'x.tree_key')} FROM hwm_rows x) h
+    LEFT JOIN meta m ON h.root = m.tenant_global_id""".replace(f", {_LAYER_SQL.replace('root', 'x.root').replace('tree_key', 'x.tree_key')}", "")))
+def q_layer_columns(spark, sf):
+    return _layered(domain(spark, sf)).select("tenant_global_id", "root", "tree_key", "is_ltp", *_LAYERS)
+
+
+_NAME_JOINS = "\n".join(
+    f"LEFT JOIN history n{i} ON n{i}.record_date = l.date_recorded AND n{i}.tenant_global_id = l.{n}_layer_id"
+    for i, n in enumerate(["first", "second", "third", "fourth", "fifth"], 1))
+_NAME_COLS = ", ".join(f"coalesce(n{i}.tenant_name, '') AS {n}_layer_name"
+                       for i, n in enumerate(["first", "second", "third", "fourth", "fifth"], 1))
+
+
+@query("layer_names", with_ctes(["hwm_rows", "history"], f"""
+    SELECT l.tenant_global_id, {', '.join('l.' + c for c in _LAYERS)}, {_NAME_COLS}
+    FROM (SELECT date_recorded, tenant_global_id, {_LAYER_SQL} FROM hwm_rows) l
+    {_NAME_JOINS}"""))
+def q_layer_names(spark, sf):
+    d = domain(spark, sf)
+    rows = tree_ops.with_layers(B.peak_rows(d)).withColumn("record_date", F.col("date_recorded"))
+    named = tree_ops.layer_names(rows.select("record_date", "tenant_global_id", *_LAYERS), d.history)
+    return named.select("tenant_global_id", *_LAYERS, *[c.replace("_id", "_name") for c in _LAYERS])
+
+
+@query("leaf_layer", with_ctes(["hwm_rows"], f"""
+    SELECT tenant_global_id, coalesce({', '.join(f"nullif(trim({c}), '')" for c in reversed(_LAYERS))}) AS leaf_id
+    FROM (SELECT tenant_global_id, {_LAYER_SQL} FROM hwm_rows)"""))
+def q_leaf_layer(spark, sf):
+    rows = tree_ops.with_layers(B.peak_rows(domain(spark, sf)))
+    return rows.select("tenant_global_id", paths.leaf(*_LAYERS).alias("leaf_id"))
+
+
+@query("region_split", with_ctes(["tree"], """
+    SELECT tenant_global_id, regexp_extract(tenant_global_id, '^([A-Za-z]+)-', 1) AS region,
+           regexp_replace(tenant_global_id, '[^0-9]', '', 'g') AS tenant_number FROM tree"""))
+def q_region_split(spark, sf):
+    t = domain(spark, sf).tree
+    return t.select("tenant_global_id", paths.region_of("tenant_global_id").alias("region"),
+                    paths.number_of("tenant_global_id").alias("tenant_number"))
+
+
+# ---------------------------------------------------------------------------
+# Seats, FX, rule comparison
+# ---------------------------------------------------------------------------
+from ..operators import allowance as N  # noqa: E402
+
+
+@query("seats_by_profile", with_ctes(["base"], "SELECT *, CAST(quantity AS BIGINT) AS q FROM base".replace(
+    "*, CAST(quantity AS BIGINT) AS q", "date_recorded, master, root, plan_name, eff_partner, profile_type, "
+    "CAST(quantity AS BIGINT) AS quantity")))
+def q_seats_by_profile(spark, sf):
+    fine = _ctx(domain(spark, sf))[4]
+    return pricing._regroup(fine, ["date_recorded", "master", "root", "plan_name", "eff_partner", "profile_type"]) \
+        .withColumn("quantity", F.col("quantity").cast("bigint"))
+
+
+@query("fx_lag_join", with_ctes(["fx"], """
+    SELECT isocode, conversionrate, CAST(startdate AS DATE) + 1 AS fx_date FROM fx"""))
+def q_fx_lag_join(spark, sf):
+    return N.fx_lag(domain(spark, sf).fx)
+
+
+FX_TARGET = _dt.date(2024, 2, 10)
+
+
+@query("fx_nearest", with_ctes(["fx"], f"""
+    SELECT isocode, conversionrate, startdate FROM fx
+    QUALIFY row_number() OVER (PARTITION BY isocode
+                               ORDER BY abs(datediff('day', startdate, DATE '{FX_TARGET.isoformat()}')), startdate) = 1"""))
+def q_fx_nearest(spark, sf):
+    return N.fx_nearest(domain(spark, sf).fx, FX_TARGET)
+
+
+@query("rule_compare", with_ctes(["lines", "partner_tot"], """
+    WITH j AS (
+      SELECT l.ltp, l.item, l.quantity, l.amount, td.total_customers, td.total_emails,
+             sum(CAST(l.amount AS DECIMAL(38,10))) OVER (PARTITION BY l.ltp) AS ltp_total
+      FROM lines l LEFT JOIN partner_tot td ON l.ltp = td.ltp WHERE l.partner_pricing = true),
+    r AS (
+      SELECT ltp, item, quantity,
+             CASE WHEN total_customers > 1 OR total_emails > 100 OR amount > 0
+                  THEN CASE WHEN quantity > 100 THEN quantity - 100 ELSE 0 END ELSE quantity END AS old_value,
+             CASE WHEN total_customers > 1 OR total_emails > 100 OR coalesce(ltp_total, 0) > 0
+                  THEN CASE WHEN quantity > 100 THEN quantity - 100 ELSE 0 END ELSE quantity END AS new_value
+      FROM j)
+    SELECT *, new_value - old_value AS difference FROM r WHERE old_value IS DISTINCT FROM new_value"""))
+def q_rule_compare(spark, sf):
+    d = domain(spark, sf)
+    lines = B.root_lines(d)
+    td = N.partner_totals(B.peak_rows(d), d.meta)
+    totals = lines.groupBy("ltp").agg(F.sum(F.col("amount").cast("decimal(38,10)")).alias("ltp_total"))
+    j = lines.filter(F.col("partner_pricing") == F.lit(True)).join(td, "ltp", "left").join(totals, "ltp", "left")
+    q = F.col("quantity")
+    over = F.when(q > 100, q - 100).otherwise(F.lit(0))
+    base = (F.col("total_customers") > 1) | (F.col("total_emails") > 100)
+    old = F.when(base | (F.col("amount") > 0), over).otherwise(q)
+    new = F.when(base | (F.coalesce(F.col("ltp_total"), F.lit(0)) > 0), over).otherwise(q)
+    return N.rule_compare(j, old, new, ["ltp", "item", "quantity"])

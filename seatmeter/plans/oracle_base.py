@@ -152,4 +152,7 @@ def with_ctes(names, final: str) -> str:
     for n in names:
         visit(n)
     parts = [f"{n} AS ({CTES[n][1]}\n)" for n in order]
-    return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + final
+    body = final.lstrip()
+    if body[:5].upper() == "WITH ":  # the final query has CTEs of its own: chain them
+        body = ",\n" + body[5:]
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + body
