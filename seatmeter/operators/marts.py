@@ -36,15 +36,14 @@ def itemize(lines: DataFrame, nfr: DataFrame | None, as_of, keys: Sequence[str]
     return out
 
 
-def pivot_items(df: DataFrame, keys: Sequence[str], item_col: str, values: Sequence[str],
-                measure: Column, prefix: str = "") -> DataFrame:
-    """Conditional pivot (M5): one column per listed item, max(measure) of that item.
+def pivot_items(df: DataFrame, keys: Sequence[str], item_col: str, values: dict[str, str],
+                measure: Column) -> DataFrame:
+    """Conditional pivot (M5): one column per listed item (value -> column name), max(measure).
 
-    ``values`` is the fixed item list, so Spark does not scan for distinct items
-    and the pivot stays one hash aggregate with partial aggregation.
+    The item list is fixed, so Spark does not scan for distinct items and the
+    pivot stays one hash aggregate with partial aggregation.
     """
-    aggs = [F.max(F.when(F.col(item_col) == v, measure)).alias(prefix + v.lower().replace(" ", "_").replace("&", "and"))
-            for v in values]
+    aggs = [F.max(F.when(F.col(item_col) == v, measure)).alias(name) for v, name in values.items()]
     return df.groupBy(*keys).agg(*aggs)
 
 

@@ -128,15 +128,15 @@ def volume(qty: DataFrame, tiers: DataFrame, on, keys: Sequence[str], qty_col: s
            price_col: str = "price", out: str = "amount") -> DataFrame:
     """All-units (volume) pricing (P25): the whole quantity at the reached tier's price."""
     j = qty.join(tiers, on).filter(tier_reached(qty_col, "tier_min", "tier_max"))
-    return j.groupBy(*keys).agg(
-        F.max_by(F.col(qty_col).cast("double") * F.col(price_col).cast("double"), F.col("tier_min")).alias(out))
+    whole = F.col(qty_col).cast("decimal(20,0)") * F.col(price_col).cast("decimal(18,4)")
+    return j.groupBy(*keys).agg(F.max_by(whole, F.col("tier_min")).alias(out))
 
 
 def unpivot_wide(wide: DataFrame, ids: Sequence[str], breaks: Sequence[tuple[str, int, int | None]]) -> DataFrame:
     """Legacy wide price columns -> long tier rows (P24): one (tier_min, tier_max, price) per column."""
     arr = F.array(*[F.struct(F.lit(lo).cast("int").alias("tier_min"),
                              F.lit(hi).cast("int").alias("tier_max"),
-                             F.col(c).cast("double").alias("price")) for c, lo, hi in breaks])
+                             F.col(c).cast("decimal(18,4)").alias("price")) for c, lo, hi in breaks])
     return wide.select(*ids, F.explode(arr).alias("t")).select(*ids, "t.tier_min", "t.tier_max", "t.price")
 
 
@@ -148,26 +148,28 @@ def allocate(parts: DataFrame, pool_keys: Sequence[str], part_qty: str, pool_amo
         out, share_of(F.col(part_qty), F.col("_pool_qty"), F.col(amount_col))).drop("_pool_qty")
 
 
-def pooled_threshold(df: DataFrame, pool_key: str, member_key: str, qty_col: str, tiers: DataFrame,
-                     tier_on, out: str = "amount") -> DataFrame:
+def pooled_threshold(df: DataFrame, keys: Sequence[str], pool_key: str, member_key: str, qty_col: str,
+                     tiers: DataFrame, tier_on: Sequence[str], out: str = "amount") -> DataFrame:
     """Tier picked by the pool's combined quantity, priced per member.
 
     sum(sum(q)) over (partition by pool): member totals first (partial
-    aggregation), then the pool total as an aggregate joined back, so no window
-    is keyed on the pool (a pool can be a third of all rows).
+    aggregation), then the pool total as a second aggregate joined back, so no
+    window is keyed on the pool (one pool can hold a third of all rows).
     """
-    members = df.groupBy(pool_key, member_key).agg(F.sum(qty_col).alias("member_qty"))
-    pools = members.groupBy(pool_key).agg(F.sum("member_qty").alias("pool_qty"))
-    m = members.join(pools, pool_key)
-    priced = m.join(tiers, tier_on).filter(tier_reached("pool_qty", "tier_min", "tier_max"))
-    return priced.select(pool_key, member_key, "member_qty", "pool_qty", "tier_min",
-                         (F.col("member_qty").cast("double") * F.col("price").cast("double")).alias(out))
+    keys = list(keys)
+    members = df.groupBy(*keys, pool_key, member_key).agg(F.sum(qty_col).alias("member_qty"))
+    pools = members.groupBy(*keys, pool_key).agg(F.sum("member_qty").alias("pool_qty"))
+    m = members.join(pools, [*keys, pool_key])
+    priced = m.join(tiers, list(tier_on)).filter(tier_reached("pool_qty", "tier_min", "tier_max"))
+    return priced.select(*keys, pool_key, member_key, "member_qty", "pool_qty", "tier_min",
+                         (F.col("member_qty").cast("decimal(20,0)") * F.col("price").cast("decimal(18,4)"))
+                         .cast("double").alias(out))
 
 
 def min_quantity(qty: Column, floor_qty, price: Column) -> Column:
     """Minimum billed quantity (P27): greatest(q, floor) * price."""
-    return F.greatest(qty, F.lit(floor_qty) if not isinstance(floor_qty, Column) else floor_qty).cast("double") \
-        * price.cast("double")
+    floor_col = F.lit(floor_qty) if not isinstance(floor_qty, Column) else floor_qty
+    return F.greatest(qty, floor_col).cast("decimal(20,0)") * price.cast("decimal(18,4)")
 
 
 # ---------------------------------------------------------------------------

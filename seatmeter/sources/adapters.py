@@ -242,3 +242,55 @@ def fx_rates(t: Tables) -> DataFrame:
         .cast("decimal(18,4)").alias("conversionrate"),
         "startdate",
     )
+
+
+# ---------------------------------------------------------------------------
+# Usage lines (lineitem world): monthly metered usage per partner and item
+# ---------------------------------------------------------------------------
+# Item tiers (min, max, multiplier of the item's base price).
+ITEM_TIERS = [(1, 50, 1.0), (51, 200, 0.9), (201, None, 0.8)]
+MIN_BILLED_QTY = 100
+ITEMS = [f"Brand#{i}" for i in range(1, 26)]        # the 25 part brands, by rule
+
+
+def usage_lines(t: Tables) -> DataFrame:
+    """One row per lineitem: month, partner (nation), pool (region), tenant (customer), item (brand)."""
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate")
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
+    c = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
+    p = t.part.select("p_partkey", "p_brand", "p_type", "p_retailprice")
+    n = t.nation.select("n_nationkey", "n_regionkey")
+    j = (li.join(o, li.l_orderkey == o.o_orderkey)
+         .join(c, F.col("o_custkey") == c.c_custkey)
+         .join(p, F.col("l_partkey") == p.p_partkey)
+         .join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey))
+    moved = F.col("o_orderpriority") == "5-LOW"   # these orders are billed through the next partner
+    return j.select(
+        F.to_date(F.date_trunc("month", "l_shipdate")).alias("billing_date"),
+        F.concat(F.lit("N-"), F.col("c_nationkey").cast("string")).alias("ltp"),
+        F.concat(F.lit("N-"), F.when(moved, (F.col("c_nationkey") + 1) % 25).otherwise(F.col("c_nationkey"))
+                 .cast("string")).alias("channel_ltp"),
+        F.concat(F.lit("R-"), F.col("n_regionkey").cast("string")).alias("pool"),
+        F.col("n_regionkey").alias("region_key"),
+        F.concat(F.lit("C-"), F.col("o_custkey").cast("string")).alias("tenant"),
+        F.col("p_brand").alias("item"), F.col("p_type").alias("sku"),
+        (F.col("o_orderpriority") == "1-URGENT").alias("is_nfr"),
+        F.col("l_quantity").cast("bigint").alias("quantity"),
+        F.round((F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).cast("decimal(38,10)"), 4)
+        .cast("decimal(18,4)").alias("revenue"),
+        F.col("p_retailprice").alias("list_price"),
+        F.when(F.col("c_mktsegment") == "BUILDING", "disti").when(F.col("c_mktsegment") == "MACHINERY", "oem")
+        .otherwise("msp").alias("ltp_type"),
+        F.to_date("o_orderdate").alias("order_date"),
+    )
+
+
+def item_tiers(t: Tables) -> DataFrame:
+    """Tier rows per item: base = min list price of the brand / 100, times the tier multiplier."""
+    base = t.part.groupBy(F.col("p_brand").alias("item")).agg(F.min("p_retailprice").alias("rp"))
+    tiers = F.array(*[F.struct(F.lit(a).cast("int").alias("tier_min"), F.lit(b).cast("int").alias("tier_max"),
+                               F.lit(m).alias("mult")) for a, b, m in ITEM_TIERS])
+    return base.select("item", "rp", F.explode(tiers).alias("t")).select(
+        "item", "t.tier_min", "t.tier_max",
+        F.round((F.col("rp") / 100.0 * F.col("t.mult")).cast("decimal(38,10)"), 4).cast("decimal(18,4)")
+        .alias("price"))
