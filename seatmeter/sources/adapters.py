@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import tree as tree_ops
+from ..functions.joins import dim, tiny
 from .tables import Tables
 
 # ---------------------------------------------------------------------------
@@ -72,7 +73,7 @@ def company_brand(t: Tables) -> tuple[DataFrame, DataFrame]:
     """company (id, brand_id, name, region, approved) and brand (id, owner_id, name)."""
     cust = t.customer.select("c_custkey", "c_name", "c_nationkey")
     region = t.nation.select("n_nationkey", "n_regionkey")
-    company = cust.join(F.broadcast(region), cust.c_nationkey == region.n_nationkey, "left").select(
+    company = cust.join(tiny(region), cust.c_nationkey == region.n_nationkey, "left").select(
         F.col("c_custkey").alias("id"),
         F.when(F.col("c_custkey") >= 10, F.col("c_custkey")).cast("bigint").alias("brand_id"),
         F.col("c_name").alias("name"),
@@ -134,7 +135,7 @@ def account_meta(t: Tables, as_of=AS_OF) -> DataFrame:
     """One meta row per root (customers with id < 10), snapshot ``as_of``."""
     roots = t.customer.filter(F.col("c_custkey") < 10).select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nat = t.nation.select("n_nationkey", "n_regionkey")
-    r = roots.join(F.broadcast(nat), roots.c_nationkey == nat.n_nationkey, "left")
+    r = roots.join(tiny(nat), roots.c_nationkey == nat.n_nationkey, "left")
     k = F.col("c_custkey")
     return r.select(
         F.lit(as_of).alias("snapshot_date"),
@@ -263,7 +264,7 @@ def usage_lines(t: Tables) -> DataFrame:
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
          .join(c, F.col("o_custkey") == c.c_custkey)
          .join(p, F.col("l_partkey") == p.p_partkey)
-         .join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey))
+         .join(tiny(n), F.col("c_nationkey") == n.n_nationkey))
     moved = F.col("o_orderpriority") == "5-LOW"   # these orders are billed through the next partner
     return j.select(
         F.to_date(F.date_trunc("month", "l_shipdate")).alias("billing_date"),
