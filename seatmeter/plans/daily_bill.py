@@ -104,3 +104,20 @@ def itemized(d: Domain, as_of=None, peak: bool = True) -> DataFrame:
     # the partner-seat lines always come from the peak calculation
     nfr = partner_seats(d, as_of, lines if peak else root_lines(d, as_of, True))
     return marts.itemize(lines, nfr, as_of)
+
+
+def subtenant_lines(d: Domain, as_of=None) -> DataFrame:
+    """Sub-tenant lines priced from the root bill."""
+    from ..operators import subtenant, tree as tree_ops
+    as_of = as_of or d.as_of
+    key = ("itemized", str(as_of))
+    if key not in d.memo:
+        d.memo[key] = materialize(itemized(d, as_of))
+    bill = d.memo[key]
+    meta = hwm.snapshot(d.meta_all, as_of)
+    prices = d.price_list.filter(d.price_list.snapshot_date == as_of).select(
+        "tenant_global_id", "sku", "is_nfr", "tier_min", "tier_max", "price", "start_date", "end_date",
+        "price_type").distinct()
+    picks = hwm.addon_peak(d.history, d.meta_all, as_of)
+    return subtenant.subtenant_lines(tree_ops.with_layers(peak_rows(d, as_of)),
+                                     tree_ops.with_layers(addon_rows(d, as_of)), picks, meta, prices, bill)
