@@ -1,23 +1,30 @@
 """Sinks and materialisation (M2-M4).
 
-``materialize`` cuts lineage with ``checkpoint()`` into the cluster's
-``spark.checkpoint.dir`` (a shared, fault-tolerant folder), so a lost executor
-does not force a recompute of the whole upstream plan and the reused table is
-computed once. ``write_day`` replaces one billing day idempotently.
+``materialize`` writes a reused intermediate table as Parquet into the
+cluster's shared ``spark.checkpoint.dir`` and reads it back. That cuts the
+lineage (a lost executor re-reads the file instead of recomputing the whole
+upstream plan), computes the table in a single job (``checkpoint()`` without a
+cache runs the plan twice), and gives the planner real file sizes, so small
+results are broadcast and large ones stay shuffle joins.
+``write_day`` replaces one billing day idempotently.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def write_day(df: DataFrame, path: str, date_col: str = "billing_date", fmt: str = "parquet") -> None:

@@ -2,28 +2,27 @@
 
 The closure is a frontier loop: each level is one equi-join of the frontier
 with the (brand -> company) edge list, so a level costs one shuffle of the
-frontier, not of the whole tree. Levels are persisted once and the lineage is
-cut with ``checkpoint()`` every few levels (written to the cluster's
-``spark.checkpoint.dir``), so neither the plan nor recomputation grows with
-depth. A node already on its own path is never expanded again (cycle guard).
+frontier, not of the whole tree. Each level is written once to the cluster's
+shared ``spark.checkpoint.dir`` and read back, so neither the plan nor a
+recomputation after executor loss grows with depth, and the emptiness test
+reads one written row. A node already on its own path is never expanded again
+(cycle guard).
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import paths
+from .sinks import materialize
 
 MAX_DEPTH = 100
-CHECKPOINT_EVERY = 4
 
 
-def closure(company: DataFrame, brand: DataFrame, max_depth: int = MAX_DEPTH,
-            checkpoint_every: int = CHECKPOINT_EVERY) -> DataFrame:
+def closure(company: DataFrame, brand: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     """Recursive tenant tree.
 
     company: id, brand_id (NULL for roots), name, region
@@ -45,11 +44,10 @@ def closure(company: DataFrame, brand: DataFrame, max_depth: int = MAX_DEPTH,
             F.col("id").alias("c_id"), F.col("brand_id").alias("b_id"), F.col("name").alias("c_name")),
         "b_id",
     )
+    edges = materialize(edges, "edges")
     levels = []
-    for level in range(max_depth):
-        frontier = frontier.persist(StorageLevel.MEMORY_AND_DISK)
-        if level and level % checkpoint_every == 0:
-            frontier = frontier.checkpoint(eager=True)
+    for _ in range(max_depth):
+        frontier = materialize(frontier, "tree-level")
         if frontier.isEmpty():
             break
         levels.append(frontier)
