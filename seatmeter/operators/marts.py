@@ -13,20 +13,22 @@ from ..functions.money import dec
 ITEM_KEYS = ["billing_date", "ltp", "item", "sku", "partner_pricing", "price_type"]
 
 
-def itemize(lines: DataFrame, nfr: DataFrame | None, as_of, keys: Sequence[str] = ("ltp",)) -> DataFrame:
+def itemize(lines: DataFrame, nfr: DataFrame | None, as_of, keys: Sequence[str] = ("ltp",),
+            qty_col: str = "quantity") -> DataFrame:
     """Itemized bill (M1): lines grouped to the bill grain plus partner-seat lines.
 
-    Amounts are rounded to 4 decimals per line and summed as DECIMAL, so the
-    total does not depend on row order.
+    ``keys`` is the partner grain (the root, or the five layer ids); partner-seat
+    lines land on the first key with the other keys NULL. Amounts are rounded to
+    4 decimals per line and summed as DECIMAL, so totals do not depend on row order.
     """
     d = F.lit(as_date(as_of))
     grain = [*keys, "item", "sku", "partner_pricing", "price_type"]
-    g = lines.groupBy(*grain).agg(F.sum("quantity").cast("bigint").alias("quantity"),
+    g = lines.groupBy(*grain).agg(F.sum(qty_col).cast("bigint").alias("quantity"),
                                   F.sum(dec("amount")).cast("double").alias("amount"))
     out = g.select(d.alias("billing_date"), *grain, "quantity", "amount")
     if nfr is not None:
         n = nfr.select(d.alias("billing_date"), F.col("tenant_global_id").alias(keys[0]),
-                       *[F.lit("").alias(k) for k in keys[1:]],
+                       *[F.lit(None).cast("string").alias(k) for k in keys[1:]],
                        F.lit("NFR").alias("item"), F.lit("IS-LTP-NFR").alias("sku"),
                        F.lit(None).cast("boolean").alias("partner_pricing"),
                        F.lit(None).cast("string").alias("price_type"),
@@ -67,3 +69,105 @@ def channel_rollup(df: DataFrame, qty: str, names: DataFrame) -> DataFrame:
         "ltp_type", "first_layer_id", F.coalesce("first_layer_name", F.lit("")).alias("first_layer_name"),
         "second_layer_id", F.coalesce("second_layer_name", F.lit("")).alias("second_layer_name"),
         "quantity", "tenants")
+
+
+# Mailbox-mart pivot columns (column prefix, item, partner flag or None for any).
+MAILBOX_ITEMS = [
+    ("Email_Protect", "Email Protect", False),
+    ("Email_Protect_NFR", "Email Protect", True),
+    ("Complete_Protect", "Complete Protect", False),
+    ("Complete_Protect_NFR", "Complete Protect", True),
+    ("Core", "Core", False),
+    ("Premium_Content_Habitu8", "Habitu8", None),
+    ("Premium_Content_NINJIO", "NINJIO", None),
+    ("Premium_Content_Cybermaniacs", "Cybermaniacs Videos", None),
+    ("Account_Takeover", "Account Takeover", None),
+    ("Incident_Mgmt", "Incident Management", None),
+    ("ST_Bundle_Plus", "S&T Bundle Plus", None),
+]
+PREMIUM_PACKS = [("Premium_Content_Habitu8", "Habitu8"), ("Premium_Content_NINJIO", "NINJIO"),
+                 ("Premium_Content_Cybermaniacs", "Cybermaniacs Videos")]
+
+
+def leaf_case(layers: Sequence[str]) -> Column:
+    """Deepest set layer, the first layer otherwise (NULL and '' count as unset)."""
+    expr = None
+    for c in reversed(layers[1:]):
+        cond = F.col(c).isNotNull() & (F.col(c) != "")
+        expr = F.when(cond, F.col(c)) if expr is None else expr.when(cond, F.col(c))
+    return expr.otherwise(F.col(layers[0]))
+
+
+def item_flags(sub_itemized: DataFrame, layers: Sequence[str]) -> DataFrame:
+    """Per billed tenant: for each listed item a flag and a quantity (M5 over the sub-tenant bill)."""
+    base = sub_itemized.select("billing_date", leaf_case(layers).alias("tenant_global_id"), "item",
+                               "partner_pricing", "quantity")
+    aggs = []
+    for name, item, pp in MAILBOX_ITEMS:
+        cond = F.col("item") == item
+        if pp is not None:
+            cond = cond & (F.col("partner_pricing") == F.lit(pp))
+        aggs.append(F.max(F.when(cond, F.lit(True)).otherwise(F.lit(False))).alias(name))
+        aggs.append(F.max(F.when(cond, F.col("quantity")).otherwise(F.lit(0))).cast("bigint")
+                    .alias(f"{name}_of_Licenses"))
+    return base.groupBy("billing_date", "tenant_global_id").agg(*aggs)
+
+
+def add_on_object(premium_name: Column, dmarc: Column) -> Column:
+    """Sparse JSON of active add-ons (M7); the first premium pack present wins the repeated keys."""
+    pack = None
+    for col, label in PREMIUM_PACKS:
+        pack = F.when(F.col(col), F.lit(label)) if pack is None else pack.when(F.col(col), F.lit(label))
+    qty = None
+    for col, _ in PREMIUM_PACKS:
+        v = F.coalesce(F.col(f"{col}_of_Licenses"), F.lit(0))
+        qty = F.when(F.col(col), v) if qty is None else qty.when(F.col(col), v)
+    q = lambda s: F.concat(F.lit('"'), s, F.lit('"'))
+    parts = [
+        F.when(pack.isNotNull(), F.lit('"PREMIUM_SAT_PACK":true')),
+        F.when(pack.isNotNull(), F.concat(F.lit('"PREMIUM_SAT_PACK_QUANTITY":'), qty.cast("string"))),
+        F.when(pack.isNotNull(), F.concat(F.lit('"PREMIUM_SAT_PACK_NAME":'), q(pack))),
+        F.when(F.col("Account_Takeover"), F.lit('"ATO":true')),
+        F.when(F.col("Account_Takeover"), F.concat(F.lit('"ATO_QUANTITY":'),
+                                                   F.coalesce(F.col("Account_Takeover_of_Licenses"), F.lit(0))
+                                                   .cast("string"))),
+        F.when(premium_name.isNotNull(), F.concat(F.lit('"SAT_CONTENT_PACK":'), q(premium_name))),
+        F.when(dmarc.isNotNull(), F.concat(F.lit('"DMARC":'), dmarc.cast("string"))),
+    ]
+    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+
+
+def mailbox_mart(peak: DataFrame, history: DataFrame, meta: DataFrame, sub_itemized: DataFrame, as_of,
+                 region: str, layers: Sequence[str]) -> DataFrame:
+    """Regional billable-mailbox mart (M6): peak rows, the snapshot at the peak day, meta and the
+    per-tenant item pivot of the sub-tenant bill, with the sparse add-on object."""
+    d = as_date(as_of)
+    flags = item_flags(sub_itemized, layers).filter(F.col("billing_date") == F.lit(d)).drop("billing_date")
+    gh = history.select(F.col("record_date").alias("_gh_date"), F.col("tenant_global_id").alias("_gh_id"),
+                        F.col("billing_status").alias("_gh_status"), F.col("approved").alias("_gh_approved"),
+                        F.col("registration_date").alias("_gh_reg"), F.col("tree_key").alias("_gh_key"),
+                        F.col("not_nfr_partner").alias("_gh_not_nfr"))
+    m = meta.select(F.col("tenant_global_id").alias("root"), "profile_type",
+                    F.col("is_highwatermark").alias("high_water_mark"))
+    g = peak.filter(F.col("date_recorded") == F.lit(d))
+    j = (g.join(gh, (g.hwm_date == gh._gh_date) & (g.tenant_global_id == gh._gh_id), "left")
+         .join(m, "root", "left").join(flags, "tenant_global_id", "left"))
+    j = j.filter((F.regexp_extract("tenant_global_id", "[A-Za-z]+", 0) == region)
+                 & F.col("_gh_status").isin("Active", "Active-POC") & F.col("_gh_approved"))
+    a, lic, sh = (F.coalesce(F.col(c), F.lit(0)) for c in ("active_profiles", "licensed_profiles", "shared_profiles"))
+    pt = F.col("profile_type")
+    billable = (F.when(pt == "active", a).when(pt == "license", lic)
+                .when(pt == "shared", F.when(F.col("shared_profiles").isNull(), a)
+                      .otherwise(F.coalesce(F.col("active_profiles") - F.col("shared_profiles"), F.lit(0)))))
+    pivot_cols = [c for name, _, _ in MAILBOX_ITEMS for c in (name, f"{name}_of_Licenses")]
+    return j.select(
+        F.lit(d).alias("record_date"), F.date_sub(F.col("date_recorded"), 1).alias("billing_date"),
+        F.regexp_replace("tenant_global_id", "[^0-9]", "").alias("tenant_number"), "tenant_name",
+        F.regexp_replace("parent_global_id", "[^0-9]", "").alias("parent_number"), "parent_name",
+        lic.alias("licensed_profiles"), a.alias("active_profiles"), sh.alias("shared_profiles"),
+        billable.alias("billable_profiles"), "plan_name", F.col("_gh_reg").alias("registration_date"),
+        add_on_object(F.col("premium_name"), F.col("dmarc_management")).alias("active_add_ons"),
+        "high_water_mark",
+        F.when(F.col("_gh_not_nfr") == F.lit(True), F.lit(False)).otherwise(F.col("partner_pricing"))
+        .alias("not_for_resale_flag"),
+        F.col("_gh_key").alias("tree_key"), *pivot_cols)

@@ -121,3 +121,23 @@ def subtenant_lines(d: Domain, as_of=None) -> DataFrame:
     picks = hwm.addon_peak(d.history, d.meta_all, as_of)
     return subtenant.subtenant_lines(tree_ops.with_layers(peak_rows(d, as_of)),
                                      tree_ops.with_layers(addon_rows(d, as_of)), picks, meta, prices, bill)
+
+
+LAYERS = ["first_layer_id", "second_layer_id", "third_layer_id", "fourth_layer_id", "fifth_layer_id"]
+
+
+def subtenant_itemized(d: Domain, as_of=None) -> DataFrame:
+    """Sub-tenant itemized bill (M1 at layer grain) with the partner-seat lines on the first layer."""
+    as_of = as_of or d.as_of
+    key = ("sub_itemized", str(as_of))
+    if key not in d.memo:
+        lines = subtenant_lines(d, as_of)
+        d.memo[key] = materialize(marts.itemize(lines, partner_seats(d, as_of), as_of, keys=LAYERS,
+                                                qty_col="billable_quantity"), "sub-itemized")
+    return d.memo[key]
+
+
+def mailbox_mart(d: Domain, region: str = "US", as_of=None) -> DataFrame:
+    as_of = as_of or d.as_of
+    return marts.mailbox_mart(peak_rows(d, as_of), d.history, hwm.snapshot(d.meta_all, as_of),
+                              subtenant_itemized(d, as_of), as_of, region, LAYERS)
