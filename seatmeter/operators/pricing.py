@@ -405,3 +405,55 @@ def daily_lines(hwm: DataFrame, dmarc_hwm: DataFrame, meta: DataFrame, price_lis
     for b in branches[1:]:
         charges = charges.unionByName(b)
     return charges.unionByName(min_commit_lines(charges, commits, unified, as_of))
+
+
+# ---------------------------------------------------------------------------
+# Legacy add-on menu
+# ---------------------------------------------------------------------------
+# Fixed values: (item, billing sku, flag column, price-list sku); premium packs use
+# the pack name as the item, domains bill the domain count.
+ADDON_MENU = [
+    ("Incident Management", "IS-LTP-IM", "incident_management", "Incident Management"),
+    ("S&T Bundle Plus", "IS-LTP-STBP", "simulation_and_training_bundle_plus", "STBP"),
+    ("Account Takeover", "IS-LTP-ATO", "ato", "ATO"),
+]
+
+
+def addon_menu(rows: DataFrame, meta: DataFrame, prices: DataFrame) -> DataFrame:
+    """All flat add-ons of the legacy menu in one pass.
+
+    Each snapshot row emits one entry per enabled add-on (``explode`` of a
+    definition array), then a single aggregate prices every add-on; the
+    reference scans the table once per add-on and unions the branches.
+    Set-union semantics are kept with a final ``distinct``.
+    """
+    h = rows.filter(F.col("approved") & F.col("billing_status").isin("Active", "Active-POC"))
+    m = meta.select(F.col("tenant_global_id").alias("root"), "profile_type")
+    h = h.join(m, "root", "left")
+
+    def entry(cond, item, sku, psku, a, lic, s):
+        return F.when(cond, F.struct(item.alias("item"), F.lit(sku).alias("sku"), F.lit(psku).alias("psku"),
+                                     a.cast("bigint").alias("a"), lic.cast("bigint").alias("l"),
+                                     s.cast("bigint").alias("s")))
+
+    seats = (F.col("active_profiles"), F.col("licensed_profiles"), F.col("shared_profiles"))
+    defs = [entry(F.col("premium_name").isin(*PREMIUM_NAMES), F.col("premium_name"), "IS-LTP-PSCP", "PSCP", *seats)]
+    defs += [entry(F.col(flag) == F.lit(True), F.lit(item), sku, psku, *seats) for item, sku, flag, psku in ADDON_MENU]
+    dom = F.col("dmarc_domains_number")
+    defs.append(entry((F.col("dmarc_management") == F.lit(True)) & F.col("dmarc_ironscales_plan").isNotNull()
+                      & (dom > 0), F.lit("DMARC Domains"), "IS-LTP-DMARC", "DMARC", dom, dom, F.lit(None)))
+    ex = h.select("date_recorded", "root", "profile_type",
+                  F.explode(F.filter(F.array(*defs), lambda x: x.isNotNull())).alias("e"))
+    g = ex.groupBy("date_recorded", "root", "profile_type", "e.item", "e.sku", "e.psku").agg(
+        F.sum("e.a").alias("sa"), F.sum("e.l").alias("sl"), F.sum("e.s").alias("ss"))
+    domains = F.col("sku") == "IS-LTP-DMARC"
+    qty = F.when(domains, F.col("sa")).otherwise(seat_quantity(F.col("profile_type"), F.col("sa"), F.col("sl"),
+                                                               F.col("ss")))
+    p = prices.filter((F.col("tier_min") == 1) & (F.col("is_nfr") == F.lit(False))).select(
+        F.col("tenant_global_id").alias("root"), F.col("sku").alias("psku"), "price")
+    out = g.withColumn("quantity", qty).join(p, ["root", "psku"], "left")
+    return out.select("date_recorded", F.col("root").alias("ltp"), "item", "sku",
+                      F.col("quantity").cast("bigint").alias("quantity"),
+                      F.lit(None).cast("boolean").alias("partner_pricing"),
+                      (F.col("quantity").cast("decimal(20,0)") * F.col("price").cast("decimal(18,4)"))
+                      .cast("double").alias("amount")).distinct()

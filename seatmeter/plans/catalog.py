@@ -461,3 +461,11 @@ def q_subtenant_itemized(spark, sf):
                                  oracle_bill.mailbox_sql(MAILBOX_REGION)))
 def q_mailbox_mart(spark, sf):
     return B.mailbox_mart(domain(spark, sf), MAILBOX_REGION)
+
+
+@query("addon_menu", with_ctes(["addon_menu"], "SELECT * FROM addon_menu"))
+def q_addon_menu(spark, sf):
+    d = domain(spark, sf)
+    picks = hwm.recent_plan_picks(d.history, d.meta_all, d.as_of)
+    rows = hwm.rejoin(d.history, picks, d.as_of)
+    return pricing.addon_menu(rows, d.meta, pricing.resolve_prices(d.price_list, d.as_of))
