@@ -269,9 +269,7 @@ def premium_lines(fine: DataFrame, prices: DataFrame) -> DataFrame:
     The price join has no partner predicate (as in the reference), so several
     price rows for the sku multiply the pool quantity and amount alike.
     """
-    b = _regroup(fine.filter(F.col("premium_name").isin(*PREMIUM_NAMES)),
-                 ["date_recorded", "master", "root", "plan_name", "eff_partner", "profile_type",
-                  "incident_management", "simulation_and_training_bundle_plus", "ato", "premium_name"])
+    b = _flag_quantity(fine, F.col("premium_name").isin(*PREMIUM_NAMES))
     pkeys = ["date_recorded", "master", "premium_name", "profile_type"]
     pm = b.join(_flat_price(prices, "PSCP"), "master").groupBy(*pkeys).agg(
         F.sum("quantity").alias("combined_quantity"),
@@ -287,10 +285,9 @@ def premium_lines(fine: DataFrame, prices: DataFrame) -> DataFrame:
 
 
 def _flag_quantity(fine: DataFrame, cond: Column) -> DataFrame:
-    b = _regroup(fine.filter(cond),
-                 ["date_recorded", "master", "root", "plan_name", "eff_partner", "profile_type",
-                  "incident_management", "simulation_and_training_bundle_plus", "ato", "premium_name"])
-    return b
+    """Seat quantity of the fine-grain rows matching ``cond`` (already one row per fine key)."""
+    return fine.filter(cond).withColumn(
+        "quantity", seat_quantity(F.col("profile_type"), F.col("sum_a"), F.col("sum_l"), F.col("sum_s")))
 
 
 def tiered_addon_lines(fine: DataFrame, prices: DataFrame, flag: str = "incident_management",

@@ -2,17 +2,18 @@
 
 The closure is a frontier loop: each level is one equi-join of the frontier
 with the (brand -> company) edge list, so a level costs one shuffle of the
-frontier, not of the whole tree. Each level is written once to the cluster's
-shared ``spark.checkpoint.dir`` and read back, so neither the plan nor a
-recomputation after executor loss grows with depth, and the emptiness test
-reads one written row. A node already on its own path is never expanded again
-(cycle guard).
+frontier, not of the whole tree. Each level is computed once (persisted and
+counted in one job); every few levels it is written to the cluster's shared
+``spark.checkpoint.dir`` and read back, which cuts the lineage, so neither the
+plan nor a recomputation after executor loss grows with depth. A node already
+on its own path is never expanded again (cycle guard).
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,9 +21,11 @@ from ..functions import paths
 from .sinks import materialize
 
 MAX_DEPTH = 100
+WRITE_EVERY = 4
 
 
-def closure(company: DataFrame, brand: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def closure(company: DataFrame, brand: DataFrame, max_depth: int = MAX_DEPTH,
+            write_every: int = WRITE_EVERY) -> DataFrame:
     """Recursive tenant tree.
 
     company: id, brand_id (NULL for roots), name, region
@@ -44,11 +47,13 @@ def closure(company: DataFrame, brand: DataFrame, max_depth: int = MAX_DEPTH) ->
             F.col("id").alias("c_id"), F.col("brand_id").alias("b_id"), F.col("name").alias("c_name")),
         "b_id",
     )
-    edges = materialize(edges, "edges")
+    edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
     levels = []
-    for _ in range(max_depth):
-        frontier = materialize(frontier, "tree-level")
-        if frontier.isEmpty():
+    for level in range(max_depth):
+        if level and level % write_every == 0:
+            frontier = materialize(frontier, "tree-level")
+        frontier = frontier.persist(StorageLevel.MEMORY_AND_DISK)
+        if frontier.count() == 0:
             break
         levels.append(frontier)
         piece = paths.path_piece("c_id")

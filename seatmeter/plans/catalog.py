@@ -469,3 +469,13 @@ def q_addon_menu(spark, sf):
     picks = hwm.recent_plan_picks(d.history, d.meta_all, d.as_of)
     rows = hwm.rejoin(d.history, picks, d.as_of)
     return pricing.addon_menu(rows, d.meta, pricing.resolve_prices(d.price_list, d.as_of))
+
+
+@query("subtenant_flat", with_ctes(["sub_flat"], "SELECT " + _SUB.format("sub_flat")))
+def q_subtenant_flat(spark, sf):
+    from ..operators import subtenant
+    sub = B.subtenant_lines(domain(spark, sf))
+    flat_skus = [v[2] for v in pricing.PLAN_SKUS.values() if v[2]] + ["IS-LTP-PSCP", "IS-LTP-IM", "IS-LTP-STBP",
+                                                                      "IS-LTP-ATO"]
+    del subtenant
+    return _sub_out(sub.filter(F.col("sku").isin(*flat_skus)))

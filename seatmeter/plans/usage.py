@@ -77,11 +77,28 @@ SQL = {
 _CACHE: dict = {}
 
 
+FACT_GRAIN = ["billing_date", "ltp", "channel_ltp", "pool", "region_key", "tenant", "item", "sku", "is_nfr",
+              "ltp_type"]
+
+
 def usage(spark, sf_dir):
-    """The usage table, written once per (session, folder) like a stored fact table."""
+    """The monthly usage fact, written once per (session, folder) like a stored fact table.
+
+    Lines are aggregated to (month, partner, channel, tenant, item, sku, flag)
+    with partial aggregation before the shuffle; every consumer rolls up from
+    this grain exactly (sums of sums, min of mins, max of maxes), so the raw
+    lineitem-width join is never written out.
+    """
     key = (id(spark), sf_dir)
     if key not in _CACHE:
-        _CACHE[key] = materialize(A.usage_lines(Tables(spark, sf_dir)))
+        lines = A.usage_lines(Tables(spark, sf_dir))
+        unit = F.round((F.col("revenue").cast("double") / F.col("quantity")).cast("decimal(38,10)"), 4) \
+            .cast("decimal(18,4)")
+        fact = lines.groupBy(*FACT_GRAIN).agg(
+            F.sum("quantity").alias("quantity"), F.sum("revenue").alias("revenue"),
+            F.max("list_price").alias("list_price"), F.min("order_date").alias("order_date"),
+            F.min(unit).alias("unit_price"))
+        _CACHE[key] = materialize(fact, "usage-fact")
     return _CACHE[key]
 
 
@@ -165,10 +182,9 @@ def bridge_lines(spark, sf):
 
 
 def bridge_rates(spark, sf):
-    unit = F.round((F.col("revenue").cast("double") / F.col("quantity")).cast("decimal(38,10)"), 4).cast("decimal(18,4)")
     return usage(spark, sf).groupBy(F.col("billing_date").alias("snapshot_date"),
                                     F.col("channel_ltp").alias("tenant_global_id"), F.col("item").alias("sku")) \
-        .agg(F.min(unit).alias("price"))
+        .agg(F.min("unit_price").alias("price"))
 
 
 def bridge_currency(spark, sf):
