@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import bridge_anchors
 from ..functions.money import money  # noqa: F401
-from ..functions.joins import dim, tiny
+from ..functions.joins import dim
 
 GRAIN = ["global_tenant_id", "first_layer_id", "second_layer_id", "third_layer_id", "fourth_layer_id",
          "fifth_layer_id", "item", "sku", "is_nfr"]
@@ -60,9 +60,9 @@ def snapshot_meta(f: DataFrame, day, suffix: str) -> DataFrame:
 
 
 def as_of_snapshot(df: DataFrame, date_col: str, day) -> DataFrame:
-    """Rows of the latest snapshot on or before ``day`` (S4), as a one-row scalar join."""
-    latest = df.filter(F.col(date_col) <= F.lit(day)).agg(F.max(date_col).alias("_latest"))
-    return df.join(tiny(latest), F.col(date_col) == F.col("_latest")).drop("_latest")
+    """Rows of the latest snapshot on or before ``day`` (S4): a scalar subquery, evaluated once."""
+    latest = df.filter(F.col(date_col) <= F.lit(day)).agg(F.max(date_col)).scalar()
+    return df.filter(F.col(date_col) == latest)
 
 
 def channel_flags(f: DataFrame, prior, current) -> DataFrame:

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.joins import tiny
-
 
 def explode_values(df: DataFrame, key: str, text: str, sep: str, out: str = "reason") -> DataFrame:
     """Multi-value text -> one row per trimmed, non-blank value; keys without any value keep one
@@ -34,8 +32,8 @@ def json_field(raw: Column, path: str, type_: str) -> Column:
 def newer_than_target(src: DataFrame, target: DataFrame, ts: str) -> DataFrame:
     """Incremental filter (G2): source rows newer than the target's max(ts); all rows when the
     target is empty (full refresh)."""
-    mx = target.agg(F.max(ts).alias("_mx"))
-    return src.join(tiny(mx), F.col("_mx").isNull() | (F.col(ts) > F.col("_mx"))).drop("_mx")
+    mx = target.agg(F.max(ts)).scalar()          # a scalar subquery, evaluated once
+    return src.filter(mx.isNull() | (F.col(ts) > mx))
 
 
 def size_band(amount: Column, bounds: Sequence[tuple[float, str]], top: str) -> Column:

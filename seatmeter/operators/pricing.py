@@ -381,8 +381,10 @@ def daily_lines(hwm: DataFrame, dmarc_hwm: DataFrame, meta: DataFrame, price_lis
                 materialize=lambda df: df) -> DataFrame:
     """The root-level daily bill: 8 branches unioned.
 
-    ``materialize`` is applied to the shared seat grain and the resolved prices
-    (the plan layer passes a checkpoint), so the seven branches read them once.
+    ``materialize`` is applied to the shared seat grain, the resolved prices and
+    the union of the charges (the plan layer passes a write to the shared
+    checkpoint folder), so each is computed once although several branches and
+    the minimum-commitment top-up read it.
     """
     prices = materialize(resolve_prices(price_list, as_of))
     unified = pool_map(meta, pools)
@@ -401,6 +403,8 @@ def daily_lines(hwm: DataFrame, dmarc_hwm: DataFrame, meta: DataFrame, price_lis
     charges = branches[0]
     for b in branches[1:]:
         charges = charges.unionByName(b)
+    # the top-up reads the pool totals of all charges: compute the branches once
+    charges = materialize(charges)
     return charges.unionByName(min_commit_lines(charges, commits, unified, as_of))
 
 
