@@ -134,7 +134,8 @@ _branch("bill_lines", "lines", lambda d: B.root_lines(d))
 # Allowance and itemized bill
 # ---------------------------------------------------------------------------
 
-@query("partner_totals", with_ctes(["partner_tot"], "SELECT * FROM partner_tot"))
+@query("partner_totals", with_ctes(["partner_tot"], """
+    SELECT ltp, total_customers, CAST(total_emails AS BIGINT) AS total_emails FROM partner_tot"""))
 def q_partner_totals(spark, sf):
     from ..operators import allowance
     d = domain(spark, sf)
@@ -142,9 +143,10 @@ def q_partner_totals(spark, sf):
 
 
 @query("free_allowance", with_ctes(["nfr"], """
-    SELECT tenant_global_id, tenant_name, account_master_id, item, quantity,
-           CAST(ROUND(CAST(amount AS DECIMAL(38,10)), 4) AS DOUBLE) AS amount, total_customers, total_emails,
-           billable_qty, currency, nfr_rate, CAST(ROUND(CAST(invoice AS DECIMAL(38,10)), 4) AS DOUBLE) AS invoice
+    SELECT tenant_global_id, tenant_name, account_master_id, item, CAST(quantity AS BIGINT) AS quantity,
+           CAST(ROUND(CAST(amount AS DECIMAL(38,10)), 4) AS DOUBLE) AS amount, total_customers,
+           CAST(total_emails AS BIGINT) AS total_emails, CAST(billable_qty AS BIGINT) AS billable_qty, currency,
+           nfr_rate, CAST(ROUND(CAST(invoice AS DECIMAL(38,10)), 4) AS DOUBLE) AS invoice
     FROM nfr"""))
 def q_free_allowance(spark, sf):
     n = B.partner_seats(domain(spark, sf))
@@ -374,7 +376,9 @@ def q_fx_nearest(spark, sf):
              CASE WHEN total_customers > 1 OR total_emails > 100 OR coalesce(ltp_total, 0) > 0
                   THEN CASE WHEN quantity > 100 THEN quantity - 100 ELSE 0 END ELSE quantity END AS new_value
       FROM j)
-    SELECT *, new_value - old_value AS difference FROM r WHERE old_value IS DISTINCT FROM new_value"""))
+    SELECT ltp, item, CAST(quantity AS BIGINT) AS quantity, CAST(old_value AS BIGINT) AS old_value,
+           CAST(new_value AS BIGINT) AS new_value, CAST(new_value - old_value AS BIGINT) AS difference
+    FROM r WHERE old_value IS DISTINCT FROM new_value"""))
 def q_rule_compare(spark, sf):
     d = domain(spark, sf)
     lines = B.root_lines(d)

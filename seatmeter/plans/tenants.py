@@ -185,7 +185,7 @@ def sparse_json(spark, sf):
     return rows.select("tenant_global_id", F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")).alias("addons"))
 
 
-@q("api_json")
+@q("api_json", SQL["sparse_json"].replace("AS addons", "AS payload"))
 def api_json(spark, sf):
     """The same sparse object through to_json (NULL members dropped) for API consumers (M8)."""
     from .catalog import domain
