@@ -107,14 +107,15 @@ def time_spine(spark, sf):
 def metric_counts(spark, sf):
     from .catalog import domain
     h = domain(spark, sf).history
-    t = F.col("tenant_global_id")
     st = F.col("billing_status")
-    return h.groupBy("record_date").agg(
-        F.countDistinct(t).alias("tenants"),
-        F.countDistinct(F.when(st.isin("Active", "Active-POC"), t)).alias("billable"),
-        F.countDistinct(F.when(st == "Active-POC", t)).alias("poc"),
-        F.countDistinct(F.when(st == "Inactive", t)).alias("inactive"),
-        F.countDistinct(F.when(F.col("dmarc_management"), t)).alias("dmarc"))
+    # distinct tenants per condition: one (day, tenant) row with flags, then plain counts. Several
+    # conditional count-distincts would make Spark copy every row once per distinct aggregate.
+    per = h.groupBy("record_date", "tenant_global_id").agg(
+        F.bool_or(st.isin("Active", "Active-POC")).alias("b"), F.bool_or(st == "Active-POC").alias("p"),
+        F.bool_or(st == "Inactive").alias("i"), F.bool_or(F.col("dmarc_management")).alias("d"))
+    return per.groupBy("record_date").agg(
+        F.count(F.lit(1)).alias("tenants"), F.count_if("b").alias("billable"), F.count_if("p").alias("poc"),
+        F.count_if("i").alias("inactive"), F.count_if("d").alias("dmarc"))
 
 
 @q("metric_seats", with_ctes(["history"], """
