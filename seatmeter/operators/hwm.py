@@ -108,9 +108,15 @@ def month_picks(history: DataFrame, meta: DataFrame, as_of, priority: Sequence[s
 
 
 def rejoin(history: DataFrame, picks: DataFrame, as_of) -> DataFrame:
-    """Whole snapshot row of the picked day (H10); date_recorded = run date, hwm_date = picked day."""
+    """Whole snapshot row of the picked day (H10); date_recorded = run date, hwm_date = picked day.
+
+    Picked days always lie in the billing window, so only that window of the
+    history is read (literal bounds: partition pruning), not its whole past.
+    """
+    start, end = billing_window(as_of)
     p = picks.select("tenant_global_id", "record_date")
-    return history.join(p, ["tenant_global_id", "record_date"]).select(
+    window = history.filter(F.col("record_date").between(F.lit(start), F.lit(end)))
+    return window.join(p, ["tenant_global_id", "record_date"]).select(
         F.lit(as_date(as_of)).alias("date_recorded"),
         *[c for c in history.columns if c != "record_date"],
         F.col("record_date").alias("hwm_date"),

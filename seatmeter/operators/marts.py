@@ -150,6 +150,8 @@ def mailbox_mart(peak: DataFrame, history: DataFrame, meta: DataFrame, sub_itemi
     m = meta.select(F.col("tenant_global_id").alias("root"), "profile_type",
                     F.col("is_highwatermark").alias("high_water_mark"))
     g = peak.filter(F.col("date_recorded") == F.lit(d))
+    # the snapshot is needed on the picked days only (a month at most), not its whole past
+    gh = gh.join(g.select(F.col("hwm_date").alias("_gh_date")).distinct(), "_gh_date", "left_semi")
     j = (g.join(gh, (g.hwm_date == gh._gh_date) & (g.tenant_global_id == gh._gh_id), "left")
          .join(m, "root", "left").join(flags, "tenant_global_id", "left"))
     j = j.filter((F.regexp_extract("tenant_global_id", "[A-Za-z]+", 0) == region)

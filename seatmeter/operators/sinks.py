@@ -19,12 +19,21 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
-def materialize(df: DataFrame, name: str = "t") -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back."""
+def materialize(df: DataFrame, name: str = "t", partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    ``partition_by`` lays the table out by that column (e.g. the snapshot day),
+    so later literal filters on it prune whole directories.
+    """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(path)
+    out = spark.read.parquet(path)
+    # partition discovery puts the partition column last; keep the logical column order
+    return out.select(*df.columns) if partition_by else out
 
 
 def write_day(df: DataFrame, path: str, date_col: str = "billing_date", fmt: str = "parquet") -> None:

@@ -109,10 +109,11 @@ def layer_names(df: DataFrame, names: DataFrame, key=("record_date", "tenant_glo
         *key,
         F.posexplode(F.array(*[F.col(f"{nm}_layer_id") for nm in labels])).alias("_k", "_layer"),
     ).filter(F.col("_layer") != "")
-    named = exploded.join(
-        names.select(F.col("record_date"), F.col("tenant_global_id").alias("_layer"), F.col("tenant_name").alias("_name")),
-        ["record_date", "_layer"], "left",
-    )
+    # only the days present in df are needed from the (day x tenant) name map
+    days = df.select("record_date").distinct()
+    lookup = names.join(days, "record_date", "left_semi").select(
+        "record_date", F.col("tenant_global_id").alias("_layer"), F.col("tenant_name").alias("_name"))
+    named = exploded.join(lookup, ["record_date", "_layer"], "left")
     folded = named.groupBy(*key).agg(
         *[F.max(F.when(F.col("_k") == i, F.col("_name"))).alias(f"{nm}_layer_name") for i, nm in enumerate(labels)]
     )

@@ -31,7 +31,7 @@ class Domain:
     @cached_property
     def history(self) -> DataFrame:
         # the stored daily snapshot table of the domain: written once per run
-        return materialize(adapters.tenant_history(self.t, self.tree))
+        return materialize(adapters.tenant_history(self.t, self.tree), "history", partition_by="record_date")
 
     @cached_property
     def meta_all(self) -> DataFrame:
