@@ -220,3 +220,18 @@ def channel_rollup(spark, sf):
     meta = d.meta.select(F.col("tenant_global_id").alias("root"), "ltp_type")
     df = rows.join(meta, "root")
     return marts.channel_rollup(df, "active_profiles", d.tree.select("tenant_global_id", "tenant_name"))
+
+
+@q("incremental_snapshot", """
+    SELECT user_id, CAST(ts AS DATE) AS record_date, count(*) AS n_events,
+           count(*) FILTER (WHERE event_type = 'error') AS n_error, min(event_type) AS first_type
+    FROM events GROUP BY 1, 2""")
+def incremental_snapshot(spark, sf):
+    """The daily snapshot built by the Structured Streaming loader over the event files."""
+    from ..streaming import incremental
+    base = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/streams/events-{uuid.uuid4().hex}"
+    q_ = incremental.run(spark, f"{sf.rstrip('/')}/events*.parquet", f"{base}/raw", f"{base}/snapshot",
+                         f"{base}/checkpoint")
+    q_.awaitTermination()
+    return spark.read.parquet(f"{base}/snapshot").select("user_id", "record_date", "n_events", "n_error",
+                                                         "first_type")
