@@ -36,12 +36,15 @@ def materialize(df: DataFrame, name: str = "t", partition_by: str | None = None)
     return out.select(*df.columns) if partition_by else out
 
 
-def write_day(df: DataFrame, path: str, date_col: str = "billing_date", fmt: str = "parquet") -> None:
+def write_day(df: DataFrame, path: str, date_col: str = "billing_date", fmt: str = "parquet",
+              days=None) -> None:
     """Replace only the billing days present in ``df`` (delete+insert by day, M2/M3).
 
     Dynamic partition overwrite: re-running a day leaves one copy of it and
     every other day untouched (the self-append of the reference, M4, would
-    duplicate rows on re-run).
+    duplicate rows on re-run). ``days`` lists the days this run owns; a listed
+    day with no rows any more has its old partition removed, so an emptied day
+    does not keep stale rows.
     """
     spark = df.sparkSession
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
@@ -50,6 +53,17 @@ def write_day(df: DataFrame, path: str, date_col: str = "billing_date", fmt: str
         df.repartition(date_col).write.mode("overwrite").partitionBy(date_col).format(fmt).save(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    if days:
+        present = {r[0] for r in df.select(date_col).distinct().collect()}   # the run's few days
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for day in days:
+            if day in present:
+                continue
+            part = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{date_col}={day.isoformat()}")
+            fs = part.getFileSystem(conf)
+            if fs.exists(part):
+                fs.delete(part, True)
 
 
 def read_days(spark, path: str, fmt: str = "parquet", date_col: str = "billing_date", days=None) -> DataFrame:

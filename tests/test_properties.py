@@ -83,3 +83,20 @@ def test_pooled_threshold_uses_pool_total(spark):
     out = pricing.pooled_threshold(df, ["k"], "pool", "member", "q", tiers.withColumn("k", F.lit("m")), ["k"])
     got = {r["member"]: r["amount"] for r in out.collect()}
     assert got == {"a": 30.0, "b": 30.0, "c": 60.0}
+
+
+def test_daily_job_is_idempotent(spark):
+    import tempfile
+    from seatmeter.plans import daily_bill as B, daily_job
+    d = B.Domain(spark, SF_SMALL)
+    out = tempfile.mkdtemp(prefix="seatmeter-day-")
+    first = daily_job.run_day(d, out)
+
+    def rows(p):
+        import glob
+        return spark.read.parquet(p).count() if glob.glob(f"{p}/*/*.parquet") else 0
+
+    counts = {k: rows(p) for k, p in first.items()}
+    daily_job.run_day(d, out)            # the same day again
+    again = {k: rows(p) for k, p in first.items()}
+    assert counts == again and counts["root_itemized"] > 0
