@@ -37,8 +37,15 @@ def domain(spark: SparkSession, sf_dir: str) -> B.Domain:
 
 
 def query(name: str, oracle: str | None = None):
+    """Register ``fn`` under ``name``; the registered callable first applies the library's
+    session defaults (UTC session zone, AQE, a checkpoint folder when none is set)."""
     def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_defaults(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = getattr(fn, "__name__", name)
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if oracle is not None:
             ORACLE[name] = oracle
         return fn

@@ -47,7 +47,8 @@ def stage_copy(spark, sf):
     SELECT * FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '{SPLIT_DAY.isoformat(' ')}')""")
 def incremental_new_rows(spark, sf):
     ev = _t(spark, sf).events
-    return crm.newer_than_target(ev, ev.filter(F.col("ts") < F.lit(SPLIT_DAY)), "ts")
+    split = F.to_timestamp_ntz(F.lit(SPLIT_DAY.isoformat(" ")))
+    return crm.newer_than_target(ev, ev.filter(F.col("ts") < split), "ts")
 
 
 @q("latest_load_filter", f"SELECT * FROM events WHERE CAST(ts AS DATE) = {_D}")
@@ -243,8 +244,9 @@ def json_array_csv(spark, sf):
     SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, epoch_us(ts) // 1000 AS event_ms FROM events""")
 def json_flatten(spark, sf):
     ev = _t(spark, sf).events
+    epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))     # wall-clock epoch: zone-free
     return ev.select("event_id", crm.json_field(F.col("props"), "$.k", "bigint").alias("k"),
-                     F.unix_millis("ts").alias("event_ms"))
+                     F.timestamp_diff("MILLISECOND", epoch, F.col("ts")).alias("event_ms"))
 
 
 @q("name_match", with_ctes(["tree"], """

@@ -157,7 +157,8 @@ def day_replace_sink(spark, sf):
     from .catalog import domain
     from . import daily_bill as B
     bill = B.itemized(domain(spark, sf))
-    path = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/sinks/itemized-{uuid.uuid4().hex}"
+    from ..session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sinks/itemized-{uuid.uuid4().hex}"
     sinks.write_day(bill, path)
     sinks.write_day(bill, path)          # a re-run of the same day replaces it
     back = sinks.read_days(spark, path)
@@ -229,7 +230,8 @@ def channel_rollup(spark, sf):
 def incremental_snapshot(spark, sf):
     """The daily snapshot built by the Structured Streaming loader over the event files."""
     from ..streaming import incremental
-    base = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/streams/events-{uuid.uuid4().hex}"
+    from ..session import ensure_checkpoint_dir
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/events-{uuid.uuid4().hex}"
     q_ = incremental.run(spark, f"{sf.rstrip('/')}/events*.parquet", f"{base}/raw", f"{base}/snapshot",
                          f"{base}/checkpoint")
     q_.awaitTermination()

@@ -60,13 +60,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Fill in the library's defaults on an existing session without overriding."""
+    """Fill in the library's defaults on an existing session without overriding.
+
+    The session time zone is left alone: input timestamps are read as
+    TIMESTAMP_NTZ, so day boundaries do not depend on it.
+    """
     for k, v in _DEFAULTS.items():
         try:
             if spark.conf.get(k, None) is None:
                 spark.conf.set(k, v)
         except Exception:  # static conf on a running session: leave it
             pass
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
     return spark

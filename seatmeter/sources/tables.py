@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-_L, _I, _D, _S, _TS = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.TimestampType()
+# The files store wall-clock timestamps without a zone (Parquet TIMESTAMP, not adjusted to UTC):
+# read them as TIMESTAMP_NTZ so day boundaries do not depend on the session time zone.
+_L, _I, _D, _S, _TS = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
 
 
 def _schema(*cols: tuple[str, T.DataType]) -> T.StructType:
