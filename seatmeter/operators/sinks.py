@@ -50,7 +50,9 @@ def write_day(df: DataFrame, path: str, date_col: str = "billing_date", fmt: str
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        df.repartition(date_col).write.mode("overwrite").partitionBy(date_col).format(fmt).save(path)
+        # no repartition by the day: a daily run writes one day, which would funnel every row into
+        # one task; each task writes its own files into the day's directory instead
+        df.write.mode("overwrite").partitionBy(date_col).format(fmt).save(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     if days:
