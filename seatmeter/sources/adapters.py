@@ -254,8 +254,8 @@ MIN_BILLED_QTY = 100
 ITEMS = [f"Brand#{i}" for i in range(1, 26)]        # the 25 part brands, by rule
 
 
-def usage_lines(t: Tables) -> DataFrame:
-    """One row per lineitem: month, partner (nation), pool (region), tenant (customer), item (brand)."""
+def usage_keys(t: Tables) -> DataFrame:
+    """One row per lineitem with numeric partner/tenant keys (cheap to shuffle)."""
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate")
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
     c = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
@@ -268,12 +268,9 @@ def usage_lines(t: Tables) -> DataFrame:
     moved = F.col("o_orderpriority") == "5-LOW"   # these orders are billed through the next partner
     return j.select(
         F.to_date(F.date_trunc("month", "l_shipdate")).alias("billing_date"),
-        F.concat(F.lit("N-"), F.col("c_nationkey").cast("string")).alias("ltp"),
-        F.concat(F.lit("N-"), F.when(moved, (F.col("c_nationkey") + 1) % 25).otherwise(F.col("c_nationkey"))
-                 .cast("string")).alias("channel_ltp"),
-        F.concat(F.lit("R-"), F.col("n_regionkey").cast("string")).alias("pool"),
-        F.col("n_regionkey").alias("region_key"),
-        F.concat(F.lit("C-"), F.col("o_custkey").cast("string")).alias("tenant"),
+        "c_nationkey",
+        F.when(moved, (F.col("c_nationkey") + 1) % 25).otherwise(F.col("c_nationkey")).alias("channel_nationkey"),
+        F.col("n_regionkey").alias("region_key"), "o_custkey",
         F.col("p_brand").alias("item"), F.col("p_type").alias("sku"),
         (F.col("o_orderpriority") == "1-URGENT").alias("is_nfr"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
@@ -286,6 +283,22 @@ def usage_lines(t: Tables) -> DataFrame:
     )
 
 
+def with_ids(df: DataFrame) -> DataFrame:
+    """String partner / channel / pool / tenant ids from the numeric keys."""
+    return df.select(
+        "*",
+        F.concat(F.lit("N-"), F.col("c_nationkey").cast("string")).alias("ltp"),
+        F.concat(F.lit("N-"), F.col("channel_nationkey").cast("string")).alias("channel_ltp"),
+        F.concat(F.lit("R-"), F.col("region_key").cast("string")).alias("pool"),
+        F.concat(F.lit("C-"), F.col("o_custkey").cast("string")).alias("tenant"),
+    ).drop("c_nationkey", "channel_nationkey", "o_custkey")
+
+
+def usage_lines(t: Tables) -> DataFrame:
+    """One row per lineitem: month, partner (nation), pool (region), tenant (customer), item (brand)."""
+    return with_ids(usage_keys(t))
+
+
 def item_tiers(t: Tables) -> DataFrame:
     """Tier rows per item: base = min list price of the brand / 100, times the tier multiplier."""
     base = t.part.groupBy(F.col("p_brand").alias("item")).agg(F.min("p_retailprice").alias("rp"))
