@@ -42,3 +42,19 @@ def size_band(amount: Column, bounds: Sequence[tuple[float, str]], top: str) ->
     for hi, label in bounds:
         expr = F.when(amount < hi, label) if expr is None else expr.when(amount < hi, label)
     return expr.otherwise(top)
+
+
+def null_counts(tables: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """Not-null checks (Q6): one aggregate per table (a single scan each, partial aggregation),
+    unpivoted to one row per (table, column) with the table's row count and the column's NULLs."""
+    parts = []
+    for name, (df, cols) in tables.items():
+        agg = df.agg(F.count(F.lit(1)).alias("n_rows"),
+                     *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+        pairs = ", ".join(f"'{c}', `{c}`" for c in cols)
+        parts.append(agg.select(F.lit(name).alias("table_name"), "n_rows",
+                                F.expr(f"stack({len(cols)}, {pairs}) AS (column_name, null_count)")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -77,16 +77,23 @@ def project_cast(spark, sf):
 
 
 # --- checks and metrics (Q1-Q6) ----------------------------------------------
-_LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
-
-
-@q("not_null_check", "SELECT count(*) AS n_rows, " + ", ".join(
-    f"count(*) - count({c}) AS null_{c}" for c in _LI_COLS) + " FROM lineitem")
+# The columns every source table must fill (checked by one aggregate per table).
+NOT_NULL = {
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"],
+    "part": ["p_partkey", "p_brand", "p_type"],
+    "events": ["event_id", "ts", "user_id", "event_type"],
+}
+
+
+@q("not_null_check", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows, '{c}' AS column_name, count(*) - count({c}) AS null_count "
+    f"FROM {t}" for t, cols in NOT_NULL.items() for c in cols))
 def not_null_check(spark, sf):
-    li = _t(spark, sf).lineitem
-    return li.agg(F.count(F.lit(1)).alias("n_rows"),
-                  *[F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).cast("bigint").alias(f"null_{c}")
-                    for c in _LI_COLS])
+    t = _t(spark, sf)
+    return crm.null_counts({name: (getattr(t, name), cols) for name, cols in NOT_NULL.items()}) \
+        .select("table_name", "n_rows", "column_name", "null_count")
 
 
 @q("time_spine", """
