@@ -7,17 +7,18 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Plan and premium codes.
+# Plan and premium codes. The vendor's own flagship plan and in-house premium pack
+# carry neutral labels here ("Platform Protect", "In-house Pack"); the label lists are configuration.
 PLAN_NAMES = {
     1: "Phishing Simulation and Training",
     2: "Starter",
     3: "Core",
     4: "Email Protect",
     5: "Complete Protect",
-    6: "IRONSCALES Protect",
+    6: "Platform Protect",
     7: "SAT Suite",
 }
-PREMIUM_NAMES = {1: "NINJIO", 3: "Habitu8", 4: "Cybermaniacs Videos", 5: "Wizer", 6: "IRONSCALES"}
+PREMIUM_NAMES = {1: "NINJIO", 3: "Habitu8", 4: "Cybermaniacs Videos", 5: "Wizer", 6: "In-house Pack"}
 INTEGRATION_TYPES = {1: "EXCHANGE", 2: "GMAIL", 3: "OFFICE365", 4: "POWERSHELL"}
 POC_DAYS = 30
 

@@ -23,7 +23,7 @@ PLAN_PRIORITY = [
     "Complete Protect",
     "Email Protect",
     "Core",
-    "IRONSCALES Protect",
+    "Platform Protect",
     "SAT Suite",
     "Phishing Simulation and Training",
     "Starter",

@@ -27,7 +27,7 @@ PLAN_SKUS = {
     "Email Protect": ("Email Protect", "IS-LTP-EP", "IS-LTP-EPNFR"),
     "Complete Protect": ("Complete Protect", "IS-LTP-CP", "IS-LTP-CPNFR"),
     "Core": ("CORE", "IS-LTP-CORE", "IS-LTP-CORENFR"),
-    "IRONSCALES Protect": ("IRONSCALES Protect", "IS-LTP-IP", "IS-LTP-IPNFR"),
+    "Platform Protect": ("Platform Protect", "IS-LTP-IP", "IS-LTP-IPNFR"),
     "SAT Suite": ("SAT_SUITE", "IS-SAT_SUITE", "IS-SAT_SUITENFR"),
     "Starter": ("STARTER", "IS-LTP-STARTER", "IS-LTP-STARTERNFR"),
     "Phishing Simulation and Training": ("PST", "IS-LTP-PST", None),
@@ -336,17 +336,17 @@ def per_unit_lines(dmarc_hwm: DataFrame, unified: DataFrame, prices: DataFrame)
     """Per-unit add-on by plan code (domains), positive totals only, pooled and spread."""
     u = unified.select(F.col("global_tenant_id").alias("root"), F.col("master_tenant_id").alias("master"))
     base = dmarc_hwm.join(dim(u), "root").groupBy(
-        "date_recorded", "master", "root", "dmarc_ironscales_plan").agg(
+        "date_recorded", "master", "root", "dmarc_plan").agg(
         F.sum("dmarc_domains_number").alias("quantity")).filter(F.col("quantity") > 0)
-    ckeys = ["date_recorded", "master", "dmarc_ironscales_plan"]
+    ckeys = ["date_recorded", "master", "dmarc_plan"]
     comb = base.groupBy(*ckeys).agg(F.sum("quantity").alias("combined_quantity"))
     p = prices.filter(F.col("tier_min") == 1).select(F.col("tenant_global_id").alias("master"),
                                                      F.col("sku").alias("_psku"), "price", "price_type")
-    tier = comb.join(p, "master").filter(lookup(F.col("dmarc_ironscales_plan"), DMARC_PRICE_SKU) == F.col("_psku")) \
+    tier = comb.join(p, "master").filter(lookup(F.col("dmarc_plan"), DMARC_PRICE_SKU) == F.col("_psku")) \
         .groupBy(*ckeys, "combined_quantity", "price").agg(F.max("price_type").alias("price_type")) \
         .withColumn("total", F.col("combined_quantity").cast("double") * F.col("price").cast("double"))
     out = base.join(tier, ckeys)
-    plan = F.col("dmarc_ironscales_plan")
+    plan = F.col("dmarc_plan")
     return _norm(out.select(
         "date_recorded", F.col("root").alias("ltp"), lookup(plan, DMARC_ITEM).alias("item"),
         lookup(plan, DMARC_SKU).alias("sku"), F.lit(None).cast("boolean").alias("partner_pricing"), "quantity",
@@ -441,7 +441,7 @@ def addon_menu(rows: DataFrame, meta: DataFrame, prices: DataFrame) -> DataFrame
     defs = [entry(F.col("premium_name").isin(*PREMIUM_NAMES), F.col("premium_name"), "IS-LTP-PSCP", "PSCP", *seats)]
     defs += [entry(F.col(flag) == F.lit(True), F.lit(item), sku, psku, *seats) for item, sku, flag, psku in ADDON_MENU]
     dom = F.col("dmarc_domains_number")
-    defs.append(entry((F.col("dmarc_management") == F.lit(True)) & F.col("dmarc_ironscales_plan").isNotNull()
+    defs.append(entry((F.col("dmarc_management") == F.lit(True)) & F.col("dmarc_plan").isNotNull()
                       & (dom > 0), F.lit("DMARC Domains"), "IS-LTP-DMARC", "DMARC", dom, dom, F.lit(None)))
     ex = h.select("date_recorded", "root", "profile_type",
                   F.explode(F.filter(F.array(*defs), lambda x: x.isNotNull())).alias("e"))

@@ -101,12 +101,12 @@ def flat_lines(base: DataFrame, prices: DataFrame, itemized: DataFrame) -> DataF
 def per_leaf(layered_dmarc: DataFrame, dmarc_picks: DataFrame, prices: DataFrame, itemized: DataFrame) -> DataFrame:
     """Per-unit add-on joined on the deepest layer id (P22); positive counts only."""
     g = layered_dmarc.filter(F.col("approved") & F.col("billing_status").isin("Active", "Active-POC")
-                             & F.col("dmarc_ironscales_plan").isNotNull())
+                             & F.col("dmarc_plan").isNotNull())
     g = g.withColumn("_leaf", paths.leaf(*LAYERS))
     d = dmarc_picks.select(F.col("tenant_global_id").alias("_leaf"), F.col("dmarc_domains_number").alias("_dom"))
     g = g.join(d, "_leaf").filter(F.col("_dom").isNotNull() & (F.col("_dom") > 0))
-    plan = F.col("dmarc_ironscales_plan")
-    b = g.select(F.col("date_recorded").alias("billing_date"), *LAYERS, "dmarc_ironscales_plan",
+    plan = F.col("dmarc_plan")
+    b = g.select(F.col("date_recorded").alias("billing_date"), *LAYERS, "dmarc_plan",
                  F.col("_dom").alias("billable_quantity"), F.lit(None).cast("boolean").alias("partner_pricing"))
     return _flat(b, prices, itemized,
                  (F.col("_tmin") == 1) & (F.col("_psku") == lookup(plan, DMARC_PRICE_SKU)),

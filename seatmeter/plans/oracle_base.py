@@ -72,7 +72,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                d.user_id % 4 = 1 AS partner_pricing, d.user_id % 12 = 5 AS not_nfr_partner,
                d.incident_management, d.simulation_and_training_bundle_plus, d.ato,
                d.user_id % 4 <> 0 AS dmarc_management, CAST(d.n_view AS INTEGER) AS dmarc_domains_number,
-               CAST(CASE WHEN d.user_id % 4 <> 0 THEN d.user_id % 4 END AS INTEGER) AS dmarc_ironscales_plan,
+               CAST(CASE WHEN d.user_id % 4 <> 0 THEN d.user_id % 4 END AS INTEGER) AS dmarc_plan,
                DATE '2023-09-01' + CAST(d.user_id % 150 AS INTEGER) AS registration_date
         FROM ev_daily d JOIN tree t ON d.user_id = t.tenant_id"""),
     "meta_all": ((), f"""

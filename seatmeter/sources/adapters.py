@@ -46,10 +46,10 @@ PLAN_BY_EVENT = {
 FIXED_PLAN = "Email Protect"                          # tenants with user_id % 4 = 0
 PREMIUM_BY_MOD5 = {0: "NINJIO", 3: "Habitu8"}
 # Price list: sku -> base unit price; tiers (min, max, multiplier).
-PLAN_SKUS = ["Email Protect", "Complete Protect", "CORE", "IRONSCALES Protect", "SAT_SUITE", "STARTER", "PST"]
+PLAN_SKUS = ["Email Protect", "Complete Protect", "CORE", "Platform Protect", "SAT_SUITE", "STARTER", "PST"]
 ADDON_SKUS = ["PSCP", "Incident Management", "STBP", "ATO", "DMARC", "DMARC_PRO"]
 BASE_PRICE = {
-    "Email Protect": 2.5, "Complete Protect": 4.0, "CORE": 1.5, "IRONSCALES Protect": 3.0,
+    "Email Protect": 2.5, "Complete Protect": 4.0, "CORE": 1.5, "Platform Protect": 3.0,
     "SAT_SUITE": 2.0, "STARTER": 1.0, "PST": 1.2,
     "PSCP": 0.6, "Incident Management": 0.8, "STBP": 0.7, "ATO": 0.9, "DMARC": 5.0, "DMARC_PRO": 9.0,
 }
@@ -126,7 +126,7 @@ def tenant_history(t: Tables, tree: DataFrame | None = None) -> DataFrame:
         "incident_management", "simulation_and_training_bundle_plus", "ato",
         (u % 4 != 0).alias("dmarc_management"),
         F.col("n_view").cast("int").alias("dmarc_domains_number"),
-        F.when(u % 4 != 0, (u % 4)).cast("int").alias("dmarc_ironscales_plan"),
+        F.when(u % 4 != 0, (u % 4)).cast("int").alias("dmarc_plan"),
         F.date_add(F.lit(dt.date(2023, 9, 1)), (u % 150).cast("int")).alias("registration_date"),
     )
 
