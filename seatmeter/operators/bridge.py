@@ -188,3 +188,38 @@ def mrr_bridge(f: DataFrame, rates: DataFrame, currency: DataFrame, fx: DataFram
     return e.select(F.lit(current).alias("snapshot_date"), F.lit(prior).alias("prior_dt"),
                     F.lit(current).alias("current_dt"),
                     *[money(n).alias(n) if n in money_cols else F.col(n) for n in e.columns])
+
+
+def bill_fact(sub_itemized: DataFrame, meta: DataFrame, price_list: DataFrame, day) -> DataFrame:
+    """Bridge fact from one day's sub-tenant bill.
+
+    The bill is joined to the deduplicated meta, the max price per (partner,
+    sku, flag) and the partner roll-up of the day. The roll-up and price joins
+    use plain equality on the partner flag, so add-on rows (flag NULL) get NULL
+    totals and prices, as in the reference.
+    """
+    b = sub_itemized.filter(F.col("billing_date") == F.lit(day))
+    m = meta.groupBy(F.col("snapshot_date").alias("billing_date"), F.col("tenant_global_id").alias("first_layer_id")) \
+        .agg(F.max("ltp_type").alias("ltp_type"), F.max("registration_date").alias("registration_date"),
+             F.max("account_master_id").alias("account_master_id"))
+    p = price_list.groupBy(F.col("snapshot_date").alias("_pd"), F.col("tenant_global_id").alias("_pt"),
+                           F.col("sku").alias("_ps"), F.col("is_nfr").alias("_pn")) \
+        .agg(F.max("price").alias("max_price"))
+    bs = b.groupBy(F.col("billing_date").alias("_bd"), F.col("first_layer_id").alias("_bl"),
+                   F.col("item").alias("_bi"), F.col("sku").alias("_bs"), F.col("partner_pricing").alias("_bp")) \
+        .agg(F.sum("quantity").alias("total_ltp_billed_qty"),
+             F.sum(F.col("amount").cast("decimal(18,4)")).cast("double").alias("ltp_sku_mrr"))
+    j = (b.join(dim(m), ["billing_date", "first_layer_id"], "left")
+         .join(dim(p), (F.col("billing_date") == F.col("_pd")) & (F.col("first_layer_id") == F.col("_pt"))
+               & (F.col("item") == F.col("_ps")) & (F.col("partner_pricing") == F.col("_pn")), "left")
+         .join(bs, (F.col("billing_date") == F.col("_bd")) & (F.col("first_layer_id") == F.col("_bl"))
+               & (F.col("item") == F.col("_bi")) & (F.col("sku") == F.col("_bs"))
+               & (F.col("partner_pricing") == F.col("_bp")), "left"))
+    lay = ["second_layer_id", "third_layer_id", "fourth_layer_id", "fifth_layer_id"]
+    leaf = F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in reversed(lay)], F.col("first_layer_id"))
+    return j.select(
+        "billing_date", "first_layer_id", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in lay],
+        leaf.alias("global_tenant_id"), "item", "sku", F.col("partner_pricing").alias("is_nfr"),
+        "ltp_type", "registration_date", "account_master_id", F.col("max_price").cast("double").alias("max_price"),
+        F.col("quantity").alias("billed_qty"), "total_ltp_billed_qty", F.col("amount").alias("tenant_mrr"),
+        "ltp_sku_mrr")

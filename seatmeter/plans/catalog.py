@@ -490,3 +490,10 @@ def q_subtenant_flat(spark, sf):
                                                                       "IS-LTP-ATO"]
     del subtenant
     return _sub_out(sub.filter(F.col("sku").isin(*flat_skus)))
+
+
+@query("bridge_bill_fact", with_ctes(["bill_fact"], "SELECT * FROM bill_fact"))
+def q_bridge_bill_fact(spark, sf):
+    from ..operators import bridge
+    d = domain(spark, sf)
+    return bridge.bill_fact(B.subtenant_itemized(d), d.meta_all, d.price_list, d.as_of)
