@@ -159,7 +159,7 @@ def metric_billing(spark, sf):
     WHERE billing_date = (SELECT max(billing_date) FROM b_fact) GROUP BY ALL"""))
 def current_mrr(spark, sf):
     from ..operators import bridge as S
-    f = S.fact(U.bridge_lines(spark, sf))
+    f = U.stored_fact(spark, sf)
     cur = S.as_of_snapshot(f, "billing_date", dt.date(9999, 12, 31))
     return cur.groupBy("first_layer_id", "billing_date").agg(F.sum("tenant_mrr").cast("double").alias("mrr"))
 
@@ -168,8 +168,7 @@ def current_mrr(spark, sf):
     SELECT billing_date, CAST(sum(tenant_mrr) AS DOUBLE) AS mrr, count(DISTINCT global_tenant_id) AS tenants
     FROM b_fact WHERE day(billing_date) = 1 GROUP BY ALL"""))
 def settled_months(spark, sf):
-    from ..operators import bridge as S
-    f = S.fact(U.bridge_lines(spark, sf))
+    f = U.stored_fact(spark, sf)
     return f.filter(F.dayofmonth("billing_date") == 1).groupBy("billing_date").agg(
         F.sum("tenant_mrr").cast("double").alias("mrr"), F.countDistinct("global_tenant_id").alias("tenants"))
 

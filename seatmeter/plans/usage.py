@@ -206,21 +206,30 @@ def bridge_fx(spark, sf):
         .cast("decimal(18,4)").alias("conversionrate"), "startdate")
 
 
+def stored_fact(spark, sf):
+    """The bridge fact (S1) written once per (session, folder), like the reference's stored fact table;
+    the pivot, both metadata snapshots and the channel flags all read it."""
+    key = ("bridge-fact", id(spark), sf)
+    if key not in _CACHE:
+        _CACHE[key] = materialize(S.fact(bridge_lines(spark, sf)), "bridge-fact")
+    return _CACHE[key]
+
+
 def bridge_fact(spark, sf):
-    f = S.fact(bridge_lines(spark, sf))
+    f = stored_fact(spark, sf)
     return f.select(*[F.col(c).cast("double").alias(c) if c == "tenant_mrr" else
                       (S.money(c).alias(c) if c == "max_price" else F.col(c)) for c in f.columns])
 
 
 def two_period_pivot(spark, sf):
     prior, current = S.bridge_anchors(BRIDGE_AS_OF)
-    p = S.two_period_pivot(S.fact(bridge_lines(spark, sf)), prior, current)
+    p = S.two_period_pivot(stored_fact(spark, sf), prior, current)
     return p.select(*[F.col(c).cast("double").alias(c) if c.startswith("tenant_") else F.col(c) for c in p.columns])
 
 
 def channel_migration(spark, sf):
     prior, current = S.bridge_anchors(BRIDGE_AS_OF)
-    return S.channel_flags(S.fact(bridge_lines(spark, sf)), prior, current)
+    return S.channel_flags(stored_fact(spark, sf), prior, current)
 
 
 def as_of_rates(spark, sf):
@@ -229,7 +238,7 @@ def as_of_rates(spark, sf):
 
 
 def mrr_bridge(spark, sf):
-    f = S.fact(bridge_lines(spark, sf))
+    f = stored_fact(spark, sf)
     return S.mrr_bridge(f, bridge_rates(spark, sf), bridge_currency(spark, sf), bridge_fx(spark, sf), BRIDGE_AS_OF)
 
 
