@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date
+from ..functions.joins import dim
 from ..functions.money import dec
 
 ITEM_KEYS = ["billing_date", "ltp", "item", "sku", "partner_pricing", "price_type"]
@@ -153,7 +154,7 @@ def mailbox_mart(peak: DataFrame, history: DataFrame, meta: DataFrame, sub_itemi
     # the snapshot is needed on the picked days only (a month at most), not its whole past
     gh = gh.join(g.select(F.col("hwm_date").alias("_gh_date")).distinct(), "_gh_date", "left_semi")
     j = (g.join(gh, (g.hwm_date == gh._gh_date) & (g.tenant_global_id == gh._gh_id), "left")
-         .join(m, "root", "left").join(flags, "tenant_global_id", "left"))
+         .join(dim(m), "root", "left").join(flags, "tenant_global_id", "left"))
     j = j.filter((F.regexp_extract("tenant_global_id", "[A-Za-z]+", 0) == region)
                  & F.col("_gh_status").isin("Active", "Active-POC") & F.col("_gh_approved"))
     a, lic, sh = (F.coalesce(F.col(c), F.lit(0)) for c in ("active_profiles", "licensed_profiles", "shared_profiles"))

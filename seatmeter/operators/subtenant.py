@@ -39,9 +39,10 @@ def base_rows(layered: DataFrame, meta: DataFrame) -> DataFrame:
 
 
 def _bill(itemized: DataFrame) -> DataFrame:
-    return itemized.select(F.col("ltp").alias("first_layer_id"), F.col("item").alias("_item"),
+    """The root bill as a lookup (partners x items: a dimension, broadcast behind its size check)."""
+    return dim(itemized.select(F.col("ltp").alias("first_layer_id"), F.col("item").alias("_item"),
                            F.col("partner_pricing").alias("_pp"), F.col("quantity").alias("_q"),
-                           F.col("amount").alias("_a"), F.col("price_type").alias("_pt"))
+                           F.col("amount").alias("_a"), F.col("price_type").alias("_pt")))
 
 
 def blended(base: DataFrame, itemized: DataFrame) -> DataFrame:
@@ -59,8 +60,8 @@ def blended(base: DataFrame, itemized: DataFrame) -> DataFrame:
 
 def _flat(b: DataFrame, prices: DataFrame, itemized: DataFrame, price_cond: Column, item: Column,
           sku: Column, partner: Column, bill_item: Column, bill_partner_null: bool) -> DataFrame:
-    p = prices.select(F.col("tenant_global_id").alias("_pt_id"), F.col("sku").alias("_psku"),
-                      F.col("is_nfr").alias("_nfr"), F.col("tier_min").alias("_tmin"), F.col("price"))
+    p = dim(prices.select(F.col("tenant_global_id").alias("_pt_id"), F.col("sku").alias("_psku"),
+                          F.col("is_nfr").alias("_nfr"), F.col("tier_min").alias("_tmin"), F.col("price")))
     j = b.join(p, (b.first_layer_id == p._pt_id) & price_cond)
     i = _bill(itemized)
     cond = (j.first_layer_id == i.first_layer_id) & (bill_item == i._item)
