@@ -76,7 +76,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                DATE '2023-09-01' + CAST(d.user_id % 150 AS INTEGER) AS registration_date
         FROM ev_daily d JOIN tree t ON d.user_id = t.tenant_id"""),
     "meta_all": ((), f"""
-        SELECT {AS_OF} AS snapshot_date,
+        SELECT s.snapshot_date,
                ({_REG})[n.n_regionkey + 1] || '-' || CAST(c.c_custkey AS VARCHAR) AS tenant_global_id,
                c.c_name AS tenant_name, DATE '2023-06-01' + CAST(c.c_custkey * 20 AS INTEGER) AS registration_date,
                'AM-' || CAST(c.c_nationkey AS VARCHAR) AS account_master_id,
@@ -84,13 +84,16 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                ({_CUR})[n.n_regionkey + 1] AS currency, ({_PT})[c.c_custkey % 3 + 1] AS profile_type,
                CASE WHEN c.c_mktsegment = 'BUILDING' THEN 'disti' WHEN c.c_mktsegment = 'MACHINERY' THEN 'oem'
                     ELSE 'msp' END AS ltp_type
-        FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE c.c_custkey < 10"""),
+        FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+        CROSS JOIN (VALUES (DATE '2024-01-01'), ({AS_OF})) s(snapshot_date)
+        WHERE c.c_custkey < 10"""),
+    "meta_run": (("meta_all",), f"SELECT * FROM meta_all WHERE snapshot_date = {AS_OF}"),
     "meta": (("meta_all",), f"SELECT * FROM meta_all WHERE snapshot_date = {AS_OF} AND is_tracked"),
-    "pools": (("meta_all",), f"""
+    "pools": (("meta_run",), f"""
         SELECT m.tenant_global_id AS global_tenant_id, m.tenant_name, x.tenant_global_id AS master_tenant_id
-        FROM meta_all m JOIN meta_all x ON {_num('x.tenant_global_id')} + 1 = {_num('m.tenant_global_id')}
+        FROM meta_run m JOIN meta_run x ON {_num('x.tenant_global_id')} + 1 = {_num('m.tenant_global_id')}
         WHERE {_num('m.tenant_global_id')} % 4 = 3"""),
-    "price_list": (("meta_all",), f"""
+    "price_list": (("meta_run",), f"""
         SELECT s.snapshot_date, m.tenant_global_id, k.sku, f.is_nfr,
                CAST(t.tier_min AS INTEGER) AS tier_min, CAST(t.tier_max AS INTEGER) AS tier_max,
                CAST(ROUND(CAST(k.base * t.mult * (1.0::DOUBLE + m.n / 100.0::DOUBLE)
@@ -103,7 +106,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                CASE WHEN g.kind = 'promo' AND m.n % 3 = 1 THEN DATE '2024-02-15'
                     WHEN g.kind = 'promo' THEN DATE '2024-01-20' ELSE DATE '2099-12-31' END AS end_date,
                CASE WHEN g.kind = 'promo' THEN 'Promo Price' ELSE 'Standard Price' END AS price_type
-        FROM (SELECT tenant_global_id, {_num('tenant_global_id')} AS n FROM meta_all) m
+        FROM (SELECT tenant_global_id, {_num('tenant_global_id')} AS n FROM meta_run) m
         CROSS JOIN (VALUES {_SKU_VALUES}) k(sku, base)
         CROSS JOIN (VALUES {_TIER_VALUES}) t(tier_min, tier_max, mult)
         CROSS JOIN (VALUES (false), (true)) f(is_nfr)
@@ -119,11 +122,11 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                DATE '2024-12-31' AS end_date, 'Tenant' AS tenant_msp, t.root AS parent_id
         FROM tree t CROSS JOIN (VALUES (1, 20, 0.5), (21, 999999, 0.4)) r(tier_min, tier_max, rate)
         WHERE t.tenant_id >= 10 AND t.tenant_id % 4 = 0 AND t.tenant_id % 50 IN (8, 28)"""),
-    "commitments": (("meta_all",), f"""
+    "commitments": (("meta_run",), f"""
         SELECT tenant_global_id, tenant_name,
                CAST(1500 + {_num('tenant_global_id')} * 1000 AS DECIMAL(18,4)) AS monthly_commitment_amount,
                DATE '2024-01-01' AS start_date, DATE '2024-12-31' AS end_date
-        FROM meta_all WHERE {_num('tenant_global_id')} % 4 = 1"""),
+        FROM meta_run WHERE {_num('tenant_global_id')} % 4 = 1"""),
     "fx": ((), f"""
         SELECT c.isocode,
                CAST(ROUND(CAST(1.0::DOUBLE + c.r * 0.1::DOUBLE + day(d.startdate) / 1000.0::DOUBLE

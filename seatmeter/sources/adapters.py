@@ -131,14 +131,19 @@ def tenant_history(t: Tables, tree: DataFrame | None = None) -> DataFrame:
     )
 
 
+META_SNAPSHOTS = [dt.date(2024, 1, 1), AS_OF]      # the prior bridge anchor and the run date
+
+
 def account_meta(t: Tables, as_of=AS_OF) -> DataFrame:
-    """One meta row per root (customers with id < 10), snapshot ``as_of``."""
+    """One meta row per root (customers with id < 10) and snapshot day (the 1st and ``as_of``)."""
     roots = t.customer.filter(F.col("c_custkey") < 10).select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nat = t.nation.select("n_nationkey", "n_regionkey")
     r = roots.join(tiny(nat), roots.c_nationkey == nat.n_nationkey, "left")
+    snaps = sorted({META_SNAPSHOTS[0], as_of})
+    r = r.withColumn("snapshot_date", F.explode(F.array(*[F.lit(d) for d in snaps])))
     k = F.col("c_custkey")
     return r.select(
-        F.lit(as_of).alias("snapshot_date"),
+        "snapshot_date",
         F.concat(_by_index(F.col("n_regionkey"), REGION_CODES), F.lit("-"), k.cast("string")).alias("tenant_global_id"),
         F.col("c_name").alias("tenant_name"),
         F.date_add(F.lit(dt.date(2023, 6, 1)), (k * 20).cast("int")).alias("registration_date"),
@@ -154,6 +159,7 @@ def account_meta(t: Tables, as_of=AS_OF) -> DataFrame:
 
 def pools(meta: DataFrame) -> DataFrame:
     """Pooled roots: root n with n % 4 = 3 is priced together with root n - 1."""
+    meta = meta.filter(F.col("snapshot_date") == F.lit(AS_OF))
     num = F.regexp_replace("tenant_global_id", "[^0-9]", "").cast("bigint")
     m = meta.select("tenant_global_id", "tenant_name", num.alias("n"))
     masters = m.select(F.col("tenant_global_id").alias("master_tenant_id"), (F.col("n") + 1).alias("n"))
@@ -166,6 +172,7 @@ def price_list(meta: DataFrame) -> DataFrame:
 
     Built with ``explode`` of small literal arrays per root row (no join).
     """
+    meta = meta.filter(F.col("snapshot_date") == F.lit(AS_OF))
     num = F.regexp_replace("tenant_global_id", "[^0-9]", "").cast("bigint")
     skus = F.array(*[F.struct(F.lit(s).alias("sku"), F.lit(BASE_PRICE[s]).alias("base"))
                      for s in PLAN_SKUS + ADDON_SKUS])
@@ -223,6 +230,7 @@ def exceptions(tree: DataFrame) -> DataFrame:
 
 def min_commitments(meta: DataFrame) -> DataFrame:
     """Monthly minimums for roots with id % 4 = 1."""
+    meta = meta.filter(F.col("snapshot_date") == F.lit(AS_OF))
     num = F.regexp_replace("tenant_global_id", "[^0-9]", "").cast("bigint")
     m = meta.select("tenant_global_id", "tenant_name", num.alias("n"))
     return m.filter(F.col("n") % 4 == 1).select(
