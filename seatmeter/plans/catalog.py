@@ -497,3 +497,46 @@ def q_bridge_bill_fact(spark, sf):
     from ..operators import bridge
     d = domain(spark, sf)
     return bridge.bill_fact(B.subtenant_itemized(d), d.meta_all, d.price_list, d.as_of)
+
+
+# ---------------------------------------------------------------------------
+# The bridge over two days' sub-tenant bills (S1-S11 on the bill)
+# ---------------------------------------------------------------------------
+from .oracle_base import CTES as _CTES, register as _register  # noqa: E402
+from ..functions.dates import bridge_anchors as _anchors  # noqa: E402
+
+_PRIOR, _CURRENT = _anchors(A.AS_OF)
+oracle_bill.derive_day("_p", _PRIOR)
+
+
+def _bridge_body(name: str) -> str:
+    """The usage-world bridge SQL re-pointed at the bill facts, the price list, the meta and FX."""
+    body = _CTES[name][1]
+    for a, b in [("b_pivot", "bb_pivot"), ("b_fact", "bb_fact"), ("b_rates", "bb_rates"), ("b_flags", "bb_flags"),
+                 ("b_fx", "fx"), (f"DATE '{_usage.S.bridge_anchors(_usage.BRIDGE_AS_OF)[0].isoformat()}'",
+                                  f"DATE '{_PRIOR.isoformat()}'"),
+                 (f"DATE '{_usage.BRIDGE_AS_OF.isoformat()}'", f"DATE '{_CURRENT.isoformat()}'")]:
+        body = body.replace(a, b)
+    if "FROM nation GROUP BY ALL) lc" in body:
+        start = body.index("LEFT JOIN (SELECT 'N-' || CAST(n_nationkey")
+        end = body.index("FROM nation GROUP BY ALL) lc") + len("FROM nation GROUP BY ALL) lc")
+        body = body[:start] + (
+            "LEFT JOIN (SELECT tenant_global_id AS first_layer_id, max(upper(trim(currency))) AS currency "
+            "FROM meta_all WHERE snapshot_date = (SELECT max(snapshot_date) FROM meta_all WHERE snapshot_date <= "
+            f"DATE '{_CURRENT.isoformat()}') GROUP BY ALL) lc") + body[end:]
+    return body
+
+
+_register("bb_fact", ("bill_fact", "bill_fact_p"), """
+    SELECT * REPLACE (CAST(tenant_mrr AS DECIMAL(18,4)) AS tenant_mrr) FROM bill_fact
+    UNION ALL
+    SELECT * REPLACE (CAST(tenant_mrr AS DECIMAL(18,4)) AS tenant_mrr) FROM bill_fact_p""")
+_register("bb_rates", ("price_list",), "SELECT snapshot_date, tenant_global_id, sku, price FROM price_list")
+_register("bb_pivot", ("bb_fact",), _bridge_body("b_pivot"))
+_register("bb_flags", ("bb_fact",), _bridge_body("b_flags"))
+_register("bb_bridge", ("bb_pivot", "bb_fact", "bb_rates", "fx", "bb_flags", "meta_all"), _bridge_body("b_bridge"))
+
+
+@query("mrr_bridge_bill", with_ctes(["bb_bridge"], "SELECT * FROM bb_bridge"))
+def q_mrr_bridge_bill(spark, sf):
+    return B.bill_bridge(domain(spark, sf))

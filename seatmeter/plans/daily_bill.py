@@ -141,3 +141,24 @@ def mailbox_mart(d: Domain, region: str = "US", as_of=None) -> DataFrame:
     as_of = as_of or d.as_of
     return marts.mailbox_mart(peak_rows(d, as_of), d.history, hwm.snapshot(d.meta_all, as_of),
                               subtenant_itemized(d, as_of), as_of, region, LAYERS)
+
+
+def bill_bridge(d: Domain, as_of=None) -> DataFrame:
+    """Recurring-revenue bridge between two days' sub-tenant bills (S1-S11), as the reference runs it.
+
+    Both anchor days (the 1st of the month, or of the previous month on day 1,
+    and the run date) are billed with the same operators; their S1 facts are
+    unioned and bridged.
+    """
+    from ..functions.dates import bridge_anchors
+    from ..operators import bridge
+    from pyspark.sql import functions as F
+    as_of = as_of or d.as_of
+    prior, current = bridge_anchors(as_of)
+    facts = [bridge.bill_fact(subtenant_itemized(d, day), d.meta_all, d.price_list, day) for day in (prior, current)]
+    f = facts[0].unionByName(facts[1]).withColumn("tenant_mrr", F.col("tenant_mrr").cast("decimal(18,4)"))
+    f = materialize(f, "bill-bridge-fact")
+    rates = d.price_list.select("snapshot_date", "tenant_global_id", "sku", "price")
+    currency = bridge.as_of_snapshot(d.meta_all, "snapshot_date", current).select(
+        F.col("tenant_global_id").alias("first_layer_id"), "currency")
+    return bridge.mrr_bridge(f, rates, currency, d.fx, as_of)
