@@ -100,3 +100,11 @@ def test_daily_job_is_idempotent(spark):
     daily_job.run_day(d, out)            # the same day again
     again = {k: rows(p) for k, p in first.items()}
     assert counts == again and counts["root_itemized"] > 0
+
+
+def test_bill_bridge_volume_plus_rate_is_net_change(spark):
+    b = E.queries()["mrr_bridge_bill"](spark, SF_SMALL)
+    bad = b.filter(F.abs(F.col("volume_impact_mrr") + F.col("billing_rate_change_mrr") - F.col("net_mrr_change"))
+                   > 0.0002)
+    assert b.count() > 0 and bad.count() == 0
+    assert b.filter(F.col("prior_dt") >= F.col("current_dt")).count() == 0
