@@ -121,18 +121,28 @@ def _ctx(d: B.Domain):
     return meta, prices, unified, rules, fine
 
 
-_branch("pool_allocate", "plan_lines", lambda d: pricing.plan_lines(_ctx(d)[4], _ctx(d)[1]))
+def _with_ctx(build):
+    def run(d):
+        meta, prices, unified, rules, fine = _ctx(d)
+        return build(d, meta, prices, unified, rules, fine)
+    return run
+
+
+_branch("pool_allocate", "plan_lines",
+        _with_ctx(lambda d, meta, prices, unified, rules, fine: pricing.plan_lines(fine, prices)))
 _branch("exception_pricing", "exc_lines",
-        lambda d: pricing.exception_lines(B.peak_rows(d), d.meta, _ctx(d)[3]))
-_branch("flat_addon", "premium_lines", lambda d: pricing.premium_lines(_ctx(d)[4], _ctx(d)[1]))
-_branch("tiered_addon", "im_lines", lambda d: pricing.tiered_addon_lines(_ctx(d)[4], _ctx(d)[1]))
-_branch("flat_addon_bundle", "stbp_lines", lambda d: pricing.flat_addon_lines(
-    _ctx(d)[4], _ctx(d)[1], "simulation_and_training_bundle_plus", "STBP", "S&T Bundle Plus", "IS-LTP-STBP",
-    ["Complete Protect", "SAT Suite"]))
-_branch("flat_addon_takeover", "ato_lines", lambda d: pricing.flat_addon_lines(
-    _ctx(d)[4], _ctx(d)[1], "ato", "ATO", "Account Takeover", "IS-LTP-ATO", ["Complete Protect"]))
+        _with_ctx(lambda d, meta, prices, unified, rules, fine: pricing.exception_lines(B.peak_rows(d), meta, rules)))
+_branch("flat_addon", "premium_lines",
+        _with_ctx(lambda d, meta, prices, unified, rules, fine: pricing.premium_lines(fine, prices)))
+_branch("tiered_addon", "im_lines",
+        _with_ctx(lambda d, meta, prices, unified, rules, fine: pricing.tiered_addon_lines(fine, prices)))
+_branch("flat_addon_bundle", "stbp_lines", _with_ctx(lambda d, meta, prices, unified, rules, fine: pricing.flat_addon_lines(
+    fine, prices, "simulation_and_training_bundle_plus", "STBP", "S&T Bundle Plus", "IS-LTP-STBP",
+    ["Complete Protect", "SAT Suite"])))
+_branch("flat_addon_takeover", "ato_lines", _with_ctx(lambda d, meta, prices, unified, rules, fine: pricing.flat_addon_lines(
+    fine, prices, "ato", "ATO", "Account Takeover", "IS-LTP-ATO", ["Complete Protect"])))
 _branch("per_unit_addon", "dmarc_lines",
-        lambda d: pricing.per_unit_lines(B.addon_rows(d), _ctx(d)[2], _ctx(d)[1]))
+        _with_ctx(lambda d, meta, prices, unified, rules, fine: pricing.per_unit_lines(B.addon_rows(d), unified, prices)))
 _branch("min_commit", "topup", lambda d: B.root_lines(d).filter(F.col("sku") == "IS-LTP-MIN"))
 _branch("bill_lines", "lines", lambda d: B.root_lines(d))
 
@@ -169,7 +179,6 @@ def q_itemized_bill(spark, sf):
 # More peak-selection variants
 # ---------------------------------------------------------------------------
 from .oracle_bill import RANK, register_picks  # noqa: E402
-from ..functions.dates import as_date  # noqa: E402
 from ..operators import select  # noqa: E402
 from ..sources import adapters as A  # noqa: E402
 import datetime as _dt  # noqa: E402
@@ -484,11 +493,9 @@ def q_addon_menu(spark, sf):
 
 @query("subtenant_flat", with_ctes(["sub_flat"], "SELECT " + _SUB.format("sub_flat")))
 def q_subtenant_flat(spark, sf):
-    from ..operators import subtenant
     sub = B.subtenant_lines(domain(spark, sf))
     flat_skus = [v[2] for v in pricing.PLAN_SKUS.values() if v[2]] + ["IS-LTP-PSCP", "IS-LTP-IM", "IS-LTP-STBP",
                                                                       "IS-LTP-ATO"]
-    del subtenant
     return _sub_out(sub.filter(F.col("sku").isin(*flat_skus)))
 
 

@@ -1,14 +1,11 @@
 """Registered queries against their DuckDB oracle on the smallest data folder."""
 
-import os
-
 import duckdb
 import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-sys_path = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 from tools.check_oracle import TABLES, rows_of  # noqa: E402
 
 NAMES = ["tree_closure", "hwm_month", "bill_lines", "itemized_bill", "free_allowance", "subtenant_lines",
