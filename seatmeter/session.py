@@ -12,19 +12,21 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings the billing jobs rely on; applied only where the session has none (a cluster's own
-# configuration wins). The partition-sizing pair suits the small local runs: tiny shuffles collapse to
-# one task instead of one per core, mid-size ones still split.
+# configuration wins).
 _DEFAULTS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # size post-shuffle partitions by the advisory size, not by core count (small shuffles -> few tasks)
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(8 * 1024 * 1024),
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # dimension tables (price list, meta, pools, FX) stay far below this; the
-    # planner still measures them before choosing a broadcast join
+}
+
+
+# Local runs only (tests, bench): size post-shuffle partitions by an advisory size instead of by core
+# count, so tiny shuffles collapse to one task while mid-size ones still split.
+_LOCAL = {
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(8 * 1024 * 1024),
 }
 
 
@@ -39,7 +41,7 @@ def local_session(cpus: int | str = "*", partitions: int = 8, app: str = "seatme
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for k, v in _DEFAULTS.items():
+    for k, v in {**_DEFAULTS, **_LOCAL}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
