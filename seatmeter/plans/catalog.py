@@ -24,12 +24,12 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
-_DOMAINS: dict[tuple[int, str], B.Domain] = {}
+_DOMAINS: dict[tuple[str, int, str], B.Domain] = {}
 
 
 def domain(spark: SparkSession, sf_dir: str) -> B.Domain:
     """One Domain per (session, folder): the history/peak tables are materialised once."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _DOMAINS:
         apply_defaults(spark)
         _DOMAINS[key] = B.Domain(spark, sf_dir)

@@ -89,7 +89,7 @@ def usage(spark, sf_dir):
     this grain exactly (sums of sums, min of mins, max of maxes), so the raw
     lineitem-width join is never written out.
     """
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _CACHE:
         lines = A.usage_keys(Tables(spark, sf_dir))
         unit = F.round((F.col("revenue").cast("double") / F.col("quantity")).cast("decimal(38,10)"), 4) \
@@ -209,7 +209,7 @@ def bridge_fx(spark, sf):
 def stored_fact(spark, sf):
     """The bridge fact (S1) written once per (session, folder), like the reference's stored fact table;
     the pivot, both metadata snapshots and the channel flags all read it."""
-    key = ("bridge-fact", id(spark), sf)
+    key = ("bridge-fact", spark.sparkContext.applicationId, id(spark), sf)
     if key not in _CACHE:
         _CACHE[key] = materialize(S.fact(bridge_lines(spark, sf)), "bridge-fact")
     return _CACHE[key]
