@@ -53,13 +53,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared, fault-tolerant folder
-    and is used as is. Only when it is unset (local tests) a scratch folder is
-    created for the run.
+    and is used as is (a cluster session without it is an error). Only a local
+    session without it (tests) gets a scratch folder for the run.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        # a machine-local folder would not be shared by the executors of a cluster
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (the materialised tables are written there)")
     path = tempfile.mkdtemp(prefix="seatmeter-ckpt-", dir=os.environ.get("SEATMETER_SCRATCH", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
