@@ -198,7 +198,7 @@ def seat_grain(hwm: DataFrame, meta: DataFrame, unified: DataFrame, rules: DataF
     ex = rules.select(F.col("sub_tenant_id").alias("tenant_global_id"), F.col("ltp_id").alias("root"),
                       F.col("rule_plan").alias("plan_name"), F.col("rule_nfr").alias("eff_partner")).distinct()
     h = h.join(dim(m), "root").join(dim(u), "root").join(
-        ex, ["tenant_global_id", "root", "plan_name", "eff_partner"], "left_anti")
+        dim(ex), ["tenant_global_id", "root", "plan_name", "eff_partner"], "left_anti")
     keys = ["date_recorded", "master", "root", "plan_name", "eff_partner", "profile_type",
             "incident_management", "simulation_and_training_bundle_plus", "ato", "premium_name"]
     return h.groupBy(*keys).agg(
@@ -244,7 +244,7 @@ def exception_lines(hwm: DataFrame, meta: DataFrame, rules: DataFrame) -> DataFr
     r = rules.select(F.col("sub_tenant_id").alias("tenant_global_id"), F.col("ltp_id").alias("root"),
                      F.col("rule_plan").alias("plan_name"), F.col("rule_nfr").alias("eff_partner"),
                      "tier_min", "tier_max", "tier_rate")
-    j = h.join(dim(m), "root").join(r, ["tenant_global_id", "root", "plan_name", "eff_partner"])
+    j = h.join(dim(m), "root").join(dim(r), ["tenant_global_id", "root", "plan_name", "eff_partner"])
     keys = ["date_recorded", "root", "tenant_global_id", "plan_name", "eff_partner", "profile_type",
             "tier_min", "tier_max", "tier_rate"]
     g = j.groupBy(*keys).agg(F.sum("active_profiles").alias("sa"), F.sum("licensed_profiles").alias("sl"),
