@@ -84,3 +84,17 @@ def test_bucket_null_quantities_do_not_fall_to_rate_change(spark):
                                      "tenant_qty_curr_total int, tenant_mrr_prior double, tenant_mrr_current double, "
                                      "channel_changed boolean, billing_currency string")
     assert [r[0] for r in df.select(bucket()).collect()] == ["New", "Churn", "Upsell", "FX Impact"]
+
+
+def test_dim_broadcasts_only_under_its_row_bound(spark):
+    from seatmeter.functions.joins import dim
+    big = spark.range(0, 50).withColumnRenamed("id", "k")
+    small = spark.range(0, 5).withColumnRenamed("id", "k")
+    fact = spark.range(0, 1000).select((F.col("id") % 50).alias("k"))
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "broadcast" in plan(fact.join(dim(small, max_rows=10), "k")).lower()
+    assert "broadcast" not in plan(fact.join(dim(big, max_rows=10), "k")).lower()
+    assert fact.join(dim(big, max_rows=10), "k").count() == 1000
