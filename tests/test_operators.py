@@ -98,3 +98,17 @@ def test_dim_broadcasts_only_under_its_row_bound(spark):
     assert "broadcast" in plan(fact.join(dim(small, max_rows=10), "k")).lower()
     assert "broadcast" not in plan(fact.join(dim(big, max_rows=10), "k")).lower()
     assert fact.join(dim(big, max_rows=10), "k").count() == 1000
+
+
+def test_tree_closure_stops_on_cycles_and_builds_paths(spark):
+    from seatmeter.operators import tree
+    # company 1 is a root, 2 hangs under 1 (brand 20), 3 under 2 (brand 30); a duplicate row of company 1
+    # under brand 40 (owned by 2) would loop 1 -> 2 -> 1 -> ... without the guard
+    company = spark.createDataFrame([(1, None, "A", "US"), (2, 20, "B", "US"), (3, 30, "C", "US"), (1, 40, "A", "US")],
+                                    "id bigint, brand_id bigint, name string, region string")
+    brand = spark.createDataFrame([(20, 1, "b20"), (30, 2, "b30"), (40, 2, "b40")],
+                                  "id bigint, owner_id bigint, name string")
+    out = tree.decode(tree.closure(company, brand, max_depth=10))
+    got = sorted((r["tenant_global_id"], r["depth"], r["tree_key"]) for r in out.collect())
+    assert got == [("US-1", 0, "XXXXXX1 "), ("US-2", 1, "XXXXXX1 XXXXXX2 "),
+                   ("US-3", 2, "XXXXXX1 XXXXXX2 XXXXXX3 ")]
