@@ -45,3 +45,8 @@ def test_entry_runs(spark):
 def test_bill_rerun_is_idempotent(spark):
     rows = E.queries()["day_replace_sink"](spark, SF_SMALL).count()
     assert rows == E.queries()["itemized_bill"](spark, SF_SMALL).count()
+
+
+def test_every_oracle_plans_in_duckdb(con):
+    for name, sql in E.oracle_sql().items():
+        con.execute(f"EXPLAIN {sql}")          # raises on any syntax or binding error
