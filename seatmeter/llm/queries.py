@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash
+from . import decontaminate, minhash, secrets, tokens, warc
 from .ship import ship
+from .store import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,6 +27,70 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents, with weak parts linked within scopes."""
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as dictionary-compressed token ids, and read back."""
+    path = new_path(spark, "tokens")
+    tokens.write_tokens(table(spark, sf_dir, "documents"), path, tokens.Params(tokenizer=tokenizer_path()))
+    return tokens.read_digests(spark, path)
+
+
+@query
+def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC records in a chunked table, and read back."""
+    path = new_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return (warc.read_archives(spark, path)
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
+ORACLE["op9_warc_archive"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first_id FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM f
+"""
+
+
+@query
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items contained in documents, by five-word shingles."""
+    return decontaminate.find_benchmark_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op10_benchmark_decontamination"] = """
+WITH t AS (
+  SELECT 0 AS side, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+w AS (
+  SELECT side, id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM t),
+s AS (
+  SELECT DISTINCT side, id, array_to_string(w[i : i + 4], ' ') AS g
+  FROM (SELECT side, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+q AS (SELECT id, count(*) AS n FROM s WHERE side = 1 GROUP BY id),
+j AS (
+  SELECT d.id AS doc_id, b.id AS item_id, count(*) AS shared
+  FROM s b JOIN s d ON d.side = 0 AND b.side = 1 AND b.g = d.g GROUP BY ALL)
+SELECT doc_id, item_id, CAST(floor(log2(n)) AS INTEGER) AS size_partition, n AS item_shingles,
+       shared AS shared_shingles, shared / n AS containment
+FROM j JOIN q ON q.id = item_id WHERE 100 * shared >= 80 * n
+"""
+
+
 @query
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of documents over two-word shingles."""
