@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, secrets, tokens, warc
+from . import decontaminate, minhash, secrets, substring, tokens, warc
 from .ship import ship
 from .store import new_path
 
@@ -32,6 +33,31 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the words of 35-word windows that stand anywhere else."""
+    return (substring.dedup_substrings(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256")))
+
+
+ORACLE["op1_substring_dedup"] = """
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+g AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 34], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM w WHERE len(w) >= 35)),
+r AS (SELECT doc_id, i FROM g WHERE g IN (SELECT g FROM g GROUP BY g HAVING count(*) > 1)),
+c AS (SELECT DISTINCT doc_id, i + j AS pos FROM r, range(35) t(j)),
+n AS (SELECT doc_id, count(*) AS cut FROM c GROUP BY doc_id),
+u AS (SELECT doc_id, unnest(w) AS v, unnest(range(1, len(w) + 1)) AS i FROM w),
+k AS (
+  SELECT u.doc_id, string_agg(v, ' ' ORDER BY i) AS kept
+  FROM u ANTI JOIN c ON u.doc_id = c.doc_id AND u.i = c.pos GROUP BY u.doc_id)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(cut, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+
 @query
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of all documents, with weak parts linked within scopes."""
