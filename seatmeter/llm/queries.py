@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, secrets, substring, tokens, warc
+from . import decontaminate, minhash, quality, secrets, substring, tokens, warc
 from .ship import ship
 from .store import new_path
 
@@ -58,6 +58,12 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
 """
 
 
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures, rule votes, posterior and verdict of all documents."""
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of all documents, with weak parts linked within scopes."""
