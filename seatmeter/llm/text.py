@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
-_IS_WORD = np.ones(256, dtype=bool)
-_IS_WORD[list(SPACES)] = False
+IS_WORD = np.ones(256, dtype=bool)
+IS_WORD[list(SPACES)] = False
 # masks that keep the first n bytes of a little-endian 8-byte load
 _KEEP = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)
 # fixed values: the increments and multipliers of the splitmix64 generator
@@ -40,6 +40,26 @@ def combine(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(left * _GAMMA + right)
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """One 64-bit hash per byte range, over its bytes and its length."""
+    padded = np.zeros(len(data) + 8, dtype=np.uint8)
+    padded[: len(data)] = data
+    return _hashes(padded, start, end)
+
+
+def _hashes(padded: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    size = end - start
+    loads = np.ndarray(shape=(len(padded) - 7,), dtype="<u8", buffer=padded, strides=(1,))
+    h = mix(size.astype(np.uint64) * _GAMMA + _GAMMA)
+    live, at, left = np.arange(len(size)), start, size
+    while len(live):
+        block = loads[at] & _KEEP[np.minimum(left, 8)]
+        h[live] = mix(h[live] ^ (block * _GAMMA))
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    return h
+
+
 class Words:
     """The words of a run of documents.
 
@@ -54,7 +74,7 @@ class Words:
         self.data = np.zeros(len(raw) + 8, dtype=np.uint8)
         self.data[: len(raw)] = raw
         inside = np.zeros(len(raw) + 1, dtype=bool)
-        inside[:-1] = _IS_WORD[raw]
+        inside[:-1] = IS_WORD[raw]
         begins = inside[:-1].copy()
         begins[1:] &= ~inside[:-2]
         ends = inside[:-1] & ~inside[1:]
@@ -75,17 +95,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """One 64-bit hash per word, over its bytes and its length."""
-        size = self.end - self.start
-        loads = np.ndarray(shape=(len(self.data) - 7,), dtype="<u8", buffer=self.data, strides=(1,))
-        h = mix(size.astype(np.uint64) * _GAMMA + _GAMMA)
-        live, at = np.arange(len(size)), self.start
-        left = size
-        while len(live):
-            block = loads[at] & _KEEP[np.minimum(left, 8)]
-            h[live] = mix(h[live] ^ (block * _GAMMA))
-            more = left > 8
-            live, at, left = live[more], at[more] + 8, left[more] - 8
-        return h
+        return _hashes(self.data, self.start, self.end)
 
     def shingles(self, k: int, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all k-word shingles and each document's first shingle (with a final total).
