@@ -111,6 +111,29 @@ def _probe(batches: Iterator[pa.RecordBatch], items, p: Params) -> Iterator[pa.R
                     ["doc_id", "item_id", "size_partition", "item_shingles", "shared_shingles", "containment"])
 
 
+def _drop(batches: Iterator[pa.RecordBatch], items, p: Params) -> Iterator[pa.RecordBatch]:
+    block: Items = items.value
+    for batch in batches:
+        for rows, data, offsets in tx.runs(batch, "text"):
+            shingles, first = tx.Words(tx.lowered(data), offsets).shingles(p.shingle)
+            clean = np.ones(rows.num_rows, dtype=bool)
+            clean[[d for d, _, _ in block.match(shingles, first, p)]] = False
+            yield rows.filter(pa.array(clean))
+
+
+def _item_blocks(benchmark: DataFrame, params: Params) -> Iterator[Items]:
+    """The distinct items in blocks of about ``block_words`` words."""
+    queries = benchmark.select(F.col("item_id").cast("long").alias("item_id"),
+                               F.col("text").cast("string").alias("text")).filter("length(text) > 0").distinct()
+    words = queries.agg(F.sum(F.size(F.split("text", r"[\x20\x09-\x0D]+")))).first()[0] or 0
+    blocks = max(1, math.ceil(words / params.block_words))
+    for k in range(blocks):
+        rows = [(r.item_id, r.text) for r in queries.filter(F.expr(f"pmod(xxhash64(item_id, text), {blocks}) = {k}"))
+                .toLocalIterator()]
+        elements, first = shingle_sets(*tx.utf8(pa.array([t for _, t in rows], pa.large_string())), params.shingle)
+        yield Items([(i, elements[a:b]) for (i, _), a, b in zip(rows, first[:-1], first[1:])], params)
+
+
 def find_benchmark_items(docs: DataFrame, benchmark: DataFrame, params: Params = Params()) -> DataFrame:
     """Pairs of a document and a benchmark item whose shingles it holds to ``percent`` or more.
 
@@ -123,16 +146,16 @@ def find_benchmark_items(docs: DataFrame, benchmark: DataFrame, params: Params =
     """
     spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    queries = benchmark.select(F.col("item_id").cast("long").alias("item_id"),
-                               F.col("text").cast("string").alias("text")).filter("length(text) > 0").distinct()
-    words = queries.agg(F.sum(F.size(F.split("text", r"[\x20\x09-\x0D]+")))).first()[0] or 0
-    blocks = max(1, math.ceil(words / params.block_words))
     out = None
-    for k in range(blocks):
-        rows = [(r.item_id, r.text) for r in queries.filter(F.expr(f"pmod(xxhash64(item_id, text), {blocks}) = {k}"))
-                .toLocalIterator()]
-        elements, first = shingle_sets(*tx.utf8(pa.array([t for _, t in rows], pa.large_string())), params.shingle)
-        items = Items([(i, elements[a:b]) for (i, _), a, b in zip(rows, first[:-1], first[1:])], params)
+    for items in _item_blocks(benchmark, params):
         found = base.mapInArrow(partial(_probe, items=spark.sparkContext.broadcast(items), p=params), PAIRS)
         out = found if out is None else out.unionAll(found)
     return out
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, params: Params = Params()) -> DataFrame:
+    """The documents that hold no benchmark item, with all their columns; no shuffle."""
+    out = docs
+    for items in _item_blocks(benchmark, params):
+        out = out.mapInArrow(partial(_drop, items=docs.sparkSession.sparkContext.broadcast(items), p=params), docs.schema)
+    return out

@@ -312,3 +312,18 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), store: Store | N
     out = (signed.select("doc_id", "n_shingles", "set_a", "set_b").join(classes, ["set_a", "set_b"], "left")
            .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, ids).otherwise(F.col("doc_id")).alias("component_id")))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one(docs: DataFrame, params: Params = Params(), store: Store | None = None) -> DataFrame:
+    """The documents of which one of each group stays (the smallest doc_id), with all their columns.
+
+    Of rows that share the staying doc_id one stays; rows without doc_id all stay.
+    """
+    groups = near_duplicates(docs, params, store)
+    stay = groups.filter("kept and doc_id is not null").groupBy("doc_id").agg((F.count("*") > 1).alias("_many"))
+    names = [f"`{c}`" for c in docs.columns]
+    inner = docs.select(F.col("doc_id").cast("long").alias("_id"), F.struct(*names).alias("_row"))
+    held = inner.join(stay.withColumnRenamed("doc_id", "_id"), "_id")
+    once = (held.filter("_many").groupBy("_id").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row")).select("_row"))
+    return (held.filter("not _many").select("_row").unionAll(once)
+            .unionAll(inner.filter("_id is null").select("_row")).select("_row.*"))

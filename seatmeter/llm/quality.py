@@ -187,8 +187,9 @@ def judge(docs: DataFrame, params: Params = Params(), store: Store | None = None
     """
     st = store or Store(docs.sparkSession, "quality")
     carry = carry or ["doc_id"]
-    measured = st.put("measures", measures(docs.select(*dict.fromkeys([*carry, "text"])), params)
-                      .select(*[F.col(c).alias(f"c_{i}") for i, c in enumerate(carry)], "_m.*").select("*", *votes(params)))
+    # carried columns travel under numbered names, so that none can clash
+    base = docs.select(*[F.col(f"`{c}`").alias(f"c_{i}") for i, c in enumerate(carry)], "text")
+    measured = st.put("measures", measures(base, params).select(*[f"c_{i}" for i in range(len(carry))], "_m.*").select("*", *votes(params)))
     patterns = st.put("patterns", measured.groupBy(*[f"v_{r.name}" for r in params.rules]).agg(F.count("*").alias("n")).coalesce(1))
     model = fit(patterns, params)
     failed = F.expr("n_words < 20 or 100 * n_repeat_words > 30 * n_words")
@@ -200,5 +201,5 @@ def judge(docs: DataFrame, params: Params = Params(), store: Store | None = None
 
 def filter_quality(docs: DataFrame, params: Params = Params(), store: Store | None = None) -> DataFrame:
     """The documents that the label model keeps, with all their columns and nothing else."""
-    verdict = judge(docs, params, store, carry=docs.columns)
-    return verdict.filter("kept").select(*docs.columns)
+    inner = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    return judge(inner, params, store, carry=["_row"]).filter("kept").select("_row.*")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, quality, secrets, substring, tokens, warc
+from . import decontaminate, minhash, mixing, quality, secrets, substring, tokens, warc
 from .ship import ship
 from .store import new_path
 
@@ -78,6 +78,12 @@ def op5_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_digests(spark, path)
 
 
+@query
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors, fitted rates and copies of all documents."""
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC records in a chunked table, and read back."""
