@@ -17,10 +17,10 @@ windows always meet:
    out further: its segments are cut into single windows, each of which goes to
    the shard of its own words, so no shard grows with one common passage.
 4. A shard builds a compressed FM-index over its distinct segments
-   (Huffman-shaped wavelet tree, ``fmindex``). The segments are streamed against
-   it by backward search; their matching statistics give the intervals of
-   ``window`` words or more that occur at least twice. A segment that was sent
-   more than once is one interval as a whole.
+   (entropy-shaped wavelet tree, ``fmindex``), each with the number of its
+   copies. The segments are streamed against it by backward search; their
+   matching statistics give the intervals of ``window`` words or more that occur
+   at least twice.
 5. The intervals go back to the blocks, which apply them to all occurrences of
    the segment and cut the words out. Windows are judged on the input.
 """
@@ -63,20 +63,17 @@ def _normalised(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     n = len(w)
     if not n:
         return np.zeros(0, np.uint8), np.zeros(len(offsets) - 1, np.int64)
-    size = w.end - w.start
     last = np.zeros(n, dtype=bool)
     counts = w.counts()
     last[w.first[1:][counts > 0] - 1] = True
-    keep = np.zeros(len(data) + 1, dtype=np.int8)
-    keep[w.start] += 1
-    keep[w.end] -= 1
-    inside = np.cumsum(keep[:-1]).astype(bool)
-    out = np.full(int(size.sum() + n - last.sum()), 0x20, dtype=np.uint8)
-    begin = np.concatenate([[0], np.cumsum(size + ~last)])
-    flag = np.zeros(len(out) + 1, dtype=np.int8)
-    flag[begin[:-1]] += 1
-    np.add.at(flag, begin[:-1] + size, -1)
-    out[np.cumsum(flag[:-1]).astype(bool)] = data[inside]
+    # the bytes of all words, and after each but a document's last the byte that follows it
+    inside = tx.IS_WORD[data]
+    space = np.zeros(len(data) + 1, dtype=bool)
+    space[w.end[~last]] = True
+    keep = inside | space[:-1]
+    out = data[keep]
+    out[space[:-1][keep]] = 0x20
+    begin = np.concatenate([[0], np.cumsum(w.end - w.start + ~last)])
     return out, np.diff(begin[w.first])
 
 
@@ -266,16 +263,12 @@ def _search(table: pa.Table, p: Params) -> pa.Table:
     texts = list(number)
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
     w = tx.Words(b"".join(texts), offsets)
-    many = np.array(copies) > 1
-    intervals: dict[int, list[tuple[int, int]]] = {int(k): [(0, int(w.counts()[k]))] for k in np.flatnonzero(many)}
-    if not many.all():
-        alphabet, symbol = np.unique(w.hashes(), return_inverse=True)
-        index = FMIndex(symbol.astype(np.int64), w.first, len(alphabet))
-        # only segments sent once are searched for; the others are repeated as a whole
-        size = np.where(many, 0, w.counts())
-        words = symbol[np.repeat(~many, w.counts())]
-        for q, a, b in zip(*repeated_intervals(index, words, np.concatenate([[0], np.cumsum(size)]), p.window)):
-            intervals.setdefault(int(q), []).append((int(a), int(b)))
+    alphabet, symbol = np.unique(w.hashes(), return_inverse=True)
+    symbol = symbol.astype(np.int64)
+    index = FMIndex(symbol, w.first, len(alphabet))
+    intervals: dict[int, list[tuple[int, int]]] = {}
+    for q, a, b in zip(*(x.tolist() for x in repeated_intervals(index, symbol, w.first, p.window, np.array(copies)))):
+        intervals.setdefault(q, []).append((a, b))
     out = []
     for block, cut, firsts, which in sent:
         hit = [(x, x + a, x + b) for x, k in zip(firsts, which) for a, b in intervals.get(k, ())]
