@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, mixing, quality, secrets, substring, tokens, warc
+from . import decontaminate, language, licenses, minhash, mixing, quality, secrets, substring, tokens, warc
 from .ship import ship
 from .store import new_path
 
@@ -64,6 +64,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all pages, from text, markup, address and host."""
+    return language.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of all documents, with weak parts linked within scopes."""
@@ -78,6 +84,13 @@ def op5_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_digests(spark, path)
 
 
+@query
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences named in all documents."""
+    return (licenses.scan_licenses(table(spark, sf_dir, "documents"))
+            .select("doc_id", "license", F.round("dice", 9).alias("dice"), "unit", "n_matches", "licenses"))
+
+
 @query
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Domain posteriors, fitted rates and copies of all documents."""
