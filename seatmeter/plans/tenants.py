@@ -55,29 +55,25 @@ _SNAP_SQL = """
     FROM orders"""
 
 
-def _case(col, m):
-    return "CASE " + " ".join(f"WHEN {col} = {k} THEN '{v}'" for k, v in m.items())
+def _names(m):
+    return "MAP {" + ", ".join(f"{k}: '{v}'" for k, v in m.items()) + "}"
 
 
 @q("status_classifier", f"""
-    WITH s AS ({_SNAP_SQL})
-    SELECT o_orderkey,
-           {_case('plan_id', L.PLAN_NAMES)} ELSE coalesce(CAST(plan_id AS VARCHAR), 'No_Plan') END AS plan_name,
-           {_case('premium_id', L.PREMIUM_NAMES)} ELSE coalesce(CAST(premium_id AS VARCHAR), 'No Premium') END
-             AS premium_name,
-           CASE WHEN trial_plan_id IS NOT NULL AND trial_expiry >= roundup AND datediff('day', registered, roundup) < 30
-                  THEN 'POC'
-                WHEN trial_plan_id IS NOT NULL AND trial_expiry >= roundup AND datediff('day', registered, roundup) >= 30
-                  AND plan_id IS NOT NULL THEN 'Active-POC'
-                WHEN trial_plan_id IS NOT NULL AND trial_expiry >= roundup AND datediff('day', registered, roundup) >= 30
-                  AND plan_id IS NULL THEN 'Inactive-POC'
-                WHEN plan_id IS NOT NULL AND plan_expiry >= roundup THEN 'Active'
-                ELSE 'Inactive' END AS billing_status,
-           CASE WHEN server_type = 0 AND (enabled = false OR enabled IS NULL) THEN false ELSE true END AS integration,
-           CASE WHEN server_type = 0 AND enabled = true THEN 'GMAIL' WHEN server_type = 0 THEN 'NONE'
-                {' '.join(f"WHEN server_type = {k} THEN '{v}'" for k, v in L.INTEGRATION_TYPES.items())} END
-             AS integration_type
-    FROM s""")
+    WITH s AS ({_SNAP_SQL}),
+    told AS (
+      SELECT *, coalesce(trial_plan_id IS NOT NULL AND trial_expiry >= roundup AND registered IS NOT NULL, false) AS on_trial,
+             coalesce(plan_id IS NOT NULL AND plan_expiry >= roundup, false) AS paying,
+             datediff('day', registered, roundup) AS age, coalesce(enabled, false) AS is_on,
+             {_names(L.INTEGRATION_TYPES)} AS kinds, {_names(L.PLAN_NAMES)} AS plans, {_names(L.PREMIUM_NAMES)} AS packs
+      FROM s)
+    SELECT o_orderkey, coalesce(plans[plan_id], CAST(plan_id AS VARCHAR), 'No_Plan') AS plan_name,
+           coalesce(packs[premium_id], CAST(premium_id AS VARCHAR), 'No Premium') AS premium_name,
+           CASE WHEN on_trial AND age < 30 THEN 'POC' WHEN on_trial THEN if(plan_id IS NULL, 'Inactive', 'Active') || '-POC'
+                ELSE if(paying, 'Active', 'Inactive') END AS billing_status,
+           is_on OR coalesce(server_type <> 0, true) AS integration,
+           if(server_type = 0, if(is_on, 'GMAIL', 'NONE'), kinds[server_type]) AS integration_type
+    FROM told""")
 def status_classifier(spark, sf):
     s = _snap(Tables(spark, sf).orders)
     flag, kind = L.integration(F.col("server_type"), F.col("enabled"))

@@ -9,6 +9,7 @@ from ..operators.sinks import materialize
 from ..sources import adapters as A
 from ..sources.tables import Tables
 from ..functions.joins import dim
+from . import oracle_bridge as OB
 from .oracle_base import register, with_ctes
 
 register("usage", (), """
@@ -243,32 +244,19 @@ def mrr_bridge(spark, sf):
 
 
 _P, _C = (f"DATE '{d.isoformat()}'" for d in S.bridge_anchors(BRIDGE_AS_OF))
-_G = "global_tenant_id, first_layer_id, second_layer_id, third_layer_id, fourth_layer_id, fifth_layer_id, item, sku, is_nfr"
+_G = OB.G
 register("b_lines", ("usage",), """
     SELECT billing_date, tenant AS global_tenant_id, channel_ltp AS first_layer_id, '' AS second_layer_id,
            '' AS third_layer_id, '' AS fourth_layer_id, '' AS fifth_layer_id, item, sku, is_nfr, quantity, revenue,
            list_price, ltp_type, order_date, 'AM-' || CAST(region_key AS VARCHAR) AS account_master_id
     FROM usage""")
 register("b_fact", ("b_lines",), f"""
-    WITH g AS (SELECT billing_date, {_G}, sum(quantity) AS billed_qty, sum(revenue) AS tenant_mrr,
-                      max(list_price) AS max_price, max(ltp_type) AS ltp_type, max(account_master_id) AS account_master_id
-               FROM b_lines GROUP BY ALL)
-    SELECT g.*, p.total_ltp_billed_qty, r.registration_date
-    FROM g JOIN (SELECT billing_date, first_layer_id, sum(billed_qty) AS total_ltp_billed_qty FROM g GROUP BY ALL) p
-      ON g.billing_date = p.billing_date AND g.first_layer_id = p.first_layer_id
-    JOIN (SELECT global_tenant_id, min(order_date) AS registration_date FROM b_lines GROUP BY ALL) r
-      ON g.global_tenant_id = r.global_tenant_id""")
-register("b_pivot", ("b_fact",), f"""
-    SELECT {_G},
-      CAST(coalesce(sum(CASE WHEN billing_date = {_P} THEN billed_qty ELSE 0 END), 0) AS BIGINT) AS billed_qty_prior,
-      CAST(coalesce(sum(CASE WHEN billing_date = {_C} THEN billed_qty ELSE 0 END), 0) AS BIGINT) AS billed_qty_current,
-      CAST(coalesce(sum(CASE WHEN billing_date = {_P} THEN tenant_mrr ELSE 0 END), 0) AS DOUBLE) AS tenant_mrr_prior,
-      CAST(coalesce(sum(CASE WHEN billing_date = {_C} THEN tenant_mrr ELSE 0 END), 0) AS DOUBLE) AS tenant_mrr_current,
-      CAST(coalesce(sum(CASE WHEN billing_date = {_P} THEN tenant_mrr * 12 ELSE 0 END), 0) AS DOUBLE) AS tenant_arr_prior,
-      CAST(coalesce(sum(CASE WHEN billing_date = {_C} THEN tenant_mrr * 12 ELSE 0 END), 0) AS DOUBLE) AS tenant_arr_current,
-      CAST(coalesce(sum(CASE WHEN billing_date = {_P} THEN total_ltp_billed_qty ELSE 0 END), 0) AS BIGINT) AS total_ltp_qty_prior,
-      CAST(coalesce(sum(CASE WHEN billing_date = {_C} THEN total_ltp_billed_qty ELSE 0 END), 0) AS BIGINT) AS total_ltp_qty_current
-    FROM b_fact WHERE billing_date IN ({_P}, {_C}) GROUP BY {_G}""")
+    SELECT billing_date, {_G}, sum(quantity) AS billed_qty, sum(revenue) AS tenant_mrr, max(list_price) AS max_price,
+           max(ltp_type) AS ltp_type, max(account_master_id) AS account_master_id,
+           sum(sum(quantity)) OVER (PARTITION BY billing_date, first_layer_id) AS total_ltp_billed_qty,
+           min(min(order_date)) OVER (PARTITION BY global_tenant_id) AS registration_date
+    FROM b_lines GROUP BY billing_date, {_G}""")
+register("b_pivot", ("b_fact",), OB.pivot("b_fact", _P, _C))
 register("b_rates", ("usage",), """
     SELECT billing_date AS snapshot_date, channel_ltp AS tenant_global_id, item AS sku,
            min(CAST(ROUND(CAST(CAST(revenue AS DOUBLE) / quantity AS DECIMAL(38,10)), 4) AS DECIMAL(18,4))) AS price
@@ -279,122 +267,15 @@ register("b_fx", (), f"""
                 AS DECIMAL(18,4)) AS conversionrate, d.startdate
     FROM (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS startdate FROM orders) d
     CROSS JOIN (VALUES {_FXV}) c(r, isocode)""")
-register("b_flags", ("b_fact",), f"""
-    SELECT DISTINCT pr.global_tenant_id, pr.item, pr.sku, true AS channel_changed
-    FROM (SELECT DISTINCT global_tenant_id, item, sku, first_layer_id FROM b_fact WHERE billing_date = {_P}) pr
-    JOIN (SELECT DISTINCT global_tenant_id, item, sku, first_layer_id FROM b_fact WHERE billing_date = {_C}) cu
-      ON pr.global_tenant_id = cu.global_tenant_id AND pr.item = cu.item AND pr.sku = cu.sku
-    WHERE pr.first_layer_id <> cu.first_layer_id""")
-
-
-def _meta(day: str, sfx: str) -> str:
-    return (f"(SELECT global_tenant_id, item, sku, is_nfr, max(ltp_type) AS ltp_type_{sfx}, "
-            f"max(registration_date) AS registration_date_{sfx}, max(account_master_id) AS account_master_id_{sfx}, "
-            f"max(max_price) AS max_price_{sfx} FROM b_fact WHERE billing_date = {day} GROUP BY ALL)")
-
-
-def _r(x: str) -> str:
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,10)), 4) AS DOUBLE)"
-
-
-_RATE = ("coalesce(CASE WHEN actual_effective_rate <> 0 THEN actual_effective_rate END, "
-         "implied_effective_rate, 0.0::DOUBLE)")
-register("b_bridge", ("b_pivot", "b_fact", "b_rates", "b_fx", "b_flags"), f"""
-    WITH e AS (
-      SELECT p.*,
-             coalesce(mc.ltp_type_c, mp.ltp_type_p) AS ltp_type,
-             coalesce(mc.registration_date_c, mp.registration_date_p) AS registration_date,
-             coalesce(mc.account_master_id_c, mp.account_master_id_p) AS account_master_id,
-             coalesce(mc.max_price_c, mp.max_price_p) AS max_price,
-             tt.tenant_qty_prior_total, tt.tenant_qty_curr_total,
-             CAST(er.actual_effective_rate AS DOUBLE) AS actual_effective_rate,
-             coalesce(lc.currency, 'USD') AS billing_currency,
-             coalesce(CAST(fp.conversionrate AS DOUBLE), 1.0::DOUBLE) AS prior_fx_rate,
-             coalesce(CAST(fc.conversionrate AS DOUBLE), 1.0::DOUBLE) AS current_fx_rate,
-             coalesce(cf.channel_changed, false) AS channel_changed
-      FROM b_pivot p
-      LEFT JOIN {_meta(_C, 'c')} mc ON p.global_tenant_id = mc.global_tenant_id AND p.item = mc.item
-        AND p.sku IS NOT DISTINCT FROM mc.sku AND p.is_nfr IS NOT DISTINCT FROM mc.is_nfr
-      LEFT JOIN {_meta(_P, 'p')} mp ON p.global_tenant_id = mp.global_tenant_id AND p.item = mp.item
-        AND p.sku IS NOT DISTINCT FROM mp.sku AND p.is_nfr IS NOT DISTINCT FROM mp.is_nfr
-      LEFT JOIN (SELECT global_tenant_id, CAST(sum(billed_qty_prior) AS BIGINT) AS tenant_qty_prior_total,
-                        CAST(sum(billed_qty_current) AS BIGINT) AS tenant_qty_curr_total
-                 FROM b_pivot GROUP BY ALL) tt ON p.global_tenant_id = tt.global_tenant_id
-      LEFT JOIN (SELECT tenant_global_id AS first_layer_id, sku AS item, min(price) AS actual_effective_rate
-                 FROM b_rates WHERE snapshot_date = (SELECT max(snapshot_date) FROM b_rates WHERE snapshot_date <= {_C})
-                 GROUP BY ALL) er ON p.first_layer_id = er.first_layer_id AND p.item = er.item
-      LEFT JOIN (SELECT 'N-' || CAST(n_nationkey AS VARCHAR) AS first_layer_id,
-                        max(upper(trim(({_CUR})[n_regionkey + 1]))) AS currency FROM nation GROUP BY ALL) lc
-        ON p.first_layer_id = lc.first_layer_id
-      LEFT JOIN (SELECT * FROM b_fx WHERE startdate = (SELECT max(startdate) FROM b_fx WHERE startdate <= {_P})) fp
-        ON coalesce(lc.currency, 'USD') = fp.isocode
-      LEFT JOIN (SELECT * FROM b_fx WHERE startdate = (SELECT max(startdate) FROM b_fx WHERE startdate <= {_C})) fc
-        ON coalesce(lc.currency, 'USD') = fc.isocode
-      LEFT JOIN b_flags cf ON p.global_tenant_id = cf.global_tenant_id AND p.item = cf.item AND p.sku = cf.sku),
-    c AS (
-      SELECT *, billed_qty_current - billed_qty_prior AS net_qty_change,
-             tenant_mrr_current - tenant_mrr_prior AS net_mrr_change,
-             tenant_arr_current - tenant_arr_prior AS net_arr_change,
-             tenant_mrr_prior * prior_fx_rate AS tenant_mrr_usd_prior,
-             tenant_mrr_current * current_fx_rate AS tenant_mrr_usd_current,
-             tenant_arr_prior * prior_fx_rate AS tenant_arr_usd_prior,
-             tenant_arr_current * current_fx_rate AS tenant_arr_usd_current,
-             (tenant_mrr_prior * current_fx_rate - tenant_mrr_prior * prior_fx_rate) * 12 AS fx_impact_arr_usd,
-             CASE WHEN billed_qty_current <> 0 THEN tenant_mrr_current / billed_qty_current
-                  WHEN billed_qty_prior <> 0 THEN tenant_mrr_prior / billed_qty_prior END AS implied_effective_rate
-      FROM e),
-    b AS (
-      SELECT *,
-        CASE WHEN coalesce(tenant_qty_prior_total, 0) = 0 AND coalesce(billed_qty_current, 0) > 0 THEN 'New'
-             WHEN coalesce(tenant_qty_curr_total, 0) = 0 AND coalesce(tenant_qty_prior_total, 0) > 0 THEN 'Churn'
-             WHEN channel_changed = true AND ((coalesce(billed_qty_prior, 0) > 0 AND coalesce(billed_qty_current, 0) = 0)
-                  OR (coalesce(billed_qty_prior, 0) = 0 AND coalesce(billed_qty_current, 0) > 0)) THEN 'Change of Channel'
-             WHEN coalesce(tenant_qty_prior_total, 0) > 0 AND coalesce(billed_qty_current, 0) > coalesce(billed_qty_prior, 0)
-                  THEN 'Upsell'
-             WHEN coalesce(tenant_qty_prior_total, 0) > 0 AND coalesce(billed_qty_current, 0) < coalesce(billed_qty_prior, 0)
-                  THEN 'Downsell'
-             WHEN coalesce(billed_qty_current, 0) = coalesce(billed_qty_prior, 0)
-                  AND coalesce(tenant_mrr_current, 0) = coalesce(tenant_mrr_prior, 0) AND billing_currency <> 'USD'
-                  THEN 'FX Impact'
-             WHEN coalesce(billed_qty_current, 0) = coalesce(billed_qty_prior, 0)
-                  AND coalesce(tenant_mrr_current, 0) = coalesce(tenant_mrr_prior, 0) THEN 'No Change'
-             ELSE 'Billing Rate Change' END AS arr_bucket,
-        {_RATE} AS effective_rate
-      FROM c),
-    v AS (
-      SELECT *,
-        CASE WHEN arr_bucket IN ('No Change', 'FX Impact') THEN 0.0::DOUBLE
-             WHEN arr_bucket = 'New' THEN billed_qty_current * effective_rate
-             WHEN arr_bucket = 'Churn' THEN -billed_qty_prior * effective_rate
-             WHEN arr_bucket IN ('Upsell', 'Downsell', 'Change of Channel')
-                  THEN (billed_qty_current - billed_qty_prior) * effective_rate
-             ELSE 0.0::DOUBLE END AS volume_impact_mrr
-      FROM b)
-    SELECT {_C} AS snapshot_date, {_P} AS prior_dt, {_C} AS current_dt,
-           {_G}, ltp_type, registration_date, account_master_id, {_r('max_price')} AS max_price,
-           billed_qty_prior, billed_qty_current, tenant_qty_prior_total, tenant_qty_curr_total,
-           {', '.join(_r(x) + ' AS ' + x for x in ['tenant_mrr_prior', 'tenant_mrr_current', 'tenant_arr_prior', 'tenant_arr_current'])},
-           total_ltp_qty_prior, total_ltp_qty_current, {_r('actual_effective_rate')} AS actual_effective_rate,
-           billing_currency, {_r('prior_fx_rate')} AS prior_fx_rate, {_r('current_fx_rate')} AS current_fx_rate,
-           channel_changed, net_qty_change,
-           {', '.join(_r(x) + ' AS ' + x for x in ['net_mrr_change', 'net_arr_change', 'tenant_mrr_usd_prior', 'tenant_mrr_usd_current', 'tenant_arr_usd_prior', 'tenant_arr_usd_current', 'fx_impact_arr_usd', 'implied_effective_rate'])},
-           arr_bucket, {_r('effective_rate')} AS effective_rate, {_r('volume_impact_mrr')} AS volume_impact_mrr,
-           {_r('volume_impact_mrr * 12')} AS volume_impact_arr,
-           {_r('net_mrr_change - volume_impact_mrr')} AS billing_rate_change_mrr,
-           {_r('(net_mrr_change - volume_impact_mrr) * 12')} AS billing_rate_change_arr,
-           {_r('volume_impact_mrr * prior_fx_rate')} AS volume_impact_mrr_usd,
-           {_r('volume_impact_mrr * 12 * prior_fx_rate')} AS volume_impact_arr_usd,
-           {_r('(net_mrr_change - volume_impact_mrr) * current_fx_rate')} AS billing_rate_change_mrr_usd,
-           {_r('(net_mrr_change - volume_impact_mrr) * 12 * current_fx_rate')} AS billing_rate_change_arr_usd,
-           {_r('tenant_mrr_usd_current - tenant_mrr_usd_prior')} AS net_mrr_change_usd,
-           {_r('tenant_arr_usd_current - tenant_arr_usd_prior')} AS net_arr_change_usd
-    FROM v
-    WHERE NOT (billed_qty_prior = 0 AND billed_qty_current = 0 AND tenant_mrr_prior = 0 AND tenant_mrr_current = 0)""")
+register("b_flags", ("b_fact",), OB.moved("b_fact", _P, _C))
+register("b_bridge", ("b_pivot", "b_fact", "b_rates", "b_fx", "b_flags"), OB.bridge(
+    "b_fact", "b_pivot", "b_flags", "b_rates", "b_fx",
+    f"SELECT 'N-' || CAST(n_nationkey AS VARCHAR) AS first_layer_id, ({_CUR})[n_regionkey + 1] AS currency FROM nation", _P, _C))
 
 SQL.update({
     "bridge_fact": with_ctes(["b_fact"], f"""
         SELECT billing_date, {_G}, CAST(billed_qty AS BIGINT) AS billed_qty, CAST(tenant_mrr AS DOUBLE) AS tenant_mrr,
-               {_r('max_price')} AS max_price, ltp_type, account_master_id,
+               {OB._r('max_price')} AS max_price, ltp_type, account_master_id,
                CAST(total_ltp_billed_qty AS BIGINT) AS total_ltp_billed_qty, registration_date FROM b_fact"""),
     "two_period_pivot": with_ctes(["b_pivot"], "SELECT * FROM b_pivot"),
     "channel_migration": with_ctes(["b_flags"], "SELECT * FROM b_flags"),
