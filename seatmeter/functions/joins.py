@@ -1,32 +1,14 @@
-"""Join-side helpers: broadcast only what is proven small."""
+"""Join-side helper: broadcast only what is small by construction.
+
+Every other join side is left without a hint: the files' statistics, and AQE at
+run time, decide between a broadcast and a shuffle join.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it has at most this many rows (rows of a few hundred bytes:
-# well below the executors' broadcast budget). Above it the join stays a shuffle join.
-MAX_BROADCAST_ROWS = 200_000
-_ROWS: dict[int, int] = {}
-
-
-def dim(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """A dimension side (meta, pools, prices, rules, tiers): broadcast behind a size check.
-
-    The check counts at most ``max_rows + 1`` rows (``limit`` stops the scan
-    early), once per distinct plan (cached by the plan's semantic hash). Under
-    the bound the side is broadcast, so the large side keeps its partitioning
-    and is not shuffled (a hot key costs nothing). Over the bound no hint is
-    given: Spark plans a shuffle join and AQE splits skewed partitions.
-    """
-    key = df.semanticHash()
-    n = _ROWS.get(key)
-    if n is None:
-        n = df.limit(max_rows + 1).count()
-        _ROWS[key] = n
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def tiny(df: DataFrame) -> DataFrame:
     """A side with a size bound by construction (one row, or a fixed code list): broadcast."""

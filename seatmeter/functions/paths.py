@@ -12,12 +12,20 @@ from .money import as_col
 PAD = "XXXXXXX"
 WIDTH = 7
 SEP = " "
+# between the full ids of a path
+ID_SEP = "/"
 
 
 def path_piece(node_id) -> Column:
     return F.concat(F.substring(F.concat(F.lit(PAD), as_col(node_id).cast("string")), -WIDTH, WIDTH), F.lit(SEP))
 
 
+def on_path(id_path, node_id) -> Column:
+    """True if the node stands on the path of full ids."""
+    mark = F.lit(ID_SEP)
+    return F.contains(F.concat(mark, as_col(id_path), mark), F.concat(mark, as_col(node_id).cast("string"), mark))
+
+
 def _node(tree_key, k: int) -> Column:
     # k-th space-separated part (negative counts from the end); pad letters stripped
     return F.split_part(F.split_part(as_col(tree_key), F.lit(SEP), F.lit(k)), F.lit("X"), F.lit(-1))

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import bridge_anchors
 from ..functions.money import money  # noqa: F401
-from ..functions.joins import dim
 
 GRAIN = ["global_tenant_id", "first_layer_id", "second_layer_id", "third_layer_id", "fourth_layer_id",
          "fifth_layer_id", "item", "sku", "is_nfr"]
@@ -125,11 +124,11 @@ def mrr_bridge(f: DataFrame, rates: DataFrame, currency: DataFrame, fx: DataFram
 
     e = nsafe(nsafe(piv, mc), mp)
     e = (e.join(totals, "global_tenant_id", "left")
-         .join(dim(er), ["first_layer_id", "item"], "left")
-         .join(dim(cur), "first_layer_id", "left")
+         .join(er, ["first_layer_id", "item"], "left")
+         .join(cur, "first_layer_id", "left")
          .withColumn("billing_currency", F.coalesce(F.col("currency"), F.lit("USD"))).drop("currency")
-         .join(dim(fxp), "billing_currency", "left")
-         .join(dim(fxc), "billing_currency", "left")
+         .join(fxp, "billing_currency", "left")
+         .join(fxc, "billing_currency", "left")
          .join(flags, ["global_tenant_id", "item", "sku"], "left"))
     dbl = lambda c: F.col(c).cast("double")
     e = e.select(
@@ -209,8 +208,8 @@ def bill_fact(sub_itemized: DataFrame, meta: DataFrame, price_list: DataFrame, d
                    F.col("item").alias("_bi"), F.col("sku").alias("_bs"), F.col("partner_pricing").alias("_bp")) \
         .agg(F.sum("quantity").alias("total_ltp_billed_qty"),
              F.sum(F.col("amount").cast("decimal(18,4)")).cast("double").alias("ltp_sku_mrr"))
-    j = (b.join(dim(m), ["billing_date", "first_layer_id"], "left")
-         .join(dim(p), (F.col("billing_date") == F.col("_pd")) & (F.col("first_layer_id") == F.col("_pt"))
+    j = (b.join(m, ["billing_date", "first_layer_id"], "left")
+         .join(p, (F.col("billing_date") == F.col("_pd")) & (F.col("first_layer_id") == F.col("_pt"))
                & (F.col("item") == F.col("_ps")) & (F.col("partner_pricing") == F.col("_pn")), "left")
          .join(bs, (F.col("billing_date") == F.col("_bd")) & (F.col("first_layer_id") == F.col("_bl"))
                & (F.col("item") == F.col("_bi")) & (F.col("sku") == F.col("_bs"))

@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 def explode_values(df: DataFrame, key: str, text: str, sep: str, out: str = "reason") -> DataFrame:
     """Multi-value text -> one row per trimmed, non-blank value; keys without any value keep one
     NULL row; set semantics (C2, C4)."""
-    vals = df.select(key, F.explode(F.split(F.col(text), sep)).alias("_v")) \
-        .select(key, F.trim("_v").alias(out)).filter(F.col(out) != "")
-    none = df.select(key).join(vals.select(key), key, "left_anti").select(key, F.lit(None).cast("string").alias(out))
-    return vals.unionByName(none).distinct()
+    parts = F.filter(F.transform(F.split(F.col(text), sep), F.trim), lambda v: v != "")
+    # an empty list explodes to one NULL row; repeated keys are folded by the last distinct
+    return df.select(key, F.explode_outer(F.array_distinct(parts)).alias(out)).distinct()
 
 
 def json_array_csv(raw: Column) -> Column:

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, billing_window
-from ..functions.joins import dim
 from . import select
 
 # Plan priority, most expensive first.
@@ -63,7 +62,7 @@ def profile_metrics(history: DataFrame, meta: DataFrame, as_of) -> DataFrame:
     resolved = live.withColumn("resolved_root", F.max_by("root", "record_date").over(
         Window.partitionBy("tenant_global_id")))
     m = meta.select(F.col("tenant_global_id").alias("resolved_root"), "profile_type", "is_highwatermark")
-    return resolved.join(dim(m), "resolved_root").select(
+    return resolved.join(m, "resolved_root").select(
         "record_date", F.col("resolved_root").alias("root"), "tenant_global_id", "profile_type",
         "is_highwatermark", "plan_name", seats().alias("profile_count"))
 
@@ -128,7 +127,7 @@ def addon_peak(history: DataFrame, meta: DataFrame, as_of, metric: str = "dmarc_
     """Peak of an add-on count among enabled tenants."""
     live = billable_rows(history, as_of, require_plan=False).filter(F.col(flag))
     roots = snapshot(meta, as_of).select(F.col("tenant_global_id").alias("root"))
-    live = live.join(dim(roots), "root", "left_semi")
+    live = live.join(roots, "root", "left_semi")
     return select.peak(live, ["tenant_global_id"], metric, "record_date").select(
         "tenant_global_id", "record_date", metric)
 
@@ -141,7 +140,7 @@ def recent_plan_picks(history: DataFrame, meta: DataFrame, as_of) -> DataFrame:
     live = billable_rows(history, as_of, require_plan=False)
     m = snapshot(meta, as_of, tracked_only=False).select(
         F.col("tenant_global_id").alias("root"), "profile_type", "is_highwatermark")
-    rows = live.join(dim(m), "root").withColumn("profile_count", seats())
+    rows = live.join(m, "root").withColumn("profile_count", seats())
     w = Window.partitionBy("tenant_global_id")
     recent = F.max_by("plan_name", "record_date").over(w)
     rows = rows.withColumn("_recent", recent)
@@ -164,7 +163,7 @@ def month_peak_max_by(history: DataFrame, meta: DataFrame, month_start, month_en
     rows = history.filter(F.col("record_date").between(F.lit(as_date(month_start)), F.lit(as_date(month_end)))
                           & F.col("approved") & F.col("billing_status").isin(*BILLABLE_STATUS))
     m = meta.select(F.col("tenant_global_id").alias("root"), "profile_type", "is_highwatermark")
-    rows = rows.join(dim(m), "root").withColumn("profile_count", seats())
+    rows = rows.join(m, "root").withColumn("profile_count", seats())
     g = rows.groupBy("tenant_global_id", "is_highwatermark").agg(
         F.max_by(F.struct("record_date", "plan_name", "profile_count"),
                  F.struct(F.col("profile_count"), -F.datediff(F.col("record_date"), F.lit("1970-01-01")))
@@ -183,6 +182,6 @@ def point_in_time(history: DataFrame, meta: DataFrame, as_of) -> DataFrame:
     roots = snapshot(meta, as_of).select(F.col("tenant_global_id").alias("root"))
     today = history.filter((F.col("record_date") == F.lit(d)) & F.col("approved")
                            & F.col("billing_status").isin(*BILLABLE_STATUS))
-    return today.join(dim(roots), "root", "left_semi").select(
+    return today.join(roots, "root", "left_semi").select(
         F.lit(d).alias("date_recorded"), *[c for c in history.columns if c != "record_date"],
         F.col("record_date").alias("hwm_date"))

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from ..functions.dates import as_date
 from ..functions.money import share_of
 from ..functions.tiers import graduated_piece, tier_reached
-from ..functions.joins import dim
 
 # ---------------------------------------------------------------------------
 # Plan -> (price-list sku, billing sku, billing sku when partner-priced)
@@ -197,8 +196,8 @@ def seat_grain(hwm: DataFrame, meta: DataFrame, unified: DataFrame, rules: DataF
     u = unified.select(F.col("global_tenant_id").alias("root"), F.col("master_tenant_id").alias("master"))
     ex = rules.select(F.col("sub_tenant_id").alias("tenant_global_id"), F.col("ltp_id").alias("root"),
                       F.col("rule_plan").alias("plan_name"), F.col("rule_nfr").alias("eff_partner")).distinct()
-    h = h.join(dim(m), "root").join(dim(u), "root").join(
-        dim(ex), ["tenant_global_id", "root", "plan_name", "eff_partner"], "left_anti")
+    h = h.join(m, "root").join(u, "root").join(
+        ex, ["tenant_global_id", "root", "plan_name", "eff_partner"], "left_anti")
     keys = ["date_recorded", "master", "root", "plan_name", "eff_partner", "profile_type",
             "incident_management", "simulation_and_training_bundle_plus", "ato", "premium_name"]
     return h.groupBy(*keys).agg(
@@ -244,7 +243,7 @@ def exception_lines(hwm: DataFrame, meta: DataFrame, rules: DataFrame) -> DataFr
     r = rules.select(F.col("sub_tenant_id").alias("tenant_global_id"), F.col("ltp_id").alias("root"),
                      F.col("rule_plan").alias("plan_name"), F.col("rule_nfr").alias("eff_partner"),
                      "tier_min", "tier_max", "tier_rate")
-    j = h.join(dim(m), "root").join(dim(r), ["tenant_global_id", "root", "plan_name", "eff_partner"])
+    j = h.join(m, "root").join(r, ["tenant_global_id", "root", "plan_name", "eff_partner"])
     keys = ["date_recorded", "root", "tenant_global_id", "plan_name", "eff_partner", "profile_type",
             "tier_min", "tier_max", "tier_rate"]
     g = j.groupBy(*keys).agg(F.sum("active_profiles").alias("sa"), F.sum("licensed_profiles").alias("sl"),
@@ -335,7 +334,7 @@ def flat_addon_lines(fine: DataFrame, prices: DataFrame, flag: str, sku: str, it
 def per_unit_lines(dmarc_hwm: DataFrame, unified: DataFrame, prices: DataFrame) -> DataFrame:
     """Per-unit add-on by plan code (domains), positive totals only, pooled and spread."""
     u = unified.select(F.col("global_tenant_id").alias("root"), F.col("master_tenant_id").alias("master"))
-    base = dmarc_hwm.join(dim(u), "root").groupBy(
+    base = dmarc_hwm.join(u, "root").groupBy(
         "date_recorded", "master", "root", "dmarc_plan").agg(
         F.sum("dmarc_domains_number").alias("quantity")).filter(F.col("quantity") > 0)
     ckeys = ["date_recorded", "master", "dmarc_plan"]

@@ -47,16 +47,14 @@ def write_day(df: DataFrame, path: str, date_col: str = "billing_date", fmt: str
     does not keep stale rows.
     """
     spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        # no repartition by the day: a daily run writes one day, which would funnel every row into
-        # one task; each task writes its own files into the day's directory instead
-        df.write.mode("overwrite").partitionBy(date_col).format(fmt).save(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     if days:
-        present = {r[0] for r in df.select(date_col).distinct().collect()}   # the run's few days
+        # computed once: what is written and which of the run's days are in it come from one stored table
+        df = materialize(df, "day")
+    # no repartition by the day: a daily run writes one day, which would funnel every row into
+    # one task; each task writes its own files into the day's directory instead
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col).format(fmt).save(path)
+    if days:
+        present = {r[0] for r in df.filter(F.col(date_col).isin(*days)).select(date_col).distinct().collect()}
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         for day in days:

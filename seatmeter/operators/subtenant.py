@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import paths
-from ..functions.joins import dim
 from .pricing import DMARC_ITEM, DMARC_PRICE_SKU, DMARC_SKU, PLAN_SKUS, PREMIUM_NAMES, effective_partner, lookup, \
     price_sku
 
@@ -32,7 +31,7 @@ def base_rows(layered: DataFrame, meta: DataFrame) -> DataFrame:
     pt, a = F.col("profile_type"), F.col("active_profiles")
     qty = (F.when(pt == "active", a).when(pt == "license", F.col("licensed_profiles"))
            .when(pt == "shared", F.coalesce(a - F.col("shared_profiles"), a)))
-    return g.join(dim(m), "first_layer_id").filter(pt.isNotNull()).select(
+    return g.join(m, "first_layer_id").filter(pt.isNotNull()).select(
         F.col("date_recorded").alias("billing_date"), *LAYERS, "plan_name", "premium_name",
         effective_partner().alias("partner_pricing"), "incident_management",
         "simulation_and_training_bundle_plus", "ato", "profile_type", qty.alias("billable_quantity"))
@@ -40,9 +39,9 @@ def base_rows(layered: DataFrame, meta: DataFrame) -> DataFrame:
 
 def _bill(itemized: DataFrame) -> DataFrame:
     """The root bill as a lookup (partners x items: a dimension, broadcast behind its size check)."""
-    return dim(itemized.select(F.col("ltp").alias("first_layer_id"), F.col("item").alias("_item"),
+    return itemized.select(F.col("ltp").alias("first_layer_id"), F.col("item").alias("_item"),
                            F.col("partner_pricing").alias("_pp"), F.col("quantity").alias("_q"),
-                           F.col("amount").alias("_a"), F.col("price_type").alias("_pt")))
+                           F.col("amount").alias("_a"), F.col("price_type").alias("_pt"))
 
 
 def blended(base: DataFrame, itemized: DataFrame) -> DataFrame:
@@ -60,8 +59,8 @@ def blended(base: DataFrame, itemized: DataFrame) -> DataFrame:
 
 def _flat(b: DataFrame, prices: DataFrame, itemized: DataFrame, price_cond: Column, item: Column,
           sku: Column, partner: Column, bill_item: Column, bill_partner_null: bool) -> DataFrame:
-    p = dim(prices.select(F.col("tenant_global_id").alias("_pt_id"), F.col("sku").alias("_psku"),
-                          F.col("is_nfr").alias("_nfr"), F.col("tier_min").alias("_tmin"), F.col("price")))
+    p = prices.select(F.col("tenant_global_id").alias("_pt_id"), F.col("sku").alias("_psku"),
+                          F.col("is_nfr").alias("_nfr"), F.col("tier_min").alias("_tmin"), F.col("price"))
     j = b.join(p, (b.first_layer_id == p._pt_id) & price_cond)
     i = _bill(itemized)
     cond = (j.first_layer_id == i.first_layer_id) & (bill_item == i._item)
@@ -103,7 +102,8 @@ def per_leaf(layered_dmarc: DataFrame, dmarc_picks: DataFrame, prices: DataFrame
     """Per-unit add-on joined on the deepest layer id (P22); positive counts only."""
     g = layered_dmarc.filter(F.col("approved") & F.col("billing_status").isin("Active", "Active-POC")
                              & F.col("dmarc_plan").isNotNull())
-    g = g.withColumn("_leaf", paths.leaf(*LAYERS))
+    # the billed leaf is the row's own tenant, however deep it hangs
+    g = g.withColumn("_leaf", F.col("tenant_global_id"))
     d = dmarc_picks.select(F.col("tenant_global_id").alias("_leaf"), F.col("dmarc_domains_number").alias("_dom"))
     g = g.join(d, "_leaf").filter(F.col("_dom").isNotNull() & (F.col("_dom") > 0))
     plan = F.col("dmarc_plan")

@@ -1,12 +1,13 @@
 """Tenant tree: closure, path decode, layers.
 
 The closure is a frontier loop: each level is one equi-join of the frontier
-with the (brand -> company) edge list, so a level costs one shuffle of the
-frontier, not of the whole tree. Each level is computed once (persisted and
-counted in one job); every few levels it is written to the cluster's shared
-``spark.checkpoint.dir`` and read back, which cuts the lineage, so neither the
-plan nor a recomputation after executor loss grows with depth. A node already
-on its own path is never expanded again (cycle guard).
+with the (brand -> company) edge list. The edge list is partitioned by the
+owner once, so a level moves only its frontier. The loop ends when a level is
+empty, whatever the depth; a node already on its own path is never expanded
+again, so it always ends. Every few levels the frontier is written to the
+cluster's shared ``spark.checkpoint.dir`` and read back, which cuts the
+lineage, so neither the plan nor a recomputation after executor loss grows with
+depth.
 """
 
 from __future__ import annotations
@@ -20,17 +21,17 @@ from pyspark.sql import functions as F
 from ..functions import paths
 from .sinks import materialize
 
-MAX_DEPTH = 100
 WRITE_EVERY = 4
 
 
-def closure(company: DataFrame, brand: DataFrame, max_depth: int = MAX_DEPTH,
-            write_every: int = WRITE_EVERY) -> DataFrame:
+def closure(company: DataFrame, brand: DataFrame, write_every: int = WRITE_EVERY) -> DataFrame:
     """Recursive tenant tree.
 
     company: id, brand_id (NULL for roots), name, region
     brand:   id, owner_id (the parent company), name
-    Returns tenant_id, parent_id, parent_name, tenant_name, region, tree_key, indent.
+    Returns tenant_id, parent_id, parent_name, tenant_name, region, tree_key, id_path, indent.
+    ``id_path`` holds the full ids from the root down and decides everything; ``tree_key`` is the
+    fixed-width display form, which shortens ids of over 7 characters.
     """
     nodes = company.select("id", "brand_id", "name", "region")
     frontier = nodes.filter(F.col("brand_id").isNull()).select(
@@ -40,6 +41,7 @@ def closure(company: DataFrame, brand: DataFrame, max_depth: int = MAX_DEPTH,
         F.col("name").alias("tenant_name"),
         "region",
         paths.path_piece("id").alias("tree_key"),
+        F.col("id").cast("string").alias("id_path"),
         F.lit("").alias("indent"),
     )
     edges = brand.select(F.col("id").alias("b_id"), "owner_id", F.col("name").alias("b_name")).join(
@@ -47,51 +49,73 @@ def closure(company: DataFrame, brand: DataFrame, max_depth: int = MAX_DEPTH,
             F.col("id").alias("c_id"), F.col("brand_id").alias("b_id"), F.col("name").alias("c_name")),
         "b_id",
     )
-    edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
-    levels = []
-    for level in range(max_depth):
-        if level and level % write_every == 0:
-            frontier = materialize(frontier, "tree-level")
+    edges = edges.repartition("owner_id").persist(StorageLevel.MEMORY_AND_DISK)
+    levels, written, held = [], [], []
+
+    def close() -> None:
+        """Write the open levels as one table; their cached frames are released."""
+        if levels:
+            written.append(materialize(reduce(DataFrame.unionByName, levels), "tree-levels"))
+        for df in held:
+            df.unpersist()
+        levels.clear()
+        held.clear()
+
+    while True:
         frontier = frontier.persist(StorageLevel.MEMORY_AND_DISK)
-        if frontier.count() == 0:
+        held.append(frontier)
+        if frontier.isEmpty():
             break
         levels.append(frontier)
-        piece = paths.path_piece("c_id")
+        if len(levels) == write_every:
+            frontier = materialize(frontier, "tree-frontier")
+            close()
         frontier = (
-            frontier.select(F.col("tenant_id").alias("owner_id"), "region", "tree_key", "indent")
+            frontier.select(F.col("tenant_id").alias("owner_id"), "region", "tree_key", "id_path", "indent")
             .join(edges, "owner_id")
-            .filter(F.instr(F.col("tree_key"), piece) == 0)  # cycle guard
+            .filter(~paths.on_path("id_path", "c_id"))  # cycle guard
             .select(
                 F.col("c_id").alias("tenant_id"),
                 F.col("owner_id").alias("parent_id"),
                 F.col("b_name").alias("parent_name"),
                 F.col("c_name").alias("tenant_name"),
                 "region",
-                F.concat("tree_key", piece).alias("tree_key"),
+                F.concat("tree_key", paths.path_piece("c_id")).alias("tree_key"),
+                F.concat_ws(paths.ID_SEP, "id_path", F.col("c_id").cast("string")).alias("id_path"),
                 F.concat("indent", F.lit("-> ")).alias("indent"),
             )
         )
-    return reduce(DataFrame.unionByName, levels)
+    if not levels and not written:
+        levels.append(frontier)          # no roots: an empty tree
+    close()
+    edges.unpersist()
+    return reduce(DataFrame.unionByName, written)
 
 
 def decode(tree: DataFrame, prefix_col: str = "region") -> DataFrame:
     """Global ids and depth read back from the path key."""
-    k, p = F.col("tree_key"), F.col(prefix_col)
+    ids, p = F.split("id_path", paths.ID_SEP), F.col(prefix_col)
+    own = lambda i: F.concat(p, F.lit("-"), F.element_at(ids, i))
+    depth = (F.size(ids) - 1).cast("int")
     return tree.select(
         "*",
-        paths.root_id(k, p).alias("root"),
-        paths.depth(k).alias("depth"),
-        paths.parent_id(k, p).alias("parent_global_id"),
-        paths.self_id(k, p).alias("tenant_global_id"),
+        own(1).alias("root"),
+        depth.alias("depth"),
+        F.when(depth > 0, F.concat(p, F.lit("-"), F.try_element_at(ids, F.lit(-2)))).alias("parent_global_id"),
+        own(-1).alias("tenant_global_id"),
         F.concat("indent", "tenant_name").alias("indented_name"),
     )
 
 
 def with_layers(df: DataFrame, prefix_col: str = "root", n: int = 5) -> DataFrame:
-    """first_layer_id .. fifth_layer_id from the path (T11); '' when unused."""
+    """first_layer_id .. fifth_layer_id from the path of full ids (T11); '' when unused.
+
+    The layers are output columns; a tenant below the last one is still known by its own id.
+    """
     names = ["first", "second", "third", "fourth", "fifth"][:n]
-    prefix = F.substring(F.col(prefix_col), 1, 2)
-    return df.select("*", *[paths.layer("tree_key", prefix, i + 1).alias(f"{nm}_layer_id")
+    prefix = F.concat(F.substring(F.col(prefix_col), 1, 2), F.lit("-"))
+    ids = F.split("id_path", paths.ID_SEP)
+    return df.select("*", *[F.coalesce(F.concat(prefix, F.get(ids, i)), F.lit("")).alias(f"{nm}_layer_id")
                             for i, nm in enumerate(names)])
 
 

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from ..functions.money import money
 from ..operators import hwm, pricing
 from ..session import apply_defaults
-from ..functions.joins import dim
 from . import daily_bill as B
 from . import oracle_bill  # noqa: F401  (registers the bill CTEs)
 from .oracle_base import with_ctes
@@ -287,7 +286,7 @@ _LAYERS = [f"{n}_layer_id" for n in ["first", "second", "third", "fourth", "fift
 def _layered(d):
     rows = B.peak_rows(d)
     meta = d.meta.select(F.col("tenant_global_id").alias("root"), F.lit("ltp").alias("is_ltp"))
-    rows = rows.join(dim(meta), "root", "left").withColumn("is_ltp", F.coalesce("is_ltp", F.lit("not_ltp")))
+    rows = rows.join(meta, "root", "left").withColumn("is_ltp", F.coalesce("is_ltp", F.lit("not_ltp")))
     return tree_ops.with_layers(rows)
 
 

@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..functions.joins import dim
 from ..operators import crm
 from ..operators.select import latest
 from ..sources import adapters as A
@@ -186,12 +185,12 @@ _BAND_SQL = "CASE " + " ".join(f"WHEN c.c_acctbal < {hi} THEN '{lab}'" for hi, l
     WHERE year(o.o_orderdate) >= 1998 AND o.o_orderstatus = 'F' AND -o.o_totalprice < 0""")
 def churn_bands(spark, sf):
     t = _t(spark, sf)
-    o = t.orders.filter((F.year("o_orderdate") >= 1998) & (F.col("o_orderstatus") == "F")
+    o = t.orders.filter((F.col("o_orderdate") >= F.lit(dt.date(1998, 1, 1))) & (F.col("o_orderstatus") == "F")
                         & (-F.col("o_totalprice") < 0))
     c = t.customer.select("c_custkey", F.col("c_name").alias("account_name"), "c_nationkey", "c_acctbal")
     n = t.nation.select("n_nationkey", F.col("n_name").alias("owner_name"))
     pa = t.customer.select(F.col("c_custkey").alias("parent_key"), F.col("c_name").alias("parent_name"))
-    j = (o.join(c, o.o_custkey == c.c_custkey, "left").join(dim(n), c.c_nationkey == n.n_nationkey, "left")
+    j = (o.join(c, o.o_custkey == c.c_custkey, "left").join(n, c.c_nationkey == n.n_nationkey, "left")
          .join(pa, (F.expr("c_custkey div 10") == F.col("parent_key")) & (F.col("c_custkey") >= 10), "left"))
     return j.select("o_orderkey", "account_name", "owner_name", "parent_name",
                     F.to_date("o_orderdate").alias("close_date"), (-F.col("o_totalprice")).alias("arr_change"),
@@ -215,7 +214,7 @@ def explode_reasons(spark, sf):
 def owner_filter(spark, sf):
     t = _t(spark, sf)
     n = t.nation.filter(F.col("n_name").isin(*OWNERS)).select("n_nationkey", "n_name")
-    c = t.customer.select("c_custkey", "c_name", "c_nationkey").join(dim(n), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = t.customer.select("c_custkey", "c_name", "c_nationkey").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     return t.orders.join(c, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name", "n_name",
                                                                              "o_totalprice")
 

@@ -34,11 +34,11 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM customer WHERE c_custkey >= 10"""),
     "tree_raw": (("company", "brand"), """
         SELECT id AS tenant_id, NULL::BIGINT AS parent_id, NULL::VARCHAR AS parent_name, name AS tenant_name,
-               region, substr('XXXXXXX' || CAST(id AS VARCHAR), -7) || ' ' AS tree_key, '' AS indent
+               region, substr('XXXXXXX' || CAST(id AS VARCHAR), -7) || ' ' AS tree_key, CAST(id AS VARCHAR) AS id_path, '' AS indent
         FROM company WHERE brand_id IS NULL
         UNION ALL
         SELECT c.id, b.owner_id, b.name, c.name, t.region,
-               t.tree_key || substr('XXXXXXX' || CAST(c.id AS VARCHAR), -7) || ' ', t.indent || '-> '
+               t.tree_key || substr('XXXXXXX' || CAST(c.id AS VARCHAR), -7) || ' ', t.id_path || '/' || c.id, t.indent || '-> '
         FROM brand b JOIN company c ON b.id = c.brand_id JOIN tree_raw t ON b.owner_id = t.tenant_id"""),
     "tree": (("tree_raw",), """
         SELECT *, region || '-' || split_part(split_part(tree_key, ' ', 1), 'X', -1) AS root,
@@ -59,7 +59,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM events GROUP BY 1, 2"""),
     "history": (("ev_daily", "tree"), f"""
         SELECT d.record_date, t.root, t.parent_global_id, t.parent_name, t.tenant_global_id, t.tenant_name,
-               t.tree_key, t.depth,
+               t.tree_key, t.id_path, t.depth,
                CASE WHEN d.user_id % 4 = 0 THEN '{A.FIXED_PLAN}' ELSE CASE d.first_type {_PLAN_CASE} END END
                    AS plan_name,
                CASE d.user_id % 5 WHEN 0 THEN 'NINJIO' WHEN 3 THEN 'Habitu8' END AS premium_name,

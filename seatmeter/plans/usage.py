@@ -8,7 +8,6 @@ from ..operators import marts, pricing
 from ..operators.sinks import materialize
 from ..sources import adapters as A
 from ..sources.tables import Tables
-from ..functions.joins import dim
 from . import oracle_bridge as OB
 from .oracle_base import register, with_ctes
 
@@ -114,7 +113,7 @@ def tiers(spark, sf_dir):
 
 
 def tier_graduated(spark, sf):
-    out = pricing.graduated(monthly(spark, sf), dim(tiers(spark, sf)), "item",
+    out = pricing.graduated(monthly(spark, sf), tiers(spark, sf), "item",
                             ["billing_date", "ltp", "item", "quantity"])
     return out.select("billing_date", "ltp", "item", F.col("quantity").cast("bigint"),
                       F.col("amount").cast("double"))
@@ -125,12 +124,12 @@ def tier_wide_unpivot(spark, sf):
     wide = t.groupBy("item").pivot("tier_min", [a for a, _, _ in A.ITEM_TIERS]).agg(F.max("price"))
     wide = wide.select("item", *[F.col(str(a)).alias(f"price_{a}") for a, _, _ in A.ITEM_TIERS])
     long = pricing.unpivot_wide(wide, ["item"], [(f"price_{a}", a, b) for a, b, _ in A.ITEM_TIERS])
-    out = pricing.graduated(monthly(spark, sf), dim(long), "item", ["billing_date", "ltp", "item"])
+    out = pricing.graduated(monthly(spark, sf), long, "item", ["billing_date", "ltp", "item"])
     return out.select("billing_date", "ltp", "item", F.col("amount").cast("double"))
 
 
 def tier_volume(spark, sf):
-    out = pricing.volume(monthly(spark, sf), dim(tiers(spark, sf)), "item",
+    out = pricing.volume(monthly(spark, sf), tiers(spark, sf), "item",
                          ["billing_date", "ltp", "item", "quantity"])
     return out.select("billing_date", "ltp", "item", F.col("quantity").cast("bigint"),
                       F.col("amount").cast("double"))
@@ -138,13 +137,13 @@ def tier_volume(spark, sf):
 
 def pooled_threshold(spark, sf):
     out = pricing.pooled_threshold(monthly(spark, sf), ["billing_date", "item"], "pool", "ltp", "quantity",
-                                   dim(tiers(spark, sf)), ["item"])
+                                   tiers(spark, sf), ["item"])
     return out.select("billing_date", "item", "pool", "ltp", F.col("member_qty").cast("bigint"),
                       F.col("pool_qty").cast("bigint"), "tier_min", "amount")
 
 
 def min_quantity(spark, sf):
-    m = monthly(spark, sf).join(dim(tiers(spark, sf).filter("tier_min = 1")), "item")
+    m = monthly(spark, sf).join(tiers(spark, sf).filter("tier_min = 1"), "item")
     return m.select("billing_date", "ltp", "item", F.col("quantity").cast("bigint"),
                     pricing.min_quantity(F.col("quantity"), A.MIN_BILLED_QTY, F.col("price")).cast("double")
                     .alias("amount"))

@@ -108,11 +108,11 @@ def tenant_history(t: Tables, tree: DataFrame | None = None) -> DataFrame:
     )
     u = F.col("user_id")
     nodes = tree.select("tenant_id", "tenant_name", "parent_name", "root", "parent_global_id",
-                        "tenant_global_id", "tree_key", "depth")
+                        "tenant_global_id", "tree_key", "id_path", "depth")
     hist = daily.join(nodes, daily.user_id == nodes.tenant_id)
     return hist.select(
         "record_date", "root", "parent_global_id", "parent_name", "tenant_global_id", "tenant_name",
-        "tree_key", "depth",
+        "tree_key", "id_path", "depth",
         F.when(u % 4 == 0, F.lit(FIXED_PLAN)).otherwise(_case_lookup(F.col("first_type"), PLAN_BY_EVENT))
         .alias("plan_name"),
         _case_lookup(u % 5, PREMIUM_BY_MOD5).cast("string").alias("premium_name"),

@@ -26,22 +26,24 @@ def daily_snapshot(events: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, source_dir: str, raw_path: str, snapshot_path: str, checkpoint: str,
-        available_now: bool = True):
-    """Start the stream; returns the StreamingQuery (caller awaits it)."""
-    stream = (spark.readStream.schema(SCHEMAS["events"]).option("maxFilesPerTrigger", 1)
-              .parquet(source_dir))
+        available_now: bool = True, files_per_batch: int | None = None):
+    """Start the stream; returns the StreamingQuery (caller awaits it).
+
+    A batch takes all new files unless ``files_per_batch`` bounds it.
+    """
+    reader = spark.readStream.schema(SCHEMAS["events"])
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    stream = reader.parquet(source_dir)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         raw = batch.withColumn("day", F.to_date("ts")).withColumn("batch_id", F.lit(batch_id))
         spark_ = raw.sparkSession
-        prev = spark_.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-        spark_.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            raw.write.mode("overwrite").partitionBy("day", "batch_id").parquet(raw_path)
-        finally:
-            spark_.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-        touched = raw.select("day").distinct()
-        days = spark_.read.parquet(raw_path).join(touched, "day", "left_semi")
+        raw.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").parquet(raw_path)
+        stored = spark_.read.parquet(raw_path)
+        # the batch's days from its own stored partitions; the batch itself is not read again
+        touched = stored.filter(F.col("batch_id") == batch_id).select("day").distinct()
+        days = stored.join(touched, "day", "left_semi")
         write_day(daily_snapshot(days), snapshot_path, date_col="record_date")
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)

@@ -86,20 +86,6 @@ def test_bucket_null_quantities_do_not_fall_to_rate_change(spark):
     assert [r[0] for r in df.select(bucket()).collect()] == ["New", "Churn", "Upsell", "FX Impact"]
 
 
-def test_dim_broadcasts_only_under_its_row_bound(spark):
-    from seatmeter.functions.joins import dim
-    big = spark.range(0, 50).withColumnRenamed("id", "k")
-    small = spark.range(0, 5).withColumnRenamed("id", "k")
-    fact = spark.range(0, 1000).select((F.col("id") % 50).alias("k"))
-
-    def plan(df):
-        return df._jdf.queryExecution().optimizedPlan().toString()
-
-    assert "broadcast" in plan(fact.join(dim(small, max_rows=10), "k")).lower()
-    assert "broadcast" not in plan(fact.join(dim(big, max_rows=10), "k")).lower()
-    assert fact.join(dim(big, max_rows=10), "k").count() == 1000
-
-
 def test_tree_closure_stops_on_cycles_and_builds_paths(spark):
     from seatmeter.operators import tree
     # company 1 is a root, 2 hangs under 1 (brand 20), 3 under 2 (brand 30); a duplicate row of company 1
@@ -108,7 +94,44 @@ def test_tree_closure_stops_on_cycles_and_builds_paths(spark):
                                     "id bigint, brand_id bigint, name string, region string")
     brand = spark.createDataFrame([(20, 1, "b20"), (30, 2, "b30"), (40, 2, "b40")],
                                   "id bigint, owner_id bigint, name string")
-    out = tree.decode(tree.closure(company, brand, max_depth=10))
+    out = tree.decode(tree.closure(company, brand))
     got = sorted((r["tenant_global_id"], r["depth"], r["tree_key"]) for r in out.collect())
     assert got == [("US-1", 0, "XXXXXX1 "), ("US-2", 1, "XXXXXX1 XXXXXX2 "),
                    ("US-3", 2, "XXXXXX1 XXXXXX2 XXXXXX3 ")]
+
+
+def _chain(spark, ids):
+    company = spark.createDataFrame([(i, None if k == 0 else i, f"t{i}", "US") for k, i in enumerate(ids)],
+                                    "id bigint, brand_id bigint, name string, region string")
+    brand = spark.createDataFrame([(i, p, f"b{i}") for p, i in zip(ids, ids[1:])], "id bigint, owner_id bigint, name string")
+    return company, brand
+
+
+def test_tree_keeps_long_ids_apart(spark):
+    from seatmeter.operators import tree
+    # equal last seven digits under one root, and an id that ends with its parent's digits
+    company = spark.createDataFrame([(1, None, "A", "US"), (20000001, 2, "B", "US"), (30000001, 3, "C", "US"),
+                                     (1111111, 4, "D", "US"), (11111111, 5, "E", "US"), (7, 6, "F", "US")],
+                                    "id bigint, brand_id bigint, name string, region string")
+    brand = spark.createDataFrame([(2, 1, "b"), (3, 1, "b"), (4, 1, "b"), (5, 1111111, "b"), (6, 11111111, "b")],
+                                  "id bigint, owner_id bigint, name string")
+    out = {r["tenant_id"]: r for r in tree.with_layers(tree.decode(tree.closure(company, brand))).collect()}
+    assert len(out) == 6 and len({r["tenant_global_id"] for r in out.values()}) == 6
+    assert (out[7]["depth"], out[7]["parent_global_id"], out[7]["root"]) == (3, "US-11111111", "US-1")
+    assert out[20000001]["second_layer_id"] == "US-20000001"
+
+
+def test_tree_of_any_depth(spark):
+    from seatmeter.operators import tree
+    ids = list(range(1, 122))                # deeper than any fixed bound of a hundred
+    out = tree.decode(tree.closure(*_chain(spark, ids)))
+    got = {r["tenant_id"]: (r["depth"], r["tenant_global_id"]) for r in out.collect()}
+    assert got == {i: (k, f"US-{i}") for k, i in enumerate(ids)}
+    six = tree.with_layers(tree.decode(tree.closure(*_chain(spark, ids[:6])))).filter("depth = 5").first()
+    assert six["fifth_layer_id"] == "US-5" and six["tenant_global_id"] == "US-6"
+
+
+def test_tree_without_roots(spark):
+    from seatmeter.operators import tree
+    company, brand = _chain(spark, [1, 2])
+    assert tree.closure(company.filter("id > 1"), brand).count() == 0
