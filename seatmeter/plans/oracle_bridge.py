@@ -110,7 +110,7 @@ def bridge(fact: str, pivoted: str, flags: str, rates: str, fx: str, currency: s
            total_ltp_qty_prior, total_ltp_qty_current, {plain('actual_effective_rate')}, billing_currency,
            {plain('prior_fx_rate', 'current_fx_rate')}, channel_changed,
            billed_qty_current - billed_qty_prior AS net_qty_change, {show(both)}, {show(usd)},
-           {_r('tenant_mrr_prior * (current_fx_rate - prior_fx_rate) * 12')} AS fx_impact_arr_usd,
+           {_r('(tenant_mrr_prior * current_fx_rate - tenant_mrr_prior * prior_fx_rate) * 12')} AS fx_impact_arr_usd,
            {plain('implied_effective_rate')}, rule.bucket AS arr_bucket, {plain('effective_rate')}, {show(impacts)}
     FROM valued v LEFT JOIN about a
       ON v.global_tenant_id = a.global_tenant_id AND v.item = a.item
