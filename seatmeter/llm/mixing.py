@@ -4,16 +4,16 @@
    features are the distinct words with the highest G statistic and a few binned
    measures. It gives every document a posterior over the domains.
 2. Rates w >= 0 are fitted by projected-gradient least squares. With t the
-   tokens of a document and p its posterior, the expected tokens of domain k are
-   A_k = sum(w t p_k); the objective is sum over k of (A_k - T_k)^2 / N_k, with
-   N_k the tokens of the domain at w = 1. In the metric weighted by tokens the
-   gradient step of a document is p . r with r_k = (A_k - T_k) / N_k, and step
-   size 1 is safe, since P^T diag(t) P / N has no eigenvalue above 1. Starting at
-   w = 1 the rates stay close to 1.
+   tokens of a document and p its posterior, the expected tokens of the domains
+   are A = sum(w t p). The objective is the squared distance of A from the
+   targets T, weighted by the inverse of M = sum(t p p') (with a small ridge), so
+   that no direction is stiff: in the metric weighted by tokens the gradient step
+   of a document is w - p . inv(M) (A - T), cut at 0, and step size 1 is safe.
+   Starting at w = 1 the rates stay as close to 1 as the targets allow.
 
 All of it is DataFrame functions. An iteration is one aggregate over a few numeric
 columns of a written table; only its sums (one per domain) reach the driver. The
-rate of a document is an expression over its posterior and the residuals so far.
+rate of a document is an expression over its posterior and the steps so far.
 """
 
 from __future__ import annotations
@@ -21,13 +21,15 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import Store
 
-SPACES = r"[\x20\x09-\x0D]+"
-MARKS = '.,;:!?"()'      # dropped from words before they serve as features
+# white space and punctuation part the words; what is left of them counts as tokens
+APART = r"[\x20\x09-\x0D.,;:!?\"()]+"
+SYMBOL = "[#*$%&|<>]"
 
 
 @dataclass(frozen=True)
@@ -41,9 +43,11 @@ class Params:
     sample_rows: int = 20_000        # labelled rows trained on (those with the smallest id hashes)
     vocabulary: int = 300            # words kept as features
     least_docs: int = 5              # labelled documents a word must be in
+    least_g: float = 14.0            # G statistic it must reach: by chance about one word in a million does
     pull: float = 20.0               # documents that a feature's overall frequency counts for in each class
+    ridge: float = 1e-3              # of each domain's tokens, added to the diagonal of M
     most_steps: int = 40
-    change: float = 1e-5             # stop when no residual moves by more
+    change: float = 1e-5             # stop when no total moves by more, as a share of its domain
 
     @property
     def names(self) -> list[str]:
@@ -54,12 +58,9 @@ def featured(docs: DataFrame) -> DataFrame:
     """docs (of which ``text`` is read) with _n (words), and _f (distinct words and bins; bin names
     hold a space, words never do)."""
     base = docs.withColumn("_t", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    base = base.withColumn("_w", F.array_remove(F.split(F.translate(F.lower("_t"), MARKS, ""), SPACES), "")).withColumn("_d", F.array_distinct("_w"))
-    base = base.withColumns({
-        "_n": F.size("_w").cast("long"),
-        "_sym": F.expr("length(_t) - length(translate(_t, '#*$%&|<>', ''))"),
-        "_cap": F.expr("length(_t) - length(translate(_t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))"),
-        "_len": F.length("_t")})
+    base = base.withColumn("_w", F.array_remove(F.split(F.lower("_t"), APART), "")).withColumn("_d", F.array_distinct("_w"))
+    base = base.withColumns({"_n": F.size("_w").cast("long"), "_sym": F.size(F.split("_t", SYMBOL)) - 1,
+                             "_cap": F.size(F.split("_t", "[A-Z]")) - 1, "_len": F.length("_t")})
     bins = [
         "case when _sym = 0 then 'sym 0' when _sym * 50 <= _n then 'sym 1' else 'sym 2' end",
         "case when _cap * 2 > _len then 'cap 2' when _cap * 5 > _len then 'cap 1' else 'cap 0' end",
@@ -74,7 +75,7 @@ def featured(docs: DataFrame) -> DataFrame:
 class Classifier:
     names: list[str]
     prior: list[float]                            # log class shares
-    weight: dict[str, list[float]]                # feature: log P(feature | class)
+    weight: dict[str, list[float]]                # feature: log P(feature | class); only features that are present count
 
     def posterior(self) -> Column:
         """P(class | features) as an array column over _f."""
@@ -117,7 +118,7 @@ def train(docs: DataFrame, labels: DataFrame, params: Params) -> Classifier:
     # G statistic of a word's spread over the classes
     g = sum((F.when(F.col(f"n_{i}") > 0, F.col(f"n_{i}") * F.log(F.col(f"n_{i}") * F.lit(float(total.n)) / (F.col("n") * F.lit(float(n[i])))))
              .otherwise(0.0) for i in range(len(names)) if n[i]), F.lit(0.0))
-    words = counts.filter((F.col("n") >= params.least_docs) & ~F.col("_f").contains(" ") & (F.col("_f") != "")).withColumn("g", F.round(g, 6))
+    words = counts.filter((F.col("n") >= params.least_docs) & ~F.col("_f").contains(" ") & (F.col("_f") != "")).withColumn("g", F.round(g, 6)).filter(F.col("g") >= params.least_g)
     chosen = words.orderBy(F.desc("g"), "_f").limit(params.vocabulary).drop("g").unionAll(counts.filter(F.col("_f").contains(" ")))
     weight = {r["_f"]: [math.log((r[f"n_{i}"] + params.pull * r["n"] / total.n) / (n[i] + params.pull)) for i in range(len(names))] for r in chosen.collect()}
     return Classifier(names, [math.log((x + 1) / (total.n + len(names))) for x in n], weight)
@@ -128,31 +129,33 @@ def _totals(soft: DataFrame, rate: Column, k: int) -> list[float]:
     return [x or 0.0 for x in row]
 
 
-def rate_after(residuals: list[list[float]]) -> Column:
-    """The rate that the steps with these residuals lead to, from 1, as an expression over p_0 .. p_k-1."""
+def rate_after(steps: list[list[float]]) -> Column:
+    """The rate that these steps lead to, from 1, as an expression over p_0 .. p_k-1."""
     rate = F.lit(1.0)
-    for residual in residuals:
-        move = sum((F.col(f"p_{i}") * F.lit(r) for i, r in enumerate(residual)), F.lit(0.0))
+    for step in steps:
+        move = sum((F.col(f"p_{i}") * F.lit(r) for i, r in enumerate(step)), F.lit(0.0))
         rate = F.greatest(F.lit(0.0), rate - move)
     return rate
 
 
 def fit_rates(soft: DataFrame, params: Params) -> list[list[float]]:
-    """Residuals of all steps. soft: n_tokens, p_0 .. p_k-1 (only these columns are read)."""
+    """The steps inv(M) (A - T) of all iterations. soft: n_tokens, p_0 .. p_k-1 (only these columns are read)."""
     names, k = params.names, len(params.domains)
     held = _totals(soft, F.lit(1.0), k)
     if params.shares is not None:
         target = [params.shares.get(x, 0.0) * sum(held) for x in names]
     else:
         target = [params.factors.get(x, 1.0) * h for x, h in zip(names, held)]
+    row = soft.agg(*[F.sum(F.col("n_tokens") * F.col(f"p_{i}") * F.col(f"p_{j}")) for i in range(k) for j in range(k)]).first()
+    moment = np.array([x or 0.0 for x in row]).reshape(k, k) + params.ridge * np.diag(held)
+    inverse = np.linalg.pinv(moment, rcond=1e-12, hermitian=True)
     steps: list[list[float]] = []
-    expected = held
+    expected, before = held, [math.inf] * k
     for _ in range(params.most_steps):
-        residual = [(a - t) / h if h > 0 else 0.0 for a, t, h in zip(expected, target, held)]
-        if max(abs(a - b) for a, b in zip(residual, steps[-1] if steps else [math.inf] * k)) < params.change:
+        if max((abs(a - b) / h for a, b, h in zip(expected, before, held) if h > 0), default=0.0) < params.change:
             break
-        steps.append(residual)
-        expected = _totals(soft, rate_after(steps), k)
+        steps.append((inverse @ (np.array(expected) - np.array(target))).tolist())
+        before, expected = expected, _totals(soft, rate_after(steps), k)
     return steps
 
 
