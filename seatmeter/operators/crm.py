@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 def explode_values(df: DataFrame, key: str, text: str, sep: str, out: str = "reason") -> DataFrame:
     """Multi-value text -> one row per trimmed, non-blank value; keys without any value keep one
     NULL row; set semantics (C2, C4)."""
-    parts = F.filter(F.transform(F.split(F.col(text), sep), F.trim), lambda v: v != "")
+    parts = F.filter(F.transform(F.split(F.col(text), sep), lambda v: F.trim(v)), lambda v: v != "")
     # an empty list explodes to one NULL row; repeated keys are folded by the last distinct
     return df.select(key, F.explode_outer(F.array_distinct(parts)).alias(out)).distinct()
 

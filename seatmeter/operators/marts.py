@@ -122,19 +122,16 @@ def add_on_object(premium_name: Column, dmarc: Column) -> Column:
     for col, _ in PREMIUM_PACKS:
         v = F.coalesce(F.col(f"{col}_of_Licenses"), F.lit(0))
         qty = F.when(F.col(col), v) if qty is None else qty.when(F.col(col), v)
-    q = lambda s: F.concat(F.lit('"'), s, F.lit('"'))
-    parts = [
-        F.when(pack.isNotNull(), F.lit('"PREMIUM_SAT_PACK":true')),
-        F.when(pack.isNotNull(), F.concat(F.lit('"PREMIUM_SAT_PACK_QUANTITY":'), qty.cast("string"))),
-        F.when(pack.isNotNull(), F.concat(F.lit('"PREMIUM_SAT_PACK_NAME":'), q(pack))),
-        F.when(F.col("Account_Takeover"), F.lit('"ATO":true')),
-        F.when(F.col("Account_Takeover"), F.concat(F.lit('"ATO_QUANTITY":'),
-                                                   F.coalesce(F.col("Account_Takeover_of_Licenses"), F.lit(0))
-                                                   .cast("string"))),
-        F.when(premium_name.isNotNull(), F.concat(F.lit('"SAT_CONTENT_PACK":'), q(premium_name))),
-        F.when(dmarc.isNotNull(), F.concat(F.lit('"DMARC":'), dmarc.cast("string"))),
-    ]
-    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+    ato = F.col("Account_Takeover")
+    return sparse_json([
+        ("PREMIUM_SAT_PACK", F.when(pack.isNotNull(), F.lit(True))),
+        ("PREMIUM_SAT_PACK_QUANTITY", F.when(pack.isNotNull(), qty)),
+        ("PREMIUM_SAT_PACK_NAME", pack),
+        ("ATO", F.when(ato, F.lit(True))),
+        ("ATO_QUANTITY", F.when(ato, F.coalesce(F.col("Account_Takeover_of_Licenses"), F.lit(0)))),
+        ("SAT_CONTENT_PACK", premium_name),
+        ("DMARC", dmarc),
+    ])
 
 
 def mailbox_mart(peak: DataFrame, history: DataFrame, meta: DataFrame, sub_itemized: DataFrame, as_of,

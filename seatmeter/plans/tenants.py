@@ -164,22 +164,18 @@ def day_replace_sink(spark, sf):
 _ADDONS = [("IM", "incident_management"), ("STBP", "simulation_and_training_bundle_plus"), ("ATO", "ato")]
 
 
-@q("sparse_json", with_ctes(["hwm_rows"], """
-    SELECT tenant_global_id,
-           '{' || concat_ws(',', """ + ", ".join(
-    f"CASE WHEN {c} THEN '\"{k}\":' || CAST(active_profiles AS VARCHAR) END" for k, c in _ADDONS) + """,
-                            CASE WHEN premium_name IS NOT NULL THEN '"premium":"' || premium_name || '"' END) || '}'
-             AS addons
+@q("sparse_json", with_ctes(["hwm_rows"], f"""
+    SELECT tenant_global_id, CAST(json_merge_patch('{{}}', json_object(
+             {', '.join(f"'{k}', CASE WHEN {c} THEN active_profiles END" for k, c in _ADDONS)},
+             'premium', premium_name)) AS VARCHAR) AS addons
     FROM hwm_rows WHERE billing_status IN ('Active', 'Active-POC')"""))
 def sparse_json(spark, sf):
     """Key/value pairs present only when the flag is set (M7), JSON text for an API (M8)."""
     from .catalog import domain
     from . import daily_bill as B
     rows = B.peak_rows(domain(spark, sf)).filter(F.col("billing_status").isin("Active", "Active-POC"))
-    parts = [F.when(F.col(c), F.concat(F.lit(f'"{k}":'), F.col("active_profiles").cast("string"))) for k, c in _ADDONS]
-    parts.append(F.when(F.col("premium_name").isNotNull(),
-                        F.concat(F.lit('"premium":"'), F.col("premium_name"), F.lit('"'))))
-    return rows.select("tenant_global_id", F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")).alias("addons"))
+    pairs = [(k, F.when(F.col(c), F.col("active_profiles"))) for k, c in _ADDONS] + [("premium", F.col("premium_name"))]
+    return rows.select("tenant_global_id", marts.sparse_json(pairs).alias("addons"))
 
 
 @q("api_json", SQL["sparse_json"].replace("AS addons", "AS payload"))

@@ -86,3 +86,18 @@ def test_name_match_is_case_insensitive(spark):
     a = spark.createDataFrame([("ACME Ltd",), ("acme ltd",)], "title string")
     b = spark.createDataFrame([("Acme Ltd", "US-1")], "tenant_name string, tenant_global_id string")
     assert a.join(b, F.lower("title") == F.lower("tenant_name")).count() == 2
+
+
+def test_sparse_json_parses_with_quotes_in_a_name(spark):
+    import json
+
+    from seatmeter.operators import marts
+    df = spark.createDataFrame([('a "b" \\ c', True, None), (None, None, 4)], "name string, flag boolean, n int")
+    got = [json.loads(r[0]) for r in df.select(marts.sparse_json([("name", F.col("name")), ("flag", F.col("flag")), ("n", F.col("n"))])).collect()]
+    assert got == [{"name": 'a "b" \\ c', "flag": True}, {"n": 4}]
+
+
+def test_exploded_reasons_keep_keys_without_values(spark):
+    df = spark.createDataFrame([(1, "a; b;a"), (2, " ; "), (3, None), (1, "b"), (4, "")], "k int, t string")
+    got = sorted(((r[0], r[1]) for r in crm.explode_values(df, "k", "t", ";").collect()), key=str)
+    assert got == [(1, "a"), (1, "b"), (2, None), (3, None), (4, None)]
