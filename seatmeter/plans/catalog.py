@@ -358,6 +358,15 @@ def q_fx_lag_join(spark, sf):
 FX_TARGET = _dt.date(2024, 2, 10)
 
 
+ANOTHER_DAY = _dt.date(2024, 1, 20)       # a mid-month run date with dated snapshots of its own
+oracle_bill.derive_day("_m", ANOTHER_DAY, ("meta_all", "meta_run", "pools", "price_list", "commitments"))
+
+
+@query("itemized_backfill", with_ctes(["itemized_m"], "SELECT * FROM itemized_m"))
+def q_itemized_backfill(spark, sf):
+    return B.itemized(domain(spark, sf).at(ANOTHER_DAY))
+
+
 @query("fx_nearest", with_ctes(["fx"], f"""
     SELECT isocode, conversionrate, startdate FROM fx
     QUALIFY row_number() OVER (PARTITION BY isocode

@@ -23,6 +23,17 @@ class Domain:
         self.t = Tables(spark, sf_dir)
         self.as_of = as_of
         self.memo: dict = {}
+        self.others: dict = {}
+
+    def at(self, day) -> "Domain":
+        """The same domain for another run date: dated snapshots of its own, the history shared."""
+        if day == self.as_of:
+            return self
+        if day not in self.others:
+            other = Domain(self.t.spark, self.t.sf_dir, day)
+            other.tree, other.history, other.fx = self.tree, self.history, self.fx
+            self.others[day] = other
+        return self.others[day]
 
     @cached_property
     def tree(self) -> DataFrame:
@@ -43,11 +54,11 @@ class Domain:
 
     @cached_property
     def pools(self) -> DataFrame:
-        return adapters.pools(self.meta_all)
+        return adapters.pools(self.meta_all, self.as_of)
 
     @cached_property
     def price_list(self) -> DataFrame:
-        return adapters.price_list(self.meta_all)
+        return adapters.price_list(self.meta_all, self.as_of)
 
     @cached_property
     def exceptions(self) -> DataFrame:
@@ -55,7 +66,7 @@ class Domain:
 
     @cached_property
     def commitments(self) -> DataFrame:
-        return adapters.min_commitments(self.meta_all)
+        return adapters.min_commitments(self.meta_all, self.as_of)
 
     @cached_property
     def fx(self) -> DataFrame:

@@ -32,6 +32,12 @@ def run_day(d: B.Domain, out_dir: str, as_of=None) -> dict[str, str]:
     """Compute and write every output of the day; returns name -> path."""
     from ..functions.dates import as_date
     day = as_date(as_of or d.as_of)
+    d = d.at(day)
+    # a bill from no snapshot would be minimum commitments only: refuse, and leave the day's outputs as they are
+    if d.meta.isEmpty():
+        raise ValueError(f"no account snapshot for {day}")
+    if B.peak_rows(d, day).isEmpty():
+        raise ValueError(f"no tenant snapshot in the billing window of {day}")
     paths = {}
     for name, (df, date_col) in outputs(d, day).items():
         path = f"{out_dir.rstrip('/')}/{name}"

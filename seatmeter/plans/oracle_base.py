@@ -26,12 +26,12 @@ def _num(col: str) -> str:
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "company": ((), f"""
-        SELECT c.c_custkey AS id, CASE WHEN c.c_custkey >= 10 THEN c.c_custkey END AS brand_id,
+        SELECT c.c_custkey AS id, CASE WHEN c.c_custkey >= 10 AND c.c_custkey % 23 <> 0 THEN c.c_custkey END AS brand_id,
                c.c_name AS name, ({_REG})[n.n_regionkey + 1] AS region
         FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey"""),
     "brand": ((), """
         SELECT c_custkey AS id, c_custkey // 10 AS owner_id, 'Brand ' || CAST(c_custkey // 10 AS VARCHAR) AS name
-        FROM customer WHERE c_custkey >= 10"""),
+        FROM customer WHERE c_custkey >= 10 AND c_custkey % 23 <> 0"""),
     "tree_raw": (("company", "brand"), """
         SELECT id AS tenant_id, NULL::BIGINT AS parent_id, NULL::VARCHAR AS parent_name, name AS tenant_name,
                region, substr('XXXXXXX' || CAST(id AS VARCHAR), -7) || ' ' AS tree_key, CAST(id AS VARCHAR) AS id_path, '' AS indent
@@ -78,7 +78,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "meta_all": ((), f"""
         SELECT s.snapshot_date,
                ({_REG})[n.n_regionkey + 1] || '-' || CAST(c.c_custkey AS VARCHAR) AS tenant_global_id,
-               c.c_name AS tenant_name, DATE '2023-06-01' + CAST(c.c_custkey * 20 AS INTEGER) AS registration_date,
+               c.c_name AS tenant_name, DATE '2023-06-01' + CAST(c.c_custkey * 20 % 400 AS INTEGER) AS registration_date,
                'AM-' || CAST(c.c_nationkey AS VARCHAR) AS account_master_id,
                c.c_custkey <> 9 AS is_tracked, c.c_custkey % 5 <> 0 AS is_highwatermark,
                ({_CUR})[n.n_regionkey + 1] AS currency, ({_PT})[c.c_custkey % 3 + 1] AS profile_type,
@@ -86,17 +86,17 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                     ELSE 'msp' END AS ltp_type
         FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
         CROSS JOIN (VALUES (DATE '2024-01-01'), ({AS_OF})) s(snapshot_date)
-        WHERE c.c_custkey < 10"""),
+        WHERE c.c_custkey < 10 OR c.c_custkey % 23 = 0"""),
     "meta_run": (("meta_all",), f"SELECT * FROM meta_all WHERE snapshot_date = {AS_OF}"),
     "meta": (("meta_all",), f"SELECT * FROM meta_all WHERE snapshot_date = {AS_OF} AND is_tracked"),
     "pools": (("meta_run",), f"""
         SELECT m.tenant_global_id AS global_tenant_id, m.tenant_name, x.tenant_global_id AS master_tenant_id
-        FROM meta_run m JOIN meta_run x ON {_num('x.tenant_global_id')} + 1 = {_num('m.tenant_global_id')}
+        FROM meta_run m JOIN meta_run x ON {_num('x.tenant_global_id')} + if({_num('x.tenant_global_id')} < 10, 1, 23) = {_num('m.tenant_global_id')}
         WHERE {_num('m.tenant_global_id')} % 4 = 3"""),
     "price_list": (("meta_run",), f"""
         SELECT s.snapshot_date, m.tenant_global_id, k.sku, f.is_nfr,
                CAST(t.tier_min AS INTEGER) AS tier_min, CAST(t.tier_max AS INTEGER) AS tier_max,
-               CAST(ROUND(CAST(k.base * t.mult * (1.0::DOUBLE + m.n / 100.0::DOUBLE)
+               CAST(ROUND(CAST(k.base * t.mult * (1.0::DOUBLE + m.n % 100 / 100.0::DOUBLE)
                     * (CASE WHEN f.is_nfr THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END)
                     * (CASE WHEN s.snapshot_date = DATE '2024-01-01' THEN 0.95::DOUBLE ELSE 1.0::DOUBLE END)
                     * (CASE WHEN g.kind = 'promo' THEN 0.8::DOUBLE ELSE 1.0::DOUBLE END)
@@ -121,10 +121,10 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                CAST(r.tier_max AS INTEGER) AS tier_max, DATE '2024-01-01' AS start_date,
                DATE '2024-12-31' AS end_date, 'Tenant' AS tenant_msp, t.root AS parent_id
         FROM tree t CROSS JOIN (VALUES (1, 20, 0.5), (21, 999999, 0.4)) r(tier_min, tier_max, rate)
-        WHERE t.tenant_id >= 10 AND t.tenant_id % 4 = 0 AND t.tenant_id % 50 IN (8, 28)"""),
+        WHERE t.tenant_id >= 10 AND t.tenant_id % 23 <> 0 AND t.tenant_id % 4 = 0 AND t.tenant_id % 50 IN (8, 28)"""),
     "commitments": (("meta_run",), f"""
         SELECT tenant_global_id, tenant_name,
-               CAST(1500 + {_num('tenant_global_id')} * 1000 AS DECIMAL(18,4)) AS monthly_commitment_amount,
+               CAST(1500 + {_num('tenant_global_id')} % 10 * 1000 AS DECIMAL(18,4)) AS monthly_commitment_amount,
                DATE '2024-01-01' AS start_date, DATE '2024-12-31' AS end_date
         FROM meta_run WHERE {_num('tenant_global_id')} % 4 = 1"""),
     "fx": ((), f"""

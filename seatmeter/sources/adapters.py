@@ -7,7 +7,7 @@ with them; the same recipe is written in SQL in ``seatmeter.plans.oracle`` for
 the DuckDB cross-check.
 
 Recipe (all rules are arithmetic on keys, no randomness):
-* company/brand: customer c_custkey; roots are ids < 10, every other id hangs
+* company/brand: customer c_custkey; roots are ids < 10 and every 23rd id, every other id hangs
   under id div 10 (so the tree has depth up to 4 at sf0.1). The region prefix
   of a tree is taken from its root's nation -> region.
 * tenant history: one row per (events.user_id, day) joined to the tree.
@@ -54,10 +54,24 @@ BASE_PRICE = {
     "PSCP": 0.6, "Incident Management": 0.8, "STBP": 0.7, "ATO": 0.9, "DMARC": 5.0, "DMARC_PRO": 9.0,
 }
 TIERS = [(1, 100, 1.0), (101, 1000, 0.85), (1001, 999999999, 0.7)]
-PRICE_SNAPSHOTS = [dt.date(2024, 1, 1), AS_OF]
 # ---------------------------------------------------------------------------
 
 
+# Roots (partners): the ids below FIRST_ROOTS and every ROOT_EVERY-th id, so that their number grows
+# with the customers; root 1 still holds over a third of all tenants.
+FIRST_ROOTS = 10
+ROOT_EVERY = 23
+
+
+def is_root(k) -> "F.Column":
+    return (k < FIRST_ROOTS) | (k % ROOT_EVERY == 0)
+
+
+def snapshots(as_of) -> list:
+    """The days that meta and prices are recorded on for a run date: the 1st and the day itself."""
+    return sorted({as_of.replace(day=1), as_of})
+
+
 def _case_lookup(col, mapping: dict, default=None):
     expr = None
     for k, v in mapping.items():
@@ -75,11 +89,11 @@ def company_brand(t: Tables) -> tuple[DataFrame, DataFrame]:
     region = t.nation.select("n_nationkey", "n_regionkey")
     company = cust.join(tiny(region), cust.c_nationkey == region.n_nationkey, "left").select(
         F.col("c_custkey").alias("id"),
-        F.when(F.col("c_custkey") >= 10, F.col("c_custkey")).cast("bigint").alias("brand_id"),
+        F.when(~is_root(F.col("c_custkey")), F.col("c_custkey")).cast("bigint").alias("brand_id"),
         F.col("c_name").alias("name"),
         _by_index(F.col("n_regionkey"), REGION_CODES).alias("region"),
     )
-    brand = cust.filter(F.col("c_custkey") >= 10).select(
+    brand = cust.filter(~is_root(F.col("c_custkey"))).select(
         F.col("c_custkey").alias("id"),
         F.expr("c_custkey div 10").alias("owner_id"),
         F.concat(F.lit("Brand "), F.expr("c_custkey div 10").cast("string")).alias("name"),
@@ -131,22 +145,19 @@ def tenant_history(t: Tables, tree: DataFrame | None = None) -> DataFrame:
     )
 
 
-META_SNAPSHOTS = [dt.date(2024, 1, 1), AS_OF]      # the prior bridge anchor and the run date
-
-
 def account_meta(t: Tables, as_of=AS_OF) -> DataFrame:
-    """One meta row per root (customers with id < 10) and snapshot day (the 1st and ``as_of``)."""
-    roots = t.customer.filter(F.col("c_custkey") < 10).select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    """One meta row per root and snapshot day (the 1st and ``as_of``)."""
+    roots = t.customer.filter(is_root(F.col("c_custkey"))).select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nat = t.nation.select("n_nationkey", "n_regionkey")
     r = roots.join(tiny(nat), roots.c_nationkey == nat.n_nationkey, "left")
-    snaps = sorted({META_SNAPSHOTS[0], as_of})
+    snaps = snapshots(as_of)
     r = r.withColumn("snapshot_date", F.explode(F.array(*[F.lit(d) for d in snaps])))
     k = F.col("c_custkey")
     return r.select(
         "snapshot_date",
         F.concat(_by_index(F.col("n_regionkey"), REGION_CODES), F.lit("-"), k.cast("string")).alias("tenant_global_id"),
         F.col("c_name").alias("tenant_name"),
-        F.date_add(F.lit(dt.date(2023, 6, 1)), (k * 20).cast("int")).alias("registration_date"),
+        F.date_add(F.lit(dt.date(2023, 6, 1)), (k * 20 % 400).cast("int")).alias("registration_date"),
         F.concat(F.lit("AM-"), F.col("c_nationkey").cast("string")).alias("account_master_id"),
         (k != 9).alias("is_tracked"),
         (k % 5 != 0).alias("is_highwatermark"),
@@ -157,28 +168,29 @@ def account_meta(t: Tables, as_of=AS_OF) -> DataFrame:
     )
 
 
-def pools(meta: DataFrame) -> DataFrame:
-    """Pooled roots: root n with n % 4 = 3 is priced together with root n - 1."""
-    meta = meta.filter(F.col("snapshot_date") == F.lit(AS_OF))
+def pools(meta: DataFrame, as_of=AS_OF) -> DataFrame:
+    """Pooled roots: root n with n % 4 = 3 is priced together with the root before it."""
+    meta = meta.filter(F.col("snapshot_date") == F.lit(as_of))
     num = F.regexp_replace("tenant_global_id", "[^0-9]", "").cast("bigint")
     m = meta.select("tenant_global_id", "tenant_name", num.alias("n"))
-    masters = m.select(F.col("tenant_global_id").alias("master_tenant_id"), (F.col("n") + 1).alias("n"))
+    masters = m.select(F.col("tenant_global_id").alias("master_tenant_id"), (F.col("n") + F.when(F.col("n") < FIRST_ROOTS, 1).otherwise(ROOT_EVERY)).alias("n"))
     return m.filter(F.col("n") % 4 == 3).join(masters, "n").select(
         F.col("tenant_global_id").alias("global_tenant_id"), "tenant_name", "master_tenant_id")
 
 
-def price_list(meta: DataFrame) -> DataFrame:
+def price_list(meta: DataFrame, as_of=AS_OF) -> DataFrame:
     """Long price list: root x sku x is_nfr x tier, two snapshots, promo rows.
 
     Built with ``explode`` of small literal arrays per root row (no join).
     """
-    meta = meta.filter(F.col("snapshot_date") == F.lit(AS_OF))
+    meta = meta.filter(F.col("snapshot_date") == F.lit(as_of))
     num = F.regexp_replace("tenant_global_id", "[^0-9]", "").cast("bigint")
     skus = F.array(*[F.struct(F.lit(s).alias("sku"), F.lit(BASE_PRICE[s]).alias("base"))
                      for s in PLAN_SKUS + ADDON_SKUS])
     tiers = F.array(*[F.struct(F.lit(a).alias("tier_min"), F.lit(b).alias("tier_max"), F.lit(m).alias("mult"))
                       for a, b, m in TIERS])
-    snaps = F.array(*[F.lit(d) for d in PRICE_SNAPSHOTS])
+    days = snapshots(as_of)
+    snaps = F.array(*[F.lit(d) for d in days])
     rows = (
         meta.select("tenant_global_id", num.alias("n"))
         .withColumn("s", F.explode(skus)).withColumn("t", F.explode(tiers))
@@ -186,9 +198,9 @@ def price_list(meta: DataFrame) -> DataFrame:
         .withColumn("snapshot_date", F.explode(snaps))
         .withColumn("kind", F.explode(F.array(F.lit("std"), F.lit("promo"))))
     )
-    base = (F.col("s.base") * F.col("t.mult") * (F.lit(1.0) + F.col("n") / 100.0)
+    base = (F.col("s.base") * F.col("t.mult") * (F.lit(1.0) + F.col("n") % 100 / 100.0)
             * F.when(F.col("is_nfr"), 0.5).otherwise(1.0)
-            * F.when(F.col("snapshot_date") == F.lit(PRICE_SNAPSHOTS[0]), 0.95).otherwise(1.0))
+            * F.when(F.col("snapshot_date") == F.lit(as_of.replace(day=1)), 0.95).otherwise(1.0))
     promo = F.col("kind") == "promo"
     live = dt.date(2024, 1, 15), dt.date(2024, 2, 15)
     ended = dt.date(2023, 12, 1), dt.date(2024, 1, 20)
@@ -210,7 +222,7 @@ def price_list(meta: DataFrame) -> DataFrame:
 def exceptions(tree: DataFrame) -> DataFrame:
     """Tenant-level rate overrides: tenants with id % 50 in (8, 28) on the fixed plan, two tiers each."""
     k = F.col("tenant_id")
-    rows = tree.filter((k >= 10) & (k % 4 == 0) & (k % 50).isin(8, 28)).withColumn(
+    rows = tree.filter(~is_root(k) & (k % 4 == 0) & (k % 50).isin(8, 28)).withColumn(
         "t", F.explode(F.array(
             F.struct(F.lit(1).alias("tier_min"), F.lit(20).alias("tier_max"), F.lit(0.5).alias("rate")),
             F.struct(F.lit(21).alias("tier_min"), F.lit(999999).alias("tier_max"), F.lit(0.4).alias("rate")))))
@@ -228,14 +240,14 @@ def exceptions(tree: DataFrame) -> DataFrame:
     )
 
 
-def min_commitments(meta: DataFrame) -> DataFrame:
+def min_commitments(meta: DataFrame, as_of=AS_OF) -> DataFrame:
     """Monthly minimums for roots with id % 4 = 1."""
-    meta = meta.filter(F.col("snapshot_date") == F.lit(AS_OF))
+    meta = meta.filter(F.col("snapshot_date") == F.lit(as_of))
     num = F.regexp_replace("tenant_global_id", "[^0-9]", "").cast("bigint")
     m = meta.select("tenant_global_id", "tenant_name", num.alias("n"))
     return m.filter(F.col("n") % 4 == 1).select(
         "tenant_global_id", "tenant_name",
-        (F.lit(1500) + F.col("n") * 1000).cast("decimal(18,4)").alias("monthly_commitment_amount"),
+        (F.lit(1500) + F.col("n") % 10 * 1000).cast("decimal(18,4)").alias("monthly_commitment_amount"),
         F.lit(dt.date(2024, 1, 1)).alias("start_date"), F.lit(dt.date(2024, 12, 31)).alias("end_date"),
     )
 

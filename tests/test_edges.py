@@ -101,3 +101,24 @@ def test_exploded_reasons_keep_keys_without_values(spark):
     df = spark.createDataFrame([(1, "a; b;a"), (2, " ; "), (3, None), (1, "b"), (4, "")], "k int, t string")
     got = sorted(((r[0], r[1]) for r in crm.explode_values(df, "k", "t", ";").collect()), key=str)
     assert got == [(1, "a"), (1, "b"), (2, None), (3, None), (4, None)]
+
+
+def test_any_day_is_billed_and_a_day_without_snapshots_is_refused(spark):
+    import tempfile
+
+    import pytest
+    from conftest import SF_SMALL
+
+    from seatmeter.plans import daily_bill, daily_job
+    d = daily_bill.Domain(spark, SF_SMALL)
+    out = tempfile.mkdtemp(prefix="seatmeter-days-")
+    rows = {}
+    for day in (D(2024, 1, 20), D(2024, 1, 30)):
+        paths = daily_job.run_day(d, out, day)
+        bill = spark.read.parquet(paths["root_itemized"]).filter(F.col("billing_date") == F.lit(day))
+        rows[day] = bill.filter("sku <> 'IS-LTP-MIN'").count()
+    assert min(rows.values()) > 10
+    before = spark.read.parquet(paths["root_itemized"]).count()
+    with pytest.raises(ValueError):
+        daily_job.run_day(d, out, D(2031, 5, 5))
+    assert spark.read.parquet(paths["root_itemized"]).count() == before
