@@ -63,8 +63,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                CASE WHEN d.user_id % 4 = 0 THEN '{A.FIXED_PLAN}' ELSE CASE d.first_type {_PLAN_CASE} END END
                    AS plan_name,
                CASE d.user_id % 5 WHEN 0 THEN 'NINJIO' WHEN 3 THEN 'Habitu8' END AS premium_name,
-               CAST(d.n_events * 10 AS BIGINT) AS active_profiles,
-               CAST(d.n_events * 10 + 5 AS BIGINT) AS licensed_profiles,
+               CAST(d.n_events * 40 AS BIGINT) AS active_profiles,
+               CAST(d.n_events * 40 + 5 AS BIGINT) AS licensed_profiles,
                CAST(CASE WHEN d.n_error > 0 THEN d.n_error END AS BIGINT) AS shared_profiles,
                d.user_id % 13 <> 5 AS approved,
                CASE WHEN d.user_id % 11 = 4 THEN 'Inactive' WHEN d.user_id % 7 = 2 THEN 'Active-POC'

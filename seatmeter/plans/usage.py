@@ -211,7 +211,9 @@ def stored_fact(spark, sf):
     the pivot, both metadata snapshots and the channel flags all read it."""
     key = ("bridge-fact", spark.sparkContext.applicationId, id(spark), sf)
     if key not in _CACHE:
-        _CACHE[key] = materialize(S.fact(bridge_lines(spark, sf)), "bridge-fact")
+        # one folder a billing date, so the bridge's two days are the only ones read; large days are split
+        fact = S.fact(bridge_lines(spark, sf)).hint("rebalance", "billing_date")
+        _CACHE[key] = materialize(fact, "bridge-fact", partition_by="billing_date")
     return _CACHE[key]
 
 

@@ -130,8 +130,8 @@ def tenant_history(t: Tables, tree: DataFrame | None = None) -> DataFrame:
         F.when(u % 4 == 0, F.lit(FIXED_PLAN)).otherwise(_case_lookup(F.col("first_type"), PLAN_BY_EVENT))
         .alias("plan_name"),
         _case_lookup(u % 5, PREMIUM_BY_MOD5).cast("string").alias("premium_name"),
-        (F.col("n_events") * 10).cast("bigint").alias("active_profiles"),
-        (F.col("n_events") * 10 + 5).cast("bigint").alias("licensed_profiles"),
+        (F.col("n_events") * 40).cast("bigint").alias("active_profiles"),
+        (F.col("n_events") * 40 + 5).cast("bigint").alias("licensed_profiles"),
         F.when(F.col("n_error") > 0, F.col("n_error")).cast("bigint").alias("shared_profiles"),
         (u % 13 != 5).alias("approved"),
         F.when(u % 11 == 4, "Inactive").when(u % 7 == 2, "Active-POC").otherwise("Active").alias("billing_status"),
