@@ -50,17 +50,17 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star step: hang neighbours on the smallest id of each neighbourhood.
 
     large: the larger neighbours of each node; small: each node with its smaller neighbours.
+    Edges come with u < v, so a node's smaller neighbours are the u of its edges (v, u).
     """
-    both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     if large:
+        both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*")
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("low"))
-        out = both.filter("v > u").join(low, "u").select(F.col("low").alias("u"), "v")
+        out = edges.join(low, "u").select(F.col("low").alias("u"), "v")
     else:
-        down = both.filter("v < u")
-        low = down.groupBy("u").agg(F.min("v").alias("low"))
-        out = (down.join(low, "u").select(F.col("low").alias("u"), "v")
-               .unionAll(low.select(F.col("low").alias("u"), F.col("u").alias("v"))))
-    return out.filter("u <> v").distinct()
+        low = edges.groupBy("v").agg(F.min("u").alias("low"))
+        near = edges.join(low, "v").select("low", F.explode(F.array("u", "v")).alias("v"))
+        out = near.select(F.col("low").alias("u"), "v")
+    return out.filter("u < v").distinct()
 
 
 def components(edges: DataFrame, store: Store, name: str = "cc") -> DataFrame:
@@ -74,14 +74,14 @@ def components(edges: DataFrame, store: Store, name: str = "cc") -> DataFrame:
     step = 0
     while mark[0]:
         step += 1
-        now = store.put(f"{name}-{step}", _star(_star(now, True), False))
-        store.drop(f"{name}-{step - 1}")
+        half = store.put(f"{name}-{step}-large", _star(now, True))
+        now = store.put(f"{name}-{step}", _star(half, False))
+        store.drop(f"{name}-{step - 1}", f"{name}-{step}-large")
         mark, before = _mark(now), mark
         if mark == before:
             break
     # at the fixed point every edge joins a node to the smallest node of its component
-    return (now.select(F.col("v").alias("node"), F.col("u").alias("component"))
-            .unionAll(now.select(F.col("u").alias("node"), F.col("u").alias("component"))).distinct())
+    return now.select(F.explode(F.array("u", "v")).alias("node"), F.col("u").alias("component")).distinct()
 
 
 def _mark(edges: DataFrame) -> tuple:

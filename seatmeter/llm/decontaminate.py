@@ -119,6 +119,7 @@ def _drop(batches: Iterator[pa.RecordBatch], items, p: Params) -> Iterator[pa.Re
             clean = np.ones(rows.num_rows, dtype=bool)
             clean[[d for d, _, _ in block.match(shingles, first, p)]] = False
             yield rows.filter(pa.array(clean))
+    tx.trim()
 
 
 def _item_blocks(benchmark: DataFrame, params: Params) -> Iterator[Items]:

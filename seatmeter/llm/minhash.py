@@ -35,7 +35,7 @@ from .components import components
 from .store import Store
 
 BITMAP_WORDS = 16
-BLOCK = 2048
+BLOCK = 512
 
 
 @dataclass(frozen=True)
@@ -147,6 +147,7 @@ def _sign(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBat
                 [rows.column(0), pa.array(size), _i64(sums[0]), _i64(sums[1]), _lists(keys),
                  _lists(bitmaps(elements, first))],
                 ["doc_id", "n_shingles", "set_a", "set_b", "bands", "bitmap"])
+    tx.trim()
 
 
 # ---------------------------------------------------------------- candidate pairs
@@ -252,6 +253,7 @@ def _texts_to_sets(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.
             elements, first = shingle_sets(data, offsets, p.shingle)
             column = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), _i64(elements))
             yield pa.RecordBatch.from_arrays([rows.column(0), column], ["node", "elements"])
+    tx.trim()
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
@@ -288,13 +290,18 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), store: Store | N
         F.min(F.struct(F.col("doc_id"), F.col("n_shingles"), F.col("bands"), F.col("bitmap"))).alias("r"))
         .select(F.col("r.doc_id").alias("node"), F.col("r.n_shingles").alias("size"), "r.bands", "r.bitmap",
                 "set_a", "set_b"))
-    links, comps, tried, sets = None, None, None, None
+    links = spark.createDataFrame([], "u long, v long")
+    comps, tried, sets = None, None, None
     for turn in range(3):
         name = f"pairs-{turn}"
         pairs = _candidates(reps, comps, p, every=turn == 2)
         if tried is not None:
             pairs = pairs.join(tried, ["u", "v"], "left_anti")
         pairs = st.put(name, pairs)
+        if pairs.isEmpty():
+            if turn == 0:
+                break                     # no bucket holds two documents that could match
+            continue
         nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
         if sets is not None:
             nodes = nodes.join(sets.select("node").distinct(), "node", "left_anti")
@@ -304,8 +311,12 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), store: Store | N
         sets = new if sets is None else sets.unionAll(new)
         found = st.put(f"links-{turn}", _confirm(pairs, sets, p).distinct())
         tried = pairs if tried is None else tried.unionAll(pairs)
-        links = found if links is None else links.unionAll(found)
+        if found.isEmpty():
+            continue
+        links = links.unionAll(found)
         comps = components(links, st, f"cc{turn}")
+    if comps is None:
+        comps = spark.createDataFrame([], "node long, component long")
     classes = (reps.join(comps, "node", "left")
                .select("set_a", "set_b", F.coalesce("component", "node").alias("component")))
     ids = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))

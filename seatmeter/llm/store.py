@@ -30,7 +30,7 @@ class Store:
     def __init__(self, spark: SparkSession, prefix: str):
         self.spark, self.prefix, self.paths = spark, prefix, {}
 
-    def put(self, name: str, df: DataFrame, codec: str = "zstd") -> DataFrame:
+    def put(self, name: str, df: DataFrame, codec: str = "snappy") -> DataFrame:
         path = new_path(self.spark, f"{self.prefix}-{name}")
         df.write.option("compression", codec).parquet(path)
         self.paths[name] = path

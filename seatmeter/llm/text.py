@@ -9,7 +9,9 @@ never looks at a prefix only.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -158,3 +160,10 @@ def runs(batch: pa.RecordBatch, column: str, most: int = 1 << 21) -> Iterator[tu
         b = min(max(b, a + 1), batch.num_rows)
         yield batch.slice(a, b - a), data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a]
         a = b
+
+
+def trim() -> None:
+    """Give freed memory back to the system at the end of a task: its Python worker lives on."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):          # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
