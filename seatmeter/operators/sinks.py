@@ -19,6 +19,16 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
+_WRITTEN: list[str] = []
+
+
+def release(spark) -> None:
+    """Delete the tables that ``materialize`` has written."""
+    while _WRITTEN:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialize(df: DataFrame, name: str = "t", partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
@@ -31,6 +41,7 @@ def materialize(df: DataFrame, name: str = "t", partition_by: str | None = None)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
+    _WRITTEN.append(path)
     out = spark.read.parquet(path)
     # partition discovery puts the partition column last; keep the logical column order
     return out.select(*df.columns) if partition_by else out

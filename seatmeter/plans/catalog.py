@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.money import money
-from ..operators import hwm, pricing
+from ..operators import hwm, pricing, sinks
 from ..session import apply_defaults
+from ..sources.tables import state_of
 from . import daily_bill as B
 from . import oracle_bill  # noqa: F401  (registers the bill CTEs)
 from .oracle_base import with_ctes
@@ -23,18 +24,26 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
-_DOMAINS: dict[tuple[str, int, str], B.Domain] = {}
+_DOMAINS: dict[tuple, B.Domain] = {}
 
 
 def domain(spark: SparkSession, sf_dir: str) -> B.Domain:
-    """One Domain per (session, folder): the history/peak tables are materialised once."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    """One Domain per session and state of the folder: the history/peak tables are materialised once."""
+    key = state_of(spark, sf_dir)
     if key not in _DOMAINS:
         apply_defaults(spark)
         _DOMAINS[key] = B.Domain(spark, sf_dir)
     return _DOMAINS[key]
 
 
+def release(spark: SparkSession) -> None:
+    """Forget all kept results and delete their tables; frames made from them can no longer be read."""
+    from . import usage
+    _DOMAINS.clear()
+    usage._CACHE.clear()
+    sinks.release(spark)
+
+
 def query(name: str, oracle: str | None = None):
     """Register ``fn`` under ``name``; the registered callable first applies the library's
     session defaults (UTC session zone, AQE, a checkpoint folder when none is set)."""

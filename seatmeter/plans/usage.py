@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import marts, pricing
 from ..operators.sinks import materialize
 from ..sources import adapters as A
-from ..sources.tables import Tables
+from ..sources.tables import Tables, state_of
 from . import oracle_bridge as OB
 from .oracle_base import register, with_ctes
 
@@ -86,10 +86,10 @@ def usage(spark, sf_dir):
 
     Lines are aggregated to (month, partner, channel, tenant, item, sku, flag)
     with partial aggregation before the shuffle; every consumer rolls up from
-    this grain exactly (sums of sums, min of mins, max of maxes), so the raw
-    lineitem-width join is never written out.
+    this grain exactly (sums of sums, min of mins, max of maxes). Few lines share
+    a key, so the fact is about as long as the lines, but narrower.
     """
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    key = ("usage-fact", *state_of(spark, sf_dir))
     if key not in _CACHE:
         lines = A.usage_keys(Tables(spark, sf_dir))
         unit = F.round((F.col("revenue").cast("double") / F.col("quantity")).cast("decimal(38,10)"), 4) \
@@ -209,7 +209,7 @@ def bridge_fx(spark, sf):
 def stored_fact(spark, sf):
     """The bridge fact (S1) written once per (session, folder), like the reference's stored fact table;
     the pivot, both metadata snapshots and the channel flags all read it."""
-    key = ("bridge-fact", spark.sparkContext.applicationId, id(spark), sf)
+    key = ("bridge-fact", *state_of(spark, sf))
     if key not in _CACHE:
         # one folder a billing date, so the bridge's two days are the only ones read; large days are split
         fact = S.fact(bridge_lines(spark, sf)).hint("rebalance", "billing_date")

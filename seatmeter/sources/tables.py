@@ -55,3 +55,12 @@ class Tables:
         if name not in SCHEMAS:
             raise AttributeError(name)
         return read(self.spark, self.sf_dir, name)
+
+
+def state_of(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and change times of a folder's entries: results kept for a folder are used again
+    only while it stays the same."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return (spark.sparkContext.applicationId, id(spark), sf_dir,
+            tuple(sorted((x.getPath().getName(), x.getLen(), x.getModificationTime()) for x in fs.listStatus(path))))
