@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from .store import Store
 
 SPACES = r"[\x20\x09-\x0D]+"
+WHITE = "\\\\x20\\\\x09-\\\\x0D"      # inside a SQL string
 SYMBOLS = "#*$%&|<>"
 # Very frequent function words of the corpus languages.
 FUNCTION_WORDS = (
@@ -65,7 +66,7 @@ class Params:
     right_bad: float = 0.3           # prior mean of P(drop | votes, bad): a bad one breaks some rules, not all
     weight: float = 20.0             # votes that a prior counts for
     most_steps: int = 25
-    change: float = 1e-6             # stop when no parameter moves by more
+    change: float = 1e-4             # stop when no parameter moves by more
     function_words: tuple[str, ...] = field(default=tuple(FUNCTION_WORDS))
 
 
@@ -73,9 +74,9 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
             "n_capitals", "n_exclaim")
 
 
-def _removed(text: str, chars: str) -> str:
-    """SQL for the number of the given characters in a text."""
-    return f"cast(length({text}) - length(translate({text}, '{chars}', '')) as long)"
+def _count(text: str, chars: str) -> str:
+    """SQL for the number of characters of a class in a text (the parts around them, less one)."""
+    return f"cast(size(split({text}, '[{chars}]')) - 1 as long)"
 
 
 def _repeat_words(windows: str) -> str:
@@ -102,19 +103,19 @@ def measures(docs: DataFrame, params: Params = Params()) -> DataFrame:
     parts = ", ".join(f"get(_w, i + {j})" for j in range(8))
     base = base.withColumn("_h", F.expr(
         f"case when size(_w) >= 8 then transform(sequence(0, size(_w) - 8), i -> xxhash64({parts})) else cast(array() as array<bigint>) end"))
-    base = base.withColumn("_l", F.expr(r"filter(split(_t, '\n'), x -> length(translate(x, ' \t\n\u000b\u000c\r', '')) > 0)"))
+    base = base.withColumn("_l", F.expr(f"filter(split(_t, '\\n'), x -> x rlike '[^{WHITE}]')"))
     words = ", ".join(f"'{w}'" for w in dict.fromkeys(params.function_words))
     fields = {
         "n_words": "cast(size(_w) as long)",
-        "word_chars": r"cast(length(translate(_t, ' \t\n\u000b\u000c\r', '')) as long)",
-        "n_symbols": _removed("_t", SYMBOLS),
+        "word_chars": f"length(_t) - {_count('_t', WHITE)}",
+        "n_symbols": _count("_t", SYMBOLS),
         "n_dup_lines": "cast(size(_l) - size(array_distinct(_l)) as long)",
         "n_repeat_words": _repeat_words("_h"),
         "n_lines": "cast(size(_l) as long)",
         "n_function": f"cast(size(filter(_w, x -> lower(x) in ({words}))) as long)",
         "n_distinct": "cast(size(array_distinct(_w)) as long)",
-        "n_capitals": _removed("_t", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
-        "n_exclaim": _removed("_t", "!"),
+        "n_capitals": _count("_t", "A-Z"),
+        "n_exclaim": _count("_t", "!"),
     }
     packed = F.struct(*[F.expr(e).alias(n) for n, e in fields.items()])
     return base.select(*docs.columns, packed.alias("_m"))

@@ -71,7 +71,7 @@ class Encoder:
     (about 25 bytes a piece).
     """
 
-    def __init__(self, path: str, most: int = 3_000_000):
+    def __init__(self, path: str, most: int = 1_500_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
@@ -233,6 +233,7 @@ def _pack(batches: Iterator[pa.RecordBatch], dictionary, p: Params) -> Iterator[
                     yield close()
     if ids_held:
         yield close()
+    tx.trim()
 
 
 def write_tokens(docs: DataFrame, path: str, params: Params) -> None:
