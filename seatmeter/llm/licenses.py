@@ -1,18 +1,27 @@
 """Licence scan: normalised text against licence templates by Dice coefficient over word bigrams.
 
 Every document is compared as a whole, by paragraph (runs of lines without an
-empty one) and by line, so that a notice inside a longer text is found. For a
-unit with a bigrams and a template with b, Dice = 2 * shared / (a + b) (bigrams
-counted as a multiset), so it can reach ``least`` only if
+empty one) and by line. For a unit with a bigrams and a template with b,
+Dice = 2 * shared / (a + b) (bigrams counted as a multiset), so it can reach
+``least`` only if
 
     b * least / (2 - least)  <=  a  <=  b * (2 - least) / least
 
 These size bounds prune the templates of each unit before any bigram is
 compared, and units that hold no bigram of any template are never compared.
+
+A notice need not be a unit: it may run over several paragraphs of a longer text
+or stand within a line. So, with ``windows``, outside the units that match a template, every window
+of words that the size bounds allow is compared with it, and of windows that
+overlap the one of highest Dice is kept, if no unit shows another template better
+in most of its words. A window can reach ``least`` only if it
+holds b * least / (2 - least) bigrams of the template, and its Dice is highest
+where it begins and ends with one, so only such windows are looked at.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import partial
@@ -63,6 +72,9 @@ permissions and limitations under the License."""),
 Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
 version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
 warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""),
+    ("GPL-3.0", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General
+Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
+version."""),
     ("GPL-2.0", """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General
 Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later
 version."""),
@@ -88,6 +100,7 @@ commercial or non-commercial, and by any means."""),
 @dataclass(frozen=True)
 class Params:
     least: float = 0.8
+    windows: bool = False         # notices that are no unit, too (the registered query asks for them)
     templates: tuple[tuple[str, str], ...] = field(default=TEMPLATES)
 
 
@@ -129,6 +142,9 @@ class Templates:
         self.high = np.floor(self.size * (2 - p.least) / p.least + 1e-9)
         every = np.unique(np.concatenate([k for k, _ in self.bags])) if self.bags else np.zeros(0, np.uint64)
         self.every = every
+        self.most = np.zeros((len(self.bags), len(every)), dtype=np.int64)       # how often a template holds a bigram
+        for row, (k, n) in zip(self.most, self.bags):
+            row[np.searchsorted(every, k)] = n
         self.seen = np.zeros(1 << 20, dtype=bool)
         self.seen[(every >> np.uint64(44)).astype(np.int64)] = True
 
@@ -138,6 +154,8 @@ class Templates:
         hit = np.flatnonzero(self.seen[(u.bigram >> np.uint64(44)).astype(np.int64)])
         hit = hit[np.isin(u.bigram[hit], self.every)]
         done: set[tuple[int, int]] = set()
+        found: list[list[tuple[int, int]]] = [[] for _ in self.names]
+        better: list[tuple[int, int, float]] = []
         for kind in UNITS:
             edge = u.edges[kind]
             if len(edge) < 2 or not len(hit):
@@ -155,8 +173,92 @@ class Templates:
                     _, x, y = np.intersect1d(keys, own, assume_unique=True, return_indices=True)
                     dice = 2 * int(np.minimum(counts[x], most[y]).sum()) / (n + int(self.size[t]))
                     if dice >= p.least:
+                        found[t].append((a, b))
+                        better.append((a, b, dice))
                         base = int(u.words.first[u.owner[a]])
                         yield int(u.owner[a]), t, kind, dice, a - base, b - base
+        if not p.windows:
+            return
+        better.sort()
+        longest = max((b - a for a, b, _ in better), default=0)
+        key = np.searchsorted(self.every, u.bigram[hit])
+        for t, spans in enumerate(found):
+            own = self.most[t, key] > 0
+            for a, b, dice in self.windows(t, u, hit[own], key[own], spans, p):
+                near = better[bisect_left(better, (a - longest,)): bisect_left(better, (b,))]
+                if any(d > dice and 2 * (min(b, y) - max(a, x)) > b - a for x, y, d in near):
+                    continue                                            # a unit shows another template there
+                base = int(u.words.first[u.owner[a]])
+                yield int(u.owner[a]), t, "window", dice, a - base, b - base
+
+    def windows(self, t: int, u: Units, at: np.ndarray, key: np.ndarray, spans: list[tuple[int, int]], p: Params):
+        """(first word, end, dice) of the windows that match a template outside ``spans``, none overlapping another.
+
+        at, key: positions of the template's bigrams and which ones they are.
+        """
+        low, high, size = int(self.low[t]), int(self.high[t]), int(self.size[t])
+        # a bigram counts in a window unless the window holds it as often as the template already: from ``full`` on
+        order = np.argsort(key, kind="stable")
+        back = np.arange(len(at)) - self.most[t, key[order]]
+        full = np.full(len(at), -1, dtype=np.int64)
+        same = (back >= 0) & (key[order[np.maximum(back, 0)]] == key[order])
+        full[order[same]] = at[order[back[same]]]
+        while len(at) >= low:
+            start, end = (np.sort(np.array([x[i] for x in spans], dtype=np.int64)) for i in (0, 1))
+            edges = np.sort(np.concatenate([u.words.first, start, end]))
+            piece = np.searchsorted(edges, at, side="right")
+            inside = np.searchsorted(start, at, side="right") > np.searchsorted(end, at, side="right")
+            keep = ~inside & (piece == np.searchsorted(edges, at + 1, side="right"))
+            at, full, piece = at[keep], full[keep], piece[keep]
+            if len(at) < low:
+                return
+            reach = np.arange(low - 1, len(at))
+            first = np.flatnonzero((at[reach] - at[reach - low + 1] < high) & (piece[reach] == piece[reach - low + 1]))
+            if not len(first):
+                return
+            last = np.minimum(np.searchsorted(at, at[first] + high), np.searchsorted(piece, piece[first], side="right"))
+            best: list[tuple[float, int, int]] = []
+            rows = max(1, (1 << 20) // int((last - first).max()))
+            for i in range(0, len(first), rows):
+                f, e = first[i: i + rows, None], last[i: i + rows, None]
+                col = f + np.arange(int((e - f).max()))
+                valid = col < e
+                col = np.minimum(col, len(at) - 1)
+                shared = np.cumsum(valid & (full[col] < at[f]), axis=1)
+                dice = np.where(valid, 2 * shared / (at[col] - at[f] + 1 + size), 0.0)
+                to = dice.shape[1] - 1 - np.argmax(dice[:, ::-1], axis=1)        # the longest of the best
+                top = dice[np.arange(len(to)), to]
+                ok = np.flatnonzero(top >= p.least)
+                best += zip((-top[ok]).tolist(), at[f[ok, 0]].tolist(), (at[col[ok, to[ok]]] + 2).tolist())
+            new = []
+            for less, a, b in sorted(best, key=lambda x: (x[0], x[1] - x[2], x[1])):
+                i = bisect_left(new, (a, b))
+                if (i == len(new) or b <= new[i][0]) and (i == 0 or new[i - 1][1] <= a):
+                    new.insert(i, (a, b))
+                    yield a, b, -less
+            if not new:
+                return
+            spans = spans + new                                     # a shorter window may fit beside those kept
+
+
+def named(matches: list[dict]) -> set[str]:
+    """Licences of the matches, without those whose place is taken by another licence.
+
+    A match gives way to one of another licence that has a higher Dice and most of its words, as
+    the first paragraph of one notice may resemble a whole other one.
+    """
+    out, by_start = set(), sorted(matches, key=lambda m: m["from_word"])
+    starts = [m["from_word"] for m in by_start]
+    longest = max((m["to_word"] - m["from_word"] for m in matches), default=0)
+    for m in matches:
+        if m["license"] in out:
+            continue
+        a, b = m["from_word"], m["to_word"]
+        near = by_start[bisect_left(starts, a - longest): bisect_left(starts, b)]
+        if not any(x["license"] != m["license"] and x["dice"] > m["dice"]
+                   and 2 * (min(b, x["to_word"]) - max(a, x["from_word"])) > b - a for x in near):
+            out.add(m["license"])
+    return out
 
 
 MATCH = "struct<license:string,template:int,unit:string,dice:double,from_word:long,to_word:long>"
@@ -178,7 +280,7 @@ def _scan(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBat
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), pa.array([b.get("license") for b in best], pa.string()), pa.array([b.get("dice") for b in best], pa.float64()),
                  pa.array([b.get("unit") for b in best], pa.string()), pa.array([len(f) for f in found], pa.int64()),
-                 pa.array([",".join(sorted({m["license"] for m in f})) for f in found], pa.string()), pa.array(found, kind)],
+                 pa.array([",".join(sorted(named(f))) for f in found], pa.string()), pa.array(found, kind)],
                 ["doc_id", "license", "dice", "unit", "n_matches", "licenses", "matches"])
 
 
@@ -187,9 +289,10 @@ def scan_licenses(docs: DataFrame, params: Params = Params()) -> DataFrame:
 
     docs: doc_id, text; further columns are ignored. Words are runs of ASCII letters and digits
     (A-Z lowered) and of other characters above ASCII; from_word and to_word count these. The best
-    match has the highest Dice, then the first position, then the first template. Texts without a
-    match, null and empty ones have a null licence and an empty list; repeated rows and null
-    doc_ids get a row each.
+    match has the highest Dice, then the first position, then the first template. ``licenses`` leaves
+    out a licence where another one matches the same words better; ``matches`` holds every match.
+    Texts without a match, null and empty ones have a null licence and an empty list; repeated rows
+    and null doc_ids get a row each.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return base.mapInArrow(partial(_scan, p=params), RESULT)

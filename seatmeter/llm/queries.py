@@ -87,7 +87,7 @@ def op5_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences named in all documents."""
-    return (licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return (licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.Params(windows=True))
             .select("doc_id", "license", F.round("dice", 9).alias("dice"), "unit", "n_matches", "licenses"))
 
 

@@ -81,3 +81,90 @@ def test_edge_rows(sp, frame):
 
 def test_empty_table(sp, frame):
     assert licenses.scan_licenses(frame([], "doc_id long, text string")).collect() == []
+
+
+NOTICES = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.""",
+    "Apache-2.0": """ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ * See the License for the specific language governing permissions and
+ * limitations under the License.""",
+    "GPL-3.0": """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+
+    You should have received a copy of the GNU General Public License
+    along with this program.  If not, see <https://www.gnu.org/licenses/>.""",
+    "BSD-3-Clause": licenses._BSD.replace("met: ", "met:\n\n1. ").replace("disclaimer. Red", "disclaimer.\n\n2. Red") + "\n\n3. "
+    + licenses._NO_NAME + "\n\n" + licenses._BSD_END,
+    "MPL-2.0": licenses.TEMPLATES[[n for n, _ in licenses.TEMPLATES].index("MPL-2.0")][1],
+}
+
+
+def test_notices_inside_long_texts(sp, frame):
+    prose = "\n\n".join(" ".join(f"w{(i * 7 + j) % 97}" for j in range(80)) for i in range(40))
+    rows, want = [], []
+    for name, notice in NOTICES.items():
+        for text in (f"{prose}\n\n{notice}\n\n{prose}", f"{prose} {' '.join(notice.split())} {prose}", f"{prose}\n{notice}\n{prose}"):
+            want.append((len(rows), name))
+            rows.append((len(rows), text))
+    twice = f"{prose}\n\n{NOTICES['MIT']}\n\n{NOTICES['MIT']}\n\n{NOTICES['Apache-2.0']} {prose}"
+    got = {r.doc_id: r for r in licenses.scan_licenses(frame([*rows, (900, twice), (901, prose), (902, "x to the y")], "doc_id long, text string"), licenses.Params(windows=True)).collect()}
+    assert [(i, got[i].license) for i, _ in want] == want
+    assert [(i, got[i].licenses) for i, _ in want] == want
+    assert all(got[i].dice > 0.95 for i, _ in want)
+    at = [(m.license, m.from_word) for m in sorted(got[900].matches, key=lambda m: m.from_word) if m.to_word - m.from_word > 50]
+    assert [n for n, _ in at] == ["MIT", "MIT", "Apache-2.0"] and at[0][1] == len(words(prose))
+    assert got[901].license is got[902].license is None
+
+
+def test_windows_against_brute_force():
+    rng, p = random.Random(4), licenses.Params(windows=True, templates=(("A", "a b c a b d e f"), ("B", "c a b d")))
+    found = licenses.Templates(p)
+    for _ in range(400):
+        w = [rng.choice("aabbcdefxy") for _ in range(rng.randrange(60))]
+        if rng.random() < 0.7:
+            at = rng.randrange(len(w) + 1)
+            w[at:at] = rng.choice(p.templates)[1].split()
+        data, offsets = licenses.tx.utf8(licenses.pa.array(["a b c", " ".join(w), "d e f"], licenses.pa.large_string()))
+        got = [m for m in found.matches(data, offsets, p) if m[0] == 1]
+        for t, (_, text) in enumerate(p.templates):
+            own = Counter(zip(text.split(), text.split()[1:]))
+            every = {(a, b): 2 * (Counter(zip(w[a:b], w[a + 1:b])) & own).total() / (b - a - 1 + own.total())
+                     for a in range(len(w)) for b in range(a + 2, len(w) + 1)}
+            every = {k: v for k, v in every.items() if v >= p.least}
+            mine = {(a, b): dice for _, x, _, dice, a, b in got if x == t}
+            assert all(every[k] == v for k, v in mine.items())
+            # every window of the least Dice overlaps a reported one, and the best ones are among these
+            assert all(any(a < y and x < b for x, y in mine) for a, b in every)
+            if every and not any(x == t and kind != "window" for _, x, kind, *_ in got):
+                assert max(mine.values()) == max(every.values())
