@@ -38,8 +38,12 @@ NAMES = ("passw", "secret", "token", "apikey", "api_key")
 # Weak candidates.
 WEAK_ACCESS = re.compile(r"(?<![A-Za-z0-9])(?=[A-Z]*[0-9])[A-Z0-9]{16,40}(?![A-Za-z0-9])")
 WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[^0-9\s]*[0-9])(?=[^A-Z\s]*[A-Z])(?=[^a-z\s]*[a-z])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
-ENDPOINT = re.compile(r"[a-z][a-z0-9+.-]*://[^\s\"'<>]+|(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?::[0-9]+)?(?![0-9.])"
-                      r"|(?<![A-Za-z0-9.-])(?:[a-z0-9-]+\.)+(?:com|net|org|io|internal|local)(?::[0-9]+)?(?![A-Za-z0-9.-])")
+# Addresses, numeric hosts, and named hosts under any suffix, in either case. Each alternative starts only at the
+# start of a run, so that a long run is read once; the endpoint is the group, if there is one.
+ENDPOINT = re.compile(r"(?<![A-Za-z0-9+.-])[0-9+.-]*+([A-Za-z][A-Za-z0-9+.-]*+://[^\s\"'<>]+)"
+                      r"|(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?::[0-9]+)?(?!\.?[0-9])"
+                      r"|(?<![A-Za-z0-9.-])(?:[A-Za-z0-9-]++\.)+(?:(?:[A-Za-z]{2,63}|[Xx][Nn]--[A-Za-z0-9-]+)(?::[0-9]+)?"
+                      r"|[A-Za-z][A-Za-z0-9-]*:[0-9]+)(?!\.?[A-Za-z0-9-])")
 KINDS = ("assign", "access", "hex", "weak_access", "weak_secret", "endpoint")
 ROLE = {"assign": "secret", "access": "access", "hex": "secret", "weak_access": "access", "weak_secret": "secret",
         "endpoint": "endpoint"}
@@ -66,8 +70,12 @@ def base_spans(text: str) -> list[Span]:
 
 
 def weak_spans(text: str, base: list[Span]) -> list[Span]:
-    """Weak candidates that lie outside the base spans."""
-    ends = [(m.start(), 5, m.end()) for m in ENDPOINT.finditer(text)] if "." in text or "://" in text else []
+    """Weak candidates: identifiers and random-looking tokens outside the base spans, and all endpoints.
+
+    A base span inside an address (?token=..., a long id in the path) says what the address opens,
+    so the address stays an endpoint.
+    """
+    ends = [(m.start(m.lastindex or 0), 5, m.end()) for m in ENDPOINT.finditer(text)] if "." in text or "://" in text else []
     roles = {ROLE[KINDS[k]] for _, k, _ in base}
     # a candidate needs the two other roles; without an endpoint only endpoints could be reported
     if not ends:
@@ -81,8 +89,7 @@ def weak_spans(text: str, base: list[Span]) -> list[Span]:
     def free(s: int, e: int) -> bool:
         return not any(a < e and s < b for a, b in taken)
 
-    weak = [w for w in weak if free(w[0], w[2])]
-    return sorted(weak + [x for x in ends if free(x[0], x[2])])
+    return sorted([w for w in weak if free(w[0], w[2])] + ends)
 
 
 def joined(spans: list[Span]) -> str:

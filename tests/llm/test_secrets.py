@@ -73,3 +73,19 @@ def test_linking(sp, frame):
 
 def test_empty_table(sp, frame):
     assert secrets.scan_secrets(frame([], "doc_id long, text string")).collect() == []
+
+
+def test_endpoints_with_base_spans_inside(sp, frame):
+    access, secret = "QWERTYUIOPASDF123456", "aB3dE5gH7jK9mN1pQ3sT5"
+    ends = ["https://db.corp.com/login?token=abcd1234efgh", "https://db.corp.com/x?api_key=abcd1234efgh&y=1",
+            f"http://db.corp.com/{'0123456789abcdef' * 2}/x", "db.prod.example.de:5432", "DB.Example.DE", "HTTPS://Host.Example/x",
+            "db.example.com", "10.0.0.1:80", "xn--e1afmkfd.xn--p1ai", "node.r1:8080"]
+    rows = [f"id {access} pw {secret} host {x}" for x in ends] + [f"id {access} pw {secret} host {x}. Then more" for x in ends[3:5]]
+    got = {r.doc_id: r for r in secrets.scan_secrets(frame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    for i, t in enumerate(rows):
+        x = (ends + ends[3:5])[i]
+        want = {f"{k}:{t.index(v)}:{t.index(v) + len(v)}" for k, v in (("weak_access", access), ("weak_secret", secret), ("endpoint", x))}
+        assert want <= set(got[i].spans.split(",")), t
+        assert got[i].spans == linked_by_hand(t, 200)
+    # long runs are read once
+    assert secrets.weak_spans("aB." * 300_000 + "1 " + "c" * 900_000, []) == []
