@@ -137,7 +137,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(batch.num_rows):
             view, k, n = memoryview(data[i].as_buffer()), number[i].as_py(), count[i].as_py()
             if k == 0:
-                raw = bytes(view[: 1 << 16])
+                raw = bytes(view)                    # the first chunk holds the whole head, whatever its url's length
                 cut = raw.index(END)
                 http = raw.index(END, cut + 4) + 4
                 head = _fields(raw[:cut])

@@ -68,5 +68,12 @@ def test_damage_is_found(sp, frame):
         warc.read_archives(sp, bad).collect()
 
 
+def test_long_urls(sp, frame):
+    rows = [(i, "data:," + "é"[: i % 2] + "u" * n, "h" * 150 + str(i % 3)) for i, n in enumerate([200_000, 65_300, 65_400, 65_500, 65_536, 3_000_000, 5])]
+    path, got = run(sp, frame(rows, "page_id long, url string, html string"), chunk=100)
+    assert got == brute(rows)
+    assert {r.page_id: r.url for r in warc.read_archives(sp, path).collect()} == {i: u for i, u, _ in rows}
+
+
 def test_empty_table(sp, frame):
     assert run(sp, frame([], "page_id long, url string, html string"))[1] == []
