@@ -5,7 +5,7 @@ For page i and language l the posterior is proportional to
     P(text | l) * P(declared markup language | l) * P(address suffix | l) * P(l | host)
 
 - Text: a naive Bayes model over hashed byte trigrams of the visible text,
-  trained on a bounded sample of labelled documents; its log-likelihood is scaled
+  trained on a bounded sample of labelled documents of every language; its log-likelihood is scaled
   to at most ``evidence`` trigrams, since neighbouring trigrams are dependent.
 - Declared language and suffix: likelihoods from soft counts, i.e. sums of the
   pages' text posteriors grouped by declared language and by suffix.
@@ -26,7 +26,8 @@ from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as tx
@@ -36,7 +37,7 @@ from .store import Store
 @dataclass(frozen=True)
 class Params:
     sample_docs: int = 4000       # labelled documents trained on (those with the smallest id hashes)
-    languages: int = 32           # the most frequent ones of the sample
+    least_docs: int = 50          # of these, and more if need be, for each language (all, if it has fewer)
     evidence: float = 60.0        # trigrams that a text counts for, at most
     pull: float = 10.0            # pages that a parent's share counts for in its child
     trust: float = 5.0            # pages of prior belief that declared markup tells the truth
@@ -104,18 +105,23 @@ class TextModel:
 def train(docs: DataFrame, params: Params) -> TextModel:
     """Trigram model from labelled documents (doc_id, text, lang); rows without a label or text say nothing."""
     known = docs.select("doc_id", F.lower("lang").alias("lang"), "text").filter("lang is not null and text is not null")
-    chosen = known.select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(params.sample_docs)
-    sample = known.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi").select("lang", "text")
-    counts = (sample.mapInArrow(partial(_count, p=params), "lang string, bucket long, n long")
-              .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
-    top = counts.groupBy("lang").agg(F.sum("n").alias("t")).orderBy(F.desc("t"), "lang").limit(params.languages)
-    languages = sorted(r.lang for r in top.collect())
-    # at most languages * buckets rows
-    table = counts.filter(F.col("lang").isin(languages)).toArrow() if languages else None
+    hashed = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+    first = hashed.orderBy("h", "doc_id").limit(params.sample_docs)
+    # the languages with too few of these rows are rare ones, so no window holds a large part of the documents
+    full = first.groupBy("lang").count().filter(F.col("count") >= params.least_docs).select("lang")
+    ranked = (hashed.join(F.broadcast(full), "lang", "left_anti")
+              .withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))))
+    rare = ranked.filter(F.col("nth") <= params.least_docs)
+    chosen = first.select("doc_id").unionAll(rare.select("doc_id")).distinct()
+    sample = known.join(F.broadcast(chosen), "doc_id", "left_semi").select("lang", "text")
+    # at most buckets rows a language
+    table = (sample.mapInArrow(partial(_count, p=params), "lang string, bucket long, n long")
+             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow())
+    languages = sorted(table["lang"].unique().to_pylist())
     n = np.zeros((params.buckets, len(languages)))
-    if table is not None:
-        at = {x: i for i, x in enumerate(languages)}
-        np.add.at(n, (table["bucket"].to_numpy(), np.array([at[x] for x in table["lang"].to_pylist()], dtype=np.int64)), table["n"].to_numpy())
+    if languages:
+        at = pc.index_in(table["lang"], pa.array(languages, table["lang"].type)).to_numpy()
+        np.add.at(n, (table["bucket"].to_numpy(), at), table["n"].to_numpy())
     return TextModel(languages, np.log((n + 0.5) / (n.sum(axis=0) + 0.5 * params.buckets)))
 
 
@@ -149,11 +155,6 @@ def _score(batches: Iterator[pa.RecordBatch], model, p: Params) -> Iterator[pa.R
 
 # ---------------------------------------------------------------- fusion
 
-def _softmax(logs: list[Column]) -> list[Column]:
-    total = reduce(lambda a, b: a + b, (F.exp(x) for x in logs))
-    return [F.exp(x) / total for x in logs]
-
-
 def identify(pages: DataFrame, labelled: DataFrame, params: Params = Params(), store: Store | None = None) -> DataFrame:
     """One row per page: page_id, host, suffix, declared, text_language, text_probability, language, probability.
 
@@ -172,9 +173,11 @@ def identify(pages: DataFrame, labelled: DataFrame, params: Params = Params(), s
         none = F.lit(None)
         return scored.select("page_id", "host", "suffix", "declared", none.cast("string").alias("text_language"),
                              none.cast("double").alias("text_probability"), none.cast("string").alias("language"), none.cast("double").alias("probability"))
-    q = _softmax([F.col("log_text")[i] for i in range(k)])
+    # shared terms are columns of their own: inside one another, expressions would grow with a power of the languages
+    add = lambda a, x: a + x
+    scored = scored.withColumn("all", F.aggregate("log_text", F.lit(0.0), lambda a, x: a + F.exp(x)))
     scored = st.put("scored", scored.select("page_id", "host", "domain", "suffix", "declared", *[F.col("log_text")[i].alias(f"t_{i}") for i in range(k)],
-                                            *[c.alias(f"q_{i}") for i, c in enumerate(q)]))
+                                            *[(F.exp(F.col("log_text")[i]) / F.col("all")).alias(f"q_{i}") for i in range(k)]))
     sums = lambda source, to: [F.sum(f"{source}_{i}").alias(f"{to}_{i}") for i in range(k)]
     hosts = scored.groupBy("host", "domain", "suffix").agg(*sums("q", "h"))
     hosts = st.put("hosts", hosts)
@@ -185,27 +188,28 @@ def identify(pages: DataFrame, labelled: DataFrame, params: Params = Params(), s
     total = [x or 0.0 for x in everything]
     by_host = hosts.join(domains, "domain").join(suffixes, "suffix").drop("domain", "suffix")
     by_markup = scored.groupBy("declared").agg(*sums("q", "m"))          # one row per known language, and two more
-    joined = scored.join(by_host, "host").join(by_markup, "declared")
-
-    def mass(name: str) -> Column:
-        return reduce(lambda a, b: a + b, (F.col(f"{name}_{i}") for i in range(k)))
+    mass = lambda name: F.aggregate(F.array(*[f"{name}_{i}" for i in range(k)]), F.lit(0.0), add)
+    joined = scored.join(by_host.withColumns({"mass_h": mass("h"), "mass_d": mass("d")}), "host").join(by_markup, "declared")
 
     logs = []
     for i, name in enumerate(names):
         own = F.col(f"q_{i}")
         rest = total[i] - own                                                # other pages of the language
         everywhere = (rest + 1) / (sum(total) - 1 + k)
-        in_domain = (F.col(f"d_{i}") - own + params.pull * everywhere) / (mass("d") - 1 + params.pull)
-        in_host = (F.col(f"h_{i}") - own + params.pull * in_domain) / (mass("h") - 1 + params.pull)
+        in_domain = (F.col(f"d_{i}") - own + params.pull * everywhere) / (F.col("mass_d") - 1 + params.pull)
+        in_host = (F.col(f"h_{i}") - own + params.pull * in_domain) / (F.col("mass_h") - 1 + params.pull)
         markup = ((F.col(f"m_{i}") - own + 1 + F.when(F.col("declared") == name, params.trust).otherwise(0.0))
                   / (rest + k + 2 + params.trust))
         suffix = (F.col(f"s_{i}") - own + 1) / (rest + n_suffixes)
         least = F.lit(1e-12)                                                 # differences of sums can fall just below 0
         logs.append(F.col(f"t_{i}") + reduce(lambda a, b: a + b, (F.log(F.greatest(x, least)) for x in (in_host, markup, suffix))))
-    top = F.greatest(*logs, *logs[:1]) if k > 1 else logs[0]
-    posts = [F.round(x, 6) for x in _softmax([x - top for x in logs])]
     named = F.array(*[F.lit(n) for n in names])
-    out = joined.withColumn("_p", F.array(*posts)).withColumn("_q", F.array(*[F.round(f"q_{i}", 6) for i in range(k)]))
+    fused = joined.select("page_id", "host", "suffix", "declared", F.array(*logs).alias("_log"),
+                          F.array(*[F.round(f"q_{i}", 6) for i in range(k)]).alias("_q"))
+    fused = fused.withColumn("_top", F.array_max("_log"))
+    fused = fused.withColumn("_e", F.transform("_log", lambda x: F.exp(x - F.col("_top"))))
+    fused = fused.withColumn("_sum", F.aggregate("_e", F.lit(0.0), add))
+    out = fused.withColumn("_p", F.transform("_e", lambda x: F.round(x / F.col("_sum"), 6)))
     best = lambda c: F.element_at(named, F.array_position(c, F.array_max(c)).cast("int"))
     return out.select("page_id", "host", "suffix", "declared", best("_q").alias("text_language"), F.array_max("_q").alias("text_probability"),
                       best("_p").alias("language"), F.array_max("_p").alias("probability"))

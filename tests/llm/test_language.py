@@ -95,3 +95,16 @@ def test_empty_tables(sp, frame, docs):
     assert language.identify(frame([], PAGES), docs).collect() == []
     got = language.identify(frame([(1, "http://a/", "x")], PAGES), docs.limit(0)).collect()
     assert len(got) == 1 and got[0].language is None
+
+
+def test_every_language_is_kept(sp, frame):
+    """More than 32 languages, the last of them in a single document far outside the sample of the frequent ones."""
+    names = [a + b for a in "abcdefgh" for b in "vwxyz"]
+    labelled = [(i, f"{names[i % 39] * 4} " * 20, names[i % 39]) for i in range(800)] + [(9000, "hz hzhzhz " * 20, "HZ")]
+    labelled = frame(labelled, "doc_id long, text string, lang string")
+    p = language.Params(sample_docs=30, least_docs=2)
+    assert language.train(labelled, p).languages == sorted(names)
+    assert language.train(labelled, language.Params()).languages == sorted(names)
+    rows = [(i, "http://h/", f"<html lang={n}>{(n * 4 + ' ') * 20}") for i, n in enumerate(names)]
+    got = {r.page_id: r for r in language.identify(frame(rows, PAGES), labelled, p).collect()}
+    assert [(got[i].declared, got[i].language) for i in range(40)] == [(n, n) for n in names]
