@@ -60,7 +60,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("token_output", token_output),
 ]
 
-# The label model and the rate fit iterate to convergence, which SQL cannot state; tests/llm checks
+# The label model and the rate fit iterate, which SQL cannot state; tests/llm checks
 # the stages against brute force.
 ORACLE_SQL = None
 
