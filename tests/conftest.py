@@ -5,7 +5,11 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
+
+@pytest.fixture(scope="session")
+def sf_small():
+    """The smallest data folder."""
+    return "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")

@@ -103,14 +103,13 @@ def test_exploded_reasons_keep_keys_without_values(spark):
     assert got == [(1, "a"), (1, "b"), (2, None), (3, None), (4, None)]
 
 
-def test_any_day_is_billed_and_a_day_without_snapshots_is_refused(spark):
+def test_any_day_is_billed_and_a_day_without_snapshots_is_refused(spark, sf_small):
     import tempfile
 
     import pytest
-    from conftest import SF_SMALL
 
     from seatmeter.plans import daily_bill, daily_job
-    d = daily_bill.Domain(spark, SF_SMALL)
+    d = daily_bill.Domain(spark, sf_small)
     out = tempfile.mkdtemp(prefix="seatmeter-days-")
     rows = {}
     for day in (D(2024, 1, 20), D(2024, 1, 30)):

@@ -4,19 +4,17 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
 
 from tools.check_oracle import TABLES, rows_of  # noqa: E402
 
-NAMES = ["tree_closure", "hwm_month", "bill_lines", "itemized_bill", "free_allowance", "subtenant_lines",
-         "tier_graduated", "pooled_threshold", "mrr_bridge", "churn_bands", "status_classifier", "time_spine"]
+NAMES = sorted(E.catalog.ORACLE)
 
 
 @pytest.fixture(scope="module")
-def con():
+def con(sf_small):
     c = duckdb.connect()
     for t in TABLES:
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_small}/{t}.parquet')")
     return c
 
 
@@ -28,8 +26,8 @@ def test_every_query_has_a_callable_and_most_an_oracle():
 
 
 @pytest.mark.parametrize("name", NAMES)
-def test_query_matches_oracle(spark, con, name):
-    sdf = E.queries()[name](spark, SF_SMALL)
+def test_query_matches_oracle(spark, con, name, sf_small):
+    sdf = E.queries()[name](spark, sf_small)
     srows = [tuple(r) for r in sdf.collect()]
     res = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
@@ -43,9 +41,9 @@ def test_entry_runs(spark):
     assert "amount" in df.columns
 
 
-def test_bill_rerun_is_idempotent(spark):
-    rows = E.queries()["day_replace_sink"](spark, SF_SMALL).count()
-    assert rows == E.queries()["itemized_bill"](spark, SF_SMALL).count()
+def test_bill_rerun_is_idempotent(spark, sf_small):
+    rows = E.queries()["day_replace_sink"](spark, sf_small).count()
+    assert rows == E.queries()["itemized_bill"](spark, sf_small).count()
 
 
 def test_every_oracle_plans_in_duckdb(con):

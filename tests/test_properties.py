@@ -5,26 +5,25 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
 from seatmeter.operators import pricing
 
 
-def test_bridge_volume_plus_rate_is_net_change(spark):
-    b = E.queries()["mrr_bridge"](spark, SF_SMALL)
+def test_bridge_volume_plus_rate_is_net_change(spark, sf_small):
+    b = E.queries()["mrr_bridge"](spark, sf_small)
     bad = b.filter(F.abs(F.col("volume_impact_mrr") + F.col("billing_rate_change_mrr") - F.col("net_mrr_change"))
                    > 0.0002)
     assert b.count() > 0 and bad.count() == 0
 
 
-def test_bridge_buckets_are_known(spark):
-    b = E.queries()["mrr_bridge"](spark, SF_SMALL)
+def test_bridge_buckets_are_known(spark, sf_small):
+    b = E.queries()["mrr_bridge"](spark, sf_small)
     known = {"New", "Churn", "Change of Channel", "Upsell", "Downsell", "FX Impact", "No Change",
              "Billing Rate Change"}
     assert {r[0] for r in b.select("arr_bucket").distinct().collect()} <= known
 
 
-def test_layers_recompose_the_path(spark):
-    rows = E.queries()["layer_columns"](spark, SF_SMALL).collect()
+def test_layers_recompose_the_path(spark, sf_small):
+    rows = E.queries()["layer_columns"](spark, sf_small).collect()
     for r in rows:
         ids = [r[c] for c in ("first_layer_id", "second_layer_id", "third_layer_id", "fourth_layer_id",
                               "fifth_layer_id")]
@@ -33,14 +32,14 @@ def test_layers_recompose_the_path(spark):
         assert all(x == "" for x in ids[len(used):])
 
 
-def test_one_row_per_bill_grain(spark):
-    bill = E.queries()["itemized_bill"](spark, SF_SMALL)
+def test_one_row_per_bill_grain(spark, sf_small):
+    bill = E.queries()["itemized_bill"](spark, sf_small)
     grain = ["billing_date", "ltp", "item", "sku", "partner_pricing", "price_type"]
     assert bill.count() == bill.select(*grain).distinct().count()
 
 
-def test_addon_lines_have_null_partner_flag(spark):
-    lines = E.queries()["bill_lines"](spark, SF_SMALL)
+def test_addon_lines_have_null_partner_flag(spark, sf_small):
+    lines = E.queries()["bill_lines"](spark, sf_small)
     addons = lines.filter(~F.col("item").isin(*pricing.PLAN_SKUS))
     assert addons.filter(F.col("partner_pricing").isNotNull()).count() == 0
 
@@ -85,10 +84,10 @@ def test_pooled_threshold_uses_pool_total(spark):
     assert got == {"a": 30.0, "b": 30.0, "c": 60.0}
 
 
-def test_daily_job_is_idempotent(spark):
+def test_daily_job_is_idempotent(spark, sf_small):
     import tempfile
     from seatmeter.plans import daily_bill as B, daily_job
-    d = B.Domain(spark, SF_SMALL)
+    d = B.Domain(spark, sf_small)
     out = tempfile.mkdtemp(prefix="seatmeter-day-")
     first = daily_job.run_day(d, out)
 
@@ -102,8 +101,8 @@ def test_daily_job_is_idempotent(spark):
     assert counts == again and counts["root_itemized"] > 0
 
 
-def test_bill_bridge_volume_plus_rate_is_net_change(spark):
-    b = E.queries()["mrr_bridge_bill"](spark, SF_SMALL)
+def test_bill_bridge_volume_plus_rate_is_net_change(spark, sf_small):
+    b = E.queries()["mrr_bridge_bill"](spark, sf_small)
     bad = b.filter(F.abs(F.col("volume_impact_mrr") + F.col("billing_rate_change_mrr") - F.col("net_mrr_change"))
                    > 0.0002)
     assert b.count() > 0 and bad.count() == 0

@@ -4,14 +4,13 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
 from seatmeter.streaming import incremental
 
 
-def test_incremental_load_matches_batch(spark):
+def test_incremental_load_matches_batch(spark, sf_small):
     work = tempfile.mkdtemp(prefix="seatmeter-stream-")
     src = f"{work}/src"
-    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    ev = spark.read.parquet(f"{sf_small}/events.parquet")
     # three files, so days span several micro-batches
     ev.repartition(3, "event_id").write.parquet(src)
     q = incremental.run(spark, src, f"{work}/raw", f"{work}/snap", f"{work}/ckpt")
@@ -23,10 +22,10 @@ def test_incremental_load_matches_batch(spark):
 
 
 
-def test_incremental_rerun_adds_nothing(spark):
+def test_incremental_rerun_adds_nothing(spark, sf_small):
     work = tempfile.mkdtemp(prefix="seatmeter-stream-")
     src = f"{work}/src"
-    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(2, "event_id").write.parquet(src)
+    spark.read.parquet(f"{sf_small}/events.parquet").repartition(2, "event_id").write.parquet(src)
     args = (spark, src, f"{work}/raw", f"{work}/snap", f"{work}/ckpt")
     incremental.run(*args).awaitTermination(300)
     first = spark.read.parquet(f"{work}/snap").count()
