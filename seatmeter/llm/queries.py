@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, minhash, mixing, quality, secrets, substring, tokens, warc
+from . import decontaminate, language, licenses, minhash, mixing, pieces, quality, secrets, substring, tokens, warc
 from .ship import ship
 from .store import new_path
 
@@ -146,3 +146,33 @@ FROM j JOIN q ON q.id = item_id WHERE 100 * shared >= 80 * n
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of documents over two-word shingles."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Params(shingle=2))
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents cut and arranged as piece tables, and rebuilt from the output."""
+    arranged = pieces.fill_in_middle(table(spark, sf_dir, "documents"))
+    return pieces.restore(arranged, text=False).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+ORACLE["op11_fill_in_middle"] = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || doc_id) AS x FROM documents),
+u AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u,
+         list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(x, i, 8) AS BIGINT)) AS h FROM d),
+c AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a,
+         greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 100 THEN 'plain'
+              WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (
+  SELECT *, array_to_string(list_slice(u, 1, a), '') AS pre, array_to_string(list_slice(u, a + 1, b), '') AS mid,
+         array_to_string(list_slice(u, b + 1, n), '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(CASE WHEN form = 'plain' THEN t ELSE pre || mid || suf END) AS restored_sha256
+FROM p
+"""
