@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, minhash, mixing, pieces, quality, secrets, substring, tokens, warc
+from . import decontaminate, language, licenses, minhash, mixing, mtree, pieces, quality, secrets, substring, tokens, warc
 from .ship import ship
 from .store import new_path
 
@@ -176,3 +176,21 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGIN
        sha256(CASE WHEN form = 'plain' THEN t ELSE pre || mid || suf END) AS restored_sha256
 FROM p
 """
+
+
+@query
+def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten rows of highest inner product for every row whose id is divisible by 100."""
+    return mtree.top_k(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op13_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, o.vec_id, CAST(list_dot_product(q.e, o.e) AS BIGINT) AS score
+  FROM v q JOIN v o ON q.vec_id % 100 = 0 AND q.vec_id <> o.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
