@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, minhash, mixing, mtree, pieces, quality, secrets, substring, tokens, warc
+from . import decontaminate, language, licenses, minhash, mixing, mtree, phrases, pieces, quality, secrets, substring, tokens, warc
 from .ship import ship
 from .store import new_path
 
@@ -194,3 +194,41 @@ s AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+
+@query
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 2000 phrases of two or three words of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_phrase_collocations"] = """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (
+  SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, range(1, 4) t(m))),
+c AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM c WHERE m = 1 GROUP BY lang),
+a AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM c WHERE m > 1 AND f >= 10),
+k AS (
+  SELECT lang, m, phrase, a, k, array_to_string(ws[1 : k], ' ') AS lp, array_to_string(ws[k + 1 : m], ' ') AS rp
+  FROM a, range(1, 3) t(k) WHERE k < m),
+s AS (
+  SELECT k.lang, k.phrase, k.a, k.k, l.f AS l, r.f AS r,
+         CAST(CAST(1000000 AS HUGEINT) * k.a * k.a // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM k JOIN c l ON l.lang = k.lang AND l.phrase = k.lp JOIN c r ON r.lang = k.lang AND r.phrase = k.rp),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS pick FROM s),
+o AS (
+  SELECT lang, phrase, max(a) AS longest FROM (
+    SELECT lang, a, unnest([array_to_string(ws[1 : 2], ' '), array_to_string(ws[2 : 3], ' ')]) AS phrase FROM a WHERE m = 3)
+  GROUP BY ALL),
+t AS (
+  SELECT b.lang, b.phrase, b.a, b.l, b.r, b.score,
+         row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.phrase) AS rank
+  FROM b LEFT JOIN o ON o.lang = b.lang AND o.phrase = b.phrase
+  WHERE pick = 1 AND NOT coalesce(100 * longest >= 50 * b.a, false))
+SELECT t.lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM t JOIN n USING (lang) WHERE rank <= 2000
+"""
