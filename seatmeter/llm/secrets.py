@@ -17,8 +17,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -37,7 +39,9 @@ NAMES = ("passw", "secret", "token", "apikey", "api_key")
 
 # Weak candidates.
 WEAK_ACCESS = re.compile(r"(?<![A-Za-z0-9])(?=[A-Z]*[0-9])[A-Z0-9]{16,40}(?![A-Za-z0-9])")
-WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[^0-9\s]*[0-9])(?=[^A-Z\s]*[A-Z])(?=[^a-z\s]*[a-z])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
+# a whole run, read once; that it holds a digit, a capital and a small letter is tested on what was matched
+WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+={0,2}+(?![A-Za-z0-9+/_=-])")
+CLASSES = (re.compile("[0-9]"), re.compile("[A-Z]"), re.compile("[a-z]"))
 # Addresses, numeric hosts, and named hosts under any suffix, in either case. Each alternative starts only at the
 # start of a run, so that a long run is read once; the endpoint is the group, if there is one.
 ENDPOINT = re.compile(r"(?<![A-Za-z0-9+.-])[0-9+.-]*+([A-Za-z][A-Za-z0-9+.-]*+://[^\s\"'<>]+)"
@@ -83,11 +87,13 @@ def weak_spans(text: str, base: list[Span]) -> list[Span]:
     weak = [(m.start(), 3, m.end()) for m in WEAK_ACCESS.finditer(text)]
     if not weak and "access" not in roles:
         return []
-    weak += [(m.start(), 4, m.end()) for m in WEAK_SECRET.finditer(text)]
-    taken = sorted((s, e) for s, _, e in base)
+    weak += [(m.start(), 4, m.end()) for m in WEAK_SECRET.finditer(text) if all(c.search(m[0]) for c in CLASSES)]
+    starts = [s for s, _, _ in base]                                         # base is sorted
+    reach = list(accumulate((e for _, _, e in base), max))                   # the furthest end so far
 
     def free(s: int, e: int) -> bool:
-        return not any(a < e and s < b for a, b in taken)
+        before = bisect_left(starts, e)                                      # base spans that start before e
+        return not before or reach[before - 1] <= s
 
     return sorted([w for w in weak if free(w[0], w[2])] + ends)
 
@@ -124,7 +130,8 @@ def linked(parts: DataFrame, scope: int) -> DataFrame:
     parts: row (key of a text), s, k, e, role, weak. Returns row, s, k, e of the weak parts to report.
     """
     before = Window.partitionBy("row").orderBy("s", "k", "e").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy("row").orderBy("s", "k", "e").rowsBetween(1, Window.unboundedFollowing)
+    # what follows, as what comes before in the other direction: a frame that only grows is kept up in one pass
+    after = Window.partitionBy("row").orderBy(F.desc("s"), F.desc("k"), F.desc("e")).rowsBetween(Window.unboundedPreceding, -1)
     near = {}
     for role in ("access", "secret", "endpoint"):
         own = F.col("role") == role
