@@ -44,19 +44,63 @@ class Params:
     buckets: int = 1 << 15
 
 
-HIDDEN = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.I | re.S)
-DECLARED = re.compile(r"<html\b[^>]*?\s(?:xml:)?lang\s*=\s*[\"']?\s*([A-Za-z]+)", re.I)
-META = re.compile(r"<meta\b[^>]*?http-equiv\s*=\s*[\"']?content-language[\"']?[^>]*?content\s*=\s*[\"']?\s*([A-Za-z]+)", re.I)
+HIDING = re.compile(r"<(?:(script|style)\b|(!--)|)", re.I)
+CLOSING = {"script": re.compile(r"</script\s*>", re.I), "style": re.compile(r"</style\s*>", re.I), "!--": re.compile("-->")}
+TAG_END = re.compile(">")
+LANG = re.compile(r"\s(?:xml:)?lang\s*+=\s*+[\"']?\s*+([A-Za-z]+)", re.I)
+HTML, META = re.compile(r"<html\b", re.I), re.compile(r"<meta\b", re.I)
+NAMES_LANGUAGE = re.compile(r"http-equiv\s*+=\s*+[\"']?content-language", re.I)
+CONTENT = re.compile(r"content\s*+=\s*+[\"']?\s*+([A-Za-z]+)", re.I)
 HOST = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)")
 
 
 def visible(html: str) -> str:
-    return HIDDEN.sub(" ", html)
+    """The text outside of scripts, styles, comments and tags, each of which gives way to a blank.
+
+    A script, style or comment without an end hides its tag only; a tag without an end stays. One pass: every
+    search goes on where the last one of its kind ended, and one without a hit is not made again.
+    """
+    out, at, missing = [], 0, set()
+    for start in HIDING.finditer(html):
+        p = start.start()
+        if p < at:
+            continue
+        end = None
+        for kind, pattern, skip in (((start[1] or start[2] or "").lower(), None, start.end()), ("tag", TAG_END, p + 1)):
+            if kind in missing or not kind:
+                continue
+            found = (pattern or CLOSING[kind]).search(html, skip)
+            if found:
+                end = found.end()
+                break
+            missing.add(kind)
+        if end is None:
+            if "tag" in missing:
+                break                     # nothing later on can end either
+            continue
+        out += [html[at:p], " "]
+        at = end
+    return "".join([*out, html[at:]])
+
+
+def _tags(html: str, opening: re.Pattern) -> Iterator[tuple[int, int]]:
+    """(start, end) from an opening to the next ``>``; of openings before the same ``>`` the first, which holds the others."""
+    at = 0
+    while start := opening.search(html, at):
+        at = html.find(">", start.end())
+        at = len(html) if at < 0 else at
+        yield start.end(), at
 
 
 def declared_language(html: str) -> str | None:
-    found = DECLARED.search(html) or META.search(html)
-    return found[1].lower() if found else None
+    for s, e in _tags(html, HTML):
+        if found := LANG.search(html, s, e):
+            return found[1].lower()
+    for s, e in _tags(html, META):
+        named = NAMES_LANGUAGE.search(html, s, e)
+        if named and (found := CONTENT.search(html, named.end(), e)):
+            return found[1].lower()
+    return None
 
 
 def address(url: str | None) -> tuple[str, str, str]:

@@ -1,4 +1,7 @@
 import math
+import random
+import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -108,3 +111,29 @@ def test_every_language_is_kept(sp, frame):
     rows = [(i, "http://h/", f"<html lang={n}>{(n * 4 + ' ') * 20}") for i, n in enumerate(names)]
     got = {r.page_id: r for r in language.identify(frame(rows, PAGES), labelled, p).collect()}
     assert [(got[i].declared, got[i].language) for i in range(40)] == [(n, n) for n in names]
+
+
+# what is hidden and declared, stated as patterns (which take quadratic time)
+HIDDEN = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.I | re.S)
+DECLARED = re.compile(r"<html\b[^>]*?\s(?:xml:)?lang\s*=\s*[\"']?\s*([A-Za-z]+)", re.I)
+META = re.compile(r"<meta\b[^>]*?http-equiv\s*=\s*[\"']?content-language[\"']?[^>]*?content\s*=\s*[\"']?\s*([A-Za-z]+)", re.I)
+
+
+def test_markup_is_read_as_the_patterns_say():
+    rng = random.Random(1)
+    bits = ["<script", "</script>", "</SCRIPT  >", "<style>", "</style>", "<!--", "-->", "<!-->", "<", ">", "text", " ", "\n", "<html", "<HTML lang=de", "lang = 'fr'",
+            " lang=", "xml:lang=es", "<meta", "http-equiv=content-language", " content=", "'it'", "en", "\"", "'", "=", "<p>", "</p", "scripty", "<scripts>"]
+    for _ in range(30_000):
+        html = "".join(rng.choice(bits) for _ in range(rng.randrange(14)))
+        found = DECLARED.search(html) or META.search(html)
+        assert language.visible(html) == HIDDEN.sub(" ", html)
+        assert language.declared_language(html) == (found[1].lower() if found else None)
+
+
+@pytest.mark.parametrize("piece", ["<!--x", "<html ", "<script ", "<script>a</script ", "<meta http-equiv=content-language ", "<", " lang=", "<html lang=" + " " * 50, "<style", "a<b "])
+def test_long_pages_take_linear_time(piece):
+    html = piece * (1_000_000 // len(piece))
+    begin = time.process_time()
+    language.visible(html)
+    language.declared_language(html)
+    assert time.process_time() - begin < 5
