@@ -215,10 +215,9 @@ def bill_fact(sub_itemized: DataFrame, meta: DataFrame, price_list: DataFrame, d
                & (F.col("item") == F.col("_bi")) & (F.col("sku") == F.col("_bs"))
                & (F.col("partner_pricing") == F.col("_bp")), "left"))
     lay = ["second_layer_id", "third_layer_id", "fourth_layer_id", "fifth_layer_id"]
-    leaf = F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in reversed(lay)], F.col("first_layer_id"))
     return j.select(
         "billing_date", "first_layer_id", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in lay],
-        leaf.alias("global_tenant_id"), "item", "sku", F.col("partner_pricing").alias("is_nfr"),
+        F.col("tenant_global_id").alias("global_tenant_id"), "item", "sku", F.col("partner_pricing").alias("is_nfr"),
         "ltp_type", "registration_date", "account_master_id", F.col("max_price").cast("double").alias("max_price"),
         F.col("quantity").alias("billed_qty"), "total_ltp_billed_qty", F.col("amount").alias("tenant_mrr"),
         "ltp_sku_mrr")

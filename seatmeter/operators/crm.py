@@ -28,6 +28,43 @@ def json_field(raw: Column, path: str, type_: str) -> Column:
     return F.try_variant_get(F.try_parse_json(raw), path, type_)
 
 
+# Typed columns of a daily activity object (column, member, type).
+ACTIVITY_FIELDS = [
+    ("day", "day", "date"), ("email", "email", "string"), ("user_id", "userId", "string"), ("is_active", "isActive", "boolean"),
+    ("client_version", "clientVersion", "string"), ("most_used_model", "mostUsedModel", "string"),
+    ("apply_most_used_extension", "applyMostUsedExtension", "string"), ("tab_most_used_extension", "tabMostUsedExtension", "string"),
+    ("accepted_lines_added", "acceptedLinesAdded", "bigint"), ("accepted_lines_deleted", "acceptedLinesDeleted", "bigint"),
+    ("agent_requests", "agentRequests", "bigint"), ("api_key_reqs", "apiKeyReqs", "bigint"), ("bugbot_usages", "bugbotUsages", "bigint"),
+    ("chat_requests", "chatRequests", "bigint"), ("cmdk_usages", "cmdkUsages", "bigint"), ("composer_requests", "composerRequests", "bigint"),
+    ("subscription_included_reqs", "subscriptionIncludedReqs", "bigint"), ("total_accepts", "totalAccepts", "bigint"),
+    ("total_applies", "totalApplies", "bigint"), ("total_lines_added", "totalLinesAdded", "bigint"),
+    ("total_lines_deleted", "totalLinesDeleted", "bigint"), ("total_rejects", "totalRejects", "bigint"),
+    ("total_tabs_accepted", "totalTabsAccepted", "bigint"), ("total_tabs_shown", "totalTabsShown", "bigint"),
+    ("usage_based_reqs", "usageBasedReqs", "bigint"),
+]
+
+
+def epoch_ms(ms: Column) -> Column:
+    """Milliseconds since 1970 as a zone-free timestamp."""
+    return F.timestamp_add("MILLISECOND", ms, F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")))
+
+
+def flatten_activity(docs: DataFrame, period: str = "period", data: str = "data") -> DataFrame:
+    """One row per daily object inside the documents (C9): period bounds, raw and as timestamps, and the typed members.
+
+    ``data`` is JSON text: an array gives a row per element, an object a row per member; NULL, a scalar, an empty
+    array and text that is no JSON give none. A member that is absent or of another type is NULL, as is a whole
+    element that is no object.
+    """
+    parsed = docs.select(F.try_parse_json(F.col(period)).alias("_p"), F.try_parse_json(F.col(data)).alias("_d"))
+    rows = parsed.lateralJoin(docs.sparkSession.tvf.variant_explode(F.col("_d").outer()))
+    bound = lambda name: F.try_variant_get("_p", f"$.{name}", "bigint")
+    return rows.select(
+        bound("startDate").alias("start_date_raw"), bound("endDate").alias("end_date_raw"),
+        epoch_ms(bound("startDate")).alias("start_date"), epoch_ms(bound("endDate")).alias("end_date"),
+        *[F.try_variant_get("value", f"$.{member}", kind).alias(name) for name, member, kind in ACTIVITY_FIELDS])
+
+
 def newer_than_target(src: DataFrame, target: DataFrame, ts: str) -> DataFrame:
     """Incremental filter (G2): source rows newer than the target's max(ts); all rows when the
     target is empty (full refresh)."""

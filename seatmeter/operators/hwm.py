@@ -9,6 +9,8 @@ date filter reaches the scan / partition pruning.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -155,13 +157,16 @@ def recent_plan_picks(history: DataFrame, meta: DataFrame, as_of) -> DataFrame:
                                      "is_highwatermark", "plan_name"))
 
 
-def month_peak_max_by(history: DataFrame, meta: DataFrame, month_start, month_end) -> DataFrame:
-    """Monthly peak per tenant (H13) with an explicit tie-break (max seats, earliest day).
+def month_peak_max_by(history: DataFrame, meta: DataFrame, month) -> DataFrame:
+    """Peak per tenant of the month that ``month`` lies in (H13), ties to the earliest day.
 
-    Also returns the tenant's newest row of the month for non-peak roots.
+    A month's snapshots are those of its 2nd day to the 1st of the next month (a snapshot shows the day
+    before); only status Active counts. Also returns the tenant's newest row for non-peak roots.
     """
-    rows = history.filter(F.col("record_date").between(F.lit(as_date(month_start)), F.lit(as_date(month_end)))
-                          & F.col("approved") & F.col("billing_status").isin(*BILLABLE_STATUS))
+    first = as_date(month).replace(day=1)
+    after = (first + dt.timedelta(days=32)).replace(day=1)
+    rows = history.filter(F.col("record_date").between(F.lit(first + dt.timedelta(days=1)), F.lit(after))
+                          & F.col("approved") & (F.col("billing_status") == "Active"))
     m = meta.select(F.col("tenant_global_id").alias("root"), "profile_type", "is_highwatermark")
     rows = rows.join(m, "root").withColumn("profile_count", seats())
     g = rows.groupBy("tenant_global_id", "is_highwatermark").agg(

@@ -10,7 +10,9 @@ rule tables are dimensions joined by hash/broadcast as the planner sees fit.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -132,12 +134,32 @@ def volume(qty: DataFrame, tiers: DataFrame, on, keys: Sequence[str], qty_col: s
     return j.groupBy(*keys).agg(F.max_by(whole, F.col("tier_min")).alias(out))
 
 
-def unpivot_wide(wide: DataFrame, ids: Sequence[str], breaks: Sequence[tuple[str, int, int | None]]) -> DataFrame:
-    """Legacy wide price columns -> long tier rows (P24): one (tier_min, tier_max, price) per column."""
-    arr = F.array(*[F.struct(F.lit(lo).cast("int").alias("tier_min"),
-                             F.lit(hi).cast("int").alias("tier_max"),
-                             F.col(c).cast("decimal(18,4)").alias("price")) for c, lo, hi in breaks])
-    return wide.select(*ids, F.explode(arr).alias("t")).select(*ids, "t.tier_min", "t.tier_max", "t.price")
+WIDE_NAME = re.compile(r"(?P<stem>.+?)(?P<nfr>NFR)?_(?P<first>[0-9]+)")
+
+
+def unpivot_wide(wide: DataFrame, ids: Sequence[str], stems: dict[str, str]) -> DataFrame:
+    """Wide price table -> long tier rows (P24): ids, plan_name, is_nfr, tier_min, tier_max, price.
+
+    The schema says it all: a column ``<stem>[NFR]_<breakpoint>`` prices the units above its breakpoint (from the first
+    unit for 1) up to the stem's next breakpoint; the last tier is open. ``stems`` maps stems to plans; a
+    price column of another stem is an error, so that a new plan cannot be lost. NULL prices give no row.
+    """
+    found: dict[tuple[str, bool], list[tuple[int, str]]] = {}
+    for c in wide.columns:
+        m = WIDE_NAME.fullmatch(c)
+        if c in ids or not m:
+            continue
+        if m["stem"] not in stems:
+            raise ValueError(f"price column {c}: unknown plan")
+        found.setdefault((m["stem"], m["nfr"] is not None), []).append((int(m["first"]), c))
+    rows = []
+    for (stem, nfr), breaks in found.items():
+        breaks.sort()
+        for (at, c), after in zip(breaks, [b for b, _ in breaks[1:]] + [None]):
+            rows.append(F.struct(F.lit(stems[stem]).alias("plan_name"), F.lit(nfr).alias("is_nfr"),
+                                 F.lit(1 if at <= 1 else at + 1).alias("tier_min"), F.lit(after).cast("int").alias("tier_max"),
+                                 F.col(c).cast("decimal(18,4)").alias("price")))
+    return wide.select(*ids, F.explode(F.array(*rows)).alias("t")).select(*ids, "t.*").filter(F.col("price").isNotNull())
 
 
 def allocate(parts: DataFrame, pool_keys: Sequence[str], part_qty: str, pool_amount: DataFrame,
@@ -410,15 +432,51 @@ def daily_lines(hwm: DataFrame, dmarc_hwm: DataFrame, meta: DataFrame, price_lis
 # ---------------------------------------------------------------------------
 # Legacy add-on menu
 # ---------------------------------------------------------------------------
-# Fixed values: (item, billing sku, flag column, price-list sku); premium packs use
-# the pack name as the item, domains bill the domain count.
+class Addon(NamedTuple):
+    """A flat add-on: billed where the flag is set and none of ``without`` is, on the plans named."""
+
+    item: str
+    sku: str
+    flag: str
+    price: str                            # price-list sku
+    without: tuple[str, ...] = ()
+    only: tuple[str, ...] = ()            # plans; empty: any
+    never: tuple[str, ...] = ()           # plans
+    commercial: bool = False              # not for partner tenants
+
+
+# The menu. Premium packs (item: the pack) and domains (quantity: the domains) come besides.
+_TRAINING = ("Phishing Simulation and Training", "SAT Suite")
+_BUNDLE, _PLUS = "simulation_and_training_bundle", "simulation_and_training_bundle_plus"
 ADDON_MENU = [
-    ("Incident Management", "IS-LTP-IM", "incident_management", "Incident Management"),
-    ("S&T Bundle Plus", "IS-LTP-STBP", "simulation_and_training_bundle_plus", "STBP"),
-    ("Account Takeover", "IS-LTP-ATO", "ato", "ATO"),
+    Addon("Incident Management", "IS-LTP-IM", "incident_management", "Incident Management"),
+    Addon("themis co-pilot", "IS-LTP-THEMIS", "themis_co_pilot", "THEMIS", ("ai_empower_bundle", _PLUS), (), ("Complete Protect",)),
+    Addon("url scans", "IS-LTP-URL", "link_scanning", "URL", (), (), ("Complete Protect", "Core", "Email Protect")),
+    Addon("attachment scans", "IS-LTP-AS", "file_scanning", "AS", (), (), ("Complete Protect", "Core", "Email Protect")),
+    Addon("Security Awareness Training", "IS-LTP-PSTSAT", "security_awareness_training", "PSTSAT", (_BUNDLE, _PLUS), _TRAINING),
+    Addon("Security Awareness Training", "IS-LTP-SAT", "security_awareness_training", "SAT", (_BUNDLE, _PLUS), (),
+          ("Complete Protect", *_TRAINING)),
+    Addon("S&T Bundle", "IS-LTP-PSTSTB", _BUNDLE, "PSTSTB", (_PLUS,), _TRAINING, (), True),
+    Addon("S&T Bundle", "IS-LTP-STB", _BUNDLE, "STB", (_PLUS,), (), ("Complete Protect", *_TRAINING), True),
+    Addon("AI Empower Bundle", "IS-LTP-AIEB", "ai_empower_bundle", "AIEB", (_PLUS,), (), ("Complete Protect",), True),
+    Addon("S&T Plus Bundle", "IS-LTP-STBP", _PLUS, "STBP", (), (), ("Complete Protect",), True),
+    Addon("Account Takeover", "IS-LTP-ATO", "ato", "ATO", (), (), ("Complete Protect",), True),
+    Addon("Multi Tenant", "IS-LTP-MT", "multi_tenancy", "MT", (), (), ("Complete Protect",), True),
 ]
 
 
+def enabled(a: Addon) -> Column:
+    """Is the add-on billed for a snapshot row (unknown flags count as not set, neither is one that another must be without)."""
+    cond = F.col(a.flag) == F.lit(True)
+    for other in a.without:
+        cond = cond & (F.col(other) == F.lit(False))
+    if a.only:
+        cond = cond & F.col("plan_name").isin(*a.only)
+    if a.never:
+        cond = cond & ~F.col("plan_name").isin(*a.never)
+    return cond & (F.col("partner_pricing") == F.lit(False)) if a.commercial else cond
+
+
 def addon_menu(rows: DataFrame, meta: DataFrame, prices: DataFrame) -> DataFrame:
     """All flat add-ons of the legacy menu in one pass.
 
@@ -438,7 +496,7 @@ def addon_menu(rows: DataFrame, meta: DataFrame, prices: DataFrame) -> DataFrame
 
     seats = (F.col("active_profiles"), F.col("licensed_profiles"), F.col("shared_profiles"))
     defs = [entry(F.col("premium_name").isin(*PREMIUM_NAMES), F.col("premium_name"), "IS-LTP-PSCP", "PSCP", *seats)]
-    defs += [entry(F.col(flag) == F.lit(True), F.lit(item), sku, psku, *seats) for item, sku, flag, psku in ADDON_MENU]
+    defs += [entry(enabled(a), F.lit(a.item), a.sku, a.price, *seats) for a in ADDON_MENU]
     dom = F.col("dmarc_domains_number")
     defs.append(entry((F.col("dmarc_management") == F.lit(True)) & F.col("dmarc_plan").isNotNull()
                       & (dom > 0), F.lit("DMARC Domains"), "IS-LTP-DMARC", "DMARC", dom, dom, F.lit(None)))

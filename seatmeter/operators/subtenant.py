@@ -7,15 +7,19 @@ join out, as in the reference; the tests pin the row counts.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import paths
 from .pricing import DMARC_ITEM, DMARC_PRICE_SKU, DMARC_SKU, PLAN_SKUS, PREMIUM_NAMES, effective_partner, lookup, \
     price_sku
 
 LAYERS = ["first_layer_id", "second_layer_id", "third_layer_id", "fourth_layer_id", "fifth_layer_id"]
-OUT = ["billing_date", *LAYERS, "item", "sku", "partner_pricing", "billable_quantity", "amount", "price_type"]
+# The billed tenant is known by its own full id, however deep it hangs; the layers are only shown.
+TENANT = "tenant_global_id"
+OUT = ["billing_date", TENANT, *LAYERS, "item", "sku", "partner_pricing", "billable_quantity", "amount", "price_type"]
 
 
 def item_price_type(pt: Column) -> Column:
@@ -32,7 +36,7 @@ def base_rows(layered: DataFrame, meta: DataFrame) -> DataFrame:
     qty = (F.when(pt == "active", a).when(pt == "license", F.col("licensed_profiles"))
            .when(pt == "shared", F.coalesce(a - F.col("shared_profiles"), a)))
     return g.join(m, "first_layer_id").filter(pt.isNotNull()).select(
-        F.col("date_recorded").alias("billing_date"), *LAYERS, "plan_name", "premium_name",
+        F.col("date_recorded").alias("billing_date"), TENANT, *LAYERS, "plan_name", "premium_name",
         effective_partner().alias("partner_pricing"), "incident_management",
         "simulation_and_training_bundle_plus", "ato", "profile_type", qty.alias("billable_quantity"))
 
@@ -51,86 +55,85 @@ def blended(base: DataFrame, itemized: DataFrame) -> DataFrame:
     j = b.join(i, (b.first_layer_id == i.first_layer_id) & (b.plan_name == i._item)
                & (b.partner_pricing == i._pp), "left").drop(i.first_layer_id)
     rate = F.col("_a").cast("double") / F.nullif(F.col("_q"), F.lit(0)).cast("double")
-    return j.select("billing_date", *LAYERS, F.col("plan_name").alias("item"),
+    return j.select("billing_date", TENANT, *LAYERS, F.col("plan_name").alias("item"),
                     lookup(F.col("plan_name"), {p: v[1] for p, v in PLAN_SKUS.items()}).alias("sku"),
                     "partner_pricing", "billable_quantity", (F.col("billable_quantity") * rate).alias("amount"),
                     item_price_type(F.col("_pt")).alias("price_type"))
 
 
-def _flat(b: DataFrame, prices: DataFrame, itemized: DataFrame, price_cond: Column, item: Column,
-          sku: Column, partner: Column, bill_item: Column, bill_partner_null: bool) -> DataFrame:
-    p = prices.select(F.col("tenant_global_id").alias("_pt_id"), F.col("sku").alias("_psku"),
-                          F.col("is_nfr").alias("_nfr"), F.col("tier_min").alias("_tmin"), F.col("price"))
-    j = b.join(p, (b.first_layer_id == p._pt_id) & price_cond)
+def _priced(b: DataFrame, prices: DataFrame, itemized: DataFrame) -> DataFrame:
+    """Rows with item, sku, partner_pricing, billable_quantity, price_sku, is_nfr (NULL: either) -> lines at the first
+    tier's price, with the price type of the root bill's line of the same item and partner flag."""
+    p = prices.filter("tier_min = 1").select(F.col("tenant_global_id").alias("first_layer_id"), F.col("sku").alias("price_sku"),
+                                             F.col("is_nfr").alias("_nfr"), "price")
+    j = b.join(p, ["first_layer_id", "price_sku"]).filter(F.col("is_nfr").isNull() | (F.col("is_nfr") == F.col("_nfr")))
     i = _bill(itemized)
-    cond = (j.first_layer_id == i.first_layer_id) & (bill_item == i._item)
-    cond = cond & (i._pp.isNull() if bill_partner_null else (j.partner_pricing == i._pp))
-    j = j.join(i, cond, "left").drop(i.first_layer_id)
-    return j.select("billing_date", *LAYERS, item.alias("item"), sku.alias("sku"), partner.alias("partner_pricing"),
-                    "billable_quantity",
-                    (F.col("billable_quantity").cast("decimal(20,0)") * F.col("price").cast("decimal(18,4)"))
-                    .cast("double").alias("amount"), item_price_type(F.col("_pt")).alias("price_type"))
+    j = j.join(i, (j.first_layer_id == i.first_layer_id) & (j.item == i._item) & j.partner_pricing.eqNullSafe(i._pp), "left") \
+        .drop(i.first_layer_id)
+    amount = F.col("billable_quantity").cast("decimal(20,0)") * F.col("price").cast("decimal(18,4)")
+    return j.select("billing_date", TENANT, *LAYERS, "item", "sku", "partner_pricing", "billable_quantity",
+                    amount.cast("double").alias("amount"), item_price_type(F.col("_pt")).alias("price_type"))
 
 
 def flat_lines(base: DataFrame, prices: DataFrame, itemized: DataFrame) -> DataFrame:
-    """Partner-seat plan rate (P20) and flat add-ons per sub-tenant."""
-    plan = F.col("plan_name")
-    nfr_plans = [p for p, v in PLAN_SKUS.items() if v[2]]
-    out = _flat(base.filter((F.col("partner_pricing") == F.lit(True)) & plan.isin(*nfr_plans)), prices, itemized,
-                (F.col("_nfr") == F.lit(True)) & (F.col("_tmin") == 1) & (F.col("_psku") == price_sku(plan)),
-                plan, lookup(plan, {p: v[2] for p, v in PLAN_SKUS.items() if v[2]}), F.col("partner_pricing"),
-                plan, False)
-    null_b = F.lit(None).cast("boolean")
-    specs = [
-        (F.col("premium_name").isin(*PREMIUM_NAMES), "PSCP", F.col("premium_name"), "IS-LTP-PSCP"),
-        (F.col("incident_management") == F.lit(True), "Incident Management", F.lit("Incident Management"),
-         "IS-LTP-IM"),
-        ((F.col("simulation_and_training_bundle_plus") == F.lit(True))
-         & ~plan.isin("Complete Protect", "SAT Suite") & (F.col("partner_pricing") == F.lit(False)),
-         "STBP", F.lit("S&T Bundle Plus"), "IS-LTP-STBP"),
-        ((F.col("ato") == F.lit(True)) & (plan != "Complete Protect") & (F.col("partner_pricing") == F.lit(False)),
-         "ATO", F.lit("Account Takeover"), "IS-LTP-ATO"),
+    """Partner-seat plan rate (P20) and flat add-ons per sub-tenant (P21): every row lists what it is billed for,
+    then one price join and one bill join serve all items."""
+    plan, commercial = F.col("plan_name"), F.col("partner_pricing") == F.lit(False)
+    none = F.lit(None).cast("boolean")
+
+    def entry(cond: Column, item: Column, sku: Column, price: Column, partner: Column, nfr: Column) -> Column:
+        return F.when(cond, F.struct(item.alias("item"), sku.alias("sku"), price.alias("price_sku"), partner.alias("pp"), nfr.alias("is_nfr")))
+
+    partner_plans = {p: v[2] for p, v in PLAN_SKUS.items() if v[2]}
+    entries = [
+        entry((F.col("partner_pricing") == F.lit(True)) & plan.isin(*partner_plans), plan, lookup(plan, partner_plans),
+              price_sku(plan), F.lit(True), F.lit(True)),
+        entry(F.col("premium_name").isin(*PREMIUM_NAMES), F.col("premium_name"), F.lit("IS-LTP-PSCP"), F.lit("PSCP"), none, none),
+        entry(F.col("incident_management") == F.lit(True), F.lit("Incident Management"), F.lit("IS-LTP-IM"),
+              F.lit("Incident Management"), none, none),
+        entry((F.col("simulation_and_training_bundle_plus") == F.lit(True)) & ~plan.isin("Complete Protect", "SAT Suite") & commercial,
+              F.lit("S&T Bundle Plus"), F.lit("IS-LTP-STBP"), F.lit("STBP"), none, none),
+        entry((F.col("ato") == F.lit(True)) & (plan != "Complete Protect") & commercial, F.lit("Account Takeover"),
+              F.lit("IS-LTP-ATO"), F.lit("ATO"), none, none),
     ]
-    for cond, psku, item, code in specs:
-        out = out.unionByName(_flat(base.filter(cond), prices, itemized,
-                                    (F.col("_psku") == psku) & (F.col("_tmin") == 1), item, F.lit(code), null_b,
-                                    item, True))
-    return out
+    e = base.select("billing_date", TENANT, *LAYERS, "billable_quantity",
+                    F.explode(F.filter(F.array(*entries), lambda x: x.isNotNull())).alias("e"))
+    e = e.select("billing_date", TENANT, *LAYERS, "billable_quantity", "e.item", "e.sku", "e.price_sku", "e.is_nfr",
+                 F.col("e.pp").alias("partner_pricing"))
+    return _priced(e, prices, itemized)
 
 
 def per_leaf(layered_dmarc: DataFrame, dmarc_picks: DataFrame, prices: DataFrame, itemized: DataFrame) -> DataFrame:
-    """Per-unit add-on joined on the deepest layer id (P22); positive counts only."""
+    """Per-unit add-on joined on the billed tenant's own id (P22); positive counts only."""
     g = layered_dmarc.filter(F.col("approved") & F.col("billing_status").isin("Active", "Active-POC")
                              & F.col("dmarc_plan").isNotNull())
-    # the billed leaf is the row's own tenant, however deep it hangs
-    g = g.withColumn("_leaf", F.col("tenant_global_id"))
-    d = dmarc_picks.select(F.col("tenant_global_id").alias("_leaf"), F.col("dmarc_domains_number").alias("_dom"))
-    g = g.join(d, "_leaf").filter(F.col("_dom").isNotNull() & (F.col("_dom") > 0))
-    plan = F.col("dmarc_plan")
-    b = g.select(F.col("date_recorded").alias("billing_date"), *LAYERS, "dmarc_plan",
-                 F.col("_dom").alias("billable_quantity"), F.lit(None).cast("boolean").alias("partner_pricing"))
-    return _flat(b, prices, itemized,
-                 (F.col("_tmin") == 1) & (F.col("_psku") == lookup(plan, DMARC_PRICE_SKU)),
-                 lookup(plan, DMARC_ITEM), lookup(plan, DMARC_SKU), F.lit(None).cast("boolean"),
-                 lookup(plan, DMARC_ITEM), True)
+    d = dmarc_picks.select(TENANT, F.col("dmarc_domains_number").alias("_dom"))
+    g = g.join(d, TENANT).filter(F.col("_dom").isNotNull() & (F.col("_dom") > 0))
+    plan, none = F.col("dmarc_plan"), F.lit(None).cast("boolean")
+    b = g.select(F.col("date_recorded").alias("billing_date"), TENANT, *LAYERS, F.col("_dom").alias("billable_quantity"),
+                 lookup(plan, DMARC_ITEM).alias("item"), lookup(plan, DMARC_SKU).alias("sku"),
+                 lookup(plan, DMARC_PRICE_SKU).alias("price_sku"), none.alias("partner_pricing"), none.alias("is_nfr"))
+    return _priced(b, prices, itemized)
 
 
 def min_commit_passthrough(itemized: DataFrame) -> DataFrame:
-    """Top-up rows of the root bill at first-layer grain, lower layers NULL."""
+    """Top-up rows of the root bill on the root itself, lower layers NULL."""
     i = itemized.filter(F.col("item") == "Monthly Minimum")
-    return i.select("billing_date", F.col("ltp").alias("first_layer_id"),
+    return i.select("billing_date", F.col("ltp").alias(TENANT), F.col("ltp").alias("first_layer_id"),
                     *[F.lit(None).cast("string").alias(c) for c in LAYERS[1:]], "item", "sku", "partner_pricing",
                     F.col("quantity").alias("billable_quantity"), "amount", "price_type")
 
 
+BRANCHES = ("blended", "flat", "per_unit", "min_commit")
+
+
 def subtenant_lines(layered: DataFrame, layered_dmarc: DataFrame, dmarc_picks: DataFrame, meta: DataFrame,
-                    prices: DataFrame, itemized: DataFrame) -> DataFrame:
-    """All sub-tenant lines: the branch union."""
+                    prices: DataFrame, itemized: DataFrame, branches: Sequence[str] = BRANCHES) -> DataFrame:
+    """The named branches of the sub-tenant lines, all by default."""
     base = base_rows(layered, meta)
-    parts = [blended(base, itemized), flat_lines(base, prices, itemized),
-             per_leaf(layered_dmarc, dmarc_picks, prices, itemized), min_commit_passthrough(itemized)]
-    out = parts[0].select(*OUT)
-    for p in parts[1:]:
-        out = out.unionByName(p.select(*OUT))
-    return out.select("billing_date", *LAYERS, "item", "sku", F.col("partner_pricing").cast("boolean"),
+    made = {"blended": lambda: blended(base, itemized), "flat": lambda: flat_lines(base, prices, itemized),
+            "per_unit": lambda: per_leaf(layered_dmarc, dmarc_picks, prices, itemized),
+            "min_commit": lambda: min_commit_passthrough(itemized)}
+    out = reduce(DataFrame.unionByName, [made[b]().select(*OUT) for b in branches])
+    return out.select("billing_date", TENANT, *LAYERS, "item", "sku", F.col("partner_pricing").cast("boolean"),
                       F.col("billable_quantity").cast("bigint"), F.col("amount").cast("double"), "price_type")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import paths
@@ -119,6 +119,11 @@ def with_layers(df: DataFrame, prefix_col: str = "root", n: int = 5) -> DataFram
                             for i, nm in enumerate(names)])
 
 
+def leaf_id(prefix_col: str = "root") -> Column:
+    """The last id of the path of full ids, region-prefixed: the tenant that is billed (T13), at any depth."""
+    return F.concat(F.substring(F.col(prefix_col), 1, 2), F.lit("-"), F.element_at(F.split("id_path", paths.ID_SEP), -1))
+
+
 def layer_names(df: DataFrame, names: DataFrame, key=("record_date", "tenant_global_id"), n: int = 5) -> DataFrame:
     """Resolve each layer id to its tenant name on the same date.
 

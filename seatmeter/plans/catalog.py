@@ -254,8 +254,8 @@ def q_recent_plan_hwm(spark, sf):
       SELECT h.record_date, h.tenant_global_id, m.is_highwatermark, h.plan_name, {_PC} AS profile_count
       FROM history h JOIN meta_all m ON h.root = m.tenant_global_id
       WHERE m.snapshot_date = DATE '{A.AS_OF.isoformat()}'
-        AND h.record_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'
-        AND h.approved AND h.billing_status IN ('Active', 'Active-POC')),
+        AND h.record_date > DATE '2024-01-01' AND h.record_date <= DATE '2024-02-01'
+        AND h.approved AND h.billing_status = 'Active'),
     pk AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY tenant_global_id, is_highwatermark
                                                       ORDER BY profile_count DESC, record_date) = 1),
     lt AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY tenant_global_id, is_highwatermark
@@ -268,7 +268,7 @@ def q_recent_plan_hwm(spark, sf):
 def q_hwm_max_by(spark, sf):
     d = domain(spark, sf)
     meta = hwm.snapshot(d.meta_all, d.as_of, tracked_only=False)
-    return hwm.month_peak_max_by(d.history, meta, _dt.date(2024, 1, 1), _dt.date(2024, 1, 31))
+    return hwm.month_peak_max_by(d.history, meta, _dt.date(2024, 1, 1))
 
 
 @query("point_in_time", with_ctes(["history", "meta"], f"""
@@ -287,7 +287,7 @@ from ..functions import paths  # noqa: E402
 from ..operators import tree as tree_ops  # noqa: E402
 
 _LAYER_SQL = ", ".join(
-    f"coalesce(left(root, 2) || '-' || regexp_extract_all(tree_key, '[0-9]+')[{i}], '') AS {n}_layer_id"
+    f"coalesce(left(root, 2) || '-' || string_split(id_path, '/')[{i}], '') AS {n}_layer_id"
     for i, n in enumerate(["first", "second", "third", "fourth", "fifth"], 1))
 _LAYERS = [f"{n}_layer_id" for n in ["first", "second", "third", "fourth", "fifth"]]
 
@@ -300,10 +300,9 @@ def _layered(d):
 
 
 @query("layer_columns", with_ctes(["hwm_rows", "meta"], f"""
-    SELECT h.tenant_global_id, h.root, h.tree_key,
-           CASE WHEN m.tenant_global_id IS NULL THEN 'not_ltp' ELSE 'ltp' END AS is_ltp, {_LAYER_SQL}
-    FROM (SELECT *, {_LAYER_SQL.replace('root', 'x.root').replace('tree_key', 'x.tree_key')} FROM hwm_rows x) h
-    LEFT JOIN meta m ON h.root = m.tenant_global_id""".replace(f", {_LAYER_SQL.replace('root', 'x.root').replace('tree_key', 'x.tree_key')}", "")))
+    SELECT tenant_global_id, root, tree_key,
+           if(root IN (SELECT tenant_global_id FROM meta), 'ltp', 'not_ltp') AS is_ltp, {_LAYER_SQL}
+    FROM hwm_rows"""))
 def q_layer_columns(spark, sf):
     return _layered(domain(spark, sf)).select("tenant_global_id", "root", "tree_key", "is_ltp", *_LAYERS)
 
@@ -326,12 +325,13 @@ def q_layer_names(spark, sf):
     return named.select("tenant_global_id", *_LAYERS, *[c.replace("_id", "_name") for c in _LAYERS])
 
 
-@query("leaf_layer", with_ctes(["hwm_rows"], f"""
-    SELECT tenant_global_id, coalesce({', '.join(f"nullif(trim({c}), '')" for c in reversed(_LAYERS))}) AS leaf_id
-    FROM (SELECT tenant_global_id, {_LAYER_SQL} FROM hwm_rows)"""))
+@query("leaf_layer", with_ctes(["hwm_rows"], """
+    SELECT tenant_global_id, left(root, 2) || '-' || string_split(id_path, '/')[-1] AS leaf_id, len(string_split(id_path, '/')) AS n_layers
+    FROM hwm_rows"""))
 def q_leaf_layer(spark, sf):
-    rows = tree_ops.with_layers(B.peak_rows(domain(spark, sf)))
-    return rows.select("tenant_global_id", paths.leaf(*_LAYERS).alias("leaf_id"))
+    """The billed tenant at the end of the path of full ids, at any depth."""
+    rows = B.peak_rows(domain(spark, sf))
+    return rows.select("tenant_global_id", tree_ops.leaf_id().alias("leaf_id"), F.size(F.split("id_path", paths.ID_SEP)).cast("bigint").alias("n_layers"))
 
 
 @query("region_split", with_ctes(["tree"], """
@@ -349,9 +349,8 @@ def q_region_split(spark, sf):
 from ..operators import allowance as N  # noqa: E402
 
 
-@query("seats_by_profile", with_ctes(["base"], "SELECT *, CAST(quantity AS BIGINT) AS q FROM base".replace(
-    "*, CAST(quantity AS BIGINT) AS q", "date_recorded, master, root, plan_name, eff_partner, profile_type, "
-    "CAST(quantity AS BIGINT) AS quantity")))
+@query("seats_by_profile", with_ctes(["base"], """
+    SELECT date_recorded, master, root, plan_name, eff_partner, profile_type, CAST(quantity AS BIGINT) AS quantity FROM base"""))
 def q_seats_by_profile(spark, sf):
     fine = _ctx(domain(spark, sf))[4]
     return pricing._regroup(fine, ["date_recorded", "master", "root", "plan_name", "eff_partner", "profile_type"]) \
@@ -384,29 +383,64 @@ def q_fx_nearest(spark, sf):
     return N.fx_nearest(domain(spark, sf).fx, FX_TARGET)
 
 
-@query("rule_compare", with_ctes(["lines", "partner_tot"], """
-    SELECT ltp, item, CAST(quantity AS BIGINT) AS quantity, CAST(v[1] AS BIGINT) AS old_value,
-           CAST(v[2] AS BIGINT) AS new_value, CAST(v[2] - v[1] AS BIGINT) AS difference
+_PUBLISHED = "(FROM fx WHERE (day(startdate) + ascii(isocode)) % 5 = 0 AND isocode <> 'GBP')"
+
+
+def _published(fx):
+    """Rates as they are published: every few days, and none for one currency."""
+    return fx.filter(((F.dayofmonth("startdate") + F.ascii("isocode")) % 5 == 0) & (F.col("isocode") != "GBP"))
+
+
+@query("fx_nearest_join", with_ctes(["history", "meta_all", "fx"], f"""
+    WITH days AS (
+      SELECT h.record_date, h.tenant_global_id, m.currency FROM history h JOIN meta_all m
+        ON m.tenant_global_id = h.root AND m.snapshot_date = DATE '{A.AS_OF.isoformat()}'),
+    near AS (
+      SELECT record_date, currency, startdate, conversionrate
+      FROM (SELECT DISTINCT record_date, currency FROM days) JOIN {_PUBLISHED} ON isocode = currency
+      QUALIFY row_number() OVER (PARTITION BY record_date, currency ORDER BY abs(record_date - startdate), startdate) = 1)
+    SELECT record_date, tenant_global_id, currency, startdate, conversionrate
+    FROM days LEFT JOIN near USING (record_date, currency)"""))
+def q_fx_nearest_join(spark, sf):
+    """Every tenant day with the published rate nearest to it."""
+    d = domain(spark, sf)
+    m = hwm.snapshot(d.meta_all, d.as_of, tracked_only=False).select(F.col("tenant_global_id").alias("root"), "currency")
+    days = d.history.select("record_date", "root", "tenant_global_id").join(m, "root").drop("root")
+    return N.fx_nearest_join(days, _published(d.fx)).select("record_date", "tenant_global_id", "currency", "startdate", "conversionrate")
+
+
+@query("allowance_nearest", with_ctes(["nfr_m", "fx"], f"""
+    WITH r AS (
+      SELECT isocode, CAST(conversionrate AS DOUBLE) AS rate FROM {_PUBLISHED}
+      QUALIFY row_number() OVER (PARTITION BY isocode ORDER BY abs(startdate - DATE '{ANOTHER_DAY.isoformat()}'), startdate) = 1)
+    SELECT tenant_global_id, item, CAST(quantity AS BIGINT) AS quantity, CAST(billable_qty AS BIGINT) AS billable_qty, currency,
+           CASE item WHEN 'Complete Protect' THEN 2 WHEN 'Email Protect' THEN 1 END * coalesce(rate, 1.0::DOUBLE) AS nfr_rate
+    FROM nfr_m LEFT JOIN r ON isocode = currency"""))
+def q_allowance_nearest(spark, sf):
+    """The partner-seat allowance of a backfilled day at the published rate nearest to it."""
+    d = domain(spark, sf).at(ANOTHER_DAY)
+    n = N.allowance(B.peak_rows(d), hwm.snapshot(d.meta_all, ANOTHER_DAY), B.root_lines(d), _published(d.fx), ANOTHER_DAY, rate="nearest")
+    return n.select("tenant_global_id", "item", F.col("quantity").cast("bigint"), F.col("billable_qty").cast("bigint"), "currency", "nfr_rate")
+
+
+@query("rule_compare", with_ctes(["lines", "partner_tot", "meta"], f"""
+    SELECT ltp, item, CAST(quantity AS BIGINT) AS quantity, {oracle_bill.MONEY('amount')} AS row_amount,
+           {oracle_bill.MONEY('paid')} AS ltp_total_paid, total_customers, CAST(total_emails AS BIGINT) AS total_emails,
+           CAST(v[1] AS BIGINT) AS billable_qty_old, CAST(v[2] AS BIGINT) AS billable_qty_new
     FROM (
-      SELECT ltp, item, quantity, partner_pricing,
-             list_transform([amount > 0, coalesce(paid, 0) > 0],
-                            lambda spends: greatest(quantity - if(coalesce(big, false) OR coalesce(spends, false), 100, 0), 0)) AS v
+      SELECT *, list_transform([amount > 0, coalesce(paid, 0) > 0],
+                               lambda spends: greatest(quantity - if(coalesce(big, false) OR coalesce(spends, false), 100, 0), 0)) AS v
       FROM (SELECT *, sum(CAST(amount AS DECIMAL(38,10))) OVER (PARTITION BY ltp) AS paid,
                    total_customers > 1 OR total_emails > 100 AS big
-            FROM lines LEFT JOIN partner_tot USING (ltp) WHERE partner_pricing))
-    WHERE v[1] <> v[2]"""))
+            FROM lines LEFT JOIN partner_tot USING (ltp)))
+    WHERE partner_pricing AND quantity > 1 AND item IN ('Complete Protect', 'Email Protect') AND v[1] <> v[2]
+      AND ltp IN (SELECT tenant_global_id FROM meta WHERE ltp_type = 'msp' AND registration_date + 90 <= snapshot_date)"""))
 def q_rule_compare(spark, sf):
     d = domain(spark, sf)
-    lines = B.root_lines(d)
-    td = N.partner_totals(B.peak_rows(d), d.meta)
-    totals = lines.groupBy("ltp").agg(F.sum(F.col("amount").cast("decimal(38,10)")).alias("ltp_total"))
-    j = lines.filter(F.col("partner_pricing") == F.lit(True)).join(td, "ltp", "left").join(totals, "ltp", "left")
-    q = F.col("quantity")
-    over = F.when(q > 100, q - 100).otherwise(F.lit(0))
-    base = (F.col("total_customers") > 1) | (F.col("total_emails") > 100)
-    old = F.when(base | (F.col("amount") > 0), over).otherwise(q)
-    new = F.when(base | (F.coalesce(F.col("ltp_total"), F.lit(0)) > 0), over).otherwise(q)
-    return N.rule_compare(j, old, new, ["ltp", "item", "quantity"])
+    out = N.rule_compare(B.root_lines(d), B.peak_rows(d), d.meta, d.as_of)
+    return out.select("ltp", "item", F.col("quantity").cast("bigint"), money("row_amount").alias("row_amount"),
+                      money("ltp_total_paid").alias("ltp_total_paid"), "total_customers", F.col("total_emails").cast("bigint"),
+                      F.col("billable_qty_old").cast("bigint"), F.col("billable_qty_new").cast("bigint"))
 
 
 # ---------------------------------------------------------------------------
@@ -428,13 +462,13 @@ for _name, _fn in _crm.QUERIES.items():
 # ---------------------------------------------------------------------------
 # Sub-tenant pricing
 # ---------------------------------------------------------------------------
-_SUB = ("billing_date, first_layer_id, second_layer_id, third_layer_id, fourth_layer_id, fifth_layer_id, item, "
+_SUB = ("billing_date, tenant_global_id, first_layer_id, second_layer_id, third_layer_id, fourth_layer_id, fifth_layer_id, item, "
         "sku, partner_pricing, CAST(billable_quantity AS BIGINT) AS billable_quantity, "
         "CAST(ROUND(CAST(amount AS DECIMAL(38,10)), 4) AS DOUBLE) AS amount, price_type FROM {}")
 
 
 def _sub_out(df):
-    return df.select("billing_date", "first_layer_id", "second_layer_id", "third_layer_id", "fourth_layer_id",
+    return df.select("billing_date", "tenant_global_id", "first_layer_id", "second_layer_id", "third_layer_id", "fourth_layer_id",
                      "fifth_layer_id", "item", "sku", "partner_pricing",
                      F.col("billable_quantity").cast("bigint"), money("amount").alias("amount"), "price_type")
 
@@ -446,13 +480,13 @@ def q_subtenant_lines(spark, sf):
 
 @query("subtenant_blended", with_ctes(["sub_blended"], "SELECT " + _SUB.format("sub_blended")))
 def q_subtenant_blended(spark, sf):
-    return _sub_out(B.subtenant_lines(domain(spark, sf)).filter(
-        (F.col("partner_pricing") == F.lit(False)) & F.col("item").isin(*pricing.PLAN_SKUS)))
+    return _sub_out(B.subtenant_lines(domain(spark, sf), only=("blended",)))
 
 
 @query("subtenant_per_unit", with_ctes(["sub_leaf"], "SELECT " + _SUB.format("sub_leaf")))
 def q_subtenant_per_unit(spark, sf):
-    return _sub_out(B.subtenant_lines(domain(spark, sf)).filter(F.col("sku").startswith("IS-LTP-DMARC")))
+    return _sub_out(B.subtenant_lines(domain(spark, sf), only=("per_unit",)))
+
 
 # ---------------------------------------------------------------------------
 # Tenant enrichment, sinks and JSON
@@ -465,18 +499,33 @@ for _name, _fn in _tenants.QUERIES.items():
 # ---------------------------------------------------------------------------
 # Sub-tenant itemized bill and the regional mailbox mart (M1, M5-M7)
 # ---------------------------------------------------------------------------
-MAILBOX_REGION = "US"
-
-
 @query("subtenant_itemized", with_ctes(["sub_itemized"], "SELECT * FROM sub_itemized"))
 def q_subtenant_itemized(spark, sf):
     return B.subtenant_itemized(domain(spark, sf))
 
 
-@query("mailbox_mart", with_ctes(["hwm_rows", "history", "meta", "mailbox_flags"],
-                                 oracle_bill.mailbox_sql(MAILBOX_REGION)))
+@query("mailbox_mart", with_ctes(["mailbox"], "SELECT * FROM mailbox"))
 def q_mailbox_mart(spark, sf):
-    return B.mailbox_mart(domain(spark, sf), MAILBOX_REGION)
+    """The mart of all regions."""
+    return B.mailbox_mart(domain(spark, sf))
+
+
+@query("no_peak_lines", with_ctes(["lines_np"], _LINES_SQL.format("lines_np")))
+def q_no_peak_lines(spark, sf):
+    """Root bill lines of the run date's own rows, without peaks."""
+    return _lines_out(B.root_lines(domain(spark, sf), peak=False))
+
+
+@query("no_peak_bill", with_ctes(["itemized_np"], "SELECT * FROM itemized_np"))
+def q_no_peak_bill(spark, sf):
+    """The itemized bill without peaks; its partner-seat lines come from the peak calculation (M1)."""
+    return B.itemized(domain(spark, sf), peak=False)
+
+
+@query("no_peak_subtenant", with_ctes(["sub_lines_np"], "SELECT " + _SUB.format("sub_lines_np")))
+def q_no_peak_subtenant(spark, sf):
+    """Sub-tenant lines without peaks, priced from the no-peak bill."""
+    return _sub_out(B.subtenant_lines(domain(spark, sf), peak=False))
 
 
 @query("addon_menu", with_ctes(["addon_menu"], "SELECT * FROM addon_menu"))
@@ -489,10 +538,7 @@ def q_addon_menu(spark, sf):
 
 @query("subtenant_flat", with_ctes(["sub_flat"], "SELECT " + _SUB.format("sub_flat")))
 def q_subtenant_flat(spark, sf):
-    sub = B.subtenant_lines(domain(spark, sf))
-    flat_skus = [v[2] for v in pricing.PLAN_SKUS.values() if v[2]] + ["IS-LTP-PSCP", "IS-LTP-IM", "IS-LTP-STBP",
-                                                                      "IS-LTP-ATO"]
-    return _sub_out(sub.filter(F.col("sku").isin(*flat_skus)))
+    return _sub_out(B.subtenant_lines(domain(spark, sf), only=("flat",)))
 
 
 @query("bridge_bill_fact", with_ctes(["bill_fact"], "SELECT * FROM bill_fact"))

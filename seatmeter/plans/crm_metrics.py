@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..operators import crm
+from ..operators import crm, metrics
 from ..operators.select import latest
 from ..sources import adapters as A
 from ..sources.tables import Tables
@@ -125,6 +125,37 @@ def metric_counts(spark, sf):
         F.count_if("i").alias("inactive"), F.count_if("d").alias("dmarc"))
 
 
+def _metric_sql(dims: list[str]) -> str:
+    d = "".join(f", {x}" for x in dims)
+    return with_ctes(["history"], f"""
+    SELECT record_date{d}, count(DISTINCT tenant_global_id) AS tenant_count,
+           count(DISTINCT tenant_global_id) FILTER (WHERE approved AND billing_status IN ('Active', 'Active-POC')) AS billable_tenant_count,
+           count(DISTINCT tenant_global_id) FILTER (WHERE billing_status = 'Active-POC') AS poc_tenant_count,
+           count(DISTINCT tenant_global_id) FILTER (WHERE billing_status = 'Inactive') AS inactive_tenant_count,
+           count(DISTINCT tenant_global_id) FILTER (WHERE dmarc_management) AS dmarc_enabled_count,
+           CAST(sum(active_profiles) AS BIGINT) AS total_active_profiles, CAST(sum(shared_profiles) AS BIGINT) AS total_shared_profiles,
+           CAST(sum(coalesce(active_profiles, 0) - coalesce(shared_profiles, 0))
+                FILTER (WHERE approved AND billing_status IN ('Active', 'Active-POC')) AS BIGINT) AS net_billable_seats
+    FROM history GROUP BY ALL""")
+
+
+def _metric(spark, sf, dims):
+    from .catalog import domain
+    return metrics.metric(metrics.tenant_days(domain(spark, sf).history), [*metrics.COUNTS, *metrics.SUMS], dims)
+
+
+@q("metric_by_plan", _metric_sql(["plan_name", "partner_pricing"]))
+def metric_by_plan(spark, sf):
+    """All tenant metrics by day, plan and partner flag (Q1)."""
+    return _metric(spark, sf, ["plan_name", "partner_pricing"])
+
+
+@q("metric_by_root", _metric_sql(["root", "billing_status"]))
+def metric_by_root(spark, sf):
+    """All tenant metrics by day, partner and status (Q1)."""
+    return _metric(spark, sf, ["root", "billing_status"])
+
+
 @q("metric_seats", with_ctes(["history"], """
     SELECT record_date, CAST(sum(active_profiles) AS BIGINT) AS active_seats,
            CAST(sum(shared_profiles) AS BIGINT) AS shared_seats,
@@ -245,15 +276,51 @@ def json_array_csv(spark, sf):
     return f.select("*", crm.json_array_csv(F.col("raw")).alias("csv"))
 
 
-@q("json_flatten", """
+@q("json_scalar_field", """
     SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, epoch_us(ts) // 1000 AS event_ms FROM events""")
-def json_flatten(spark, sf):
+def json_scalar_field(spark, sf):
     ev = _t(spark, sf).events
     epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))     # wall-clock epoch: zone-free
     return ev.select("event_id", crm.json_field(F.col("props"), "$.k", "bigint").alias("k"),
                      F.timestamp_diff("MILLISECOND", epoch, F.col("ts")).alias("event_ms"))
 
 
+_SNAKE = {member: name for name, member, _ in crm.ACTIVITY_FIELDS}
+
+
+@q("json_flatten", f"""
+    WITH d AS (
+      SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n_all, min(event_type) AS first_type,
+             {', '.join(f"count(*) FILTER (WHERE event_type = '{x}') AS n_{x}" for x in ('view', 'signup', 'purchase', 'click', 'error'))}
+      FROM events WHERE user_id % 7 NOT IN (3, 4, 6) GROUP BY 1, 2),
+    w AS (SELECT *, CAST(date_trunc('week', day) AS DATE) AS week FROM d)
+    SELECT epoch_ms(week) AS start_date_raw, epoch_ms(week + INTERVAL 7 DAY) - 1 AS end_date_raw,
+           CAST(week AS TIMESTAMP) AS start_date, CAST(week AS TIMESTAMP) + INTERVAL 7 DAY - INTERVAL 1 MILLISECOND AS end_date, day,
+           'u' || user_id || '@example.com' AS email, CAST(user_id AS VARCHAR) AS user_id, n_purchase > 0 AS is_active,
+           '1.' || user_id % 10 AS client_version, first_type AS most_used_model,
+           CASE WHEN user_id % 2 = 0 THEN '.py' END AS apply_most_used_extension,
+           CASE WHEN user_id % 3 = 0 THEN '.sql' END AS tab_most_used_extension,
+           {', '.join(f"CAST({e} AS BIGINT) AS {_SNAKE[n]}" for n, e in A.ACTIVITY_COUNTERS.items())}
+    FROM w""")
+def json_flatten(spark, sf):
+    """Activity documents flattened: a row per daily object of an array or of an object's members."""
+    return crm.flatten_activity(A.activity_docs(_t(spark, sf)))
+
+
+@q("incremental_loads", "SELECT * FROM events")
+def incremental_loads(spark, sf):
+    """A stored target after two loads and a repeated one (G2): every source row once."""
+    import uuid
+    from ..operators.loads import Target
+    from ..session import ensure_checkpoint_dir
+    ev = _t(spark, sf).events
+    target = Target(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/loads/events-{uuid.uuid4().hex}", "ts")
+    target.load(ev.filter(F.col("ts") < F.to_timestamp_ntz(F.lit(SPLIT_DAY.isoformat(" ")))))
+    target.load(ev)
+    target.load(ev)
+    return target.read()
+
+
 @q("name_match", with_ctes(["tree"], """
     WITH tickets AS (SELECT e.event_id, upper(c.c_name) AS title FROM events e
                      JOIN customer c ON e.user_id = c.c_custkey WHERE e.event_type = 'error')

@@ -117,41 +117,47 @@ def itemized(d: Domain, as_of=None, peak: bool = True) -> DataFrame:
     return marts.itemize(lines, nfr, as_of)
 
 
-def subtenant_lines(d: Domain, as_of=None) -> DataFrame:
-    """Sub-tenant lines priced from the root bill."""
+def subtenant_lines(d: Domain, as_of=None, peak: bool = True, only: tuple[str, ...] = ()) -> DataFrame:
+    """Sub-tenant lines priced from the root bill (P19-P23); ``only`` names the branches wanted.
+
+    peak=False prices the run date's rows against the no-peak root bill, without the minimum commitment; the
+    per-unit add-on keeps its peak.
+    """
     from ..operators import subtenant, tree as tree_ops
     as_of = as_of or d.as_of
-    key = ("itemized", str(as_of))
+    key = ("itemized", str(as_of), peak)
     if key not in d.memo:
-        d.memo[key] = materialize(itemized(d, as_of))
+        d.memo[key] = materialize(itemized(d, as_of, peak))
     bill = d.memo[key]
+    rows = peak_rows(d, as_of) if peak else hwm.point_in_time(d.history, d.meta_all, as_of)
     meta = hwm.snapshot(d.meta_all, as_of)
     prices = d.price_list.filter(d.price_list.snapshot_date == as_of).select(
         "tenant_global_id", "sku", "is_nfr", "tier_min", "tier_max", "price", "start_date", "end_date",
         "price_type").distinct()
     picks = hwm.addon_peak(d.history, d.meta_all, as_of)
-    return subtenant.subtenant_lines(tree_ops.with_layers(peak_rows(d, as_of)),
-                                     tree_ops.with_layers(addon_rows(d, as_of)), picks, meta, prices, bill)
+    return subtenant.subtenant_lines(tree_ops.with_layers(rows), tree_ops.with_layers(addon_rows(d, as_of)), picks, meta,
+                                     prices, bill, only or (subtenant.BRANCHES if peak else subtenant.BRANCHES[:-1]))
 
 
 LAYERS = ["first_layer_id", "second_layer_id", "third_layer_id", "fourth_layer_id", "fifth_layer_id"]
 
 
 def subtenant_itemized(d: Domain, as_of=None) -> DataFrame:
-    """Sub-tenant itemized bill (M1 at layer grain) with the partner-seat lines on the first layer."""
+    """Sub-tenant itemized bill (M1 by billed tenant, at any depth) with the partner-seat lines on the partner."""
     as_of = as_of or d.as_of
     key = ("sub_itemized", str(as_of))
     if key not in d.memo:
         lines = subtenant_lines(d, as_of)
-        d.memo[key] = materialize(marts.itemize(lines, partner_seats(d, as_of), as_of, keys=LAYERS,
-                                                qty_col="billable_quantity"), "sub-itemized")
+        d.memo[key] = materialize(marts.itemize(lines, partner_seats(d, as_of), as_of, keys=["tenant_global_id", *LAYERS],
+                                                qty_col="billable_quantity",
+                                                partner=("tenant_global_id", "first_layer_id")), "sub-itemized")
     return d.memo[key]
 
 
-def mailbox_mart(d: Domain, region: str = "US", as_of=None) -> DataFrame:
+def mailbox_mart(d: Domain, as_of=None) -> DataFrame:
     as_of = as_of or d.as_of
     return marts.mailbox_mart(peak_rows(d, as_of), d.history, hwm.snapshot(d.meta_all, as_of),
-                              subtenant_itemized(d, as_of), as_of, region, LAYERS)
+                              subtenant_itemized(d, as_of), as_of)
 
 
 def bill_bridge(d: Domain, as_of=None) -> DataFrame:

@@ -12,9 +12,6 @@ from pyspark.sql import DataFrame
 from ..operators import sinks
 from . import daily_bill as B
 
-REGIONS = ["US", "EU", "CA", "AE"]
-
-
 def outputs(d: B.Domain, as_of=None) -> dict[str, tuple[DataFrame, str]]:
     """Output name -> (DataFrame, date column) for one run date."""
     as_of = as_of or d.as_of
@@ -22,9 +19,8 @@ def outputs(d: B.Domain, as_of=None) -> dict[str, tuple[DataFrame, str]]:
         "root_itemized": (B.itemized(d, as_of), "billing_date"),
         "subtenant_itemized": (B.subtenant_itemized(d, as_of), "billing_date"),
         "peak_rows": (B.peak_rows(d, as_of), "date_recorded"),
+        "mailbox": (B.mailbox_mart(d, as_of), "record_date"),          # all regions, a folder each
     }
-    for region in REGIONS:
-        out[f"mailbox_{region.lower()}"] = (B.mailbox_mart(d, region, as_of), "record_date")
     return out
 
 
@@ -41,6 +37,6 @@ def run_day(d: B.Domain, out_dir: str, as_of=None) -> dict[str, str]:
     paths = {}
     for name, (df, date_col) in outputs(d, day).items():
         path = f"{out_dir.rstrip('/')}/{name}"
-        sinks.write_day(df, path, date_col=date_col, days=[day])
+        sinks.write_day(df, path, date_col=date_col, days=[day], within="region" if name == "mailbox" else None)
         paths[name] = path
     return paths

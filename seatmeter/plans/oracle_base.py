@@ -24,14 +24,24 @@ def _num(col: str) -> str:
     return f"CAST(regexp_replace({col}, '[^0-9]', '', 'g') AS BIGINT)"
 
 
+def _root(k: str) -> str:
+    return f"({k} < {A.FIRST_ROOTS} OR ({k} % {A.ROOT_EVERY} = 0 AND {k} % 101 NOT BETWEEN 35 AND 40))"
+
+
+_PARTNER = f"(d.user_id % 4 = 1 OR d.user_id % {A.ROOT_EVERY} = 0)"
+_FLAGS = ", ".join((f"CASE WHEN d.user_id % 7 <> 1 THEN d.user_id % {d} = {r} END" if c == "link_scanning" else f"d.user_id % {d} = {r}")
+                   + f" AS {c}" for c, (d, r) in A.FLAGS.items())
+
+
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "company": ((), f"""
-        SELECT c.c_custkey AS id, CASE WHEN c.c_custkey >= 10 AND c.c_custkey % 23 <> 0 THEN c.c_custkey END AS brand_id,
+        SELECT c.c_custkey AS id, CASE WHEN NOT {_root('c.c_custkey')} THEN c.c_custkey END AS brand_id,
                c.c_name AS name, ({_REG})[n.n_regionkey + 1] AS region
         FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey"""),
-    "brand": ((), """
-        SELECT c_custkey AS id, c_custkey // 10 AS owner_id, 'Brand ' || CAST(c_custkey // 10 AS VARCHAR) AS name
-        FROM customer WHERE c_custkey >= 10 AND c_custkey % 23 <> 0"""),
+    "brand": ((), f"""
+        SELECT c_custkey AS id, up AS owner_id, 'Brand ' || up AS name
+        FROM customer, LATERAL (SELECT if(c_custkey % 101 BETWEEN 35 AND 40, c_custkey - 1, c_custkey // 10) AS up)
+        WHERE NOT {_root('c_custkey')}"""),
     "tree_raw": (("company", "brand"), """
         SELECT id AS tenant_id, NULL::BIGINT AS parent_id, NULL::VARCHAR AS parent_name, name AS tenant_name,
                region, substr('XXXXXXX' || CAST(id AS VARCHAR), -7) || ' ' AS tree_key, CAST(id AS VARCHAR) AS id_path, '' AS indent
@@ -60,25 +70,28 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "history": (("ev_daily", "tree"), f"""
         SELECT d.record_date, t.root, t.parent_global_id, t.parent_name, t.tenant_global_id, t.tenant_name,
                t.tree_key, t.id_path, t.depth,
-               CASE WHEN d.user_id % 4 = 0 THEN '{A.FIXED_PLAN}' ELSE CASE d.first_type {_PLAN_CASE} END END
-                   AS plan_name,
+               CASE WHEN d.user_id % 19 = 3 THEN 'SAT Suite' WHEN d.user_id % 19 = 7 THEN 'Phishing Simulation and Training'
+                    WHEN d.user_id % 4 = 0 THEN '{A.FIXED_PLAN}' ELSE CASE d.first_type {_PLAN_CASE} END END AS plan_name,
                CASE d.user_id % 5 WHEN 0 THEN 'NINJIO' WHEN 3 THEN 'Habitu8' END AS premium_name,
-               CAST(d.n_events * 40 AS BIGINT) AS active_profiles,
-               CAST(d.n_events * 40 + 5 AS BIGINT) AS licensed_profiles,
+               CAST(d.n_events * 40 + if({_PARTNER}, {A.PARTNER_SEATS}, 0) AS BIGINT) AS active_profiles,
+               CAST(d.n_events * 40 + 5 + if({_PARTNER}, {A.PARTNER_SEATS}, 0) AS BIGINT) AS licensed_profiles,
                CAST(CASE WHEN d.n_error > 0 THEN d.n_error END AS BIGINT) AS shared_profiles,
                d.user_id % 13 <> 5 AS approved,
                CASE WHEN d.user_id % 11 = 4 THEN 'Inactive' WHEN d.user_id % 7 = 2 THEN 'Active-POC'
                     ELSE 'Active' END AS billing_status,
-               d.user_id % 4 = 1 AS partner_pricing, d.user_id % 12 = 5 AS not_nfr_partner,
+               {_PARTNER} AS partner_pricing, d.user_id % 12 = 5 AS not_nfr_partner,
                d.incident_management, d.simulation_and_training_bundle_plus, d.ato,
                d.user_id % 4 <> 0 AS dmarc_management, CAST(d.n_view AS INTEGER) AS dmarc_domains_number,
                CAST(CASE WHEN d.user_id % 4 <> 0 THEN d.user_id % 4 END AS INTEGER) AS dmarc_plan,
-               DATE '2023-09-01' + CAST(d.user_id % 150 AS INTEGER) AS registration_date
+               DATE '2023-09-01' + CAST(d.user_id % 150 AS INTEGER) AS registration_date, {_FLAGS},
+               CAST(if(d.user_id % 4 = 0, 3, list_position(['click', 'error', 'purchase', 'signup', 'view'], d.first_type)) AS INTEGER) AS plan_id,
+               CASE WHEN d.user_id % 17 <> 0 THEN DATE '2024-06-01' + CAST(d.user_id % 90 AS INTEGER) END AS plan_expiry_date,
+               CASE WHEN d.user_id % 9 = 0 THEN DATE '2024-02-01' + CAST(d.user_id % 30 AS INTEGER) END AS trial_plan_expiry_date
         FROM ev_daily d JOIN tree t ON d.user_id = t.tenant_id"""),
     "meta_all": ((), f"""
         SELECT s.snapshot_date,
                ({_REG})[n.n_regionkey + 1] || '-' || CAST(c.c_custkey AS VARCHAR) AS tenant_global_id,
-               c.c_name AS tenant_name, DATE '2023-06-01' + CAST(c.c_custkey * 20 % 400 AS INTEGER) AS registration_date,
+               c.c_name AS tenant_name, DATE '2023-06-01' + CAST(c.c_custkey * 7 % 200 AS INTEGER) AS registration_date,
                'AM-' || CAST(c.c_nationkey AS VARCHAR) AS account_master_id,
                c.c_custkey <> 9 AS is_tracked, c.c_custkey % 5 <> 0 AS is_highwatermark,
                ({_CUR})[n.n_regionkey + 1] AS currency, ({_PT})[c.c_custkey % 3 + 1] AS profile_type,
@@ -86,18 +99,18 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                     ELSE 'msp' END AS ltp_type
         FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
         CROSS JOIN (VALUES (DATE '2024-01-01'), ({AS_OF})) s(snapshot_date)
-        WHERE c.c_custkey < 10 OR c.c_custkey % 23 = 0"""),
+        WHERE {_root('c.c_custkey')}"""),
     "meta_run": (("meta_all",), f"SELECT * FROM meta_all WHERE snapshot_date = {AS_OF}"),
     "meta": (("meta_all",), f"SELECT * FROM meta_all WHERE snapshot_date = {AS_OF} AND is_tracked"),
     "pools": (("meta_run",), f"""
         SELECT m.tenant_global_id AS global_tenant_id, m.tenant_name, x.tenant_global_id AS master_tenant_id
-        FROM meta_run m JOIN meta_run x ON {_num('x.tenant_global_id')} + if({_num('x.tenant_global_id')} < 10, 1, 23) = {_num('m.tenant_global_id')}
+        FROM meta_run m JOIN meta_run x ON {_num('x.tenant_global_id')} + if({_num('x.tenant_global_id')} < 10, 1, {A.ROOT_EVERY}) = {_num('m.tenant_global_id')}
         WHERE {_num('m.tenant_global_id')} % 4 = 3"""),
     "price_list": (("meta_run",), f"""
         SELECT s.snapshot_date, m.tenant_global_id, k.sku, f.is_nfr,
                CAST(t.tier_min AS INTEGER) AS tier_min, CAST(t.tier_max AS INTEGER) AS tier_max,
                CAST(ROUND(CAST(k.base * t.mult * (1.0::DOUBLE + m.n % 100 / 100.0::DOUBLE)
-                    * (CASE WHEN f.is_nfr THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END)
+                    * (CASE WHEN NOT f.is_nfr THEN 1.0::DOUBLE WHEN m.n % 5 BETWEEN 1 AND 4 THEN 0.0::DOUBLE ELSE 0.5::DOUBLE END)
                     * (CASE WHEN s.snapshot_date = DATE '2024-01-01' THEN 0.95::DOUBLE ELSE 1.0::DOUBLE END)
                     * (CASE WHEN g.kind = 'promo' THEN 0.8::DOUBLE ELSE 1.0::DOUBLE END)
                     AS DECIMAL(38,10)), 4) AS DECIMAL(18,4)) AS price,
@@ -121,7 +134,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                CAST(r.tier_max AS INTEGER) AS tier_max, DATE '2024-01-01' AS start_date,
                DATE '2024-12-31' AS end_date, 'Tenant' AS tenant_msp, t.root AS parent_id
         FROM tree t CROSS JOIN (VALUES (1, 20, 0.5), (21, 999999, 0.4)) r(tier_min, tier_max, rate)
-        WHERE t.tenant_id >= 10 AND t.tenant_id % 23 <> 0 AND t.tenant_id % 4 = 0 AND t.tenant_id % 50 IN (8, 28)"""),
+        WHERE NOT {_root('t.tenant_id')} AND t.tenant_id % 20 = 8"""),
     "commitments": (("meta_run",), f"""
         SELECT tenant_global_id, tenant_name,
                CAST(1500 + {_num('tenant_global_id')} % 10 * 1000 AS DECIMAL(18,4)) AS monthly_commitment_amount,

@@ -10,6 +10,7 @@ from ..functions import labels as L
 from ..operators import marts, sinks, tree as tree_ops
 from ..sources.tables import Tables
 from .oracle_base import with_ctes
+from .oracle_bill import MAILBOX
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -161,58 +162,47 @@ def day_replace_sink(spark, sf):
     return back.select(*bill.columns)
 
 
-_ADDONS = [("IM", "incident_management"), ("STBP", "simulation_and_training_bundle_plus"), ("ATO", "ato")]
-
-
-@q("sparse_json", with_ctes(["hwm_rows"], f"""
-    SELECT tenant_global_id, CAST(json_merge_patch('{{}}', json_object(
-             {', '.join(f"'{k}', CASE WHEN {c} THEN active_profiles END" for k, c in _ADDONS)},
-             'premium', premium_name)) AS VARCHAR) AS addons
-    FROM hwm_rows WHERE billing_status IN ('Active', 'Active-POC')"""))
+@q("sparse_json", with_ctes(["mailbox"], """
+    SELECT region, tenant_number, billable_items, active_add_ons FROM mailbox"""))
 def sparse_json(spark, sf):
-    """Key/value pairs present only when the flag is set (M7), JSON text for an API (M8)."""
+    """The billed items and the active add-ons of every mailbox tenant as two JSON objects (M7)."""
     from .catalog import domain
     from . import daily_bill as B
-    rows = B.peak_rows(domain(spark, sf)).filter(F.col("billing_status").isin("Active", "Active-POC"))
-    pairs = [(k, F.when(F.col(c), F.col("active_profiles"))) for k, c in _ADDONS] + [("premium", F.col("premium_name"))]
-    return rows.select("tenant_global_id", marts.sparse_json(pairs).alias("addons"))
+    return B.mailbox_mart(domain(spark, sf)).select("region", "tenant_number", "billable_items", "active_add_ons")
 
 
-@q("api_json", SQL["sparse_json"].replace("AS addons", "AS payload"))
+@q("api_json", with_ctes(["mailbox"], """
+    SELECT record_date, region, billing_date, tenant_number, tenant_name, parent_number, parent_name, licensed_profiles,
+           active_profiles, shared_profiles, billable_profiles, plan_id, plan_expiry_date, trial_plan_expiry_date,
+           registration_date, parent_type, billable_items, active_add_ons, not_for_resale_flag AS is_partner, tree_key
+    FROM mailbox WHERE billable_profiles IS NOT NULL"""))
 def api_json(spark, sf):
-    """The same sparse object through to_json (NULL members dropped) for API consumers (M8)."""
+    """What the API gives of the mailbox mart, all regions (M8)."""
     from .catalog import domain
     from . import daily_bill as B
-    rows = B.peak_rows(domain(spark, sf)).filter(F.col("billing_status").isin("Active", "Active-POC"))
-    pairs = [(k, F.when(F.col(c), F.col("active_profiles"))) for k, c in _ADDONS] + [("premium", F.col("premium_name"))]
-    return rows.select("tenant_global_id", marts.sparse_json(pairs).alias("payload"))
-
-
-_LAY2 = ", ".join(
-    f"coalesce(left(root, 2) || '-' || regexp_extract_all(tree_key, '[0-9]+')[{i}], '') AS {n}_layer_id"
-    for i, n in enumerate(["first", "second"], 1))
-
-
-@q("channel_rollup", with_ctes(["hwm_rows", "meta", "tree"], f"""
-    WITH r AS (SELECT h.tenant_global_id, h.active_profiles, m.ltp_type, {_LAY2.replace('root', 'h.root').replace('tree_key', 'h.tree_key')}
-               FROM hwm_rows h JOIN meta m ON h.root = m.tenant_global_id),
-    b AS (SELECT ltp_type, first_layer_id, second_layer_id, sum(active_profiles) AS quantity,
-                 count(DISTINCT tenant_global_id) AS tenants FROM r WHERE ltp_type = 'disti' GROUP BY ALL
-          UNION ALL
-          SELECT ltp_type, first_layer_id, '' AS second_layer_id, sum(active_profiles),
-                 count(DISTINCT tenant_global_id) FROM r WHERE ltp_type <> 'disti' GROUP BY ltp_type, first_layer_id)
-    SELECT b.ltp_type, b.first_layer_id, coalesce(n1.tenant_name, '') AS first_layer_name, b.second_layer_id,
-           coalesce(n2.tenant_name, '') AS second_layer_name, CAST(b.quantity AS BIGINT) AS quantity, b.tenants
-    FROM b LEFT JOIN tree n1 ON b.first_layer_id = n1.tenant_global_id
-    LEFT JOIN tree n2 ON b.second_layer_id = n2.tenant_global_id"""))
+    return marts.mailbox_api(B.mailbox_mart(domain(spark, sf)))
+
+
+_ROLLUP = ", ".join(f"CAST(sum({n}_of_Licenses) AS BIGINT) AS {n}_of_Licenses" for n, _, _ in MAILBOX)
+
+
+@q("channel_rollup", with_ctes(["mailbox_flags", "sub_itemized", "meta", "tree"], f"""
+    WITH placed AS (
+      SELECT DISTINCT tenant_global_id, ltp_type, first_layer_id,
+             if(ltp_type = 'disti', coalesce(second_layer_id, ''), first_layer_id) AS msp_id
+      FROM sub_itemized JOIN (SELECT tenant_global_id AS first_layer_id, ltp_type FROM meta) USING (first_layer_id)
+      WHERE ltp_type IN ('disti', 'msp'))
+    SELECT if(ltp_type = 'msp', 'direct', 'second_tier') AS msp_type, first_layer_id AS msp_parent_id,
+           any_value((SELECT tenant_name FROM tree t WHERE t.tenant_global_id = first_layer_id)) AS msp_parent_name, msp_id,
+           any_value((SELECT tenant_name FROM tree t WHERE t.tenant_global_id = msp_id)) AS msp_name, count(*) AS tenants, {_ROLLUP}
+    FROM placed JOIN mailbox_flags USING (tenant_global_id)
+    GROUP BY ltp_type, first_layer_id, msp_id"""))
 def channel_rollup(spark, sf):
+    """Item quantities of distributors' partners and of direct partners (M9)."""
     from .catalog import domain
     from . import daily_bill as B
     d = domain(spark, sf)
-    rows = tree_ops.with_layers(B.peak_rows(d), n=2)
-    meta = d.meta.select(F.col("tenant_global_id").alias("root"), "ltp_type")
-    df = rows.join(meta, "root")
-    return marts.channel_rollup(df, "active_profiles", d.tree.select("tenant_global_id", "tenant_name"))
+    return marts.channel_rollup(B.subtenant_itemized(d), d.meta, d.tree, d.as_of)
 
 
 @q("incremental_snapshot", """

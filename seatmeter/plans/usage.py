@@ -47,10 +47,6 @@ SQL = {
         SELECT m.billing_date, m.ltp, m.item, CAST(m.quantity AS BIGINT) AS quantity,
                CAST(sum({_piece('m.quantity', 't.tier_min', 't.tier_max', 't.price')}) AS DOUBLE) AS amount
         FROM monthly m JOIN item_tiers t ON m.item = t.item GROUP BY m.billing_date, m.ltp, m.item, m.quantity"""),
-    "tier_wide_unpivot": with_ctes(["monthly", "item_tiers"], f"""
-        SELECT m.billing_date, m.ltp, m.item,
-               CAST(sum({_piece('m.quantity', 't.tier_min', 't.tier_max', 't.price')}) AS DOUBLE) AS amount
-        FROM monthly m JOIN item_tiers t ON m.item = t.item GROUP BY m.billing_date, m.ltp, m.item"""),
     "tier_volume": with_ctes(["monthly", "item_tiers"], """
         SELECT m.billing_date, m.ltp, m.item, CAST(m.quantity AS BIGINT) AS quantity,
                CAST(CAST(m.quantity AS DECIMAL(20,0)) * t.price AS DOUBLE) AS amount
@@ -74,6 +70,31 @@ SQL = {
         for v in A.ITEMS) + " FROM monthly GROUP BY billing_date, ltp"),
 }
 
+# The wide table is stated here by plan; a breakpoint's price holds for the units above it.
+register("wide_tiers", ("meta_all",), f"""
+    WITH plans(stem, plan_name, base) AS (VALUES {", ".join(f"('{k}', '{p}', {b}::DOUBLE)" for k, (p, b) in A.WIDE_PLANS.items())}),
+    steps(step, tier_min, tier_max) AS (VALUES (0, 1, 100), (1, 101, 350), (2, 351, 750), (3, 751, NULL)),
+    payers AS (
+      SELECT tenant_global_id, profile_type, CAST(string_split(tenant_global_id, '-')[2] AS BIGINT) AS n FROM meta_all
+      WHERE snapshot_date = DATE '{A.AS_OF.isoformat()}')
+    SELECT tenant_global_id, profile_type, plan_name, false AS is_nfr, CAST(tier_min AS INTEGER) AS tier_min, CAST(tier_max AS INTEGER) AS tier_max,
+           CAST(ROUND(CAST(base * (1 - 0.05::DOUBLE * step) + n % 50 / 100.0::DOUBLE AS DECIMAL(38,10)), 4) AS DECIMAL(18,4)) AS price
+    FROM payers, plans, steps WHERE stem <> 'SAT_SUITE' OR n % 7 <> 0
+    UNION ALL
+    SELECT tenant_global_id, profile_type, plan_name, true, 1, NULL::INTEGER, CAST(ROUND(CAST(base / 2 AS DECIMAL(38,10)), 4) AS DECIMAL(18,4))
+    FROM payers, plans""")
+SQL["tier_wide_unpivot"] = with_ctes(["wide_tiers"], "SELECT * FROM wide_tiers")
+SQL["wide_graduated"] = with_ctes(["wide_tiers", "hwm_rows"], f"""
+    WITH kinds AS (SELECT DISTINCT tenant_global_id, profile_type FROM wide_tiers),
+    seats AS (
+      SELECT root AS tenant_global_id, plan_name, partner_pricing AS is_nfr,
+             CASE profile_type WHEN 'active' THEN sum(active_profiles) WHEN 'license' THEN sum(licensed_profiles)
+                  ELSE coalesce(sum(active_profiles) - sum(shared_profiles), sum(active_profiles)) END AS quantity
+      FROM hwm_rows h JOIN kinds k ON h.root = k.tenant_global_id
+      WHERE approved AND billing_status IN ('Active', 'Active-POC') GROUP BY root, plan_name, partner_pricing, profile_type)
+    SELECT tenant_global_id, plan_name, is_nfr, CAST(quantity AS BIGINT) AS quantity,
+           CAST(sum({_piece('quantity', 'tier_min', 'tier_max', 'price')}) AS DOUBLE) AS amount
+    FROM seats JOIN wide_tiers USING (tenant_global_id, plan_name, is_nfr) GROUP BY ALL""")
 _CACHE: dict = {}
 
 
@@ -104,8 +125,11 @@ def usage(spark, sf_dir):
 
 
 def monthly(spark, sf_dir):
-    return usage(spark, sf_dir).groupBy("billing_date", "ltp", "pool", "item").agg(
-        F.sum("quantity").alias("quantity"))
+    """Quantities by month, partner, pool and item, straight from the lines (a few rows a partner and month)."""
+    lines = A.usage_keys(Tables(spark, sf_dir))
+    g = lines.groupBy("billing_date", "c_nationkey", "region_key", "item").agg(F.sum("quantity").alias("quantity"))
+    return g.select("billing_date", F.concat(F.lit("N-"), F.col("c_nationkey").cast("string")).alias("ltp"),
+                    F.concat(F.lit("R-"), F.col("region_key").cast("string")).alias("pool"), "item", "quantity")
 
 
 def tiers(spark, sf_dir):
@@ -119,13 +143,31 @@ def tier_graduated(spark, sf):
                       F.col("amount").cast("double"))
 
 
+def _wide(spark, sf):
+    from .catalog import domain
+    d = domain(spark, sf)
+    return d, pricing.unpivot_wide(A.wide_prices(d.meta_all, d.as_of), ["tenant_global_id", "profile_type"],
+                                   {stem: plan for stem, (plan, _) in A.WIDE_PLANS.items()})
+
+
 def tier_wide_unpivot(spark, sf):
-    t = tiers(spark, sf)
-    wide = t.groupBy("item").pivot("tier_min", [a for a, _, _ in A.ITEM_TIERS]).agg(F.max("price"))
-    wide = wide.select("item", *[F.col(str(a)).alias(f"price_{a}") for a, _, _ in A.ITEM_TIERS])
-    long = pricing.unpivot_wide(wide, ["item"], [(f"price_{a}", a, b) for a, b, _ in A.ITEM_TIERS])
-    out = pricing.graduated(monthly(spark, sf), long, "item", ["billing_date", "ltp", "item"])
-    return out.select("billing_date", "ltp", "item", F.col("amount").cast("double"))
+    """The wide legacy price table as tier rows."""
+    return _wide(spark, sf)[1]
+
+
+def wide_graduated(spark, sf):
+    """Plan seats of every partner priced by the wide table (P24, P9): seats by plan and partner flag, graduated."""
+    from . import daily_bill as B
+    d, tiers = _wide(spark, sf)
+    rows = B.peak_rows(d).filter(F.col("approved") & F.col("billing_status").isin("Active", "Active-POC"))
+    kind = tiers.select(F.col("tenant_global_id").alias("root"), "profile_type").distinct()
+    seats = rows.join(kind, "root").groupBy("root", "plan_name", "partner_pricing", "profile_type").agg(
+        F.sum("active_profiles").alias("a"), F.sum("licensed_profiles").alias("l"), F.sum("shared_profiles").alias("s"))
+    seats = seats.select(F.col("root").alias("tenant_global_id"), "plan_name", F.col("partner_pricing").alias("is_nfr"),
+                         pricing.seat_quantity(F.col("profile_type"), F.col("a"), F.col("l"), F.col("s")).cast("bigint").alias("quantity"))
+    keys = ["tenant_global_id", "plan_name", "is_nfr"]
+    out = pricing.graduated(seats, tiers.drop("profile_type"), keys, [*keys, "quantity"])
+    return out.withColumn("amount", F.col("amount").cast("double"))
 
 
 def tier_volume(spark, sf):
@@ -156,7 +198,8 @@ def item_pivot(spark, sf):
 
 
 QUERIES = {
-    "tier_graduated": tier_graduated, "tier_wide_unpivot": tier_wide_unpivot, "tier_volume": tier_volume,
+    "tier_graduated": tier_graduated, "tier_wide_unpivot": tier_wide_unpivot, "wide_graduated": wide_graduated,
+    "tier_volume": tier_volume,
     "pooled_threshold": pooled_threshold, "min_quantity": min_quantity, "item_pivot": item_pivot,
 }
 

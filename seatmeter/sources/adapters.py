@@ -7,8 +7,9 @@ with them; the same recipe is written in SQL in ``seatmeter.plans.oracle`` for
 the DuckDB cross-check.
 
 Recipe (all rules are arithmetic on keys, no randomness):
-* company/brand: customer c_custkey; roots are ids < 10 and every 23rd id, every other id hangs
-  under id div 10 (so the tree has depth up to 4 at sf0.1). The region prefix
+* company/brand: customer c_custkey; roots are ids < 10 and every third id, every other id hangs
+  under id div 10, but for short chains (ids k % 101 in 35 .. 40 hang under k - 1), which give the
+  tree more than seven levels at any scale. The region prefix
   of a tree is taken from its root's nation -> region.
 * tenant history: one row per (events.user_id, day) joined to the tree.
 * account meta / pools / price list / exceptions / commitments: one row (or a
@@ -44,27 +45,48 @@ PLAN_BY_EVENT = {
     "view": "No_Plan",
 }
 FIXED_PLAN = "Email Protect"                          # tenants with user_id % 4 = 0
+TRAINING_PLANS = {3: "SAT Suite", 7: "Phishing Simulation and Training"}   # by user_id % 19, before all others
 PREMIUM_BY_MOD5 = {0: "NINJIO", 3: "Habitu8"}
+# Feature flags of a tenant that only show in the snapshot: column -> (divisor, remainder) of its id.
+FLAGS = {
+    "security_awareness_training": (6, 1), "simulation_and_training_bundle": (9, 2), "ai_empower_bundle": (10, 3),
+    "themis_co_pilot": (8, 4), "teams_protection": (5, 2), "file_scanning": (7, 5), "link_scanning": (4, 3),
+    "multi_tenancy": (11, 6),
+}
+PARTNER_SEATS = 90                   # seats that partner tenants have besides those of their events
+FREE_NFR_ROOTS = (1, 2, 3, 4)           # remainders by 5 of partners whose list gives partner seats free
 # Price list: sku -> base unit price; tiers (min, max, multiplier).
 PLAN_SKUS = ["Email Protect", "Complete Protect", "CORE", "Platform Protect", "SAT_SUITE", "STARTER", "PST"]
-ADDON_SKUS = ["PSCP", "Incident Management", "STBP", "ATO", "DMARC", "DMARC_PRO"]
+ADDON_SKUS = ["PSCP", "Incident Management", "STBP", "ATO", "DMARC", "DMARC_PRO", "THEMIS", "URL", "AS", "PSTSAT", "SAT",
+              "PSTSTB", "STB", "AIEB", "MT"]
 BASE_PRICE = {
     "Email Protect": 2.5, "Complete Protect": 4.0, "CORE": 1.5, "Platform Protect": 3.0,
     "SAT_SUITE": 2.0, "STARTER": 1.0, "PST": 1.2,
     "PSCP": 0.6, "Incident Management": 0.8, "STBP": 0.7, "ATO": 0.9, "DMARC": 5.0, "DMARC_PRO": 9.0,
+    "THEMIS": 0.35, "URL": 0.25, "AS": 0.3, "PSTSAT": 0.45, "SAT": 0.55, "PSTSTB": 0.65, "STB": 0.75, "AIEB": 1.1, "MT": 0.15,
 }
 TIERS = [(1, 100, 1.0), (101, 1000, 0.85), (1001, 999999999, 0.7)]
 # ---------------------------------------------------------------------------
 
 
 # Roots (partners): the ids below FIRST_ROOTS and every ROOT_EVERY-th id, so that their number grows
-# with the customers; root 1 still holds over a third of all tenants.
+# with the customers; root 1 still holds about a quarter of all tenants.
 FIRST_ROOTS = 10
-ROOT_EVERY = 23
+ROOT_EVERY = 3
+# Chains: ids whose remainder lies in this range hang under the id before and are no roots.
+CHAIN_EVERY, CHAIN = 101, (35, 40)
+
+
+def chained(k) -> "F.Column":
+    return (k % CHAIN_EVERY).between(*CHAIN)
 
 
 def is_root(k) -> "F.Column":
-    return (k < FIRST_ROOTS) | (k % ROOT_EVERY == 0)
+    return (k < FIRST_ROOTS) | ((k % ROOT_EVERY == 0) & ~chained(k))
+
+
+def owner_of(k) -> "F.Column":
+    return F.when(chained(k), k - 1).otherwise(F.expr("c_custkey div 10"))
 
 
 def snapshots(as_of) -> list:
@@ -95,8 +117,8 @@ def company_brand(t: Tables) -> tuple[DataFrame, DataFrame]:
     )
     brand = cust.filter(~is_root(F.col("c_custkey"))).select(
         F.col("c_custkey").alias("id"),
-        F.expr("c_custkey div 10").alias("owner_id"),
-        F.concat(F.lit("Brand "), F.expr("c_custkey div 10").cast("string")).alias("name"),
+        owner_of(F.col("c_custkey")).alias("owner_id"),
+        F.concat(F.lit("Brand "), owner_of(F.col("c_custkey")).cast("string")).alias("name"),
     )
     return company, brand
 
@@ -124,24 +146,34 @@ def tenant_history(t: Tables, tree: DataFrame | None = None) -> DataFrame:
     nodes = tree.select("tenant_id", "tenant_name", "parent_name", "root", "parent_global_id",
                         "tenant_global_id", "tree_key", "id_path", "depth")
     hist = daily.join(nodes, daily.user_id == nodes.tenant_id)
+    # partner tenants: every fourth, and the partners' own
+    partner = (u % 4 == 1) | (u % ROOT_EVERY == 0)
+    seats = F.when(partner, PARTNER_SEATS).otherwise(0)
+    plan_id = _case_lookup(F.when(u % 4 == 0, F.lit("purchase")).otherwise(F.col("first_type")),
+                           {t: i for i, t in enumerate(PLAN_BY_EVENT, 1)})
     return hist.select(
         "record_date", "root", "parent_global_id", "parent_name", "tenant_global_id", "tenant_name",
         "tree_key", "id_path", "depth",
-        F.when(u % 4 == 0, F.lit(FIXED_PLAN)).otherwise(_case_lookup(F.col("first_type"), PLAN_BY_EVENT))
-        .alias("plan_name"),
+        F.coalesce(_case_lookup(u % 19, TRAINING_PLANS), F.when(u % 4 == 0, F.lit(FIXED_PLAN)),
+                   _case_lookup(F.col("first_type"), PLAN_BY_EVENT)).alias("plan_name"),
         _case_lookup(u % 5, PREMIUM_BY_MOD5).cast("string").alias("premium_name"),
-        (F.col("n_events") * 40).cast("bigint").alias("active_profiles"),
-        (F.col("n_events") * 40 + 5).cast("bigint").alias("licensed_profiles"),
+        (F.col("n_events") * 40 + seats).cast("bigint").alias("active_profiles"),
+        (F.col("n_events") * 40 + 5 + seats).cast("bigint").alias("licensed_profiles"),
         F.when(F.col("n_error") > 0, F.col("n_error")).cast("bigint").alias("shared_profiles"),
         (u % 13 != 5).alias("approved"),
         F.when(u % 11 == 4, "Inactive").when(u % 7 == 2, "Active-POC").otherwise("Active").alias("billing_status"),
-        (u % 4 == 1).alias("partner_pricing"),
+        partner.alias("partner_pricing"),
         (u % 12 == 5).alias("not_nfr_partner"),
         "incident_management", "simulation_and_training_bundle_plus", "ato",
         (u % 4 != 0).alias("dmarc_management"),
         F.col("n_view").cast("int").alias("dmarc_domains_number"),
         F.when(u % 4 != 0, (u % 4)).cast("int").alias("dmarc_plan"),
         F.date_add(F.lit(dt.date(2023, 9, 1)), (u % 150).cast("int")).alias("registration_date"),
+        # link_scanning is unknown for some tenants
+        *[(F.when(u % 7 != 1, u % d == r) if c == "link_scanning" else u % d == r).alias(c) for c, (d, r) in FLAGS.items()],
+        plan_id.cast("int").alias("plan_id"),
+        F.when(u % 17 != 0, F.date_add(F.lit(dt.date(2024, 6, 1)), (u % 90).cast("int"))).alias("plan_expiry_date"),
+        F.when(u % 9 == 0, F.date_add(F.lit(dt.date(2024, 2, 1)), (u % 30).cast("int"))).alias("trial_plan_expiry_date"),
     )
 
 
@@ -157,7 +189,7 @@ def account_meta(t: Tables, as_of=AS_OF) -> DataFrame:
         "snapshot_date",
         F.concat(_by_index(F.col("n_regionkey"), REGION_CODES), F.lit("-"), k.cast("string")).alias("tenant_global_id"),
         F.col("c_name").alias("tenant_name"),
-        F.date_add(F.lit(dt.date(2023, 6, 1)), (k * 20 % 400).cast("int")).alias("registration_date"),
+        F.date_add(F.lit(dt.date(2023, 6, 1)), (k * 7 % 200).cast("int")).alias("registration_date"),
         F.concat(F.lit("AM-"), F.col("c_nationkey").cast("string")).alias("account_master_id"),
         (k != 9).alias("is_tracked"),
         (k % 5 != 0).alias("is_highwatermark"),
@@ -199,7 +231,7 @@ def price_list(meta: DataFrame, as_of=AS_OF) -> DataFrame:
         .withColumn("kind", F.explode(F.array(F.lit("std"), F.lit("promo"))))
     )
     base = (F.col("s.base") * F.col("t.mult") * (F.lit(1.0) + F.col("n") % 100 / 100.0)
-            * F.when(F.col("is_nfr"), 0.5).otherwise(1.0)
+            * F.when(F.col("is_nfr"), F.when((F.col("n") % 5).isin(*FREE_NFR_ROOTS), 0.0).otherwise(0.5)).otherwise(1.0)
             * F.when(F.col("snapshot_date") == F.lit(as_of.replace(day=1)), 0.95).otherwise(1.0))
     promo = F.col("kind") == "promo"
     live = dt.date(2024, 1, 15), dt.date(2024, 2, 15)
@@ -220,9 +252,9 @@ def price_list(meta: DataFrame, as_of=AS_OF) -> DataFrame:
 
 
 def exceptions(tree: DataFrame) -> DataFrame:
-    """Tenant-level rate overrides: tenants with id % 50 in (8, 28) on the fixed plan, two tiers each."""
+    """Tenant-level rate overrides: tenants with id % 20 = 8 on the fixed plan, two tiers each."""
     k = F.col("tenant_id")
-    rows = tree.filter(~is_root(k) & (k % 4 == 0) & (k % 50).isin(8, 28)).withColumn(
+    rows = tree.filter(~is_root(k) & (k % 4 == 0) & (k % 20 == 8)).withColumn(
         "t", F.explode(F.array(
             F.struct(F.lit(1).alias("tier_min"), F.lit(20).alias("tier_max"), F.lit(0.5).alias("rate")),
             F.struct(F.lit(21).alias("tier_min"), F.lit(999999).alias("tier_max"), F.lit(0.4).alias("rate")))))
@@ -328,3 +360,67 @@ def item_tiers(t: Tables) -> DataFrame:
         "item", "t.tier_min", "t.tier_max",
         F.round((F.col("rp") / 100.0 * F.col("t.mult")).cast("decimal(38,10)"), 4).cast("decimal(18,4)")
         .alias("price"))
+
+
+# ---------------------------------------------------------------------------
+# Wide legacy price table: one column per plan, partner flag and breakpoint
+# ---------------------------------------------------------------------------
+# Column stem -> (plan, base price); a partner column has the stem's name with NFR.
+WIDE_PLANS = {"EP": ("Email Protect", 2.4), "CORE": ("Core", 1.4), "CP": ("Complete Protect", 3.9),
+              "SAT_SUITE": ("SAT Suite", 1.9)}
+WIDE_BREAKS = [1, 100, 350, 750]
+
+
+def wide_prices(meta: DataFrame, as_of=AS_OF) -> DataFrame:
+    """One row per partner: EP_1, EP_100, ..., EPNFR_1, ... A price is 5 % lower at each breakpoint; partners
+    whose number is divisible by 7 have none for SAT_SUITE."""
+    n = F.regexp_replace("tenant_global_id", "[^0-9]", "").cast("bigint")
+    cols = []
+    for stem, (_, base) in WIDE_PLANS.items():
+        for i, b in enumerate(WIDE_BREAKS):
+            price = F.round((F.lit(base) * (1 - 0.05 * i) + n % 50 / 100.0).cast("decimal(38,10)"), 4).cast("decimal(18,4)")
+            cols.append((F.when(n % 7 != 0, price) if stem == "SAT_SUITE" else price).alias(f"{stem}_{b}"))
+        cols.append((F.round((F.lit(base) / 2).cast("decimal(38,10)"), 4).cast("decimal(18,4)")).alias(f"{stem}NFR_1"))
+    return meta.filter(F.col("snapshot_date") == F.lit(as_of)).select("tenant_global_id", "profile_type", *cols)
+
+
+# ---------------------------------------------------------------------------
+# Activity documents: a period and a list of daily objects, as an API delivers them
+# ---------------------------------------------------------------------------
+# Counters of a daily object by the day's events of each type; a NULL one is absent from the object.
+ACTIVITY_COUNTERS = {
+    "acceptedLinesAdded": "n_purchase * 3", "acceptedLinesDeleted": "n_error", "agentRequests": "n_click",
+    "apiKeyReqs": "nullif(n_signup, 0)", "bugbotUsages": "nullif(n_error, 0)", "chatRequests": "n_view",
+    "cmdkUsages": "n_click + n_view", "composerRequests": "n_all", "subscriptionIncludedReqs": "n_all - n_purchase",
+    "totalAccepts": "n_purchase", "totalApplies": "n_purchase + n_click", "totalLinesAdded": "n_all * 5",
+    "totalLinesDeleted": "n_error * 2", "totalRejects": "n_error", "totalTabsAccepted": "n_click",
+    "totalTabsShown": "n_click + n_error", "usageBasedReqs": "nullif(n_purchase, 0)",
+}
+
+
+def activity_docs(t: Tables) -> DataFrame:
+    """One document per user and week: period (JSON object of epoch ms), data (JSON).
+
+    data is an array of daily objects, ordered by day; by user_id % 7: 3 has none (NULL), 4 a scalar, 5 the objects
+    as members of one object, 6 an empty array.
+    """
+    types = ("view", "signup", "purchase", "click", "error")
+    u = F.col("user_id")
+    daily = t.events.groupBy("user_id", F.to_date("ts").alias("day")).agg(
+        F.count(F.lit(1)).alias("n_all"), *[F.count_if(F.col("event_type") == x).alias(f"n_{x}") for x in types],
+        F.min("event_type").alias("first_type"))
+    one = F.struct(
+        F.date_format("day", "yyyy-MM-dd").alias("day"), F.concat(F.lit("u"), u.cast("string"), F.lit("@example.com")).alias("email"),
+        u.cast("string").alias("userId"), (F.col("n_purchase") > 0).alias("isActive"),
+        F.concat(F.lit("1."), (u % 10).cast("string")).alias("clientVersion"), F.col("first_type").alias("mostUsedModel"),
+        F.when(u % 2 == 0, ".py").alias("applyMostUsedExtension"), F.when(u % 3 == 0, ".sql").alias("tabMostUsedExtension"),
+        *[F.expr(e).alias(n) for n, e in ACTIVITY_COUNTERS.items()])
+    docs = daily.select("user_id", F.to_date(F.date_trunc("week", "day")).alias("week"), "day", one.alias("one")) \
+        .groupBy("user_id", "week").agg(F.array_sort(F.collect_list(F.struct("day", "one"))).alias("d"))
+    objects = F.transform("d", lambda x: x["one"])
+    members = F.map_from_entries(F.transform("d", lambda x: F.struct(F.date_format(x["day"], "yyyyMMdd"), x["one"])))
+    start = F.unix_date("week") * F.lit(86_400_000).cast("bigint")
+    period = F.to_json(F.struct(start.alias("startDate"), (start + 7 * 86_400_000 - 1).alias("endDate")))
+    data = (F.when(u % 7 == 3, F.lit(None)).when(u % 7 == 4, F.lit('"no data"')).when(u % 7 == 5, F.to_json(members))
+            .when(u % 7 == 6, F.lit("[]")).otherwise(F.to_json(objects)))
+    return docs.select(period.alias("period"), data.alias("data"))
