@@ -1,19 +1,21 @@
 """Soft-membership mixing: document rates that bring expected domain tokens to target weights.
 
 1. A naive Bayes classifier is trained on labelled documents by grouped counts:
-   features are the distinct words with the highest G statistic and a few binned
-   measures. It gives every document a posterior over the domains.
+   features are the words with the highest G statistic, whose absence counts as well as
+   their presence, and a few binned measures. It gives every document a posterior over the domains.
 2. Rates w >= 0 are fitted by projected-gradient least squares. With t the
    tokens of a document and p its posterior, the expected tokens of the domains
    are A = sum(w t p). The objective is the squared distance of A from the
-   targets T, weighted by the inverse of M = sum(t p p') (with a ridge), so that no
-   direction is stiff: in the metric weighted by tokens the gradient step
-   of a document is w - p . inv(M) (A - T), cut at 0, and step size 1 is safe.
-   Starting at w = 1 the rates stay as close to 1 as the targets allow.
+   targets T, weighted by the inverse of M = sum(t p p'). In the metric weighted by
+   tokens the gradient step of a document is w - p . inv(M) (A - T), cut at 0. M is
+   taken over the documents that are not at 0, since only they can move, so a few steps
+   reach the targets, or the point where the rates at 0 allow hardly any less; where such a step does
+   not lower the objective, one in the metric of all documents is taken. Starting at w = 1 the rates stay as close to 1 as the targets allow.
 
 All of it is DataFrame functions. An iteration is one aggregate over a few numeric
-columns of a written table; only its sums (one per domain) reach the driver. The
-rate of a document is an expression over its posterior and the steps so far.
+columns of a written table; only its sums (a few per pair of domains) reach the driver. The
+rate of a document is an expression over its posterior and the steps so far. What remains
+between targets and expected totals is returned with the rows.
 """
 
 from __future__ import annotations
@@ -41,16 +43,14 @@ class Params:
     # ... or, without shares, a factor on its present expected tokens
     factors: dict[str, float] = field(default_factory=lambda: {"toxic": 0.25, "low": 0.5, "clean": 1.0})
     sample_rows: int = 20_000        # labelled rows trained on (those with the smallest id hashes)
-    vocabulary: int = 300            # words kept as features
+    vocabulary: int = 40             # words kept as features; weak ones beyond would outvote the strong by their number
     least_docs: int = 5              # labelled documents a word must be in
     least_g: float = 14.0            # G statistic it must reach: by chance about one word in a million does
     pull: float = 20.0               # documents that a feature's overall frequency counts for in each class
-    # Steps are few and the ridge not small on purpose: what the posteriors tell apart is matched within
-    # them, while a direction they hardly tell apart (say, a domain that no document clearly belongs to)
-    # moves little, where an exact match would need wild rates for all documents.
-    ridge: float = 0.05              # of each domain's tokens, added to the diagonal of M
-    most_steps: int = 8
-    change: float = 1e-5             # stop when no total moves by more, as a share of its domain
+    ridge: float = 1e-6              # of each domain's tokens, added to the diagonal of M (it may be singular)
+    most_steps: int = 60
+    change: float = 1e-6             # stop when every total is this close to its target, as a share of its domain ...
+    gain: float = 1e-3               # ... or when no step lowers the objective by this share
 
     @property
     def names(self) -> list[str]:
@@ -77,8 +77,8 @@ def featured(docs: DataFrame) -> DataFrame:
 @dataclass
 class Classifier:
     names: list[str]
-    prior: list[float]                            # log class shares
-    weight: dict[str, list[float]]                # feature: log P(feature | class); only features that are present count
+    prior: list[float]                            # log class shares, and of the absence of all words
+    weight: dict[str, list[float]]                # feature: what its presence adds to the class's log-likelihood
 
     def posterior(self) -> Column:
         """P(class | features) as an array column over _f."""
@@ -123,52 +123,85 @@ def train(docs: DataFrame, labels: DataFrame, params: Params) -> Classifier:
              .otherwise(0.0) for i in range(len(names)) if n[i]), F.lit(0.0))
     words = counts.filter((F.col("n") >= params.least_docs) & ~F.col("_f").contains(" ") & (F.col("_f") != "")).withColumn("g", F.round(g, 6)).filter(F.col("g") >= params.least_g)
     chosen = words.orderBy(F.desc("g"), "_f").limit(params.vocabulary).drop("g").unionAll(counts.filter(F.col("_f").contains(" ")))
-    weight = {r["_f"]: [math.log((r[f"n_{i}"] + params.pull * r["n"] / total.n) / (n[i] + params.pull)) for i in range(len(names))] for r in chosen.collect()}
-    return Classifier(names, [math.log((x + 1) / (total.n + len(names))) for x in n], weight)
+    prior, weight = [math.log((x + 1) / (total.n + len(names))) for x in n], {}
+    for r in chosen.collect():
+        p = [(r[f"n_{i}"] + params.pull * r["n"] / total.n) / (n[i] + params.pull) for i in range(len(names))]
+        if " " in r["_f"]:                        # of the bins of a measure one always holds
+            weight[r["_f"]] = [math.log(x) for x in p]
+        else:
+            p = [min(x, 1 - 1e-6) for x in p]
+            weight[r["_f"]] = [math.log(x / (1 - x)) for x in p]
+            prior = [a + math.log(1 - x) for a, x in zip(prior, p)]
+    return Classifier(names, prior, weight)
 
 
-def _totals(soft: DataFrame, rate: Column, k: int) -> list[float]:
-    row = soft.agg(*[F.sum(rate * F.col("n_tokens") * F.col(f"p_{i}")).alias(f"a_{i}") for i in range(k)]).first()
-    return [x or 0.0 for x in row]
+def rate_after(steps: list[list[float]]) -> Column:
+    """The rate that these steps lead to, from 1, as an expression over p_0 .. p_k-1.
 
+    The steps are one array literal, so the plan and its code stay the same whatever their number and values.
+    """
+    if not steps:
+        return F.lit(1.0)
+    move = lambda step: sum((F.col(f"p_{i}") * step[i] for i in range(len(steps[0]))), F.lit(0.0))
+    return F.aggregate(F.lit(steps), F.lit(1.0), lambda rate, step: F.greatest(F.lit(0.0), rate - move(step)))
+
+
+@dataclass
+class Fit:
+    steps: list[list[float]]
+    target: list[float]
+    expected: list[float]
+
+    def gap(self, i: int) -> float | None:
+        """What a domain's expected total misses its target by, as a share of it (None for a target of 0)."""
+        return self.expected[i] / self.target[i] - 1 if self.target[i] else None
 
-def rate_after(steps: list[list[float]]) -> Column:
-    """The rate that these steps lead to, from 1, as an expression over p_0 .. p_k-1."""
-    rate = F.lit(1.0)
-    for step in steps:
-        move = sum((F.col(f"p_{i}") * F.lit(r) for i, r in enumerate(step)), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), rate - move)
-    return rate
 
+def _state(soft: DataFrame, steps: list[list[float]], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Expected totals at the rates after these steps, and M over the documents not at 0."""
+    at = soft.withColumn("_r", rate_after(steps))
+    live = F.when(F.col("_r") > 0, F.col("n_tokens")).otherwise(0)
+    row = at.agg(*[F.sum(F.col("_r") * F.col("n_tokens") * F.col(f"p_{i}")) for i in range(k)],
+                 *[F.sum(live * F.col(f"p_{i}") * F.col(f"p_{j}")) for i in range(k) for j in range(k)]).first()
+    values = np.array([x or 0.0 for x in row])
+    return values[:k], values[k:].reshape(k, k)
 
-def fit_rates(soft: DataFrame, params: Params) -> list[list[float]]:
-    """The steps inv(M) (A - T) of all iterations. soft: n_tokens, p_0 .. p_k-1 (only these columns are read)."""
+
+def fit_rates(soft: DataFrame, params: Params) -> Fit:
+    """The steps of all iterations. soft: n_tokens, p_0 .. p_k-1 (only these columns are read)."""
     names, k = params.names, len(params.domains)
-    held = _totals(soft, F.lit(1.0), k)
+    held, moment = _state(soft, [], k)
     if params.shares is not None:
-        target = [params.shares.get(x, 0.0) * sum(held) for x in names]
+        target = np.array([params.shares.get(x, 0.0) for x in names]) * held.sum()
     else:
-        target = [params.factors.get(x, 1.0) * h for x, h in zip(names, held)]
-    row = soft.agg(*[F.sum(F.col("n_tokens") * F.col(f"p_{i}") * F.col(f"p_{j}")) for i in range(k) for j in range(k)]).first()
-    moment = np.array([x or 0.0 for x in row]).reshape(k, k) + params.ridge * np.diag(held)
-    inverse = np.linalg.pinv(moment, rcond=1e-12, hermitian=True)
-    steps: list[list[float]] = []
-    expected, before = held, [math.inf] * k
+        target = np.array([params.factors.get(x, 1.0) for x in names]) * held
+    ridge = params.ridge * np.diag(held)
+    weight = np.linalg.pinv(moment + ridge, rcond=1e-12, hermitian=True)
+    cost = lambda total: float((total - target) @ weight @ (total - target))
+    steps, expected = [], held
     for _ in range(params.most_steps):
-        if max((abs(a - b) / h for a, b, h in zip(expected, before, held) if h > 0), default=0.0) < params.change:
+        if all(abs(a - b) <= params.change * h for a, b, h in zip(expected, target, held)):
             break
-        steps.append((inverse @ (np.array(expected) - np.array(target))).tolist())
-        before, expected = expected, _totals(soft, rate_after(steps), k)
-    return steps
+        # in the metric of the documents that can move, else in that of all of them, in which a step never overshoots
+        for metric in (np.linalg.pinv(moment + ridge, rcond=1e-12, hermitian=True), weight):
+            trial = [*steps, (metric @ (expected - target)).tolist()]
+            total, live = _state(soft, trial, k)
+            if cost(total) < cost(expected) * (1 - params.gain):
+                break
+        else:
+            break                                 # what is left is what rates at 0 do not allow
+        steps, expected, moment = trial, total, live
+    return Fit(steps, target.tolist(), expected.tolist())
 
 
 def mix(docs: DataFrame, labels: DataFrame, params: Params = Params(), store: Store | None = None,
         carry: list[str] | None = None) -> DataFrame:
-    """One row per document: n_tokens (words), p_<domain>, rate, n_copies.
+    """One row per document: n_tokens (words), p_<domain>, rate, n_copies, gap_<domain>.
 
     docs: doc_id, text and any further columns, of which ``carry`` (default doc_id) come back.
     labels: doc_id and the columns that the domain rules name. n_copies is the rate rounded up or
-    down by a hash of the document, so that its mean is the rate. A null text has no tokens: it
+    down by a hash of the document, so that its mean is the rate. gap_<domain>, the same on every row, is
+    the share by which the domain's expected total (before rounding rates to copies) misses its target. A null text has no tokens: it
     does not move the totals, and its posterior rests on the class shares and its bins. Repeated
     rows and null doc_ids get a row each; an empty table gives no rows.
     """
@@ -181,10 +214,13 @@ def mix(docs: DataFrame, labels: DataFrame, params: Params = Params(), store: St
     soft = featured(base).select("*", model.posterior().alias("_p"), chance.alias("_u"))
     soft = st.put("soft", soft.select(*[f"c_{i}" for i in range(len(carry))], F.col("_n").alias("n_tokens"), "_u",
                                       *[F.round(F.col("_p")[i], 9).alias(f"p_{i}") for i in range(len(names))]))
-    out = soft.withColumn("rate", F.round(rate_after(fit_rates(soft, params)), 6))
+    fit = fit_rates(soft, params)
+    out = soft.withColumn("rate", F.round(rate_after(fit.steps), 6))
+    gaps = [fit.gap(i) for i in range(len(names))]
     return out.select(*[F.col(f"c_{i}").alias(c) for i, c in enumerate(carry)], "n_tokens",
                       *[F.col(f"p_{i}").alias(f"p_{n}") for i, n in enumerate(names)], "rate",
-                      F.floor(F.col("rate") + F.col("_u")).cast("long").alias("n_copies"))
+                      F.floor(F.col("rate") + F.col("_u")).cast("long").alias("n_copies"),
+                      *[F.lit(None if g is None else round(g, 6)).cast("double").alias(f"gap_{n}") for n, g in zip(names, gaps)])
 
 
 def resample(docs: DataFrame, labels: DataFrame, params: Params = Params(), store: Store | None = None) -> DataFrame:

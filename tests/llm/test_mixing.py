@@ -1,10 +1,13 @@
 import math
+import re
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from seatmeter.llm import mixing
+from seatmeter.llm.queries import QUERIES
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -45,25 +48,107 @@ def test_shares(sp, frame):
         assert got[k] / sum(got.values()) == pytest.approx(share, rel=1e-2)
 
 
+def fit_by_hand(t, post, target, p):
+    """Projected gradient in plain numpy: (rates, expected totals, objective after each step)."""
+    held = t @ post
+    metric = lambda live: np.linalg.pinv(post[live].T @ (t[live, None] * post[live]) + p.ridge * np.diag(held), rcond=1e-12, hermitian=True)
+    full, w = metric(np.ones(len(t), bool)), np.ones(len(t))
+    costs = [(held - target) @ full @ (held - target)]
+    for _ in range(p.most_steps):
+        gap = (w * t) @ post - target
+        if (abs(gap) <= p.change * held).all():
+            break
+        for m in (metric(w > 0), full):
+            new = np.maximum(0.0, w - post @ (m @ gap))
+            off = (new * t) @ post - target
+            if off @ full @ off < costs[-1] * (1 - p.gain):
+                break
+        else:
+            break
+        w, costs = new, [*costs, off @ full @ off]
+    return w, (w * t) @ post, costs
+
+
 def test_steps_against_plain_python(sp):
     rows = [(10 * i % 37 + 1, (0.1 * i) % 1, 0.5 * (1 - (0.1 * i) % 1)) for i in range(30)]
     rows = [(t, a, b, 1 - a - b) for t, a, b in rows]
-    p = mixing.Params(factors={"toxic": 0.0, "low": 3.0, "clean": 1.0}, most_steps=15, change=0.0)
     df = sp.createDataFrame(rows, "n_tokens long, p_0 double, p_1 double, p_2 double")
-    steps = mixing.fit_rates(df, p)
     t, post = np.array([r[0] for r in rows], float), np.array([r[1:] for r in rows])
-    held = t @ post
-    target, w = held * np.array([0.0, 3.0, 1.0]), np.ones(len(rows))
-    weight = np.linalg.inv(post.T @ (t[:, None] * post) + p.ridge * np.diag(held))
-    costs = []
-    for s in steps:
-        gap = (w * t) @ post - target
-        costs.append(gap @ weight @ gap)
-        assert s == pytest.approx((weight @ gap).tolist())
-        w = np.maximum(0.0, w - post @ weight @ gap)
-    got = [r.w for r in df.withColumn("w", mixing.rate_after(steps)).collect()]
-    assert got == pytest.approx(w.tolist()) and min(w) == 0.0
-    assert all(b <= a + 1e-9 for a, b in zip(costs, costs[1:]))       # the objective never rises
+    for factors in ({"toxic": 0.0, "low": 3.0, "clean": 1.0}, {"toxic": 0.3, "low": 1.0, "clean": 1.0}):
+        p = mixing.Params(factors=factors)
+        fit = mixing.fit_rates(df, p)
+        target = (t @ post) * np.array([factors[n] for n in p.names])
+        w, expected, costs = fit_by_hand(t, post, target, p)
+        got = [r.w for r in df.withColumn("w", mixing.rate_after(fit.steps)).collect()]
+        assert got == pytest.approx(w.tolist(), abs=1e-6) and fit.expected == pytest.approx(expected.tolist(), rel=1e-6)
+        assert all(b <= a + 1e-9 for a, b in zip(costs, costs[1:]))       # the objective never rises
+
+
+APART = re.compile(r"[\x20\x09-\x0D.,;:!?\"()]+")
+
+
+def by_hand(docs, labels, p):
+    """The whole operator without Spark: rows of (doc_id, n_tokens, posteriors, rate, n_copies)."""
+    def features(text):
+        w = [x for x in APART.split(text.lower()) if x]
+        n, sym, cap, size, d = len(w), len(re.findall("[#*$%&|<>]", text)), len(re.findall("[A-Z]", text)), len(text), len(set(w))
+        bins = {f"sym {0 if sym == 0 else 1 if sym * 50 <= n else 2}", f"cap {2 if cap * 2 > size else 1 if cap * 5 > size else 0}",
+                f"distinct {0 if d * 3 < n else 1 if d * 2 < n else 2}", f"length {0 if size < 5 * n else 1 if size <= 8 * n else 2}"}
+        return n, set(w) | bins
+    kind = {d: 0 if t == 1 else 1 if q == 0 else 2 for d, q, t in labels}
+    feats = {d: features(t or "") for d, t in docs}
+    n = [sum(k == c for d, k in kind.items() if d in feats) for c in range(3)]
+    total = sum(n)
+    counts = {}
+    for d, k in kind.items():
+        for f in feats[d][1] if d in feats else ():
+            counts.setdefault(f, [0, 0, 0])[k] += 1
+    g = {f: round(sum(x * math.log(x * total / (sum(v) * n[i])) for i, x in enumerate(v) if x), 6) for f, v in counts.items()
+         if " " not in f and sum(v) >= p.least_docs}
+    words = sorted((f for f in g if g[f] >= p.least_g), key=lambda f: (-g[f], f.encode()))[:p.vocabulary]
+    share = lambda f: np.array([(counts[f][i] + p.pull * sum(counts[f]) / total) / (n[i] + p.pull) for i in range(3)])
+    prior = np.log([(x + 1) / (total + 3) for x in n]) + sum(np.log(1 - np.minimum(share(f), 1 - 1e-6)) for f in words)
+    post, tokens = [], []
+    for d, t in docs:
+        score = prior.copy()
+        for f in feats[d][1]:
+            if f in words:
+                x = np.minimum(share(f), 1 - 1e-6)
+                score += np.log(x / (1 - x))
+            elif " " in f and f in counts:
+                score += np.log(share(f))
+        e = np.exp(score - score.max())
+        post.append(np.round(e / e.sum(), 9))
+        tokens.append(feats[d][0])
+    post, tokens = np.array(post), np.array(tokens, float)
+    target = (tokens @ post) * np.array([p.factors[x] for x in p.names])
+    w, expected, _ = fit_by_hand(tokens, post, target, p)
+    chance = []
+    for d, t in docs:
+        seed = 42
+        for part in (d.to_bytes(8, "little", signed=True), t.encode(), (11).to_bytes(4, "little")):
+            seed = xxhash.xxh64_intdigest(part, seed=seed)
+        chance.append((seed - (1 << 64) if seed >> 63 else seed) % 1_000_000 / 1_000_000)
+    return post, w, np.floor(np.round(w, 6) + chance), expected / target - 1
+
+
+def test_whole_query_with_default_parameters(sp):
+    for folder in ("/root/testdata/sf0.001", "/root/testdata/sf0.01"):
+        docs = [tuple(r) for r in sp.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+        labels = [tuple(r) for r in sp.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality", "toxic").collect()]
+        post, rate, copies, gap = by_hand(docs, labels, mixing.Params())
+        out = QUERIES["op8_source_mixing"](sp, folder).toPandas().set_index("doc_id").loc[[d for d, _ in docs]]
+        assert np.abs(out[["p_toxic", "p_low", "p_clean"]].to_numpy() - post).max() < 1e-6
+        assert np.abs(out.rate.to_numpy() - rate).max() < 1e-3
+        assert (out.n_copies.to_numpy() != copies).mean() < 0.005            # a rate rounded the other way
+        assert np.abs(out[["gap_toxic", "gap_low", "gap_clean"]].to_numpy() - gap).max() < 1e-3
+        tokens, p = out.n_tokens.to_numpy(float), out[["p_toxic", "p_low", "p_clean"]].to_numpy()
+        target = (tokens @ p) * np.array([mixing.Params().factors[n] for n in mixing.Params().names])
+        total = (out.rate.to_numpy() * tokens) @ p
+        if folder.endswith("sf0.01"):
+            assert total == pytest.approx(target, rel=0.01)
+        else:               # too few labels to tell the domains apart: the rows say what is left
+            assert out[["gap_toxic", "gap_low", "gap_clean"]].iloc[0].tolist() == pytest.approx((total / target - 1).tolist(), abs=1e-3)
 
 
 def test_held_out_accuracy(sp):
