@@ -2,10 +2,11 @@
 
 1. One pass over the texts gives each document's shingle set (word shingles,
    A-Z lowered), a 128-bit hash of the whole set, its SuperMinHash signature
-   (Ertl, 2017) folded into band keys, and a small bitmap of the set.
+   (Ertl, 2017) folded into band keys, and a bitmap of the set, wider for larger sets.
 2. Documents with equal sets become one class (a grouped minimum). Only class
    representatives go on; copies are never paired.
-3. Representatives that share a band key meet in a bucket. Pairs are dropped by
+3. Representatives that share a band key meet in a bucket; the members of buckets
+   that hold two or more are written once and used in all rounds. Pairs are dropped by
    two exact bounds: set sizes, and the bitmap's upper bound of the
    intersection. A large bucket is dealt to many tasks as pairs of blocks.
 4. Two rounds of proposals (each document's most promising partner outside its
@@ -13,7 +14,9 @@
    remaining pair between different components. So no pair of a bucket is left
    out unless its two documents are already connected by confirmed links.
 5. Every proposed pair is confirmed on the full shingle sets, and the links are
-   grouped by union-find (``components``).
+   grouped by union-find (``components``). Sets are made of the texts in pairs only. Of a pair
+   only the set of the text with more partners is carried to the other one's; where the pairs (two ids each) are few
+   enough to be sent to all tasks, no text and no other set is moved.
 
 With 40 bands of 5 ranks a pair at similarity 0.8 shares no band with
 probability (1 - 0.8^5)^40 = 1.3e-7.
@@ -34,8 +37,10 @@ from . import text as tx
 from .components import components
 from .store import Store
 
-BITMAP_WORDS = 16
+# words of the bitmap of a set: 16 up to 1,024 elements, 64 up to 4,096, 256 above
+WIDTHS = ((1024, 16), (4096, 64), (None, 256))
 BLOCK = 512
+SENT = 1 << 20            # pairs or ids (16 bytes each) that are sent to all tasks, at most
 
 
 @dataclass(frozen=True)
@@ -100,14 +105,33 @@ def band_keys(sig: np.ndarray, p: Params) -> np.ndarray:
     return tx.combine(keys, np.broadcast_to(np.arange(p.bands, dtype=np.uint64), keys.shape))
 
 
-def bitmaps(elements: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """One bit per element at (hash mod bits): two sets differ at least where their bits do."""
-    bits = BITMAP_WORDS * 64
-    out = np.zeros((len(first) - 1, BITMAP_WORDS), dtype=np.uint64)
+def widths(size: np.ndarray) -> np.ndarray:
+    """Bitmap words of sets by their size; it never falls with the size."""
+    out = np.full(len(size), WIDTHS[-1][1], dtype=np.int64)
+    for most, words in reversed(WIDTHS[:-1]):
+        out[size <= most] = words
+    return out
+
+
+def bitmaps(elements: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One bit per element at (hash mod bits): two sets differ at least where their bits do. (words, offsets)"""
+    words = widths(np.diff(first))
+    offsets = np.concatenate([[0], np.cumsum(words)])
+    out = np.zeros(offsets[-1], dtype=np.uint64)
     owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    at = (elements >> np.uint64(20)) % np.uint64(bits)
-    np.bitwise_or.at(out.reshape(-1), owner * BITMAP_WORDS + (at >> np.uint64(6)).astype(np.int64),
-                     np.uint64(1) << (at & np.uint64(63)))
+    at = (elements >> np.uint64(20)).astype(np.int64) & (words[owner] * 64 - 1)
+    np.bitwise_or.at(out, offsets[owner] + (at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
+    return out, offsets
+
+
+def folded(words: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray:
+    """Bitmaps of ``width`` words or more, brought to that width: bits mod a power of two stay bits mod a smaller one."""
+    out = np.zeros((len(offsets) - 1, width), dtype=np.uint64)
+    size = np.diff(offsets)
+    for have in np.unique(size):
+        rows = np.flatnonzero(size == have)
+        held = words[offsets[rows][:, None] + np.arange(have)]
+        out[rows] = np.bitwise_or.reduce(held.reshape(len(rows), have // width, width), axis=1)
     return out
 
 
@@ -143,9 +167,10 @@ def _sign(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBat
                 total = np.concatenate([[np.uint64(0)], np.cumsum(tx.mix(elements ^ tx.mix(np.atleast_1d(salt))))])
                 sums.append(tx.mix(total[first[1:]] - total[first[:-1]] + size.astype(np.uint64)))
             keys = band_keys(super_minhash(elements, first, p.size), p)
+            bits, ends = bitmaps(elements, first)
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), pa.array(size), _i64(sums[0]), _i64(sums[1]), _lists(keys),
-                 _lists(bitmaps(elements, first))],
+                 pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), _i64(bits))],
                 ["doc_id", "n_shingles", "set_a", "set_b", "bands", "bitmap"])
     tx.trim()
 
@@ -196,9 +221,15 @@ def _pack(pairs) -> Iterator[pa.RecordBatch]:
 
 def _pairs(b: pa.RecordBatch, p: Params, every: bool):
     left, right, block, node, size, comp = (b.column(i).to_numpy() for i in range(1, 7))
-    bits = b.column(7).flatten().to_numpy().view(np.uint64).reshape(-1, BITMAP_WORDS)
     order = np.argsort(size, kind="stable")
-    node, size, comp, bits, block = node[order], size[order], comp[order], bits[order], block[order]
+    held = b.column(7).take(pa.array(order))
+    words, ends = held.flatten().to_numpy().view(np.uint64), held.offsets.to_numpy().astype(np.int64)
+    ends = ends - ends[0]
+    node, size, comp, block = node[order], size[order], comp[order], block[order]
+    width = np.diff(ends)
+    # by size, a row's partners have its width or more: bitmaps of the rows from each width on, at that width
+    from_ = {w: int(np.searchsorted(width, w)) for w in np.unique(width).tolist()}
+    maps = {w: folded(words, ends[at:], w) for w, at in from_.items()}
     same = left[0] == right[0]
     # partners of row i: larger rows j > i with 100 * size_i >= percent * size_j
     reach = np.searchsorted(size * p.percent, size * 100, side="right")
@@ -207,8 +238,9 @@ def _pairs(b: pa.RecordBatch, p: Params, every: bool):
         j = j[comp[j] != comp[i]] if same else j[(comp[j] != comp[i]) & (block[j] != block[i])]
         if not len(j):
             continue
-        mine = np.bitwise_count(bits[i] & ~bits[j]).sum(axis=1, dtype=np.int64)
-        theirs = np.bitwise_count(bits[j] & ~bits[i]).sum(axis=1, dtype=np.int64)
+        bits, at = maps[int(width[i])], from_[int(width[i])]
+        mine = np.bitwise_count(bits[i - at] & ~bits[j - at]).sum(axis=1, dtype=np.int64)
+        theirs = np.bitwise_count(bits[j - at] & ~bits[i - at]).sum(axis=1, dtype=np.int64)
         inter = np.minimum(size[i] - mine, size[j] - theirs)
         j_ok = 100 * inter >= p.percent * (size[i] + size[j] - inter)
         if j_ok.any():
@@ -220,27 +252,34 @@ def _pairs(b: pa.RecordBatch, p: Params, every: bool):
             yield np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
 
 
-def _members(reps: DataFrame, comps: DataFrame | None) -> DataFrame:
+def _buckets(reps: DataFrame) -> DataFrame:
+    """(bucket, blocks, node) of all buckets with two or more representatives; blocks: of at most BLOCK of them, about."""
+    rows = reps.select(F.explode("bands").alias("bucket"), "node")
+    shared = (rows.groupBy("bucket").agg(F.count("*").alias("held")).filter("held > 1")
+              .select("bucket", F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks")))
+    return rows.join(shared, "bucket").select("bucket", "blocks", "node")
+
+
+def _members(buckets: DataFrame, marks: DataFrame, comps: DataFrame | None) -> DataFrame:
     """Bucket rows (bucket, left, right, block, node, size, comp, bitmap) of buckets that still
     hold two components; a bucket of over BLOCK rows is dealt out as pairs of blocks."""
     if comps is None:
-        base = reps.withColumn("comp", F.col("node"))
+        rows = buckets.withColumn("comp", F.col("node"))
     else:
-        base = (reps.join(comps, "node", "left")
+        rows = (buckets.join(comps, "node", "left")
                 .withColumn("comp", F.coalesce("component", "node")).drop("component"))
-    rows = base.select(F.explode("bands").alias("bucket"), "node", "comp")
-    mixed = (rows.groupBy("bucket").agg(F.count("*").alias("held"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .filter("lo < hi").select("bucket", F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks")))
-    rows = rows.join(mixed, "bucket").withColumn("block", F.expr("cast(pmod(xxhash64(node, 7), blocks) as int)"))
+        mixed = rows.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("bucket")
+        rows = rows.join(mixed, "bucket")
+    rows = rows.withColumn("block", F.expr("cast(pmod(xxhash64(node, 7), blocks) as int)"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     rows = rows.select("bucket", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"),
                        "block", "node", "comp")
-    return (rows.join(reps.select("node", "size", "bitmap"), "node")
+    return (rows.join(marks, "node")
             .select("bucket", "left", "right", "block", "node", "size", "comp", "bitmap"))
 
 
-def _candidates(reps: DataFrame, comps: DataFrame | None, p: Params, every: bool) -> DataFrame:
-    rows = _members(reps, comps)
+def _candidates(buckets: DataFrame, marks: DataFrame, comps: DataFrame | None, p: Params, every: bool) -> DataFrame:
+    rows = _members(buckets, marks, comps)
     dealt = rows.repartition("bucket", "left", "right").sortWithinPartitions("bucket", "left", "right", "node")
     return dealt.mapInArrow(partial(_propose, p=p, every=every), "u long, v long").distinct()
 
@@ -256,14 +295,24 @@ def _texts_to_sets(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.
     tx.trim()
 
 
+def _sent(df: DataFrame) -> DataFrame:
+    """For a join: to be sent to all tasks if it has at most SENT rows (of one or two ids), else left to the planner."""
+    return F.broadcast(df) if df.limit(SENT + 1).count() <= SENT else df
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
     """Pairs whose full sets meet the similarity, by exact counts."""
-    a = sets.select(F.col("node").alias("u"), F.col("elements").alias("a"))
-    b = sets.select(F.col("node").alias("v"), F.col("elements").alias("b"))
-    return (pairs.join(a, "u").join(b, "v")
-            .withColumn("both", F.size(F.array_intersect("a", "b")))
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count("*").alias("n"))
+    of = lambda end: ends.toDF(end, f"n_{end}")
+    # hub: the end with more pairs, whose set is copied; so no set meets many others in one place
+    turned = pairs.join(of("u"), "u").join(of("v"), "v").select(
+        F.when(F.col("n_u") >= F.col("n_v"), F.col("u")).otherwise(F.col("v")).alias("hub"),
+        F.when(F.col("n_u") >= F.col("n_v"), F.col("v")).otherwise(F.col("u")).alias("rim"))
+    a = sets.select(F.col("node").alias("hub"), F.col("elements").alias("a")).join(_sent(turned), "hub")
+    b = sets.select(F.col("node").alias("rim"), F.col("elements").alias("b")).join(_sent(turned.select("rim").distinct()), "rim", "left_semi")
+    return (a.join(b, "rim").withColumn("both", F.size(F.array_intersect("a", "b")))
             .filter(F.expr(f"100 * both >= {p.percent} * (size(a) + size(b) - both)"))
-            .select("u", "v"))
+            .select(F.least("hub", "rim").alias("u"), F.greatest("hub", "rim").alias("v")))
 
 
 # ---------------------------------------------------------------- the operator
@@ -290,11 +339,15 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), store: Store | N
         F.min(F.struct(F.col("doc_id"), F.col("n_shingles"), F.col("bands"), F.col("bitmap"))).alias("r"))
         .select(F.col("r.doc_id").alias("node"), F.col("r.n_shingles").alias("size"), "r.bands", "r.bitmap",
                 "set_a", "set_b"))
+    lean = st.put("lean", signed.select("doc_id", "n_shingles", "set_a", "set_b"))
+    st.drop("signed")
+    buckets = st.put("buckets", _buckets(reps))
+    marks = st.put("marks", reps.select("node", "size", "bitmap").join(_sent(buckets.select("node").distinct()), "node", "left_semi"))
     links = spark.createDataFrame([], "u long, v long")
     comps, tried, sets = None, None, None
     for turn in range(3):
         name = f"pairs-{turn}"
-        pairs = _candidates(reps, comps, p, every=turn == 2)
+        pairs = _candidates(buckets, marks, comps, p, every=turn == 2)
         if tried is not None:
             pairs = pairs.join(tried, ["u", "v"], "left_anti")
         pairs = st.put(name, pairs)
@@ -305,7 +358,7 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), store: Store | N
         nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
         if sets is not None:
             nodes = nodes.join(sets.select("node").distinct(), "node", "left_anti")
-        new = (base.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+        new = (base.join(_sent(nodes.withColumnRenamed("node", "doc_id")), "doc_id", "left_semi")
                .mapInArrow(partial(_texts_to_sets, p=p), "node long, elements array<long>"))
         new = st.put(f"sets-{turn}", new)
         sets = new if sets is None else sets.unionAll(new)
@@ -315,12 +368,13 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), store: Store | N
             continue
         links = links.unionAll(found)
         comps = components(links, st, f"cc{turn}")
+    st.drop("buckets", "marks", *[f"{kind}-{turn}" for kind in ("sets", "pairs") for turn in range(3)])
     if comps is None:
         comps = spark.createDataFrame([], "node long, component long")
     classes = (reps.join(comps, "node", "left")
                .select("set_a", "set_b", F.coalesce("component", "node").alias("component")))
     ids = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    out = (signed.select("doc_id", "n_shingles", "set_a", "set_b").join(classes, ["set_a", "set_b"], "left")
+    out = (lean.join(classes, ["set_a", "set_b"], "left")
            .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, ids).otherwise(F.col("doc_id")).alias("component_id")))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

@@ -102,3 +102,32 @@ def test_components_of_paths_and_stars(sp):
     df = sp.createDataFrame(edges, "u long, v long").repartition(7)
     got = {r.node: r.component for r in components.components(df, Store(sp, "t")).collect()}
     assert got == {x: find(x) for x in parent}
+
+
+def test_bitmaps_bound_the_intersection_at_any_width():
+    rng = np.random.default_rng(4)
+    sizes = [3, 900, 1024, 1025, 1200, 4096, 4097, 5000, 9000]
+    pool = rng.integers(0, 2**63, 20_000).astype(np.uint64)
+    sets = [pool[rng.permutation(20_000)[:n]] for n in sizes]
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    words, ends = minhash.bitmaps(np.concatenate(sets), first)
+    assert np.diff(ends).tolist() == minhash.widths(np.array(sizes)).tolist() == [16] * 3 + [64] * 3 + [256] * 3
+    for i in range(len(sizes)):
+        for j in range(i, len(sizes)):
+            w = int(np.diff(ends)[i])
+            a, b = minhash.folded(words, ends[[i, i + 1]], w)[0], minhash.folded(words, ends[[j, j + 1]], w)[0]
+            both = len(set(sets[i].tolist()) & set(sets[j].tolist()))
+            bound = min(sizes[i] - np.bitwise_count(a & ~b).sum(dtype=np.int64), sizes[j] - np.bitwise_count(b & ~a).sum(dtype=np.int64))
+            assert both <= bound
+
+
+def test_long_texts_and_pairs_not_sent(sp, frame, monkeypatch):
+    rng = random.Random(8)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(7000)]
+    rows = [(1, " ".join(long)), (2, " ".join(long[:6500])), (3, " ".join(long[:1500])), (4, " ".join(long[:1300])), (5, " ".join(long[3000:])),
+            (6, " ".join(rng.sample(long, 7000)))] + [(10 + i, " ".join(long[i: 1100 + i])) for i in range(12)]
+    want = brute(rows, 2)
+    assert len({r[2] for r in want}) < len(want)
+    assert run(frame(rows, "doc_id long, text string"), shingle=2) == want
+    monkeypatch.setattr(minhash, "SENT", 0)
+    assert run(frame(rows, "doc_id long, text string"), shingle=2) == want
