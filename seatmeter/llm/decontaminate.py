@@ -2,14 +2,14 @@
 
 Items (short) are put into geometric size partitions by the number of their
 distinct shingles. Per partition a containment MinHash sketch is kept: the
-``keys`` shingles of an item with the smallest hash ranks. Each rank minimum is
-a uniform draw from the item's set, so a document that holds a share c of the
-item holds a given key with probability c, and holds none of k keys with
-probability at most (1 - c)^k. ``keys`` is set per partition so that this is at
-most ``miss``; an item with no more shingles than that keeps all of them. The
+``keys`` shingles of an item with the smallest hash ranks, i.e. a uniform sample of
+its set without replacement. A document that holds m of an item's n shingles holds none of
+k keys with probability C(n - m, k) / C(n, k). ``keys`` is the least number that
+brings this to ``miss`` for all sizes of the partition: 2 for items of 4 to 7 shingles, 4 up
+to 15 (both without any miss), 11 at most for large ones. The
 document side is not sketched: every shingle of every document is probed, so
-the length of a document does not lower recall. Documents with fewer shingles
-than a partition's items need are skipped for it. Candidates are verified by
+the length of a document does not lower recall. A partition is probed with documents only
+that have the shingles its smallest item needs. Candidates are verified by
 exact containment of the full shingle sets in the same task.
 
 Items are the stated query set and are taken in blocks of bounded size; each
@@ -45,6 +45,15 @@ PAIRS = ("doc_id long, item_id long, size_partition int, item_shingles long, sha
          "containment double")
 
 
+def sketch_size(sizes: set[tuple[int, int]], miss: float) -> int:
+    """Keys that a partition's items keep: the fewest with which a document that shares ``need`` of ``size`` shingles
+    has none of the keys with probability ``miss`` at most, for all (size, need)."""
+    k = 1
+    while any(math.comb(n - need, k) > miss * math.comb(n, k) for n, need in sizes):
+        k += 1
+    return k
+
+
 class Items:
     """One block of items, ready for probing."""
 
@@ -58,10 +67,11 @@ class Items:
         self.partition = np.array([int(s).bit_length() - 1 for s in size], dtype=np.int64)
         self.need = -(-size * p.percent // 100)        # shingles a document must share
         keys, owner = [], []
+        self.least = np.zeros(len(size), dtype=np.int64)    # shingles that a document must have for the item's partition
         for part in np.unique(self.partition):
             inside = self.partition == part
-            share = (self.need[inside] / size[inside]).min()      # the least share that still matches
-            k = 1 if share >= 1 else math.ceil(math.log(p.miss) / math.log(1 - share))
+            k = sketch_size(set(zip(size[inside].tolist(), self.need[inside].tolist())), p.miss)
+            self.least[inside] = self.need[inside].min()
             for i in np.flatnonzero(inside):
                 ranked = self.sets[i][np.argsort(tx.mix(self.sets[i]))[:k]]
                 keys.append(ranked)
@@ -81,7 +91,8 @@ class Items:
         hit = hi > lo
         at, lo, hi = at[hit], lo[hit], hi[hit]
         doc = np.searchsorted(first, at, side="right") - 1
-        found = {(int(d), int(i)) for d, a, b in zip(doc, lo, hi) for i in self.owner[a:b]}
+        size = np.diff(first)
+        found = {(int(d), int(i)) for d, a, b in zip(doc, lo, hi) for i in self.owner[a:b] if size[d] >= self.least[i]}
         own: dict[int, np.ndarray] = {}
         for d, i in sorted(found):
             a, b = first[d], first[d + 1]

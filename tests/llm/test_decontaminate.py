@@ -1,3 +1,4 @@
+import math
 import re
 
 from seatmeter.llm import decontaminate as dc
@@ -49,3 +50,12 @@ def test_empty_tables(sp, frame):
     some, none = [(1, "a b c d e f")], []
     for d, i in ((some, none), (none, some), (none, none)):
         assert run(frame(d, "doc_id long, text string"), frame(i, "item_id long, text string")) == []
+
+
+def test_partitions_decide_the_keys():
+    sizes = lambda lo, hi: {(n, -(-n * 80 // 100)) for n in range(lo, hi)}
+    got = [dc.sketch_size(sizes(2**k, 2 ** (k + 1)), 1e-7) for k in range(12)]
+    assert got[:4] == [1, 1, 2, 4] and got == sorted(got) and got[-1] <= 11
+    for n, need in ((7, 6), (15, 12), (63, 51)):
+        k = dc.sketch_size({(n, need)}, 1e-7)
+        assert math.comb(n - need, k) <= 1e-7 * math.comb(n, k) and (k == 1 or math.comb(n - need, k - 1) > 1e-7 * math.comb(n, k - 1))
