@@ -159,7 +159,7 @@ def unpivot_wide(wide: DataFrame, ids: Sequence[str], stems: dict[str, str]) ->
             rows.append(F.struct(F.lit(stems[stem]).alias("plan_name"), F.lit(nfr).alias("is_nfr"),
                                  F.lit(1 if at <= 1 else at + 1).alias("tier_min"), F.lit(after).cast("int").alias("tier_max"),
                                  F.col(c).cast("decimal(18,4)").alias("price")))
-    return wide.select(*ids, F.explode(F.array(*rows)).alias("t")).select(*ids, "t.*").filter(F.col("price").isNotNull())
+    return wide.select(*ids, F.explode(F.array(*rows)).alias("_tier")).select(*ids, "_tier.*").filter(F.col("price").isNotNull())
 
 
 def allocate(parts: DataFrame, pool_keys: Sequence[str], part_qty: str, pool_amount: DataFrame,
