@@ -14,8 +14,11 @@ windows always meet:
    documents) and the segments of those that occur once are dropped.
 3. Each remaining segment goes to the shard of its minimizer; equal segments of
    a block are sent once. A minimizer with over ``hot`` occurrences is dealt
-   out further: its segments are cut into single windows, each of which goes to
-   the shard of its own words, so no shard grows with one common passage.
+   out further: its segments are cut into single windows, and each window goes to
+   the shard of its own words in two steps. First it meets those of a group of blocks
+   (as many groups as the root of the number of blocks), where a window found twice is
+   answered at once; then each group sends every distinct window once. So a passage that
+   stands in every block is one row per block of a group, and one row per group, in a task.
 4. A shard builds a compressed FM-index over its distinct segments
    (entropy-shaped wavelet tree, ``fmindex``), each with the number of its
    copies. The segments are streamed against it by backward search; their
@@ -199,6 +202,38 @@ def _send(block_table: pa.Table, keys: pa.Table, p: Params, shards: int) -> pa.T
     return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(zip(names, types))})
 
 
+MET = f"{SEGMENTS}, at array<int>, tos array<int>"
+
+
+def _meet(table: pa.Table, p: Params) -> pa.Table:
+    """The cut windows of one shard from one group of blocks: answers for those that occur twice (rows with ``at``),
+    and every distinct window once, under the first block that holds it (rows with ``body``)."""
+    press, unpress = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+    seen: dict[bytes, list] = {}                              # words -> copies, [(block, first word)]
+    shard = table["shard"][0].as_py()
+    for batch in table.to_batches():
+        col = lambda c: batch.column(batch.schema.get_field_index(c))
+        for i in range(batch.num_rows):
+            body, at, block = unpress.decompress(col("body")[i].as_py()), 0, col("block")[i].as_py()
+            for size, n, first in zip(col("sizes")[i].as_py(), col("copies")[i].as_py(), col("froms")[i].as_py()):
+                held = seen.setdefault(body[at: at + size], [0, []])
+                held[0] += n
+                held[1].append((block, first))
+                at += size
+    answers: dict[int, list[int]] = {}
+    onward: dict[int, list[tuple[int, int, bytes]]] = {}
+    for words, (n, places) in seen.items():
+        for block, first in places if n > 1 else ():
+            answers.setdefault(block, []).append(first)
+        onward.setdefault(places[0][0], []).append((places[0][1], min(n, 2), words))
+    rows = [(shard, b, True, f, None, None, None, f, [x + p.window for x in f]) for b, f in answers.items()]
+    rows += [(shard, b, True, [x[0] for x in w], [x[1] for x in w], [len(x[2]) for x in w], press.compress(b"".join(x[2] for x in w)), None, None)
+             for b, w in onward.items()]
+    types = [pa.int64(), pa.int64(), pa.bool_(), *[pa.list_(pa.int32())] * 3, pa.binary(), *[pa.list_(pa.int32())] * 2]
+    names = [x.split()[0] for x in MET.split(", ")]
+    return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(zip(names, types))})
+
+
 def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     if not len(ordered):
         return np.zeros(len(values), dtype=bool)
@@ -355,6 +390,18 @@ def dedup_substrings(docs: DataFrame, params: Params = Params(), store: Store |
     by_block = blocks.groupBy("block")
     segments = by_block.cogroup(repeated.select("block", "key", "hot").groupBy("block")).applyInArrow(
         lambda left, right: _send(left, right, p, shards), SEGMENTS)
+    answers = None
+    if not repeated.filter("hot").isEmpty():
+        segments = st.put("segments", segments, codec="uncompressed")
+        groups = max(1, math.isqrt(blocks.count()))
+        salt = F.pmod(F.xxhash64("block", F.lit(9)), F.lit(groups))
+        met = st.put("met", segments.filter("cut").withColumn("salt", salt).groupBy("shard", "salt").applyInArrow(
+            lambda t: _meet(t.drop_columns(["salt"]), p), MET), codec="uncompressed")
+        answers = met.filter("at is not null").select(*[c.split()[0] for c in FOUND.split(", ")])
+        columns = [c.split()[0] for c in SEGMENTS.split(", ")]
+        segments = segments.filter("not cut").select(*columns).unionAll(met.filter("body is not null").select(*columns))
     found = st.put("found", segments.groupBy("shard").applyInArrow(lambda t: _search(t, p), FOUND))
-    st.drop("keys", "repeated")
+    if answers is not None:
+        found = found.unionAll(answers)
+    st.drop("keys", "repeated", "segments")
     return by_block.cogroup(found.groupBy("block")).applyInArrow(lambda left, right: _cut(left, right, p), RESULT)
