@@ -21,7 +21,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial, reduce
 
 import numpy as np
@@ -41,7 +41,8 @@ class Params:
     evidence: float = 60.0        # trigrams that a text counts for, at most
     pull: float = 10.0            # pages that a parent's share counts for in its child
     trust: float = 5.0            # pages of prior belief that declared markup tells the truth
-    buckets: int = 1 << 15
+    buckets: int = 1 << 15        # of trigrams; halved until the model, which goes to every task, fits ...
+    model_bytes: int = 64 << 20   # ... (255 languages fit as it is)
 
 
 HIDING = re.compile(r"<(?:(script|style)\b|(!--)|)", re.I)
@@ -147,8 +148,17 @@ class TextModel:
 
 
 def train(docs: DataFrame, params: Params) -> TextModel:
-    """Trigram model from labelled documents (doc_id, text, lang); rows without a label or text say nothing."""
-    known = docs.select("doc_id", F.lower("lang").alias("lang"), "text").filter("lang is not null and text is not null")
+    """Trigram model from labelled documents (doc_id, text, lang); rows without a label or text say nothing.
+
+    A label is a language subtag of two or three letters, with or without further ones (``en``, ``DE-at``); any other
+    one says nothing, so a dirty column adds no languages. All languages are kept: where the model would grow beyond
+    ``model_bytes``, trigrams share fewer buckets.
+    """
+    label = F.regexp_extract(F.lower(F.trim("lang")), "^([a-z]{2,3})(?:[-_][a-z0-9_-]*)?$", 1)
+    known = docs.select("doc_id", label.alias("lang"), "text").filter("lang <> '' and text is not null")
+    held = known.select("lang").distinct().count()
+    while params.buckets > 1 << 8 and 8 * params.buckets * held > params.model_bytes:
+        params = replace(params, buckets=params.buckets // 2)
     hashed = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
     first = hashed.orderBy("h", "doc_id").limit(params.sample_docs)
     # the languages with too few of these rows are rare ones, so no window holds a large part of the documents
@@ -210,6 +220,7 @@ def identify(pages: DataFrame, labelled: DataFrame, params: Params = Params(), s
     st = store or Store(pages.sparkSession, "language")
     model = train(labelled, params)
     names, k = model.languages, len(model.languages)
+    params = replace(params, buckets=len(model.log_p))
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     shared = pages.sparkSession.sparkContext.broadcast(model)
     scored = base.mapInArrow(partial(_score, model=shared, p=params), SCORED)

@@ -113,6 +113,21 @@ def test_every_language_is_kept(sp, frame):
     assert [(got[i].declared, got[i].language) for i in range(40)] == [(n, n) for n in names]
 
 
+def test_dirty_labels_and_a_bounded_model(sp, frame):
+    names = [a + b for a in "abcd" for b in "vwxyz"]
+    clean = [(i, f"{names[i % 20] * 4} " * 20, names[i % 20]) for i in range(100)]
+    dirty = [(1000 + i, "some text", x) for i, x in enumerate(["", " ", "english", "e", "x1", "?", None, "a b", "toolong-x"])]
+    dirty += [(2000, "av" * 30, " AV-latn_XX "), (2001, None, "zz")]
+    labelled = frame(clean + dirty, "doc_id long, text string, lang string")
+    assert language.train(labelled, language.Params()).languages == sorted(names)
+    p = language.Params(model_bytes=20 * 8 * 2048)
+    model = language.train(labelled, p)
+    assert model.languages == sorted(names) and model.log_p.shape == (2048, 20)
+    rows = [(i, "http://h/", f"<p>{(n * 4 + ' ') * 20}") for i, n in enumerate(names)]
+    got = {r.page_id: r.text_language for r in language.identify(frame(rows, PAGES), labelled, p).collect()}
+    assert [got[i] for i in range(20)] == names
+
+
 # what is hidden and declared, stated as patterns (which take quadratic time)
 HIDDEN = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.I | re.S)
 DECLARED = re.compile(r"<html\b[^>]*?\s(?:xml:)?lang\s*=\s*[\"']?\s*([A-Za-z]+)", re.I)
