@@ -16,13 +16,66 @@ def explode_values(df: DataFrame, key: str, text: str, sep: str, out: str = "rea
     return df.select(key, F.explode_outer(F.array_distinct(parts)).alias(out)).distinct()
 
 
-def json_array_csv(raw: Column) -> Column:
-    """JSON text -> comma list when it holds an array, else NULL."""
-    v = F.try_parse_json(raw)
+def json_array_csv(raw: Column, path: str = "$") -> Column:
+    """JSON text -> comma list when there is an array at the path, else NULL (C7); NULL elements are left out."""
+    v = F.try_variant_get(F.try_parse_json(raw), path, "variant")
     is_array = F.schema_of_variant(v).startswith("ARRAY")
     return F.when(is_array, F.array_join(F.variant_get(v, "$", "array<string>"), ","))
 
 
+# Bands of the licences of an account (C1, C3), upper bound (inclusive from the second on) and label.
+LICENSE_BANDS = ((1000, "< 1000"), (2500, "1000 - 2500"))
+
+
+def license_band(users: Column) -> Column:
+    """Band of a number of licences; NULL stays NULL."""
+    (low, small), (high, mid) = LICENSE_BANDS
+    return F.when(users < low, small).when(users <= high, mid).when(users > high, f"> {high}")
+
+
+def churn_report(opps: DataFrame, accounts: DataFrame, owners: DataFrame, since) -> DataFrame:
+    """Lost recurring revenue since a date (C1): renewals, and terminations that were closed as won, with a negative change.
+
+    opps: opp_id, account_id, owner_id, type, stage, churn_date, change_in_arr, users, loss_reason;
+    accounts: account_id, account_name, total_arr; owners: owner_id, owner_name.
+    """
+    lost = opps.filter((F.col("churn_date") >= F.lit(since)) & (F.col("change_in_arr") < 0)
+                       & (F.col("type").isin("Renewal", "Renewal/Upsell") | ((F.col("type") == "Terminated") & (F.col("stage") == "Closed Won"))))
+    j = lost.join(accounts, "account_id", "left").join(owners, "owner_id", "left")
+    return j.select("opp_id", "churn_date", "owner_name", "account_name", "type", "stage", "total_arr", "change_in_arr", "loss_reason",
+                    "users", license_band(F.col("users")).alias("license_tier"))
+
+
+def poc_report(opps: DataFrame, pocs: DataFrame, owners: DataFrame, names: Sequence[str], since) -> DataFrame:
+    """Closed opportunities of the listed owners with trials that ended since a date (C3); a row per trial.
+
+    pocs: poc_id, opp_id, poc_name, end_date.
+    """
+    ended = pocs.filter(F.col("end_date") >= F.lit(since))
+    mine = owners.filter(F.col("owner_name").isin(*names))
+    closed = opps.filter(F.col("stage").isin("Closed Lost", "Closed Won"))
+    # both conditions look at the right sides, so the outer joins of the report are inner ones
+    j = closed.join(mine, "owner_id").join(ended, "opp_id")
+    return j.select("opp_id", "poc_id", "poc_name", "end_date", "owner_name", "stage", "arr", "users",
+                    license_band(F.col("users")).alias("license_tier"))
+
+
+def activity_history(past: DataFrame, activity: DataFrame, people: DataFrame, sprints: DataFrame) -> DataFrame:
+    """Stored history and the newest activity as one set of rows (C10), with the person's team and the day's sprint.
+
+    past: email, date, suggested, accepted, agent_requests; activity: ``flatten_activity`` rows; people: email, skill_set, team;
+    sprints: datestamp, sprint. People and days that are not known give NULLs, as the outer joins say; equal rows count once.
+    """
+    new = activity.select("email", F.col("day").alias("date"), (F.col("total_lines_added") + F.col("total_lines_deleted")).alias("suggested"),
+                          (F.col("accepted_lines_added") + F.col("accepted_lines_deleted")).alias("accepted"), "agent_requests")
+    rows = past.select(*new.columns).unionByName(new)
+    known = people.select(F.col("email").alias("_email"), F.col("email").alias("known_email"), "skill_set", "team")
+    j = (rows.join(known, F.col("email") == F.col("_email"), "left")
+         .join(sprints, F.col("date") == F.col("datestamp"), "left"))
+    return j.select(F.col("datestamp").alias("date"), "sprint", F.col("known_email").alias("email"), "skill_set", "team",
+                    F.col("suggested").alias("total_chat_suggested"), F.col("accepted").alias("total_chat_accepted"), "agent_requests").distinct()
+
+
 def json_field(raw: Column, path: str, type_: str) -> Column:
     """Typed field of a JSON text column via the variant type."""
     return F.try_variant_get(F.try_parse_json(raw), path, type_)

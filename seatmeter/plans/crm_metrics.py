@@ -235,7 +235,7 @@ def churn_bands(spark, sf):
     SELECT p_partkey, NULL FROM part WHERE p_partkey NOT IN (
       SELECT p_partkey FROM (SELECT p_partkey, trim(unnest(string_split(p_name, ' '))) AS r FROM part) WHERE r <> '')""")
 def explode_reasons(spark, sf):
-    return crm.explode_values(_t(spark, sf).part, "p_partkey", "p_name", " ")
+    return crm.explode_values(_t(spark, sf).part, "p_partkey", "p_name", " ").orderBy("p_partkey", "reason")
 
 
 @q("owner_filter", """
@@ -321,6 +321,77 @@ def incremental_loads(spark, sf):
     return target.read()
 
 
+CHURN_SINCE = dt.date(1997, 1, 1)
+HISTORY_UNTIL = dt.date(2024, 1, 18)
+_OPPS = """
+    opps AS (
+      SELECT o_orderkey AS opp_id, o_custkey AS account_id, c_nationkey AS owner_id,
+             CASE o_orderpriority WHEN '1-URGENT' THEN 'Renewal' WHEN '2-HIGH' THEN 'Renewal/Upsell' WHEN '3-MEDIUM' THEN 'Terminated' ELSE 'New' END AS type,
+             CASE o_orderstatus WHEN 'F' THEN 'Closed Won' WHEN 'P' THEN 'Closed Lost' ELSE 'Open' END AS stage,
+             CAST(o_orderdate AS DATE) AS churn_date, if(o_orderkey % 13 = 0, 1, -1) * o_totalprice AS change_in_arr, o_totalprice AS arr,
+             CASE WHEN o_orderkey % 97 <> 0 THEN o_orderkey % 4000 END AS users,
+             CASE WHEN o_orderkey % 5 <> 0 THEN 'reason ' || o_orderkey % 5 END AS loss_reason
+      FROM orders JOIN customer ON o_custkey = c_custkey)"""
+_TIER = "CASE WHEN users < 1000 THEN '< 1000' WHEN users <= 2500 THEN '1000 - 2500' WHEN users > 2500 THEN '> 2500' END AS license_tier"
+
+
+@q("churn_report", f"""
+    WITH {_OPPS}
+    SELECT opp_id, churn_date, n_name AS owner_name, c_name AS account_name, type, stage, c_acctbal AS total_arr, change_in_arr, loss_reason,
+           users, {_TIER}
+    FROM opps LEFT JOIN customer ON c_custkey = account_id LEFT JOIN nation ON n_nationkey = owner_id
+    WHERE churn_date >= DATE '{CHURN_SINCE.isoformat()}' AND change_in_arr < 0
+      AND (type IN ('Renewal', 'Renewal/Upsell') OR (type = 'Terminated' AND stage = 'Closed Won'))""")
+def churn_report(spark, sf):
+    """Lost revenue with the type, stage and licence rules."""
+    t = _t(spark, sf)
+    return crm.churn_report(A.opportunities(t), A.accounts(t), A.owners(t), CHURN_SINCE)
+
+
+@q("poc_report", f"""
+    WITH {_OPPS}
+    SELECT opp_id, l_orderkey || '-' || l_linenumber AS poc_id, 'POC ' || l_linenumber AS poc_name, CAST(l_shipdate AS DATE) AS end_date,
+           n_name AS owner_name, stage, arr, users, {_TIER}
+    FROM opps JOIN lineitem ON l_orderkey = opp_id JOIN nation ON n_nationkey = owner_id
+    WHERE l_orderkey % 3 = 0 AND l_linenumber IN (1, 2) AND CAST(l_shipdate AS DATE) >= DATE '{CHURN_SINCE.isoformat()}'
+      AND n_name IN ({", ".join(f"'{x}'" for x in OWNERS)}) AND stage <> 'Open'""")
+def poc_report(spark, sf):
+    """Trials of closed opportunities by owner, date and stage."""
+    t = _t(spark, sf)
+    return crm.poc_report(A.opportunities(t), A.pocs(t), A.owners(t), OWNERS, CHURN_SINCE)
+
+
+@q("json_path_csv", """
+    WITH f AS (SELECT user_id, CAST(ts AS DATE) AS record_date, list_sort(list(DISTINCT event_type)) AS types FROM events GROUP BY 1, 2)
+    SELECT user_id, record_date,
+           CASE WHEN user_id % 6 NOT IN (3, 4, 5) THEN array_to_string(types, ',') END AS request_by
+    FROM f""")
+def json_path_csv(spark, sf):
+    """The array at a path inside a ticket's custom fields as a list; an object, a scalar or nothing there gives NULL."""
+    ev, u = _t(spark, sf).events, F.col("user_id")
+    f = ev.groupBy("user_id", F.to_date("ts").alias("record_date")).agg(F.to_json(F.sort_array(F.collect_set("event_type"))).alias("_arr"))
+    value = F.when(u % 6 == 3, F.concat(F.lit('{"list": '), "_arr", F.lit("}"))).when(u % 6 == 4, F.lit('"one"')).otherwise(F.col("_arr"))
+    raw = F.when(u % 6 == 5, F.lit('{"customfield_2": []}')).otherwise(F.concat(F.lit('{"customfield_1": '), value, F.lit(', "customfield_2": 5}')))
+    return f.select("user_id", "record_date", crm.json_array_csv(raw, "$.customfield_1").alias("request_by"))
+
+
+@q("activity_history", f"""
+    WITH d AS (
+      SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n, count(*) FILTER (WHERE event_type = 'purchase') AS p,
+             count(*) FILTER (WHERE event_type = 'error') AS e, count(*) FILTER (WHERE event_type = 'click') AS c FROM events GROUP BY 1, 2)
+    SELECT DISTINCT CASE WHEN dayofweek(day) BETWEEN 1 AND 5 THEN day END AS date,
+           CASE WHEN dayofweek(day) BETWEEN 1 AND 5 THEN 'Sprint ' || dayofyear(day) // 10 END AS sprint,
+           CASE WHEN user_id % 4 <> 0 THEN 'u' || user_id || '@example.com' END AS email,
+           CASE WHEN user_id % 4 <> 0 THEN ['backend', 'frontend', 'data'][user_id % 3 + 1] END AS skill_set,
+           CASE WHEN user_id % 4 <> 0 THEN 'team ' || user_id % 5 END AS team,
+           n * 5 + e * 2 AS total_chat_suggested, p * 3 + e AS total_chat_accepted, c AS agent_requests
+    FROM d WHERE day <= DATE '{HISTORY_UNTIL.isoformat()}' OR user_id % 7 NOT IN (3, 4, 6)""")
+def activity_history(spark, sf):
+    """Stored activity and the flattened documents as one set, with teams and sprints."""
+    t = _t(spark, sf)
+    return crm.activity_history(A.past_activity(t, HISTORY_UNTIL), crm.flatten_activity(A.activity_docs(t)), A.people(t), A.sprints(t))
+
+
 @q("name_match", with_ctes(["tree"], """
     WITH tickets AS (SELECT e.event_id, upper(c.c_name) AS title FROM events e
                      JOIN customer c ON e.user_id = c.c_custkey WHERE e.event_type = 'error')

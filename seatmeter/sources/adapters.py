@@ -424,3 +424,63 @@ def activity_docs(t: Tables) -> DataFrame:
     data = (F.when(u % 7 == 3, F.lit(None)).when(u % 7 == 4, F.lit('"no data"')).when(u % 7 == 5, F.to_json(members))
             .when(u % 7 == 6, F.lit("[]")).otherwise(F.to_json(objects)))
     return docs.select(period.alias("period"), data.alias("data"))
+
+
+# ---------------------------------------------------------------------------
+# CRM tables from orders, customers and nations
+# ---------------------------------------------------------------------------
+OPP_TYPES = {"1-URGENT": "Renewal", "2-HIGH": "Renewal/Upsell", "3-MEDIUM": "Terminated"}
+OPP_STAGES = {"F": "Closed Won", "P": "Closed Lost"}
+
+
+def opportunities(t: Tables) -> DataFrame:
+    """An order as an opportunity: its type by priority, its stage by status; the loss is the price, but a gain for every 13th."""
+    k = F.col("o_orderkey")
+    c = t.customer.select("c_custkey", "c_nationkey")
+    return t.orders.join(c, F.col("o_custkey") == F.col("c_custkey")).select(
+        k.alias("opp_id"), F.col("o_custkey").alias("account_id"), F.col("c_nationkey").alias("owner_id"),
+        _case_lookup(F.col("o_orderpriority"), OPP_TYPES, "New").alias("type"), _case_lookup(F.col("o_orderstatus"), OPP_STAGES, "Open").alias("stage"),
+        F.to_date("o_orderdate").alias("churn_date"),
+        F.when(k % 13 == 0, F.col("o_totalprice")).otherwise(-F.col("o_totalprice")).alias("change_in_arr"), F.col("o_totalprice").alias("arr"),
+        F.when(k % 97 != 0, k % 4000).alias("users"), F.when(k % 5 != 0, F.concat(F.lit("reason "), (k % 5).cast("string"))).alias("loss_reason"))
+
+
+def accounts(t: Tables) -> DataFrame:
+    return t.customer.select(F.col("c_custkey").alias("account_id"), F.col("c_name").alias("account_name"), F.col("c_acctbal").alias("total_arr"))
+
+
+def owners(t: Tables) -> DataFrame:
+    return t.nation.select(F.col("n_nationkey").alias("owner_id"), F.col("n_name").alias("owner_name"))
+
+
+def pocs(t: Tables) -> DataFrame:
+    """Trials: the lines 1 and 2 of every third order."""
+    li = t.lineitem.filter((F.col("l_orderkey") % 3 == 0) & F.col("l_linenumber").isin(1, 2))
+    return li.select(F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("poc_id"), F.col("l_orderkey").alias("opp_id"),
+                     F.concat(F.lit("POC "), F.col("l_linenumber").cast("string")).alias("poc_name"), F.to_date("l_shipdate").alias("end_date"))
+
+
+def people(t: Tables) -> DataFrame:
+    """Three of four users are known people."""
+    u = F.col("user_id")
+    return t.events.select("user_id").distinct().filter(u % 4 != 0).select(
+        F.concat(F.lit("u"), u.cast("string"), F.lit("@example.com")).alias("email"),
+        F.element_at(F.array(F.lit("backend"), F.lit("frontend"), F.lit("data")), (u % 3 + 1).cast("int")).alias("skill_set"),
+        F.concat(F.lit("team "), (u % 5).cast("string")).alias("team"))
+
+
+def sprints(t: Tables) -> DataFrame:
+    """Sprints of ten days; weekends belong to none."""
+    day = F.to_date("ts")
+    return t.events.select(day.alias("datestamp")).distinct().filter(~F.dayofweek("datestamp").isin(1, 7)).select(
+        "datestamp", F.concat(F.lit("Sprint "), F.floor(F.dayofyear("datestamp") / 10).cast("string")).alias("sprint"))
+
+
+def past_activity(t: Tables, until) -> DataFrame:
+    """Activity of the days up to ``until`` as it was stored, of all users."""
+    ev = t.events.select("user_id", F.to_date("ts").alias("date"), "event_type").filter(F.col("date") <= F.lit(until))
+    n = lambda x: F.count_if(F.col("event_type") == x)
+    g = ev.groupBy("user_id", "date").agg(F.count(F.lit(1)).alias("n_all"), n("purchase").alias("n_purchase"), n("error").alias("n_error"), n("click").alias("n_click"))
+    return g.select(F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("@example.com")).alias("email"), "date",
+                    (F.col("n_all") * 5 + F.col("n_error") * 2).alias("suggested"), (F.col("n_purchase") * 3 + F.col("n_error")).alias("accepted"),
+                    F.col("n_click").alias("agent_requests"))
