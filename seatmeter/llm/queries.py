@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import decontaminate, language, licenses, minhash, mixing, mtree, phrases, pieces, quality, secrets, substring, tokens, warc
 from .ship import ship
-from .store import new_path
+from .store import new_path, release  # noqa: F401  (release: for callers that want the written tables gone)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}

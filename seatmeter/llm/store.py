@@ -13,8 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ensure_checkpoint_dir
 
 
+# tables written so far, by application and session
+_WRITTEN: dict[tuple, list[str]] = {}
+
+
+def _session(spark: SparkSession) -> tuple:
+    return spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID()
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(_session(spark), []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all tables that this session's operators have written; results made from them can no longer be read."""
+    drop(spark, *_WRITTEN.pop(_session(spark), []))
 
 
 def drop(spark: SparkSession, *paths: str) -> None:
