@@ -15,8 +15,8 @@ def sf_small():
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
-    from seatmeter.session import apply_defaults
-    s = (SparkSession.builder.master("local[4]").appName("seatmeter-tests")
+    from seatmeter.session import _LOCAL, apply_defaults
+    s = (SparkSession.builder.master("local[4]").appName("seatmeter-tests").config(map=_LOCAL)
          .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     apply_defaults(s)
