@@ -44,6 +44,11 @@ def tenant_days(history: DataFrame, dimensions: Sequence[str] = DIMENSIONS) -> D
         *[F.bool_or(f"_{n}").alias(n) for n in COUNTS], *[F.sum(f"_{n}").alias(n) for n in SUMS])
 
 
+def spine(bounds: DataFrame, start: str, end: str) -> DataFrame:
+    """One row per day from ``start`` to ``end`` (columns of a one-row frame), both included (Q5); none if a bound is NULL."""
+    return bounds.filter(F.col(start) <= F.col(end)).select(F.explode(F.sequence(start, end)).alias("date_day"))
+
+
 def metric(days: DataFrame, names: Sequence[str], group_by: Sequence[str] = ()) -> DataFrame:
     """The named metrics by day and the dimensions of ``group_by``, from ``tenant_days``."""
     unknown = [n for n in names if n not in COUNTS and n not in SUMS]

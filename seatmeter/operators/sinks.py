@@ -147,6 +147,15 @@ def write_day(df: DataFrame, path: str, date_col: str = "billing_date", fmt: str
                         fs.delete(x.getPath(), True)
 
 
+def unite(stored: DataFrame, new: DataFrame, date_col: str) -> DataFrame:
+    """Set union of a stored table, itself a set, with newer rows (T10): days before the first new one stay as they are,
+    without a shuffle; the rest is united and deduplicated."""
+    first = new.agg(F.min(date_col)).scalar()             # a scalar subquery, evaluated once
+    late = stored.filter(F.col(date_col) >= first)
+    early = stored.filter(first.isNull() | (F.col(date_col) < first) | F.col(date_col).isNull())
+    return early.unionByName(late.unionByName(new).distinct())
+
+
 def read_days(spark, path: str, fmt: str = "parquet", date_col: str = "billing_date", days=None) -> DataFrame:
     """Read a day-partitioned sink back; ``days`` prunes partitions."""
     df = spark.read.format(fmt).load(path)

@@ -101,7 +101,17 @@ def not_null_check(spark, sf):
     FROM (SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders)""")
 def time_spine(spark, sf):
     b = _t(spark, sf).orders.agg(F.to_date(F.min("o_orderdate")).alias("lo"), F.to_date(F.max("o_orderdate")).alias("hi"))
-    return b.select(F.explode(F.sequence("lo", F.date_sub(F.add_months("hi", 24), 1))).alias("date_day"))
+    return metrics.spine(b.withColumn("hi", F.date_sub(F.add_months("hi", 24), 1)), "lo", "hi")
+
+
+@q("snapshot_spine", with_ctes(["history"], """
+    SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date_day
+    FROM (SELECT date_trunc('month', min(record_date)) AS lo, last_day(max(record_date)) AS hi FROM history)"""))
+def snapshot_spine(spark, sf):
+    """The days of the months that snapshots lie in (Q5 with bounds of its own)."""
+    from .catalog import domain
+    b = domain(spark, sf).history.agg(F.to_date(F.date_trunc("month", F.min("record_date"))).alias("start"), F.last_day(F.max("record_date")).alias("end"))
+    return metrics.spine(b, "start", "end")
 
 
 @q("metric_counts", with_ctes(["history"], """

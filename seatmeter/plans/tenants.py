@@ -107,29 +107,30 @@ def tagged_count(spark, sf):
 
 
 @q("star_enrich", with_ctes(["tree"], """
-    SELECT t.tenant_global_id, t.root, t.depth, t.tenant_name, n.n_name AS nation, c.c_acctbal AS balance,
-           a.active_profiles, s.shared_profiles
-    FROM tree t
-    LEFT JOIN customer c ON t.tenant_id = c.c_custkey
-    LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
-    LEFT JOIN (SELECT o_custkey, count(*) AS active_profiles FROM orders WHERE o_orderstatus = 'O' GROUP BY 1) a
-      ON t.tenant_id = a.o_custkey
-    LEFT JOIN (SELECT o.o_custkey, count(DISTINCT o.o_orderkey) AS shared_profiles
-               FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
-               WHERE p.p_type = 'PROMO' GROUP BY 1) s ON t.tenant_id = s.o_custkey"""))
+    SELECT t.tenant_global_id, t.root, t.depth, t.tenant_name, n_name AS nation, c_acctbal AS balance, s_name AS owner_name,
+           (SELECT nullif(count(*), 0) FROM orders WHERE o_custkey = t.tenant_id AND o_orderstatus = 'O') AS active_profiles,
+           (SELECT nullif(count(DISTINCT o_orderkey), 0) FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+            WHERE o_custkey = t.tenant_id AND p_type = 'PROMO') AS shared_profiles,
+           CAST((SELECT max(o_orderkey) FROM orders WHERE o_custkey = t.tenant_id) % 6 AS INTEGER) AS serverside_type,
+           (SELECT bool_or(o_orderpriority = '1-URGENT') FROM orders WHERE o_custkey = t.tenant_id) AS webhook_enabled
+    FROM tree t LEFT JOIN customer ON t.tenant_id = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
+    LEFT JOIN supplier ON s_suppkey = c_custkey % 13"""))
 def star_enrich(spark, sf):
+    """The tenant tree with its seven dimensions: company, nation, owner, active and shared counts, settings, webhook."""
     from .catalog import domain
     t = Tables(spark, sf)
     tree = domain(spark, sf).tree.select("tenant_id", "tenant_global_id", "root", "depth", "tenant_name")
-    c = t.customer.select("c_custkey", "c_nationkey", F.col("c_acctbal").alias("balance"))
-    n = t.nation.select("n_nationkey", F.col("n_name").alias("nation"))
-    a = active_count(spark, sf)
-    s = tagged_count(spark, sf)
-    j = (tree.join(c, tree.tenant_id == c.c_custkey, "left").join(n, F.col("c_nationkey") == n.n_nationkey, "left")
-         .join(a, tree.tenant_id == a.company_id, "left").drop("company_id")
-         .join(s, tree.tenant_id == s.company_id, "left"))
-    return j.select("tenant_global_id", "root", "depth", "tenant_name", "nation", "balance", "active_profiles",
-                    "shared_profiles")
+    c = t.customer.select(F.col("c_custkey").alias("tenant_id"), "c_nationkey", F.col("c_acctbal").alias("balance"))
+    n = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nation"))
+    owner = t.supplier.select(F.col("s_suppkey").alias("_owner"), F.col("s_name").alias("owner_name"))
+    # settings and webhook are read off the same orders: one aggregate for both
+    o = t.orders.groupBy(F.col("o_custkey").alias("tenant_id")).agg(
+        (F.max("o_orderkey") % 6).cast("int").alias("serverside_type"), F.bool_or(F.col("o_orderpriority") == "1-URGENT").alias("webhook_enabled"))
+    j = (tree.join(c, "tenant_id", "left").join(n, "c_nationkey", "left").join(owner, F.col("tenant_id") % 13 == F.col("_owner"), "left")
+         .join(active_count(spark, sf).withColumnRenamed("company_id", "tenant_id"), "tenant_id", "left")
+         .join(tagged_count(spark, sf).withColumnRenamed("company_id", "tenant_id"), "tenant_id", "left").join(o, "tenant_id", "left"))
+    return j.select("tenant_global_id", "root", "depth", "tenant_name", "nation", "balance", "owner_name", "active_profiles",
+                    "shared_profiles", "serverside_type", "webhook_enabled")
 
 
 @q("history_union", with_ctes(["history"], """
@@ -137,13 +138,13 @@ def star_enrich(spark, sf):
     UNION
     SELECT * FROM history WHERE record_date >= DATE '2024-01-29'"""))
 def history_union(spark, sf):
-    """Stored history plus today's snapshot with set UNION (T10); overlapping days dedupe."""
+    """Stored history plus today's snapshot as one set (T10); only the days that both hold are compared."""
     from .catalog import domain
     import datetime as dt
     h = domain(spark, sf).history
     stored = h.filter(F.col("record_date") < F.lit(dt.date(2024, 1, 30)))
     today = h.filter(F.col("record_date") >= F.lit(dt.date(2024, 1, 29)))
-    return stored.unionByName(today).distinct()
+    return sinks.unite(stored, today, "record_date")
 
 
 # --- sinks and JSON (M2, M7, M8, M9) -------------------------------------------
