@@ -295,21 +295,16 @@ def _texts_to_sets(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.
     tx.trim()
 
 
-def _sent(df: DataFrame) -> DataFrame:
-    """For a join: to be sent to all tasks if it has at most SENT rows (of one or two ids), else left to the planner."""
-    return F.broadcast(df) if df.limit(SENT + 1).count() <= SENT else df
-
-
-def _confirm(pairs: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
-    """Pairs whose full sets meet the similarity, by exact counts."""
-    ends = pairs.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count("*").alias("n"))
-    of = lambda end: ends.toDF(end, f"n_{end}")
+def _confirm(pairs: DataFrame, sets: DataFrame, p: Params, sent) -> DataFrame:
+    """Pairs whose full sets meet the similarity, by exact counts. sent: what to do with tables of as many rows as pairs
+    before a join (send them to all tasks, or nothing)."""
+    ends = sent(pairs.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count("*").alias("n")))
     # hub: the end with more pairs, whose set is copied; so no set meets many others in one place
-    turned = pairs.join(of("u"), "u").join(of("v"), "v").select(
+    turned = pairs.join(ends.toDF("u", "n_u"), "u").join(ends.toDF("v", "n_v"), "v").select(
         F.when(F.col("n_u") >= F.col("n_v"), F.col("u")).otherwise(F.col("v")).alias("hub"),
         F.when(F.col("n_u") >= F.col("n_v"), F.col("v")).otherwise(F.col("u")).alias("rim"))
-    a = sets.select(F.col("node").alias("hub"), F.col("elements").alias("a")).join(_sent(turned), "hub")
-    b = sets.select(F.col("node").alias("rim"), F.col("elements").alias("b")).join(_sent(turned.select("rim").distinct()), "rim", "left_semi")
+    a = sets.select(F.col("node").alias("hub"), F.col("elements").alias("a")).join(sent(turned), "hub")
+    b = sets.select(F.col("node").alias("rim"), F.col("elements").alias("b")).join(sent(turned.select("rim").distinct()), "rim", "left_semi")
     return (a.join(b, "rim").withColumn("both", F.size(F.array_intersect("a", "b")))
             .filter(F.expr(f"100 * both >= {p.percent} * (size(a) + size(b) - both)"))
             .select(F.least("hub", "rim").alias("u"), F.greatest("hub", "rim").alias("v")))
@@ -342,7 +337,8 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), store: Store | N
     lean = st.put("lean", signed.select("doc_id", "n_shingles", "set_a", "set_b"))
     st.drop("signed")
     buckets = st.put("buckets", _buckets(reps))
-    marks = st.put("marks", reps.select("node", "size", "bitmap").join(_sent(buckets.select("node").distinct()), "node", "left_semi"))
+    inside = buckets.select("node").distinct()
+    marks = st.put("marks", reps.select("node", "size", "bitmap").join(F.broadcast(inside) if buckets.count() <= SENT else inside, "node", "left_semi"))
     links = spark.createDataFrame([], "u long, v long")
     comps, tried, sets = None, None, None
     for turn in range(3):
@@ -351,18 +347,20 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), store: Store | N
         if tried is not None:
             pairs = pairs.join(tried, ["u", "v"], "left_anti")
         pairs = st.put(name, pairs)
-        if pairs.isEmpty():
+        n_pairs = pairs.count()
+        if not n_pairs:
             if turn == 0:
                 break                     # no bucket holds two documents that could match
             continue
+        sent = F.broadcast if 2 * n_pairs <= SENT else lambda df: df       # a pair has two ids
         nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
         if sets is not None:
             nodes = nodes.join(sets.select("node").distinct(), "node", "left_anti")
-        new = (base.join(_sent(nodes.withColumnRenamed("node", "doc_id")), "doc_id", "left_semi")
+        new = (base.join(sent(nodes.withColumnRenamed("node", "doc_id")), "doc_id", "left_semi")
                .mapInArrow(partial(_texts_to_sets, p=p), "node long, elements array<long>"))
         new = st.put(f"sets-{turn}", new)
         sets = new if sets is None else sets.unionAll(new)
-        found = st.put(f"links-{turn}", _confirm(pairs, sets, p).distinct())
+        found = st.put(f"links-{turn}", _confirm(pairs, sets, p, sent).distinct())
         tried = pairs if tried is None else tried.unionAll(pairs)
         if found.isEmpty():
             continue
