@@ -37,7 +37,7 @@ _APART[list(PIECE_ENDS + BLANKS)] = True
 WIDTHS = (32, 40, 48, 56, 64)
 RESERVED = 1 << 16                # ids kept for words whose hash ids fall together
 SALTS = 16
-HELD = 1 << 21                    # n-grams that a task holds before it hands filters on
+HELD = 1 << 20                    # n-grams that a task holds before it hands filters on
 FAN = 10                          # bits of part that one round of merging adds, at most
 
 
