@@ -1,4 +1,4 @@
-"""Join-side helper: broadcast only what is small by construction.
+"""Join-side helpers: broadcast only what is small by construction, spread what a step multiplies.
 
 Every other join side is left without a hint: the files' statistics, and AQE at
 run time, decide between a broadcast and a shuffle join.
@@ -13,3 +13,12 @@ from pyspark.sql import functions as F
 def tiny(df: DataFrame) -> DataFrame:
     """A side with a size bound by construction (one row, or a fixed code list): broadcast."""
     return F.broadcast(df)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows that the next step multiplies, dealt by ``keys`` over the session's shuffle partitions.
+
+    The number is given outright: a table of few bytes is read by one task, and AQE, which sees the
+    bytes before the rows are multiplied, would put it back into one.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

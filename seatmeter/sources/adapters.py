@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import tree as tree_ops
-from ..functions.joins import tiny
+from ..functions.joins import spread, tiny
 from .tables import Tables
 
 # ---------------------------------------------------------------------------
@@ -213,9 +213,11 @@ def pools(meta: DataFrame, as_of=AS_OF) -> DataFrame:
 def price_list(meta: DataFrame, as_of=AS_OF) -> DataFrame:
     """Long price list: root x sku x is_nfr x tier, two snapshots, promo rows.
 
-    Built with ``explode`` of small literal arrays per root row (no join).
+    Built with ``explode`` of small literal arrays per root row (no join). A root gives about two
+    hundred rows, so the roots are spread first; a root's rows stay in one partition, so what groups
+    the list by root needs no shuffle of its own.
     """
-    meta = meta.filter(F.col("snapshot_date") == F.lit(as_of))
+    meta = spread(meta.filter(F.col("snapshot_date") == F.lit(as_of)), "tenant_global_id")
     num = F.regexp_replace("tenant_global_id", "[^0-9]", "").cast("bigint")
     skus = F.array(*[F.struct(F.lit(s).alias("sku"), F.lit(BASE_PRICE[s]).alias("base"))
                      for s in PLAN_SKUS + ADDON_SKUS])
@@ -223,12 +225,14 @@ def price_list(meta: DataFrame, as_of=AS_OF) -> DataFrame:
                       for a, b, m in TIERS])
     days = snapshots(as_of)
     snaps = F.array(*[F.lit(d) for d in days])
+    # promos only on one plan sku; add-on skus carry no partner price rows
+    promoted = (F.col("s.sku") == "Email Protect") & (F.col("n") % 3 != 0)
     rows = (
         meta.select("tenant_global_id", num.alias("n"))
         .withColumn("s", F.explode(skus)).withColumn("t", F.explode(tiers))
-        .withColumn("is_nfr", F.explode(F.array(F.lit(False), F.lit(True))))
+        .withColumn("is_nfr", F.explode(F.when(F.col("s.sku").isin(*PLAN_SKUS), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
         .withColumn("snapshot_date", F.explode(snaps))
-        .withColumn("kind", F.explode(F.array(F.lit("std"), F.lit("promo"))))
+        .withColumn("kind", F.explode(F.when(promoted, F.array(F.lit("std"), F.lit("promo"))).otherwise(F.array(F.lit("std")))))
     )
     base = (F.col("s.base") * F.col("t.mult") * (F.lit(1.0) + F.col("n") % 100 / 100.0)
             * F.when(F.col("is_nfr"), F.when((F.col("n") % 5).isin(*FREE_NFR_ROOTS), 0.0).otherwise(0.5)).otherwise(1.0)
@@ -236,10 +240,7 @@ def price_list(meta: DataFrame, as_of=AS_OF) -> DataFrame:
     promo = F.col("kind") == "promo"
     live = dt.date(2024, 1, 15), dt.date(2024, 2, 15)
     ended = dt.date(2023, 12, 1), dt.date(2024, 1, 20)
-    # promos only on one plan sku; add-on skus carry no partner price rows
-    keep = (~promo | ((F.col("s.sku") == "Email Protect") & (F.col("n") % 3 != 0))) \
-        & (~F.col("is_nfr") | F.col("s.sku").isin(*PLAN_SKUS))
-    return rows.filter(keep).select(
+    return rows.select(
         "snapshot_date", "tenant_global_id", F.col("s.sku").alias("sku"), "is_nfr",
         F.col("t.tier_min").cast("int").alias("tier_min"), F.col("t.tier_max").cast("int").alias("tier_max"),
         F.round((base * F.when(promo, 0.8).otherwise(1.0)).cast("decimal(38,10)"), 4).cast("decimal(18,4)").alias("price"),
