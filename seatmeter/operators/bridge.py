@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import bridge_anchors
 from ..functions.money import money  # noqa: F401
+from .sinks import materialize
 
 GRAIN = ["global_tenant_id", "first_layer_id", "second_layer_id", "third_layer_id", "fourth_layer_id",
          "fifth_layer_id", "item", "sku", "is_nfr"]
@@ -25,14 +26,22 @@ def fact(lines: DataFrame) -> DataFrame:
 
     ``lines`` has billing_date, the grain columns, quantity, revenue (DECIMAL),
     list_price, ltp_type, order_date, account_master_id.
+
+    The lines move once, to their tenant, where they are grouped and get its registration date. The
+    partner totals are summed from the lines and written first: by their size the planner knows whether
+    the grouped rows must move to them.
     """
-    g = lines.groupBy("billing_date", *GRAIN).agg(
+    g = lines.repartition("global_tenant_id").groupBy("billing_date", *GRAIN).agg(
         F.sum("quantity").alias("billed_qty"), F.sum("revenue").alias("tenant_mrr"),
         F.max("list_price").alias("max_price"), F.max("ltp_type").alias("ltp_type"),
         F.max("account_master_id").alias("account_master_id"))
-    partner = g.groupBy("billing_date", "first_layer_id").agg(F.sum("billed_qty").alias("total_ltp_billed_qty"))
+    partner = materialize(lines.groupBy("billing_date", "first_layer_id").agg(F.sum("quantity").alias("total_ltp_billed_qty")),
+                          "bridge-partners")
     reg = lines.groupBy(F.col("global_tenant_id")).agg(F.min("order_date").alias("registration_date"))
-    return g.join(partner, ["billing_date", "first_layer_id"]).join(reg, "global_tenant_id")
+    out = g.join(reg, "global_tenant_id").join(partner, ["billing_date", "first_layer_id"])
+    return out.select("global_tenant_id", "billing_date", "first_layer_id",
+                      *[c for c in out.columns if c not in ("global_tenant_id", "billing_date", "first_layer_id", "registration_date")],
+                      "registration_date")
 
 
 def two_period_pivot(f: DataFrame, prior, current) -> DataFrame:

@@ -106,9 +106,9 @@ def usage(spark, sf_dir):
     """The monthly usage fact, written once per (session, folder) like a stored fact table.
 
     Lines are aggregated to (month, partner, channel, tenant, item, sku, flag)
-    with partial aggregation before the shuffle; every consumer rolls up from
-    this grain exactly (sums of sums, min of mins, max of maxes). Few lines share
-    a key, so the fact is about as long as the lines, but narrower.
+    after one shuffle; every consumer rolls up from this grain exactly (sums of
+    sums, min of mins, max of maxes). Few lines share a key, so the fact is about
+    as long as the lines, but narrower.
     """
     key = ("usage-fact", *state_of(spark, sf_dir))
     if key not in _CACHE:
@@ -116,7 +116,8 @@ def usage(spark, sf_dir):
         unit = F.round((F.col("revenue").cast("double") / F.col("quantity")).cast("decimal(38,10)"), 4) \
             .cast("decimal(18,4)")
         # grouped on numeric keys (small shuffle records); string ids are derived after the shuffle
-        fact = lines.groupBy(*FACT_KEYS).agg(
+        # and moved as they are: sums of decimals are wider than the lines, and few lines would meet before
+        fact = lines.repartition(*FACT_KEYS).groupBy(*FACT_KEYS).agg(
             F.sum("quantity").alias("quantity"), F.sum("revenue").alias("revenue"),
             F.max("list_price").alias("list_price"), F.min("order_date").alias("order_date"),
             F.min(unit).alias("unit_price"))
@@ -254,9 +255,10 @@ def stored_fact(spark, sf):
     the pivot, both metadata snapshots and the channel flags all read it."""
     key = ("bridge-fact", *state_of(spark, sf))
     if key not in _CACHE:
-        # one folder a billing date, so the bridge's two days are the only ones read; large days are split
-        fact = S.fact(bridge_lines(spark, sf)).hint("rebalance", "billing_date")
-        _CACHE[key] = materialize(fact, "bridge-fact", partition_by="billing_date")
+        # each file in the order of the billing dates, so that only the bridge's two days are read of it; a folder
+        # a date would move all rows once more
+        fact = S.fact(bridge_lines(spark, sf)).sortWithinPartitions("billing_date")
+        _CACHE[key] = materialize(fact, "bridge-fact")
     return _CACHE[key]
 
 

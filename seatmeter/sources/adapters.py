@@ -308,32 +308,32 @@ ITEMS = [f"Brand#{i}" for i in range(1, 26)]        # the 25 part brands, by rul
 
 
 def usage_keys(t: Tables) -> DataFrame:
-    """One row per lineitem with numeric partner/tenant keys (cheap to shuffle)."""
-    li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate")
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
+    """One row per lineitem with numeric partner/tenant keys (cheap to shuffle).
+
+    Orders meet their customers before the lines, and the lines carry what is computed from them instead of what it
+    is computed from: they move once to their part and once to their order.
+    """
+    li = t.lineitem.select(
+        "l_orderkey", "l_partkey", F.to_date(F.date_trunc("month", "l_shipdate")).alias("billing_date"),
+        F.col("l_quantity").cast("bigint").alias("quantity"),
+        F.round((F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).cast("decimal(38,10)"), 4)
+        .cast("decimal(18,4)").alias("revenue"))
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", F.to_date("o_orderdate").alias("order_date"))
     c = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
-    p = t.part.select("p_partkey", "p_brand", "p_type", "p_retailprice")
+    p = t.part.select("p_partkey", F.col("p_brand").alias("item"), F.col("p_type").alias("sku"), F.col("p_retailprice").alias("list_price"))
     n = t.nation.select("n_nationkey", "n_regionkey")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-         .join(c, F.col("o_custkey") == c.c_custkey)
-         .join(p, F.col("l_partkey") == p.p_partkey)
-         .join(tiny(n), F.col("c_nationkey") == n.n_nationkey))
     moved = F.col("o_orderpriority") == "5-LOW"   # these orders are billed through the next partner
-    return j.select(
-        F.to_date(F.date_trunc("month", "l_shipdate")).alias("billing_date"),
-        "c_nationkey",
+    owned = (o.join(c, o.o_custkey == c.c_custkey).join(tiny(n), F.col("c_nationkey") == n.n_nationkey).select(
+        "o_orderkey", "c_nationkey",
         F.when(moved, (F.col("c_nationkey") + 1) % 25).otherwise(F.col("c_nationkey")).alias("channel_nationkey"),
         F.col("n_regionkey").alias("region_key"), "o_custkey",
-        F.col("p_brand").alias("item"), F.col("p_type").alias("sku"),
         (F.col("o_orderpriority") == "1-URGENT").alias("is_nfr"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.round((F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).cast("decimal(38,10)"), 4)
-        .cast("decimal(18,4)").alias("revenue"),
-        F.col("p_retailprice").alias("list_price"),
         F.when(F.col("c_mktsegment") == "BUILDING", "disti").when(F.col("c_mktsegment") == "MACHINERY", "oem")
         .otherwise("msp").alias("ltp_type"),
-        F.to_date("o_orderdate").alias("order_date"),
-    )
+        "order_date"))
+    j = li.join(p, li.l_partkey == p.p_partkey).join(owned, F.col("l_orderkey") == owned.o_orderkey)
+    return j.select("billing_date", "c_nationkey", "channel_nationkey", "region_key", "o_custkey", "item", "sku", "is_nfr",
+                    "quantity", "revenue", "list_price", "ltp_type", "order_date")
 
 
 def with_ids(df: DataFrame) -> DataFrame:

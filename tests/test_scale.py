@@ -4,8 +4,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from seatmeter.operators import pricing
+from seatmeter.operators import bridge, pricing
 from seatmeter.sources import adapters as A
+from seatmeter.sources.tables import Tables
 
 
 def _meta(spark, n=400):
@@ -37,3 +38,38 @@ def test_price_list_rows_of_a_root(spark):
         assert {(r.sku, r.is_nfr) for r in got if r.price_type == "Promo Price"} == ({("Email Protect", False), ("Email Protect", True)} if promo else set())
         assert {r.sku for r in got if r.is_nfr} == set(A.PLAN_SKUS)
     assert {r.start_date for r in rows if r.price_type == "Promo Price"} == {dt.date(2024, 1, 15)}
+
+
+def test_bridge_fact_moves_its_lines_once(spark):
+    jan, feb = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
+    lines = [("C-1", jan, "P-1", "a", 5, "10.00", "msp", dt.date(2023, 3, 1)), ("C-1", jan, "P-1", "a", 7, "1.50", "oem", dt.date(2023, 2, 1)),
+             ("C-1", feb, "P-2", "a", 2, "3.00", "msp", dt.date(2023, 4, 1)), ("C-2", jan, "P-1", None, None, None, None, None),
+             ("C-3", feb, "P-2", "b", 4, "8.00", "msp", dt.date(2023, 5, 1)), ("C-3", feb, "P-2", "b", 4, "8.00", "msp", dt.date(2023, 5, 1)),
+             (None, feb, "P-2", "b", 9, "1.00", "msp", dt.date(2023, 1, 1)), ("C-4", feb, None, "b", 9, "1.00", "msp", dt.date(2023, 1, 1))]
+    df = spark.createDataFrame(lines, "global_tenant_id string, billing_date date, first_layer_id string, item string, quantity long, rev string, ltp_type string, order_date date")
+    df = df.select("*", *[F.lit("").alias(f"{n}_layer_id") for n in ("second", "third", "fourth", "fifth")], F.lit("s").alias("sku"), F.lit(False).alias("is_nfr"),
+                   F.col("rev").cast("decimal(18,4)").alias("revenue"), F.lit(1.0).alias("list_price"), F.lit("AM").alias("account_master_id"))
+    out = bridge.fact(df)
+    # the lines to their tenant, and the tenants' first orders there
+    assert _plan(out).count("Exchange hashpartitioning") == 2
+    got = {(r.global_tenant_id, r.billing_date, r.first_layer_id): (r.billed_qty, r.tenant_mrr and float(r.tenant_mrr), r.ltp_type, r.total_ltp_billed_qty, r.registration_date)
+           for r in out.collect()}
+    # rows without tenant or partner give none, but those without a tenant count for their partner
+    assert got == {("C-1", jan, "P-1"): (12, 11.5, "oem", 12, dt.date(2023, 2, 1)), ("C-1", feb, "P-2"): (2, 3.0, "msp", 19, dt.date(2023, 2, 1)),
+                   ("C-2", jan, "P-1"): (None, None, None, 12, None), ("C-3", feb, "P-2"): (8, 16.0, "msp", 19, dt.date(2023, 5, 1))}
+    assert out.columns[:3] == ["global_tenant_id", "billing_date", "first_layer_id"] and out.columns[-1] == "registration_date"
+
+
+def test_usage_lines_move_to_part_and_order_only(spark, sf_small):
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(A.usage_keys(Tables(spark, sf_small)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    # lines by part and by order, parts, customers, orders by customer and by key
+    assert plan.count("Exchange hashpartitioning") == 6
+    assert "l_extendedprice" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+    assert sum("o_custkey" in x and "Exchange hashpartitioning" in x for x in plan.splitlines()) == 1
+    tops = plan[:plan.index("SortMergeJoin") + 200]
+    assert "l_orderkey" in tops                # the wide rows meet their order last
