@@ -88,5 +88,5 @@ def test_rows_that_share_a_doc_id(sp, frame):
 def test_registered():
     names = entry.queries()
     assert "pipeline" in names and corpus_pipeline.ORACLE_SQL is None and "pipeline" not in entry.oracle_sql()
-    assert [n.split("_")[0] for n in sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == [f"op{i}" for i in range(1, 14)]
     assert set(queries.ORACLE) <= set(queries.QUERIES)
