@@ -1,4 +1,5 @@
-"""Join-side helpers: broadcast only what is small by construction, spread what a step multiplies.
+"""Join-side helpers: broadcast only what is small by construction, spread what a step multiplies, and never
+send what was multiplied to every task.
 
 Every other join side is left without a hint: the files' statistics, and AQE at
 run time, decide between a broadcast and a shuffle join.
@@ -15,6 +16,15 @@ def tiny(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
+def multiplied(df: DataFrame) -> DataFrame:
+    """A side made by multiplying the rows of a small table: joined by sorting, never sent to all tasks.
+
+    The planner's sizes do not count what ``explode`` multiplies, nor how well such rows pack in a file, so
+    by them a list of millions of rows is still a small side.
+    """
+    return df.hint("merge")
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Rows that the next step multiplies, dealt by ``keys`` over the session's shuffle partitions.
 

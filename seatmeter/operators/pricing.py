@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date
+from ..functions.joins import multiplied
 from ..functions.money import share_of
 from ..functions.tiers import graduated_piece, tier_reached
 
@@ -361,9 +362,9 @@ def per_unit_lines(dmarc_hwm: DataFrame, unified: DataFrame, prices: DataFrame)
         F.sum("dmarc_domains_number").alias("quantity")).filter(F.col("quantity") > 0)
     ckeys = ["date_recorded", "master", "dmarc_plan"]
     comb = base.groupBy(*ckeys).agg(F.sum("quantity").alias("combined_quantity"))
-    p = prices.filter(F.col("tier_min") == 1).select(F.col("tenant_global_id").alias("master"),
-                                                     F.col("sku").alias("_psku"), "price", "price_type")
-    tier = comb.join(p, "master").filter(lookup(F.col("dmarc_plan"), DMARC_PRICE_SKU) == F.col("_psku")) \
+    p = prices.filter((F.col("tier_min") == 1) & F.col("sku").isin(*sorted(set(DMARC_PRICE_SKU.values())))).select(
+        F.col("tenant_global_id").alias("master"), F.col("sku").alias("_psku"), "price", "price_type")
+    tier = comb.join(multiplied(p), "master").filter(lookup(F.col("dmarc_plan"), DMARC_PRICE_SKU) == F.col("_psku")) \
         .groupBy(*ckeys, "combined_quantity", "price").agg(F.max("price_type").alias("price_type")) \
         .withColumn("total", F.col("combined_quantity").cast("double") * F.col("price").cast("double"))
     out = base.join(tier, ckeys)
