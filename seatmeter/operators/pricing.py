@@ -508,9 +508,10 @@ def addon_menu(rows: DataFrame, meta: DataFrame, prices: DataFrame) -> DataFrame
     domains = F.col("sku") == "IS-LTP-DMARC"
     qty = F.when(domains, F.col("sa")).otherwise(seat_quantity(F.col("profile_type"), F.col("sa"), F.col("sl"),
                                                                F.col("ss")))
-    p = prices.filter((F.col("tier_min") == 1) & (F.col("is_nfr") == F.lit(False))).select(
+    skus = ["PSCP", *dict.fromkeys(a.price for a in ADDON_MENU), "DMARC"]
+    p = prices.filter((F.col("tier_min") == 1) & (F.col("is_nfr") == F.lit(False)) & F.col("sku").isin(*skus)).select(
         F.col("tenant_global_id").alias("root"), F.col("sku").alias("psku"), "price")
-    out = g.withColumn("quantity", qty).join(p, ["root", "psku"], "left")
+    out = g.withColumn("quantity", qty).join(multiplied(p), ["root", "psku"], "left")
     return out.select("date_recorded", F.col("root").alias("ltp"), "item", "sku",
                       F.col("quantity").cast("bigint").alias("quantity"),
                       F.lit(None).cast("boolean").alias("partner_pricing"),
