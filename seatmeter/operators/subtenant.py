@@ -13,12 +13,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import multiplied
 from .pricing import DMARC_ITEM, DMARC_PRICE_SKU, DMARC_SKU, PLAN_SKUS, PREMIUM_NAMES, effective_partner, lookup, \
     price_sku
 
 LAYERS = ["first_layer_id", "second_layer_id", "third_layer_id", "fourth_layer_id", "fifth_layer_id"]
 # The billed tenant is known by its own full id, however deep it hangs; the layers are only shown.
 TENANT = "tenant_global_id"
+# The price-list skus of the flat add-ons.
+FLAT_SKUS = ["PSCP", "Incident Management", "STBP", "ATO"]
 OUT = ["billing_date", TENANT, *LAYERS, "item", "sku", "partner_pricing", "billable_quantity", "amount", "price_type"]
 
 
@@ -61,12 +64,12 @@ def blended(base: DataFrame, itemized: DataFrame) -> DataFrame:
                     item_price_type(F.col("_pt")).alias("price_type"))
 
 
-def _priced(b: DataFrame, prices: DataFrame, itemized: DataFrame) -> DataFrame:
-    """Rows with item, sku, partner_pricing, billable_quantity, price_sku, is_nfr (NULL: either) -> lines at the first
-    tier's price, with the price type of the root bill's line of the same item and partner flag."""
-    p = prices.filter("tier_min = 1").select(F.col("tenant_global_id").alias("first_layer_id"), F.col("sku").alias("price_sku"),
+def _priced(b: DataFrame, prices: DataFrame, itemized: DataFrame, skus: Sequence[str]) -> DataFrame:
+    """Rows with item, sku, partner_pricing, billable_quantity, price_sku (one of ``skus``), is_nfr (NULL: either) -> lines
+    at the first tier's price, with the price type of the root bill's line of the same item and partner flag."""
+    p = prices.filter((F.col("tier_min") == 1) & F.col("sku").isin(*skus)).select(F.col("tenant_global_id").alias("first_layer_id"), F.col("sku").alias("price_sku"),
                                              F.col("is_nfr").alias("_nfr"), "price")
-    j = b.join(p, ["first_layer_id", "price_sku"]).filter(F.col("is_nfr").isNull() | (F.col("is_nfr") == F.col("_nfr")))
+    j = b.join(multiplied(p), ["first_layer_id", "price_sku"]).filter(F.col("is_nfr").isNull() | (F.col("is_nfr") == F.col("_nfr")))
     i = _bill(itemized)
     j = j.join(i, (j.first_layer_id == i.first_layer_id) & (j.item == i._item) & j.partner_pricing.eqNullSafe(i._pp), "left") \
         .drop(i.first_layer_id)
@@ -100,7 +103,7 @@ def flat_lines(base: DataFrame, prices: DataFrame, itemized: DataFrame) -> DataF
                     F.explode(F.filter(F.array(*entries), lambda x: x.isNotNull())).alias("e"))
     e = e.select("billing_date", TENANT, *LAYERS, "billable_quantity", "e.item", "e.sku", "e.price_sku", "e.is_nfr",
                  F.col("e.pp").alias("partner_pricing"))
-    return _priced(e, prices, itemized)
+    return _priced(e, prices, itemized, [*(PLAN_SKUS[x][0] for x in partner_plans), *FLAT_SKUS])
 
 
 def per_leaf(layered_dmarc: DataFrame, dmarc_picks: DataFrame, prices: DataFrame, itemized: DataFrame) -> DataFrame:
@@ -113,7 +116,7 @@ def per_leaf(layered_dmarc: DataFrame, dmarc_picks: DataFrame, prices: DataFrame
     b = g.select(F.col("date_recorded").alias("billing_date"), TENANT, *LAYERS, F.col("_dom").alias("billable_quantity"),
                  lookup(plan, DMARC_ITEM).alias("item"), lookup(plan, DMARC_SKU).alias("sku"),
                  lookup(plan, DMARC_PRICE_SKU).alias("price_sku"), none.alias("partner_pricing"), none.alias("is_nfr"))
-    return _priced(b, prices, itemized)
+    return _priced(b, prices, itemized, sorted(set(DMARC_PRICE_SKU.values())))
 
 
 def min_commit_passthrough(itemized: DataFrame) -> DataFrame:
