@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import bridge_anchors
+from ..functions.joins import multiplied
 from ..functions.money import money  # noqa: F401
 from .sinks import materialize
 
@@ -218,7 +219,7 @@ def bill_fact(sub_itemized: DataFrame, meta: DataFrame, price_list: DataFrame, d
         .agg(F.sum("quantity").alias("total_ltp_billed_qty"),
              F.sum(F.col("amount").cast("decimal(18,4)")).cast("double").alias("ltp_sku_mrr"))
     j = (b.join(m, ["billing_date", "first_layer_id"], "left")
-         .join(p, (F.col("billing_date") == F.col("_pd")) & (F.col("first_layer_id") == F.col("_pt"))
+         .join(multiplied(p), (F.col("billing_date") == F.col("_pd")) & (F.col("first_layer_id") == F.col("_pt"))
                & (F.col("item") == F.col("_ps")) & (F.col("partner_pricing") == F.col("_pn")), "left")
          .join(bs, (F.col("billing_date") == F.col("_bd")) & (F.col("first_layer_id") == F.col("_bl"))
                & (F.col("item") == F.col("_bi")) & (F.col("sku") == F.col("_bs"))

@@ -240,8 +240,9 @@ def plan_lines(fine: DataFrame, prices: DataFrame) -> DataFrame:
     pkeys = ["date_recorded", "master", "plan_name", "eff_partner", "profile_type"]
     combined = base.groupBy(*pkeys).agg(F.sum("quantity").alias("combined_quantity")) \
         .filter(F.col("plan_name").isin(*PLAN_SKUS.keys()))
-    p = prices.select(F.col("tenant_global_id").alias("master"), F.col("is_nfr").alias("eff_partner"),
-                      F.col("sku").alias("_psku"), "tier_min", "tier_max", "price", "price_type")
+    p = prices.filter(F.col("sku").isin(*[v[0] for v in PLAN_SKUS.values()])).select(
+        F.col("tenant_global_id").alias("master"), F.col("is_nfr").alias("eff_partner"),
+        F.col("sku").alias("_psku"), "tier_min", "tier_max", "price", "price_type")
     tier = combined.join(p, ["master", "eff_partner"]).filter(price_sku(F.col("plan_name")) == F.col("_psku")) \
         .groupBy(*pkeys, "combined_quantity").agg(
             F.sum(graduated_piece("combined_quantity", "tier_min", "tier_max", "price")).alias("total"),
@@ -364,7 +365,7 @@ def per_unit_lines(dmarc_hwm: DataFrame, unified: DataFrame, prices: DataFrame)
     comb = base.groupBy(*ckeys).agg(F.sum("quantity").alias("combined_quantity"))
     p = prices.filter((F.col("tier_min") == 1) & F.col("sku").isin(*sorted(set(DMARC_PRICE_SKU.values())))).select(
         F.col("tenant_global_id").alias("master"), F.col("sku").alias("_psku"), "price", "price_type")
-    tier = comb.join(multiplied(p), "master").filter(lookup(F.col("dmarc_plan"), DMARC_PRICE_SKU) == F.col("_psku")) \
+    tier = comb.join(p, "master").filter(lookup(F.col("dmarc_plan"), DMARC_PRICE_SKU) == F.col("_psku")) \
         .groupBy(*ckeys, "combined_quantity", "price").agg(F.max("price_type").alias("price_type")) \
         .withColumn("total", F.col("combined_quantity").cast("double") * F.col("price").cast("double"))
     out = base.join(tier, ckeys)

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.joins import multiplied
 from ..functions.money import money
 from ..operators import hwm, pricing, sinks
 from ..session import apply_defaults
@@ -137,7 +138,7 @@ def _with_ctx(build):
 
 
 _branch("pool_allocate", "plan_lines",
-        _with_ctx(lambda d, meta, prices, unified, rules, fine: pricing.plan_lines(fine, prices)))
+        _with_ctx(lambda d, meta, prices, unified, rules, fine: pricing.plan_lines(fine, multiplied(prices))))
 _branch("exception_pricing", "exc_lines",
         _with_ctx(lambda d, meta, prices, unified, rules, fine: pricing.exception_lines(B.peak_rows(d), meta, rules)))
 _branch("flat_addon", "premium_lines",
@@ -150,7 +151,7 @@ _branch("flat_addon_bundle", "stbp_lines", _with_ctx(lambda d, meta, prices, uni
 _branch("flat_addon_takeover", "ato_lines", _with_ctx(lambda d, meta, prices, unified, rules, fine: pricing.flat_addon_lines(
     fine, prices, "ato", "ATO", "Account Takeover", "IS-LTP-ATO", ["Complete Protect"])))
 _branch("per_unit_addon", "dmarc_lines",
-        _with_ctx(lambda d, meta, prices, unified, rules, fine: pricing.per_unit_lines(B.addon_rows(d), unified, prices)))
+        _with_ctx(lambda d, meta, prices, unified, rules, fine: pricing.per_unit_lines(B.addon_rows(d), unified, multiplied(prices))))
 _branch("min_commit", "topup", lambda d: B.root_lines(d).filter(F.col("sku") == "IS-LTP-MIN"))
 _branch("bill_lines", "lines", lambda d: B.root_lines(d))
 

@@ -2,9 +2,12 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
-from seatmeter.operators import bridge, pricing
+from seatmeter.functions.joins import multiplied
+from seatmeter.operators import bridge, pricing, subtenant
+from seatmeter.plans import catalog
 from seatmeter.sources import adapters as A
 from seatmeter.sources.tables import Tables
 
@@ -40,6 +43,84 @@ def test_price_list_rows_of_a_root(spark):
     assert {r.start_date for r in rows if r.price_type == "Promo Price"} == {dt.date(2024, 1, 15)}
 
 
+def _broadcast_parts(plan):
+    """The parts of a plan that are sent to all tasks."""
+    lines = plan.splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in lines]
+    for i, x in enumerate(lines):
+        if "BroadcastExchange" in x:
+            below = next((k for k in range(i + 1, len(lines)) if depth[k] <= depth[i]), len(lines))
+            yield "\n".join(lines[i:below])
+
+
+def _seats(spark):
+    """Three tenants of the roots US-4 and US-6 as the bill's operators read them."""
+    cols = ("date_recorded date, root string, tenant_global_id string, plan_name string, premium_name string, profile_type string, active_profiles long, "
+            "licensed_profiles long, shared_profiles long, partner_pricing boolean, dmarc_plan int, dmarc_domains_number int")
+    rows = [(A.AS_OF, "US-4", "US-41", "Email Protect", "NINJIO", "active", 10, 15, None, False, 1, 3),
+            (A.AS_OF, "US-4", "US-42", "Core", None, "active", 20, 25, 2, True, 2, 2),
+            (A.AS_OF, "US-6", "US-61", "Starter", None, "active", 7, 9, None, False, None, None)]
+    df = spark.createDataFrame(rows, cols)
+    flags = ["incident_management", "simulation_and_training_bundle_plus", "ato"]
+    others = ["themis_co_pilot", "ai_empower_bundle", "link_scanning", "file_scanning", "security_awareness_training", "simulation_and_training_bundle",
+              "multi_tenancy", "not_nfr_partner"]
+    return df.select("*", *[F.lit(True).alias(x) for x in (*flags, "approved", "dmarc_management")], *[F.lit(False).alias(x) for x in others],
+                     F.lit("Active").alias("billing_status"), F.col("root").alias("master"), F.col("partner_pricing").alias("eff_partner"),
+                     *[F.col(x).alias(y) for x, y in (("active_profiles", "sum_a"), ("licensed_profiles", "sum_l"), ("shared_profiles", "sum_s"))],
+                     F.col("root").alias("first_layer_id"), *[F.lit("").alias(f"{n}_layer_id") for n in ("second", "third", "fourth", "fifth")])
+
+
+def _price_joins(spark, path):
+    """Every step that joins more than a few rows a root of the price list, made from meta in a small file: name -> result."""
+    _meta(spark, 7).write.parquet(path)
+    dated = spark.read.parquet(path).select("*", F.lit("msp").alias("ltp_type"), F.lit(A.AS_OF).alias("registration_date"),
+                                            F.lit("AM").alias("account_master_id"))
+    meta = dated.withColumn("profile_type", F.lit("active"))
+    listed = A.price_list(meta).filter(F.col("snapshot_date") == F.lit(A.AS_OF))
+    prices, rows = pricing.resolve_prices(listed, A.AS_OF), _seats(spark)
+    unified = pricing.pool_map(meta, spark.createDataFrame([], "global_tenant_id string, master_tenant_id string"))
+    bill = spark.createDataFrame([], "ltp string, item string, partner_pricing boolean, quantity long, amount double, price_type string")
+    sub = spark.createDataFrame([(A.AS_OF, "US-4", "US-41", "Email Protect", "x", False, 5, 1.0)], "billing_date date, first_layer_id string, "
+                                "tenant_global_id string, item string, sku string, partner_pricing boolean, quantity long, amount double")
+    sub = sub.select("*", *[F.lit("").alias(f"{n}_layer_id") for n in ("second", "third", "fourth", "fifth")])
+    picks = rows.select("tenant_global_id", "dmarc_domains_number")
+    return {"plan_lines": pricing.plan_lines(rows, multiplied(prices)),
+            "per_unit_lines": pricing.per_unit_lines(rows.drop("master"), unified, multiplied(prices)),
+            "addon_menu": pricing.addon_menu(rows.drop("profile_type"), meta, prices),
+            "flat_lines": subtenant.flat_lines(subtenant.base_rows(rows.drop("profile_type"), meta), listed, bill),
+            "per_leaf": subtenant.per_leaf(rows, picks, listed, bill), "bill_fact": bridge.bill_fact(sub, dated, listed, A.AS_OF)}
+
+
+PRICED = {   # item, quantity, amount of root US-4; its prices are 4 % above the base, partner seats are free, the promotion is 20 % off
+    "plan_lines": {("Email Protect", 10, 20.8), ("Core", 20, 0.0)},
+    "per_unit_lines": {("DMARC Core Management", 3, 15.6), ("DMARC Pro", 2, 18.72)},
+    "addon_menu": {("NINJIO", 10, 6.24), ("Incident Management", 30, 24.96), ("S&T Plus Bundle", 10, 7.28), ("Account Takeover", 10, 9.36), ("DMARC Domains", 5, 26.0)},
+    "flat_lines": {("Core", 20, 0.0), ("NINJIO", 10, 6.24), ("Incident Management", 10, 8.32), ("Incident Management", 20, 16.64),
+                   ("S&T Bundle Plus", 10, 7.28), ("Account Takeover", 10, 9.36)},
+    "per_leaf": {("DMARC Core Management", 3, 15.6), ("DMARC Pro", 2, 18.72)},
+    "bill_fact": {("Email Protect", 5, 2.6)},
+}
+
+
+@pytest.mark.parametrize("step", sorted(PRICED))
+def test_price_list_is_not_sent_to_all_tasks(spark, tmp_path, step):
+    """Its many rows come from a file of few bytes, by which the planner took it for a small side."""
+    out = _price_joins(spark, str(tmp_path / "meta"))[step]
+    assert "Generate explode" in _plan(out)
+    assert not [x for x in _broadcast_parts(_plan(out)) if "Generate explode" in x]
+    cols = {"flat_lines": ("item", "billable_quantity", "amount"), "per_leaf": ("item", "billable_quantity", "amount"),
+            "bill_fact": ("item", "billed_qty", "max_price")}.get(step, ("item", "quantity", "amount"))
+    own = F.col("ltp" if "ltp" in out.columns else "first_layer_id") == "US-4"
+    assert {(r[0], r[1], round(r[2], 4)) for r in out.filter(own).select(*cols).collect()} == PRICED[step]
+
+
+@pytest.mark.parametrize("name", ["pool_allocate", "per_unit_addon", "addon_menu", "subtenant_flat"])
+def test_queries_do_not_send_the_price_list(spark, sf_small, name):
+    plan = _plan(catalog.QUERIES[name](spark, sf_small))
+    assert "kind#" in plan                    # the list's own last explode
+    assert not [x for x in _broadcast_parts(plan) if "kind#" in x]
+
+
 def test_bridge_fact_moves_its_lines_once(spark):
     jan, feb = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
     lines = [("C-1", jan, "P-1", "a", 5, "10.00", "msp", dt.date(2023, 3, 1)), ("C-1", jan, "P-1", "a", 7, "1.50", "oem", dt.date(2023, 2, 1)),
