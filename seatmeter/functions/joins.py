@@ -7,6 +7,8 @@ run time, decide between a broadcast and a shuffle join.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,10 +27,12 @@ def multiplied(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows that the next step multiplies, dealt by ``keys`` over the session's shuffle partitions.
+def spread(df: DataFrame, *keys: str, rows: int) -> DataFrame:
+    """Rows that the next step multiplies, dealt by ``keys`` so that a task gets about ``rows`` of them at most.
 
-    The number is given outright: a table of few bytes is read by one task, and AQE, which sees the
-    bytes before the rows are multiplied, would put it back into one.
+    The number of tasks is given outright, at least the session's shuffle partitions: a table of few bytes
+    is read by one task, and AQE, which sees the bytes before the rows are multiplied, would put it back
+    into one. The rows are counted for it, so what a task holds does not grow with the table.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, math.ceil(df.count() / rows)), *keys)

@@ -66,6 +66,7 @@ BASE_PRICE = {
     "THEMIS": 0.35, "URL": 0.25, "AS": 0.3, "PSTSAT": 0.45, "SAT": 0.55, "PSTSTB": 0.65, "STB": 0.75, "AIEB": 1.1, "MT": 0.15,
 }
 TIERS = [(1, 100, 1.0), (101, 1000, 0.85), (1001, 999999999, 0.7)]
+ROOTS_A_TASK = 2000                     # roots whose price rows one task makes (not in the SQL recipes)
 # ---------------------------------------------------------------------------
 
 
@@ -217,7 +218,7 @@ def price_list(meta: DataFrame, as_of=AS_OF) -> DataFrame:
     hundred rows, so the roots are spread first; a root's rows stay in one partition, so what groups
     the list by root needs no shuffle of its own.
     """
-    meta = spread(meta.filter(F.col("snapshot_date") == F.lit(as_of)), "tenant_global_id")
+    meta = spread(meta.filter(F.col("snapshot_date") == F.lit(as_of)), "tenant_global_id", rows=ROOTS_A_TASK)
     num = F.regexp_replace("tenant_global_id", "[^0-9]", "").cast("bigint")
     skus = F.array(*[F.struct(F.lit(s).alias("sku"), F.lit(BASE_PRICE[s]).alias("base"))
                      for s in PLAN_SKUS + ADDON_SKUS])

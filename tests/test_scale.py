@@ -32,6 +32,17 @@ def test_price_list_is_made_by_many_tasks(spark):
     assert _plan(pricing.resolve_prices(prices, A.AS_OF)).count("Exchange hashpartitioning") == 1
 
 
+def test_price_list_tasks_grow_with_the_roots(spark):
+    """More roots give more tasks, not larger ones, however few shuffle partitions the session has."""
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = (least + 2) * 2000
+    meta = spark.range(n).select(F.lit(A.AS_OF).alias("snapshot_date"), F.concat(F.lit("US-"), F.col("id")).alias("tenant_global_id")).coalesce(1)
+    listed = A.price_list(meta).filter((F.col("sku") == "PSCP") & (F.col("tier_min") == 1) & (F.col("snapshot_date") == F.lit(A.AS_OF)))
+    per_task = [r["count"] for r in listed.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(per_task) == least + 2 and sum(per_task) == n
+    assert max(per_task) < 1.2 * 2000
+
+
 def test_price_list_rows_of_a_root(spark):
     rows = A.price_list(_meta(spark, 7)).filter("tenant_global_id in ('US-4', 'US-6')").collect()
     for root, promo in (("US-4", True), ("US-6", False)):
